@@ -22,6 +22,41 @@ def _yes_if(cond: str) -> str:
     return f"CASE WHEN {cond} THEN 'YES' ELSE 'NO' END"
 
 
+def weather_case(c: str) -> str:
+    return f"""CASE WHEN {c} = 0 THEN 'Clear'
+           WHEN {c} IN (1, 2, 3) THEN 'Cloudy'
+           WHEN {c} IN (45, 48) THEN 'Fog'
+           WHEN {c} IN (51, 53, 55, 56, 57) THEN 'Rain/Drizzle'
+           WHEN {c} IN (61, 63, 65, 66, 67) THEN 'Rain'
+           WHEN {c} IN (71, 73, 75, 77, 85, 86) THEN 'Snow'
+           WHEN {c} IN (80, 81, 82) THEN 'Rain showers'
+           WHEN {c} IN (95, 96, 99) THEN 'Thunderstorm'
+           ELSE 'Other' END"""
+
+
+def daypart_case(c: str) -> str:
+    return (f"CASE WHEN {c} BETWEEN 0 AND 5 THEN 'Night' WHEN {c} BETWEEN 6 AND 11 THEN 'Morning' "
+            f"WHEN {c} BETWEEN 12 AND 17 THEN 'Afternoon' ELSE 'Evening' END")
+
+
+def yes_no_case(c: str) -> str:
+    return f"CASE {c} WHEN 'YES' THEN true WHEN 'NO' THEN false END"
+
+
+def season_case(c: str) -> str:
+    return (f"CASE WHEN month({c}) IN (12, 1, 2) THEN 'Winter' WHEN month({c}) IN (3, 4, 5) "
+            f"THEN 'Spring' WHEN month({c}) IN (6, 7, 8) THEN 'Summer' ELSE 'Fall' END")
+
+
+def local_to_utc(local_ts: str) -> str:
+    """Naive local wall clock -> naive UTC wall clock (standard time when ambiguous)."""
+    return f"timezone('UTC', timezone('{TZ}', {local_ts}))"
+
+
+def utc_to_local(utc_ts: str) -> str:
+    return f"timezone('{TZ}', timezone('UTC', {utc_ts}))"
+
+
 CTES: list[tuple[str, str]] = [
     ("incidents_src", f"""
     SELECT
@@ -58,10 +93,9 @@ CTES: list[tuple[str, str]] = [
       CASE WHEN event_type = 'purchase' THEN 'YES' WHEN event_type = 'signup' THEN 'Yes'
            ELSE 'NO' END AS pedestrian_text
     FROM events"""),
-    # Normalised batch (every feature with an id), UTC instant by the DST rule.
-    ("batch", f"""
+    # UTC instant by the DST rule, and the coordinate null rule, for every feature.
+    ("incidents_occ", f"""
     SELECT s.*,
-      event_unique_id AS event_id,
       CASE WHEN occ_ms IS NULL OR occ_ms = 0 THEN NULL
            WHEN occ_hour_text IS NULL THEN timezone('UTC', make_timestamptz(occ_ms * 1000))
            ELSE timezone('UTC', timezone('{TZ}', date_trunc('day', timezone('{TZ}',
@@ -69,7 +103,10 @@ CTES: list[tuple[str, str]] = [
       END AS occ_utc,
       CASE WHEN lat0 IS NULL OR lon0 IS NULL OR (lat0 = 0 AND lon0 = 0) THEN NULL ELSE lat0 END AS lat,
       CASE WHEN lat0 IS NULL OR lon0 IS NULL OR (lat0 = 0 AND lon0 = 0) THEN NULL ELSE lon0 END AS lon
-    FROM incidents_src s
+    FROM incidents_src s"""),
+    # Normalised batch: every feature with an id.
+    ("batch", """
+    SELECT *, event_unique_id AS event_id FROM incidents_occ
     WHERE coalesce(event_unique_id, '') <> ''"""),
     # raw_incidents: last feature per key wins.
     ("raw", f"""
@@ -134,26 +171,16 @@ CTES: list[tuple[str, str]] = [
            WHEN month(occ_date) IN (3, 4, 5) THEN 'Spring'
            WHEN month(occ_date) IN (6, 7, 8) THEN 'Summer' ELSE 'Fall' END AS season
     FROM stg"""),
-    ("enriched", """
+    ("enriched", f"""
     SELECT p.*, wc.temperature, wc.precipitation, wc.snowfall, wc.weathercode, wc.windspeed,
       wc.cloudcover, wc.humidity,
-      CASE WHEN wc.weathercode = 0 THEN 'Clear'
-           WHEN wc.weathercode IN (1, 2, 3) THEN 'Cloudy'
-           WHEN wc.weathercode IN (45, 48) THEN 'Fog'
-           WHEN wc.weathercode IN (51, 53, 55, 56, 57) THEN 'Rain/Drizzle'
-           WHEN wc.weathercode IN (61, 63, 65, 66, 67) THEN 'Rain'
-           WHEN wc.weathercode IN (71, 73, 75, 77, 85, 86) THEN 'Snow'
-           WHEN wc.weathercode IN (80, 81, 82) THEN 'Rain showers'
-           WHEN wc.weathercode IN (95, 96, 99) THEN 'Thunderstorm'
-           ELSE 'Other' END AS weather_condition
+      {weather_case('wc.weathercode')} AS weather_condition
     FROM prep p LEFT JOIN weather_src wc
       ON wc.lat = p.lat_r AND wc.lon = p.lon_r AND wc.hour_utc = p.occ_date_utc"""),
-    ("mart", """
+    ("mart", f"""
     SELECT event_id, occ_date_utc, occ_date_day, occ_year, occ_month,
       occ_dow AS day_of_week, occ_hour AS hour_of_day, is_weekend, season,
-      CASE WHEN occ_hour BETWEEN 0 AND 5 THEN 'Night'
-           WHEN occ_hour BETWEEN 6 AND 11 THEN 'Morning'
-           WHEN occ_hour BETWEEN 12 AND 17 THEN 'Afternoon' ELSE 'Evening' END AS daypart,
+      {daypart_case('occ_hour')} AS daypart,
       division, hood_158 AS tps_hood_code, neighbourhood_158, lat, lon, invalid_coord_flag,
       collision_severity, collision_severity_rank, fatalities, injury_collisions, ftr_collisions,
       pd_collisions, automobile, motorcycle, passenger, bicycle, pedestrian,
@@ -181,3 +208,96 @@ def portable(columns: dict[str, str]) -> str:
 
 MART_DOUBLES = ["lat", "lon", "temperature", "precipitation", "snowfall", "windspeed",
                 "cloudcover", "humidity"]
+
+
+def _d(cols: list[str]) -> str:
+    return ", ".join(f"CAST({c} AS DOUBLE) AS {c}" for c in cols)
+
+
+def _all_but(table: str, doubles: list[str]) -> str:
+    return f"SELECT * EXCLUDE ({', '.join(doubles)}), {_d(doubles)} FROM {table}"
+
+
+STG_DOUBLES = ["long_wgs84", "lat_wgs84", "geometry_x", "geometry_y", "lat", "lon"]
+INT_DOUBLES = STG_DOUBLES + ["lat_r", "lon_r", "temperature", "precipitation", "snowfall",
+                             "windspeed", "cloudcover", "humidity"]
+_HAS_ID = "coalesce(event_unique_id, '') <> ''"
+_USABLE = "(lat0 IS NOT NULL AND lon0 IS NOT NULL AND NOT (lat0 = 0 AND lon0 = 0))"
+_INVALID = ("CASE WHEN lat IS NULL OR lon IS NULL THEN true WHEN lat < 40 OR lat > 45 THEN true "
+            "WHEN lon < -80 OR lon > -78 THEN true ELSE false END")
+
+
+def oracles() -> dict[str, str]:
+    q: dict[str, str] = {}
+    # models
+    q["stg_incidents"] = with_ctes(_all_but("stg", STG_DOUBLES))
+    q["join_weather_left"] = with_ctes(
+        "SELECT event_id, CAST(lat_r AS DOUBLE) AS lat_r, CAST(lon_r AS DOUBLE) AS lon_r, "
+        "occ_date_utc, CAST(temperature AS DOUBLE) AS temperature, weathercode, "
+        "weather_condition, temperature IS NOT NULL AS matched FROM enriched")
+    q["int_enriched"] = with_ctes(_all_but("enriched", INT_DOUBLES))
+    q["fct_flat"] = with_ctes(_all_but("mart", MART_DOUBLES))
+    # ingest
+    q["ingest_normalise"] = with_ctes(
+        f"SELECT doc_day, page, pos, event_id, objectid, occ_utc AS occ_date_utc, {_d(['lat', 'lon'])}, "
+        f"{LOAD_TIME} AS inserted_at FROM batch")
+    q["ingest_counts"] = with_ctes(
+        f"SELECT doc_day, count(*) AS n_features, "
+        f"count(*) FILTER (WHERE {_HAS_ID}) AS n_upserted, "
+        f"count(*) FILTER (WHERE NOT ({_HAS_ID})) AS n_skipped_no_id, "
+        f"count(*) FILTER (WHERE {_HAS_ID} AND NOT {_USABLE}) AS n_null_coords, "
+        f"count(*) FILTER (WHERE {_HAS_ID} AND (occ_ms IS NULL OR occ_ms = 0)) AS n_no_date, "
+        f"count(DISTINCT CASE WHEN {_HAS_ID} THEN event_unique_id END) AS n_distinct_keys, "
+        f"count(*) >= 1000 AS possibly_truncated "
+        f"FROM incidents_src GROUP BY doc_day")
+    q["ingest_high_water_mark"] = with_ctes(
+        f"SELECT max(occ_utc) AS max_occ_date_utc, count(*) AS n_rows, "
+        f"coalesce(CAST({utc_to_local('max(occ_utc)')} AS DATE) + 1, DATE '2024-01-01') "
+        f"AS next_local_day FROM raw")
+    lo = local_to_utc("TIMESTAMP '2024-01-08 00:00:00'")
+    hi = local_to_utc("TIMESTAMP '2024-01-15 00:00:00'")
+    q["filter_day_slice"] = with_ctes(
+        f"SELECT event_id, occ_utc AS occ_date_utc, {_d(['lat', 'lon'])} FROM raw "
+        f"WHERE occ_utc >= {lo} AND occ_utc < {hi}")
+    # scalar expressions
+    q["json_extract"] = (
+        "SELECT event_id, CAST(json_extract(props, '$.k') AS INTEGER) AS k, "
+        "json_extract_string(props, '$.k') AS k_text, CAST(json(props) AS VARCHAR) AS props_json "
+        "FROM events")
+    q["time_epoch"] = with_ctes(
+        "SELECT pos, occ_ms, occ_ms // 1000 AS occ_date_epoch, "
+        "make_timestamp((occ_ms // 1000) * 1000000) AS occ_date FROM incidents_src")
+    q["time_local_to_utc"] = with_ctes(
+        f"SELECT pos, occ_ms, CAST(occ_hour_text AS INTEGER) AS occ_hour, occ_utc AS occ_date_utc, "
+        f"CAST((epoch({utc_to_local('occ_utc')}) - epoch(occ_utc)) / 3600 AS INTEGER) "
+        f"AS utc_offset_hours FROM incidents_occ")
+    q["time_dst_spine"] = (
+        f"SELECT local_date, CAST(h AS INTEGER) AS hour, "
+        f"{local_to_utc('CAST(local_date AS TIMESTAMP) + to_hours(CAST(h AS INTEGER))')} AS utc "
+        f"FROM (SELECT DISTINCT CAST(o_orderdate AS DATE) AS local_date FROM orders), range(24) t(h)")
+    q["coords_null_rule"] = with_ctes(
+        f"SELECT pos, {_d(['lat0', 'lon0', 'lat', 'lon'])} FROM incidents_occ")
+    q["coords_round"] = with_ctes(
+        "SELECT pos, CAST(round(lat0, 2) AS DOUBLE) AS lat_r, CAST(round(lon0, 2) AS DOUBLE) AS lon_r "
+        "FROM incidents_src")
+    q["coords_validity"] = with_ctes(f"SELECT pos, {_INVALID} AS invalid_coord_flag FROM incidents_occ")
+    q["flags_yes_no"] = with_ctes(
+        "SELECT pos, " + ", ".join(f"{yes_no_case(t)} AS {n}" for n, t in [
+            ("injury_collisions", "injury_text"), ("ftr_collisions", "ftr_text"),
+            ("pd_collisions", "pd_text"), ("automobile", "automobile_text"),
+            ("motorcycle", "motorcycle_text"), ("passenger", "passenger_text"),
+            ("bicycle", "bicycle_text"), ("pedestrian", "pedestrian_text")])
+        + " FROM incidents_src")
+    q["calendar_fields"] = (
+        f"SELECT o_orderkey, date_trunc('day', o_orderdate) AS occ_date_day, "
+        f"coalesce(isodow(o_orderdate) IN (6, 7), false) AS is_weekend, "
+        f"{season_case('o_orderdate')} AS season FROM orders")
+    q["classify_severity"] = with_ctes(
+        "SELECT event_id, fatalities, injury_collisions, ftr_collisions, pd_collisions, "
+        "collision_severity, collision_severity_rank FROM prep")
+    q["classify_weather"] = with_ctes(
+        f"SELECT {_d(['lat', 'lon'])}, hour_utc, weathercode, {weather_case('weathercode')} "
+        f"AS weather_condition FROM weather_src")
+    q["classify_daypart"] = with_ctes(
+        f"SELECT event_id, occ_hour, {daypart_case('occ_hour')} AS daypart FROM stg")
+    return q

@@ -11,8 +11,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from squall.functions import classify, geo, payload
+from squall.functions import timeutil as tu
+from squall.operators import filters, ingest
 from squall.plans import datasets, models
 from squall.plans.portable import to_portable
+from squall.sources import adapters
 
 
 def fct_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,3 +44,132 @@ def join_weather_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_portable(j.select("event_id", "lat_r", "lon_r", "occ_date_utc", "temperature",
                                 "weathercode", "weather_condition",
                                 F.col("temperature").isNotNull().alias("matched")))
+
+
+# --- ingest -----------------------------------------------------------------
+
+def ingest_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every feature with an id, normalised (before last-wins)."""
+    b = datasets.incident_batch(spark, sf_dir)
+    return to_portable(b.drop("raw"))
+
+
+def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per landing day: features, upserts, skips by reason, distinct keys."""
+    feats = adapters.incident_features(datasets.events(spark, sf_dir))
+    return to_portable(ingest.ingest_counts(feats))
+
+
+def ingest_high_water_mark(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MAX(occ_date_utc) of raw_incidents and the next local day to fetch."""
+    return to_portable(ingest.high_water_mark(datasets.raw_incidents(spark, sf_dir)))
+
+
+def filter_day_slice(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Incidents of a half-open range of local days [2024-01-08, 2024-01-15)."""
+    raw = datasets.raw_incidents(spark, sf_dir)
+    pred = filters.local_day_range("occ_date_utc", "2024-01-08", "2024-01-15")
+    return to_portable(raw.filter(pred).select("event_id", "occ_date_utc", "lat", "lon"))
+
+
+# --- scalar expressions -------------------------------------------------------
+
+def json_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``props`` JSON: typed path read, text path read, parse/serialise round trip."""
+    ev = datasets.read_table(spark, sf_dir, "events", ["event_id", "props"])
+    v = payload.parse(F.col("props"))
+    return (ev.withColumn("__v", v)
+              .select("event_id",
+                      payload.path_get("__v", "$.k", "int").alias("k"),
+                      payload.text_get("props", "$.k").alias("k_text"),
+                      payload.serialise("__v").alias("props_json")))
+
+
+def time_epoch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OCC_DATE ms -> whole seconds (truncating) -> zone-less UTC wall clock."""
+    src = adapters.incident_columns(datasets.events(spark, sf_dir))
+    sec = tu.epoch_ms_to_seconds("occ_ms")
+    return src.select("pos", "occ_ms", sec.alias("occ_date_epoch"),
+                      tu.epoch_seconds_to_utc_wallclock(sec).alias("occ_date"))
+
+
+def time_local_to_utc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """OCC_DATE + OCC_HOUR (local) -> UTC instant with standard-time DST rule."""
+    src = adapters.incident_columns(datasets.events(spark, sf_dir))
+    src = src.select("pos", "occ_ms", F.col("occ_hour").cast("int").alias("occ_hour"))
+    out = tu.with_incident_occurrence_utc(src, "occ_ms", "occ_hour", "occ_date_utc")
+    return to_portable(out.withColumn(
+        "utc_offset_hours",
+        ((F.unix_seconds(F.from_utc_timestamp("occ_date_utc", tu.LOCAL_TZ))
+          - F.unix_seconds("occ_date_utc")) / 3600).cast("int")))
+
+
+def time_dst_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every local hour of every order date -> UTC instant (covers all DST switches)."""
+    days = (datasets.read_table(spark, sf_dir, "orders", ["o_orderdate"])
+            .select(F.to_date("o_orderdate").alias("local_date")).distinct())
+    hours = days.select("local_date", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("hour"))
+    return to_portable(hours.withColumn(
+        "utc", tu.local_date_hour_to_utc("local_date", "hour")))
+
+
+def coords_null_rule(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(0,0) or a missing coordinate -> both NULL."""
+    src = adapters.incident_columns(datasets.events(spark, sf_dir))
+    lat, lon = geo.null_unusable_pair("lat0", "lon0")
+    return to_portable(src.select("pos", "lat0", "lon0", lat.alias("lat"), lon.alias("lon")))
+
+
+def coords_round(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Coordinates on the 2-decimal weather grid (half away from zero)."""
+    src = adapters.incident_columns(datasets.events(spark, sf_dir))
+    return to_portable(src.select("pos", geo.grid_round("lat0").alias("lat_r"),
+                                  geo.grid_round("lon0").alias("lon_r")))
+
+
+def coords_validity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Invalid-coordinate flag after the null rule."""
+    src = adapters.incident_columns(datasets.events(spark, sf_dir))
+    lat, lon = geo.null_unusable_pair("lat0", "lon0")
+    return (src.select("pos", lat.alias("lat"), lon.alias("lon"))
+               .select("pos", geo.invalid_coordinate("lat", "lon").alias("invalid_coord_flag")))
+
+
+def flags_yes_no(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The eight YES/NO payload flags as nullable booleans."""
+    src = adapters.incident_columns(datasets.events(spark, sf_dir))
+    names = {"injury_collisions": "injury", "ftr_collisions": "ftr", "pd_collisions": "pd",
+             "automobile": "automobile", "motorcycle": "motorcycle", "passenger": "passenger",
+             "bicycle": "bicycle", "pedestrian": "pedestrian"}
+    return src.select("pos", *[classify.yes_no(s).alias(n) for n, s in names.items()])
+
+
+def calendar_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Day start, weekend flag and season of every order date (all months)."""
+    o = datasets.read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderdate"])
+    return o.select("o_orderkey",
+                    tu.day_start("o_orderdate").alias("occ_date_day"),
+                    tu.is_weekend("o_orderdate").alias("is_weekend"),
+                    tu.season("o_orderdate").alias("season"))
+
+
+def classify_severity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Severity label and rank of every staged incident."""
+    stg = models.staging(datasets.raw_incidents(spark, sf_dir))
+    args = ("fatalities", "injury_collisions", "ftr_collisions", "pd_collisions")
+    return stg.select("event_id", *args,
+                      classify.collision_severity(*args).alias("collision_severity"),
+                      classify.collision_severity_rank(*args).alias("collision_severity_rank"))
+
+
+def classify_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather condition bucket of every cached hour."""
+    w = datasets.weather_cache(spark, sf_dir)
+    return to_portable(w.select("lat", "lon", "hour_utc", "weathercode",
+                                classify.weather_condition("weathercode").alias("weather_condition")))
+
+
+def classify_daypart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daypart of every staged incident's hour."""
+    stg = models.staging(datasets.raw_incidents(spark, sf_dir))
+    return stg.select("event_id", "occ_hour", classify.daypart("occ_hour").alias("daypart"))
