@@ -9,6 +9,9 @@ second implementation. Unreferenced CTEs are never evaluated.
 
 from __future__ import annotations
 
+from squall.functions.urls import (INCIDENT_BASE_URL, INCIDENT_PAGE_SIZE, WEATHER_BASE_URL,
+                                   WEATHER_HOURLY_VARS)
+
 # Fixed values shared with squall.sources.adapters.
 TZ = "America/Toronto"
 LOAD_TIME = "TIMESTAMP '2024-02-01 00:00:00'"
@@ -190,8 +193,8 @@ CTES: list[tuple[str, str]] = [
 ]
 
 
-def with_ctes(select: str) -> str:
-    body = ",\n".join(f"{name} AS ({sql}\n)" for name, sql in CTES)
+def with_ctes(select: str, extra: list[tuple[str, str]] | None = None) -> str:
+    body = ",\n".join(f"{name} AS ({sql}\n)" for name, sql in CTES + list(extra or []))
     return f"WITH {body}\n{select}"
 
 
@@ -300,4 +303,70 @@ def oracles() -> dict[str, str]:
         f"AS weather_condition FROM weather_src")
     q["classify_daypart"] = with_ctes(
         f"SELECT event_id, occ_hour, {daypart_case('occ_hour')} AS daypart FROM stg")
+    # upsert
+    first = "pos % 10 <> 1 AND pos % 5 <> 3"
+    last_wins = ("SELECT * EXCLUDE (rn) FROM (SELECT b.*, row_number() OVER (PARTITION BY event_id "
+                 "ORDER BY doc_day DESC, page DESC, pos DESC) AS rn FROM batch b WHERE {w}) WHERE rn = 1")
+
+    def pick(c):
+        return f"CASE WHEN u.event_id IS NOT NULL THEN u.{c} ELSE t.{c} END"
+    q["upsert_incidents_last_wins"] = with_ctes(
+        f"SELECT coalesce(u.event_id, t.event_id) AS event_id, {pick('objectid')} AS objectid, "
+        f"{pick('occ_utc')} AS occ_date_utc, CAST({pick('lat')} AS DOUBLE) AS lat, "
+        f"CAST({pick('lon')} AS DOUBLE) AS lon, "
+        f"CASE WHEN t.event_id IS NOT NULL THEN {LOAD_TIME} ELSE {UPDATE_LOAD_TIME} END AS inserted_at "
+        f"FROM tgt t FULL OUTER JOIN upd u ON t.event_id = u.event_id",
+        [("tgt", last_wins.format(w=first)), ("upd", last_wins.format(w=f"NOT ({first})"))])
+    q["upsert_weather_hours"] = with_ctes(
+        "SELECT CAST(lat AS DOUBLE) AS lat, CAST(lon AS DOUBLE) AS lon, hour_utc, date_utc, "
+        "CAST(CASE WHEN m % 5 = 0 THEN temperature + 2 WHEN day(hour_utc) % 3 <> 1 "
+        "THEN temperature + 1 ELSE temperature END AS DOUBLE) AS temperature, "
+        + _d(["precipitation", "snowfall"]) + ", weathercode, "
+        + _d(["windspeed", "cloudcover", "humidity"]) + " FROM weather_src")
+    # gaps
+    gap_ctes = [
+        ("cd", "SELECT DISTINCT round(lat, 2) AS lat_r, round(lon, 2) AS lon_r, "
+               "CAST(occ_utc AS DATE) AS day_utc FROM raw WHERE lat IS NOT NULL AND lon IS NOT NULL "
+               "AND NOT (lat = 0 AND lon = 0) AND occ_utc IS NOT NULL"),
+        ("missing", "SELECT DISTINCT cd.lat_r, cd.lon_r, cd.day_utc FROM cd LEFT JOIN weather_src wc "
+                    "ON wc.lat = cd.lat_r AND wc.lon = cd.lon_r AND CAST(wc.hour_utc AS DATE) = cd.day_utc "
+                    "WHERE wc.hour_utc IS NULL"),
+        ("islands", "SELECT *, day_utc - CAST(row_number() OVER (PARTITION BY lat_r, lon_r "
+                    "ORDER BY day_utc) AS INTEGER) AS run FROM missing"),
+    ]
+    q["gap_missing_days_anti"] = with_ctes(
+        "SELECT CAST(lat_r AS DOUBLE) AS lat_r, CAST(lon_r AS DOUBLE) AS lon_r, day_utc FROM missing",
+        gap_ctes)
+    ranges = ("SELECT CAST(lat_r AS DOUBLE) AS lat_r, CAST(lon_r AS DOUBLE) AS lon_r, "
+              "min(day_utc) AS start_date, max(day_utc) AS end_date, count(*) AS missing_days "
+              "FROM {t} GROUP BY {g} ORDER BY 1, 2, 3")
+    q["gap_missing_ranges"] = with_ctes(ranges.format(t="missing", g="lat_r, lon_r"), gap_ctes)
+    q["gap_missing_islands"] = with_ctes(ranges.format(t="islands", g="lat_r, lon_r, run"), gap_ctes)
+    # plans
+    d0 = "strftime(local_day, '%Y-%m-%d')"
+    d1 = "strftime(local_day + 1, '%Y-%m-%d')"
+    quote = "''''"
+    where = (f"'OCC_DATE >= TIMESTAMP ' || {quote} || {d0} || ' 00:00:00' || {quote} || "
+             f"' AND OCC_DATE < TIMESTAMP ' || {quote} || {d1} || ' 00:00:00' || {quote}")
+    url = (f"'{INCIDENT_BASE_URL}?where=OCC_DATE%20%3E%3D%20TIMESTAMP%20%27' || {d0} || "
+           f"'%2000%3A00%3A00%27%20AND%20OCC_DATE%20%3C%20TIMESTAMP%20%27' || {d1} || "
+           f"'%2000%3A00%3A00%27&outFields=%2A&f=json&resultRecordCount={INCIDENT_PAGE_SIZE}"
+           f"&resultOffset=0'")
+    q["plan_incident_days"] = with_ctes(
+        f"SELECT days.local_day, {where} AS where_clause, {url} AS url, "
+        f"coalesce(landed.n, 0) AS n_landed, coalesce(landed.n, 0) >= {INCIDENT_PAGE_SIZE} "
+        f"AS possibly_truncated FROM days LEFT JOIN landed ON days.local_day = landed.doc_day",
+        [("landed", "SELECT doc_day, count(*) AS n FROM incidents_src GROUP BY doc_day"),
+         ("bounds", "SELECT min(doc_day) AS s FROM incidents_src"),
+         ("days", "SELECT CAST(unnest(generate_series(CAST(s AS TIMESTAMP), "
+                  "CAST(date_trunc('quarter', s) + INTERVAL 3 MONTH - INTERVAL 1 DAY AS TIMESTAMP), "
+                  "INTERVAL 1 DAY)) AS DATE) AS local_day FROM bounds")])
+    wurl = (f"'{WEATHER_BASE_URL}?latitude=' || CAST(CAST(lat_r AS DOUBLE) AS VARCHAR) || "
+            f"'&longitude=' || CAST(CAST(lon_r AS DOUBLE) AS VARCHAR) || '&start_date=' || "
+            f"strftime(min(day_utc), '%Y-%m-%d') || '&end_date=' || strftime(max(day_utc), '%Y-%m-%d') "
+            f"|| '&hourly={WEATHER_HOURLY_VARS}&timezone=UTC'")
+    q["plan_weather_ranges"] = with_ctes(
+        f"SELECT CAST(lat_r AS DOUBLE) AS lat_r, CAST(lon_r AS DOUBLE) AS lon_r, "
+        f"min(day_utc) AS start_date, max(day_utc) AS end_date, count(*) AS missing_days, "
+        f"{wurl} AS url FROM missing GROUP BY lat_r, lon_r", gap_ctes)
     return q

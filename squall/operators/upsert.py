@@ -33,7 +33,8 @@ MAX_TOUCHED_PARTITIONS = 100_000
 
 def merge_last_wins(target: DataFrame | None, batch: DataFrame, keys: list[str],
                     order: list[str], preserve: tuple[str, ...] = (),
-                    columns: list[str] | None = None) -> DataFrame:
+                    columns: list[str] | None = None,
+                    order_in_target: bool = False) -> DataFrame:
     """Rows of ``target`` updated by ``batch``: one row per key, latest version wins.
 
     - ``order`` columns of ``batch`` give the sequence (last = wins); stored
@@ -43,15 +44,25 @@ def merge_last_wins(target: DataFrame | None, batch: DataFrame, keys: list[str],
       ``ON CONFLICT DO UPDATE`` does not touch.
     - Rows whose key is NULL are dropped (a primary key cannot be NULL).
     - ``target=None`` reduces a batch on its own (an upsert into an empty table).
+    - ``order_in_target=True``: the stored rows keep their source order columns,
+      and versions compete by that order (batch wins ties). Replays and batches
+      that arrive out of order then give the same table as in-order loading.
     """
     columns = list(columns or (target.columns if target is not None
                                else [c for c in batch.columns if c not in order]))
     values = [c for c in columns if c not in keys and c not in preserve]
-    order_fields = [F.lit(0).alias(_SRC)] + [F.lit(None).cast(batch.schema[c].dataType).alias(c)
-                                             for c in order]
-    b = batch.select(*columns, F.struct(F.lit(1).alias(_SRC), *[F.col(c) for c in order]).alias(_ORD))
+    if order_in_target:
+        def ord_of(src):
+            return F.struct(*[F.col(c) for c in order], F.lit(src).alias(_SRC))
+        t_ord = ord_of(0)
+    else:
+        def ord_of(src):
+            return F.struct(F.lit(src).alias(_SRC), *[F.col(c) for c in order])
+        t_ord = F.struct(F.lit(0).alias(_SRC),
+                         *[F.lit(None).cast(batch.schema[c].dataType).alias(c) for c in order])
+    b = batch.select(*columns, ord_of(1).alias(_ORD))
     if target is not None:
-        b = target.select(*columns, F.struct(*order_fields).alias(_ORD)).unionByName(b)
+        b = target.select(*columns, t_ord.alias(_ORD)).unionByName(b)
     key_present = reduce(lambda a, c: a & c, [F.col(k).isNotNull() for k in keys])
     both = b.filter(key_present)
     aggs = []
@@ -93,7 +104,7 @@ def create_if_absent(spark: SparkSession, path: str, schema: T.StructType,
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, schema: T.StructType,
                  keys: list[str], order: list[str], partition_by: list[str],
-                 preserve: tuple[str, ...] = ()) -> DataFrame:
+                 preserve: tuple[str, ...] = (), order_in_target: bool = False) -> DataFrame:
     """Upsert ``batch`` into the Parquet table at ``path``; returns the batch's counts.
 
     ``partition_by`` must be a function of the key (a date of the key's hour,
@@ -117,7 +128,7 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, schema: T.Str
         target = target.filter(keep)
     else:
         target = target.join(F.broadcast(touched), partition_by, "left_semi")
-    merged = merge_last_wins(target, batch, keys, order, preserve, columns)
+    merged = merge_last_wins(target, batch, keys, order, preserve, columns, order_in_target)
     staging = f"{ensure_checkpoint_dir(spark).rstrip('/')}/upsert-staging-{uuid.uuid4().hex}"
     merged.write.mode("overwrite").partitionBy(*partition_by).parquet(staging)
     (spark.read.schema(schema).parquet(staging).write.mode("overwrite")

@@ -13,9 +13,10 @@ from pyspark.sql import functions as F
 
 from squall.functions import classify, geo, payload
 from squall.functions import timeutil as tu
-from squall.operators import filters, ingest
-from squall.plans import datasets, models
+from squall.operators import filters, gaps, ingest, upsert
+from squall.plans import datasets, models, requests
 from squall.plans.portable import to_portable
+from squall.schemas import RAW_INCIDENTS, WEATHER_CACHE
 from squall.sources import adapters
 
 
@@ -173,3 +174,71 @@ def classify_daypart(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Daypart of every staged incident's hour."""
     stg = models.staging(datasets.raw_incidents(spark, sf_dir))
     return stg.select("event_id", "occ_hour", classify.daypart("occ_hour").alias("daypart"))
+
+
+# --- upsert -------------------------------------------------------------------
+
+def upsert_incidents_last_wins(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stored rows (first load) updated by a second batch: last wins, inserted_at kept."""
+    keys, order = ["event_id"], list(ingest.ORDER_COLUMNS)
+    cols = [f.name for f in RAW_INCIDENTS.fields]
+    first = F.col("pos") % 10 != 1
+    first = first & (F.col("pos") % 5 != 3)
+    stored = upsert.merge_last_wins(
+        None, datasets.incident_batch(spark, sf_dir).filter(first), keys, order,
+        ("inserted_at",), cols)
+    update = datasets.incident_batch(spark, sf_dir, adapters.UPDATE_LOAD_TIME).filter(~first)
+    merged = upsert.merge_last_wins(stored, update, keys, order, ("inserted_at",), cols)
+    return to_portable(merged.drop("raw"))
+
+
+def upsert_weather_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weather cache updated by two later documents on (lat, lon, hour_utc)."""
+    w = datasets.weather_cache(spark, sf_dir)
+    day = F.dayofmonth("hour_utc")
+    m = (F.col("lat") * 100).cast("int") + day * 24 + F.hour("hour_utc")
+    stored = w.filter(day % 3 != 0)
+    doc0 = (w.filter(day % 3 != 1)
+             .withColumn("temperature", (F.col("temperature") + 1).cast("float"))
+             .withColumn("doc", F.lit(0)))
+    doc1 = (w.filter(m % 5 == 0)
+             .withColumn("temperature", (F.col("temperature") + 2).cast("float"))
+             .withColumn("doc", F.lit(1)))
+    merged = upsert.merge_last_wins(stored, doc0.unionByName(doc1), ["lat", "lon", "hour_utc"],
+                                    ["doc"], (), [f.name for f in WEATHER_CACHE.fields])
+    return to_portable(merged)
+
+
+# --- gaps and plans -------------------------------------------------------------
+
+def gap_missing_days_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(grid point, UTC day) pairs with incidents but no cached weather."""
+    return to_portable(gaps.missing_days(datasets.raw_incidents(spark, sf_dir),
+                                         datasets.weather_cache(spark, sf_dir)))
+
+
+def gap_missing_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """MIN..MAX missing day range per grid point, ordered by coordinate."""
+    return to_portable(gaps.missing_ranges(datasets.raw_incidents(spark, sf_dir),
+                                           datasets.weather_cache(spark, sf_dir)))
+
+
+def gap_missing_islands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Runs of consecutive missing days per grid point (exact ranges)."""
+    return to_portable(gaps.missing_ranges(datasets.raw_incidents(spark, sf_dir),
+                                           datasets.weather_cache(spark, sf_dir), exact=True))
+
+
+def plan_incident_days(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily requests from the first landed local day to the end of its quarter,
+    with the features already landed per day."""
+    feats = adapters.incident_features(datasets.events(spark, sf_dir))
+    start = feats.agg(F.min("doc_day").alias("start_day"))
+    plan = requests.incident_days(start)
+    return requests.incident_days_with_landed(plan, feats)
+
+
+def plan_weather_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bulk weather requests: one per missing range, with its URL."""
+    return to_portable(requests.weather_plan(datasets.raw_incidents(spark, sf_dir),
+                                             datasets.weather_cache(spark, sf_dir)))
