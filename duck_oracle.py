@@ -369,4 +369,78 @@ def oracles() -> dict[str, str]:
         f"SELECT CAST(lat_r AS DOUBLE) AS lat_r, CAST(lon_r AS DOUBLE) AS lon_r, "
         f"min(day_utc) AS start_date, max(day_utc) AS end_date, count(*) AS missing_days, "
         f"{wurl} AS url FROM missing GROUP BY lat_r, lon_r", gap_ctes)
+    # run log (C4 in SQL)
+    runs = ("SELECT 'run-' || CAST(event_id AS VARCHAR) AS run_id, event_type AS pipeline_name, "
+            "timezone('UTC', ts) AS start_time_tz, ts AS start_time, "
+            "CASE WHEN event_id % 29 = 0 THEN NULL ELSE ts + to_seconds(event_id % 3600) END AS end_time, "
+            "CASE WHEN event_id % 29 = 0 THEN 'running' WHEN event_id % 13 = 0 THEN 'failure' "
+            "ELSE 'success' END AS status, "
+            "CASE WHEN event_id % 29 = 0 THEN NULL ELSE CAST(floor(value) AS INTEGER) END AS row_count, "
+            "CASE WHEN event_id % 7 = 0 THEN 'airflow' ELSE 'manual' END AS triggered_by, "
+            "CASE WHEN event_id % 13 = 0 AND event_id % 29 <> 0 THEN 'error in run ' || "
+            "CAST(event_id AS VARCHAR) END AS error_message, "
+            "CASE WHEN event_id % 29 = 0 THEN NULL ELSE event_id % 3600 END AS duration_s FROM events")
+    q["run_log_summary"] = with_ctes(
+        "SELECT pipeline_name, count(*) AS n_runs, "
+        "count(*) FILTER (WHERE status = 'success') AS n_success, "
+        "count(*) FILTER (WHERE status = 'failure') AS n_failure, "
+        "count(*) FILTER (WHERE status = 'running') AS n_running, "
+        "CAST(sum(CASE WHEN status = 'success' THEN row_count END) AS BIGINT) AS rows_success, "
+        "CAST(sum(duration_s) AS BIGINT) AS total_duration_s, max(duration_s) AS max_duration_s "
+        "FROM runs GROUP BY pipeline_name", [("runs", runs)])
+    q["run_log_latest"] = with_ctes(
+        "SELECT pipeline_name, run_id, start_time, end_time, status, row_count, triggered_by, "
+        "error_message, duration_s FROM (SELECT *, row_number() OVER (PARTITION BY pipeline_name "
+        "ORDER BY start_time DESC, run_id DESC) AS rn FROM runs) WHERE rn = 1", [("runs", runs)])
+    # data quality
+    def chk(model, check, column, failures_sql):
+        return (f"SELECT '{model}' AS model, '{check}' AS \"check\", '{column}' AS \"column\", "
+                f"CAST(f AS BIGINT) AS failures, f = 0 AS passed FROM ({failures_sql})")
+    parts = []
+    for model, table in (("stg_tps_incidents", "stg"), ("int_enriched_incidents", "enriched"),
+                         ("fct_incidents_flat", "mart")):
+        parts.append(chk(model, "not_null", "event_id",
+                         f"SELECT count(*) FILTER (WHERE event_id IS NULL) AS f FROM {table}"))
+        parts.append(chk(model, "unique", "event_id",
+                         f"SELECT count(*) AS f FROM (SELECT event_id FROM {table} GROUP BY event_id "
+                         f"HAVING count(*) > 1)"))
+    parts.append(chk("fct_incidents_flat", "non_empty", "*",
+                     "SELECT CASE WHEN count(*) = 0 THEN 1 ELSE 0 END AS f FROM mart"))
+    parts.append(chk("fct_incidents_flat", "has_column", "event_id", "SELECT 0 AS f"))
+    for c in ("lat", "lon", "hour_utc"):
+        parts.append(chk("weather_cache", "not_null", c,
+                         f"SELECT count(*) FILTER (WHERE {c} IS NULL) AS f FROM weather_src"))
+    parts.append(chk("weather_cache", "unique", "lat,lon,hour_utc",
+                     "SELECT count(*) AS f FROM (SELECT lat, lon, hour_utc FROM weather_src "
+                     "GROUP BY ALL HAVING count(*) > 1)"))
+    parts.append(chk("run_log", "accepted_values", "status",
+                     "SELECT count(*) FILTER (WHERE NOT coalesce(status IN ('running', 'success', "
+                     "'failure'), false)) AS f FROM runs"))
+    q["dq_report"] = with_ctes(" UNION ALL ".join(parts), [("runs", runs)])
+    # export
+    bools = ["is_weekend", "invalid_coord_flag", "injury_collisions", "ftr_collisions",
+             "pd_collisions", "automobile", "motorcycle", "passenger", "bicycle", "pedestrian"]
+    ints = ["occ_year", "hour_of_day", "collision_severity_rank", "fatalities", "weathercode"]
+    cols = []
+    for c in ["event_id", "occ_date_utc", "occ_date_day", "occ_year", "occ_month", "day_of_week",
+              "hour_of_day", "is_weekend", "season", "daypart", "division", "tps_hood_code",
+              "neighbourhood_158", "lat", "lon", "invalid_coord_flag", "collision_severity",
+              "collision_severity_rank", "fatalities", "injury_collisions", "ftr_collisions",
+              "pd_collisions", "automobile", "motorcycle", "passenger", "bicycle", "pedestrian",
+              "temperature", "precipitation", "snowfall", "weathercode", "weather_condition",
+              "windspeed", "cloudcover", "humidity", "inserted_at"]:
+        if c in bools:
+            cols.append(f"CASE WHEN {c} THEN 'True' WHEN NOT {c} THEN 'False' END AS {c}")
+        elif c in ("occ_date_utc", "inserted_at"):
+            cols.append(f"strftime({c}, '%Y-%m-%d %H:%M:%S') || '+00:00' AS {c}")
+        elif c == "occ_date_day":
+            cols.append(f"strftime({c}, '%Y-%m-%d') AS {c}")
+        elif c in ints:
+            cols.append(f"CAST({c} AS VARCHAR) AS {c}")
+        elif c in MART_DOUBLES:
+            cols.append(f"CAST(CAST({c} AS DOUBLE) AS VARCHAR) AS {c}")
+        else:
+            cols.append(c)
+    q["export_mart_rows"] = with_ctes(f"SELECT {', '.join(cols)} FROM mart")
+    q["export_csv_roundtrip"] = q["fct_flat"]
     return q

@@ -13,10 +13,11 @@ from pyspark.sql import functions as F
 
 from squall.functions import classify, geo, payload
 from squall.functions import timeutil as tu
-from squall.operators import filters, gaps, ingest, upsert
+from squall.operators import export, filters, gaps, ingest, quality, runlog, upsert
 from squall.plans import datasets, models, requests
 from squall.plans.portable import to_portable
-from squall.schemas import RAW_INCIDENTS, WEATHER_CACHE
+from squall.schemas import RAW_INCIDENTS, RUN_STATUSES, WEATHER_CACHE
+from squall.session import scratch_path
 from squall.sources import adapters
 
 
@@ -242,3 +243,67 @@ def plan_weather_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bulk weather requests: one per missing range, with its URL."""
     return to_portable(requests.weather_plan(datasets.raw_incidents(spark, sf_dir),
                                              datasets.weather_cache(spark, sf_dir)))
+
+
+# --- run log, quality, export ---------------------------------------------------
+
+def _run_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Start and end records of the runs derived from events (C4)."""
+    runs = adapters.run_log_rows(datasets.events(spark, sf_dir))
+    start = runs.select("run_id", "pipeline_name", "start_time",
+                        F.lit(None).cast("timestamp").alias("end_time"),
+                        F.lit(runlog.DEFAULT_STATUS).alias("status"),
+                        F.lit(None).cast("int").alias("row_count"), "triggered_by",
+                        F.lit(None).cast("string").alias("error_message"),
+                        F.col("start_time").alias("recorded_at"), F.lit(0).alias("seq"))
+    end = (runs.filter(F.col("end_time").isNotNull())
+               .select("run_id", F.lit(None).cast("string").alias("pipeline_name"),
+                       F.lit(None).cast("timestamp").alias("start_time"), "end_time", "status",
+                       "row_count", F.lit(None).cast("string").alias("triggered_by"),
+                       "error_message", F.col("end_time").alias("recorded_at"), F.lit(1).alias("seq")))
+    return start.unionByName(end)
+
+
+def run_log_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run states merged from start/end records, summarised per pipeline."""
+    return runlog.run_summary(runlog.run_state(_run_records(spark, sf_dir)))
+
+
+def run_log_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The latest run of every pipeline."""
+    latest = runlog.latest_runs(runlog.run_state(_run_records(spark, sf_dir)))
+    return to_portable(latest.drop("duration"))
+
+
+def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """not_null / unique / accepted-values / non-empty checks over every model."""
+    raw = datasets.raw_incidents(spark, sf_dir)
+    weather = datasets.weather_cache(spark, sf_dir)
+    stg = models.staging(raw)
+    enriched = models.enrich(stg, weather)
+    mart = models.mart(enriched)
+    state = runlog.run_state(_run_records(spark, sf_dir))
+    checks = []
+    for name, df in (("stg_tps_incidents", stg), ("int_enriched_incidents", enriched),
+                     ("fct_incidents_flat", mart)):
+        checks += [quality.not_null(df, name, "event_id"), quality.unique(df, name, ["event_id"])]
+    checks += [quality.non_empty(mart, "fct_incidents_flat"),
+               quality.has_column(mart, "fct_incidents_flat", "event_id")]
+    checks += [quality.not_null(weather, "weather_cache", c) for c in ("lat", "lon", "hour_utc")]
+    checks += [quality.unique(weather, "weather_cache", ["lat", "lon", "hour_utc"]),
+               quality.accepted_values(state, "run_log", "status", RUN_STATUSES)]
+    return quality.report(checks)
+
+
+def export_mart_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The mart as the text of its CSV export, one row per incident."""
+    mart = models.build_mart(datasets.raw_incidents(spark, sf_dir), datasets.weather_cache(spark, sf_dir))
+    return export.csv_text(mart)
+
+
+def export_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the mart as CSV under the shared scratch folder and read it back."""
+    mart = models.build_mart(datasets.raw_incidents(spark, sf_dir), datasets.weather_cache(spark, sf_dir))
+    path = scratch_path(spark, "export")
+    export.write_csv(mart, path)
+    return to_portable(export.read_csv(spark, path, mart.schema))
