@@ -443,4 +443,17 @@ def oracles() -> dict[str, str]:
             cols.append(c)
     q["export_mart_rows"] = with_ctes(f"SELECT {', '.join(cols)} FROM mart")
     q["export_csv_roundtrip"] = q["fct_flat"]
+    # landed documents
+    feat = ("SELECT doc_day, page, CAST(row_number() OVER (PARTITION BY doc_day, page ORDER BY pos) - 1 "
+            "AS INTEGER) AS pos, event_unique_id, objectid, occ_ms, occ_hour_text AS occ_hour, "
+            "CAST(lat0 AS DOUBLE) AS lat0, CAST(lon0 AS DOUBLE) AS lon0 FROM incidents_src")
+    q["src_incident_documents"] = with_ctes(feat)
+    q["src_partition_pruned_scan"] = with_ctes(
+        f"SELECT * FROM ({feat}) WHERE doc_day BETWEEN DATE '2024-01-08' AND DATE '2024-01-14'")
+    q["src_weather_documents"] = with_ctes(
+        "SELECT CAST(lat AS DOUBLE) AS lat, CAST(lon AS DOUBLE) AS lon, hour_utc, date_utc, "
+        + _d(["temperature", "precipitation", "snowfall"]) + ", weathercode, "
+        + _d(["windspeed", "cloudcover", "humidity"]) + " FROM weather_src WHERE m % 17 <> 0")
+    q["stream_ingest_equals_batch"] = with_ctes(
+        f"SELECT event_id, objectid, occ_utc AS occ_date_utc, {_d(['lat', 'lon'])} FROM raw")
     return q

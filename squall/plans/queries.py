@@ -18,7 +18,8 @@ from squall.plans import datasets, models, requests
 from squall.plans.portable import to_portable
 from squall.schemas import RAW_INCIDENTS, RUN_STATUSES, WEATHER_CACHE
 from squall.session import scratch_path
-from squall.sources import adapters
+from squall.sources import adapters, landed
+from squall.streaming import ingest as stream_ingest
 
 
 def fct_flat(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -307,3 +308,55 @@ def export_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "export")
     export.write_csv(mart, path)
     return to_portable(export.read_csv(spark, path, mart.schema))
+
+
+# --- landed documents and streaming (write to the shared scratch folder first) ---
+
+def _landed_incidents(spark: SparkSession, sf_dir: str) -> str:
+    path = scratch_path(spark, "landed-incidents")
+    landed.land_incident_documents(adapters.incident_features(datasets.events(spark, sf_dir)), path)
+    return path
+
+
+def _feature_columns(features: DataFrame) -> DataFrame:
+    f = F.col("feature")
+    return to_portable(features.select(
+        "doc_day", "page", "pos",
+        payload.attribute(f, "EVENT_UNIQUE_ID").alias("event_unique_id"),
+        payload.attribute(f, "OBJECTID", "int").alias("objectid"),
+        payload.attribute(f, "OCC_DATE", "bigint").alias("occ_ms"),
+        payload.attribute(f, "OCC_HOUR").alias("occ_hour"),
+        payload.attribute(f, "LAT_WGS84", "decimal(9,6)").alias("lat0"),
+        payload.attribute(f, "LONG_WGS84", "decimal(9,6)").alias("lon0")))
+
+
+def src_incident_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land incident pages by local day, read them back and explode the features."""
+    path = _landed_incidents(spark, sf_dir)
+    return _feature_columns(landed.read_incident_documents(spark, path))
+
+
+def src_partition_pruned_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Read one week of landed days; the other days' directories are pruned."""
+    path = _landed_incidents(spark, sf_dir)
+    return _feature_columns(landed.read_incident_documents(spark, path, "2024-01-08", "2024-01-14"))
+
+
+def src_weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land weather documents (some with malformed times), read back and zip to hours."""
+    w = datasets.weather_cache(spark, sf_dir)
+    m = (F.col("lat") * 100).cast("int") + F.dayofmonth("hour_utc") * 24 + F.hour("hour_utc")
+    path = scratch_path(spark, "landed-weather")
+    landed.land_weather_documents(w, path, bad_time=(m % 17 == 0))
+    hours = landed.weather_hours_from_documents(landed.read_weather_documents(spark, path))
+    return to_portable(hours)
+
+
+def stream_ingest_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stream landed day files (one file per micro-batch) into raw_incidents."""
+    path = _landed_incidents(spark, sf_dir)
+    table = scratch_path(spark, "stream-raw")
+    q = stream_ingest.start_incident_stream(spark, path, table, scratch_path(spark, "stream-ckpt"),
+                                            files_per_trigger=8)
+    q.awaitTermination()
+    return to_portable(stream_ingest.read_table(spark, table).drop("raw", "inserted_at"))
