@@ -15,7 +15,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 INSTANT_FORMAT = "yyyy-MM-dd HH:mm:ssxxx"
+INSTANT_FORMAT_MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSSxxx"
 WALLCLOCK_FORMAT = "yyyy-MM-dd HH:mm:ss"
+WALLCLOCK_FORMAT_MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 DAY_FORMAT = "yyyy-MM-dd"
 
 
@@ -28,9 +30,10 @@ def csv_text(df: DataFrame, day_columns: tuple[str, ...] = ("occ_date_day",)) ->
         if isinstance(t, T.BooleanType):
             c = F.when(c, "True").when(~c, "False")
         elif isinstance(t, T.TimestampType):
-            c = F.date_format(c, INSTANT_FORMAT)
+            c = _with_micros(c, INSTANT_FORMAT, INSTANT_FORMAT_MICROS)
         elif isinstance(t, T.TimestampNTZType):
-            c = F.date_format(c, DAY_FORMAT if f.name in day_columns else WALLCLOCK_FORMAT)
+            c = (F.date_format(c, DAY_FORMAT) if f.name in day_columns
+                 else _with_micros(c, WALLCLOCK_FORMAT, WALLCLOCK_FORMAT_MICROS))
         elif isinstance(t, T.DateType):
             c = F.date_format(c, DAY_FORMAT)
         elif isinstance(t, (T.FloatType, T.DecimalType)):
@@ -41,6 +44,12 @@ def csv_text(df: DataFrame, day_columns: tuple[str, ...] = ("occ_date_day",)) ->
     return df.select(*cols)
 
 
+def _with_micros(c, plain: str, micros: str):
+    """Whole seconds as ``plain``; a fraction, when present, as microseconds."""
+    frac = F.unix_micros(c.cast("timestamp")) % 1_000_000
+    return F.when(frac == 0, F.date_format(c, plain)).otherwise(F.date_format(c, micros))
+
+
 def write_csv(df: DataFrame, path: str, single_file: bool = False,
               day_columns: tuple[str, ...] = ("occ_date_day",)) -> None:
     """Header + rows; a directory of part files (one file if ``single_file``)."""
@@ -71,9 +80,11 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
         if isinstance(t, T.BooleanType):
             c = F.when(c == "True", True).when(c == "False", False)
         elif isinstance(t, T.TimestampType):
-            c = F.to_timestamp(c, INSTANT_FORMAT)
+            c = F.coalesce(F.try_to_timestamp(c, F.lit(INSTANT_FORMAT)),
+                           F.try_to_timestamp(c, F.lit(INSTANT_FORMAT_MICROS)))
         elif isinstance(t, T.TimestampNTZType):
-            c = F.to_timestamp_ntz(c, F.lit(DAY_FORMAT if f.name in day_columns else WALLCLOCK_FORMAT))
+            fmts = [DAY_FORMAT] if f.name in day_columns else [WALLCLOCK_FORMAT, WALLCLOCK_FORMAT_MICROS]
+            c = F.coalesce(*[F.try_to_timestamp(c, F.lit(x)).cast("timestamp_ntz") for x in fmts])
         elif isinstance(t, T.DateType):
             c = F.to_date(c, DAY_FORMAT)
         else:
