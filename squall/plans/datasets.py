@@ -18,10 +18,24 @@ from squall.sources import adapters
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value"]
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
+               spread: bool = True) -> DataFrame:
+    """Read a driver table (only ``columns``).
+
+    ``spread``: when the scan has fewer input splits than the cluster has
+    cores (a small file is one split), rows are dealt round-robin over the
+    cores so the per-row payload work runs in parallel. Large inputs already
+    have many splits and are left as they are (no extra shuffle).
+    """
     ensure_utc(spark)
     df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
-    return df.select(*columns) if columns else df
+    if columns:
+        df = df.select(*columns)
+    if spread:
+        cores = spark.sparkContext.defaultParallelism
+        if df.rdd.getNumPartitions() < cores:
+            df = df.repartition(cores)
+    return df
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -29,12 +29,16 @@ DEFAULT_CONF = {
     # sets grow combinatorially during optimisation; the pipeline gains
     # nothing from inferred constraints, so they are off.
     "spark.sql.constraintPropagation.enabled": "false",
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 # Runtime SQL settings every entry point enforces on whatever session it gets.
 RUNTIME_CONF = {
     "spark.sql.session.timeZone": UTC,
     "spark.sql.constraintPropagation.enabled": "false",
+    # A generated method above the JVM's 8000-byte JIT limit runs interpreted;
+    # past this size Spark falls back to per-operator code, which is compiled.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 

@@ -78,10 +78,12 @@ def incident_columns(events: DataFrame) -> DataFrame:
     )
 
 
-def incident_features(events: DataFrame) -> DataFrame:
-    """Incident features as the API returns them: ``(doc_day, page, pos, feature VARIANT)``.
+def incident_pages(events: DataFrame) -> DataFrame:
+    """Incident features grouped into the API's response pages:
+    ``(doc_day, page, features ARRAY<STRUCT<pos, feature VARIANT>>)``.
 
-    ``page`` is the 1000-record request page the feature would arrive in.
+    ``page`` is the 1000-record request page a feature arrives in, so a page
+    (one group of the collect) never holds more than the source's page size.
     """
     src = incident_columns(events)
     attributes = F.struct(
@@ -109,12 +111,21 @@ def incident_features(events: DataFrame) -> DataFrame:
     )
     geometry = F.struct(F.col("lon0").alias("x"), F.col("lat0").alias("y"))
     feature = F.to_variant_object(F.struct(attributes.alias("attributes"), geometry.alias("geometry")))
-    return src.select(
+    rows = src.select(
         "doc_day",
         F.call_function("div", F.col("pos"), F.lit(1000)).cast("int").alias("page"),
         "pos",
         feature.alias("feature"),
     )
+    return rows.groupBy("doc_day", "page").agg(
+        F.collect_list(F.struct("pos", "feature")).alias("features"))
+
+
+def incident_features(events: DataFrame) -> DataFrame:
+    """Features as read out of the pages: ``(doc_day, page, pos, feature VARIANT)``."""
+    pages = incident_pages(events)
+    return (pages.select("doc_day", "page", F.explode("features").alias("f"))
+                 .select("doc_day", "page", "f.pos", "f.feature"))
 
 
 def weather_hours(events: DataFrame) -> DataFrame:
