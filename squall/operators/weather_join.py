@@ -11,6 +11,11 @@ group is split evenly.
 The cache side is never broadcast by force: it grows with coordinates x hours,
 so the choice is left to AQE, which broadcasts only when the measured size is
 under ``spark.sql.autoBroadcastJoinThreshold``.
+
+The UTC day of the hour is joined on as well. It is implied by the hour, so the
+result is the same, but it names the cache's partition column: when the
+incident side is restricted (a date range, one batch), dynamic partition
+pruning skips the cache's other days instead of scanning the whole cache.
 """
 
 from __future__ import annotations
@@ -39,17 +44,19 @@ def join_weather(prep: DataFrame, weather: DataFrame, lat: str = "lat_r", lon: s
          .otherwise(F.col(lat).cast(_KEY_TYPE)).alias("__jk_lat"),
         F.coalesce(F.col(lon).cast(_KEY_TYPE), F.lit(0).cast(_KEY_TYPE)).alias("__jk_lon"),
         F.coalesce(F.col(hour), F.lit(0).cast("timestamp")).alias("__jk_hour"),
+        F.coalesce(F.to_date(F.col(hour)), F.lit("1970-01-01").cast("date")).alias("__jk_day"),
     )
     right = weather.select(
         F.col("lat").cast(_KEY_TYPE).alias("__wk_lat"),
         F.col("lon").cast(_KEY_TYPE).alias("__wk_lon"),
         F.col("hour_utc").alias("__wk_hour"),
+        F.col("date_utc").alias("__wk_day"),
         *WEATHER_VALUES,
     )
     joined = left.join(
         right,
         (left["__jk_lat"] == right["__wk_lat"]) & (left["__jk_lon"] == right["__wk_lon"])
-        & (left["__jk_hour"] == right["__wk_hour"]),
+        & (left["__jk_hour"] == right["__wk_hour"]) & (left["__jk_day"] == right["__wk_day"]),
         "left")
     return joined.select(
         *prep.columns, *WEATHER_VALUES,
