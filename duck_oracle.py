@@ -376,7 +376,7 @@ def oracles() -> dict[str, str]:
             "CASE WHEN event_id % 29 = 0 THEN 'running' WHEN event_id % 13 = 0 THEN 'failure' "
             "ELSE 'success' END AS status, "
             "CASE WHEN event_id % 29 = 0 THEN NULL ELSE CAST(floor(value) AS INTEGER) END AS row_count, "
-            "CASE WHEN event_id % 7 = 0 THEN 'airflow' ELSE 'manual' END AS triggered_by, "
+            "CASE WHEN event_id % 7 = 0 THEN 'scheduled' ELSE 'manual' END AS triggered_by, "
             "CASE WHEN event_id % 13 = 0 AND event_id % 29 <> 0 THEN 'error in run ' || "
             "CAST(event_id AS VARCHAR) END AS error_message, "
             "CASE WHEN event_id % 29 = 0 THEN NULL ELSE event_id % 3600 END AS duration_s FROM events")
@@ -444,8 +444,8 @@ def oracles() -> dict[str, str]:
     q["export_mart_rows"] = with_ctes(f"SELECT {', '.join(cols)} FROM mart")
     q["export_csv_roundtrip"] = q["fct_flat"]
     # landed documents
-    feat = ("SELECT doc_day, page, CAST(row_number() OVER (PARTITION BY doc_day, page ORDER BY pos) - 1 "
-            "AS INTEGER) AS pos, event_unique_id, objectid, occ_ms, occ_hour_text AS occ_hour, "
+    feat = ("SELECT doc_day, page, page * 1000 + CAST(row_number() OVER (PARTITION BY doc_day, page "
+            "ORDER BY pos) - 1 AS INTEGER) AS pos, event_unique_id, objectid, occ_ms, occ_hour_text AS occ_hour, "
             "CAST(lat0 AS DOUBLE) AS lat0, CAST(lon0 AS DOUBLE) AS lon0 FROM incidents_src")
     q["src_incident_documents"] = with_ctes(feat)
     q["src_partition_pruned_scan"] = with_ctes(

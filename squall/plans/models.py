@@ -102,7 +102,7 @@ def build_mart(raw_incidents: DataFrame, weather_cache: DataFrame) -> DataFrame:
 
 
 def materialise(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Full-refresh table (dbt ``materialized='table'``) (K7)."""
+    """Full-refresh table (``materialized=table``) (K7)."""
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -110,7 +110,7 @@ def materialise(df: DataFrame, path: str, partition_by: list[str] | None = None)
 
 
 def as_view(df: DataFrame, name: str) -> DataFrame:
-    """dbt ``materialized='view'``: a lazy temp view (K6)."""
+    """``materialized=view``: a lazy temp view (K6)."""
     df.createOrReplaceTempView(name)
     return df
 

@@ -76,7 +76,7 @@ def export_mart(spark: SparkSession, mart_path: str, out_path: str, run_log_path
                 triggered_by: str = DEFAULT_TRIGGER, single_file: bool = False) -> int:
     """Export the mart to CSV under the run log; returns the row count."""
     ensure_utc(spark)
-    with run_logged(spark, run_log_path, "export_for_tableau", triggered_by) as ctx:
+    with run_logged(spark, run_log_path, "mart_export", triggered_by) as ctx:
         mart = tables.read_model(spark, mart_path)
         export.write_csv(mart, out_path, single_file=single_file)
         ctx["row_count"] = mart.count()

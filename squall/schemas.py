@@ -65,7 +65,7 @@ WEATHER_HOURLY = T.StructType(
 WEATHER_DOCUMENT = T.StructType([T.StructField("hourly", WEATHER_HOURLY, True)])
 
 # Landed incident page: ``features`` array of {attributes, geometry} objects.
-INCIDENT_DOCUMENT_DDL = "page INT, features ARRAY<VARIANT>"
+INCIDENT_DOCUMENT_DDL = "page INT, chunk INT, features ARRAY<VARIANT>"
 
 STAGING_COLUMNS = [
     "event_id", "objectid", "event_unique_id", "occ_date_epoch", "occ_date",

@@ -181,7 +181,7 @@ def run_log_rows(events: DataFrame) -> DataFrame:
         F.when(end.isNull(), "running").when(eid % 13 == 0, "failure")
          .otherwise("success").alias("status"),
         F.floor("value").cast("int").alias("row_count"),
-        F.when(eid % 7 == 0, "airflow").otherwise("manual").alias("triggered_by"),
+        F.when(eid % 7 == 0, "scheduled").otherwise("manual").alias("triggered_by"),
         F.when((eid % 13 == 0) & end.isNotNull(), F.concat(F.lit("error in run "), eid.cast("string")))
          .alias("error_message"),
     )

@@ -21,22 +21,27 @@ from squall.functions import timeutil as tu
 from squall.schemas import INCIDENT_DOCUMENT_DDL, LAT_LON_CACHE, WEATHER_DOCUMENT, WEATHER_VARIABLES
 
 WEATHER_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm"
+DOC_SIZE = 1000
 
 
 # --- incidents -------------------------------------------------------------------
 
 def land_incident_documents(features: DataFrame, path: str) -> None:
-    """Write features ``(doc_day, page, pos, feature)`` as one document per
-    (local day, request page), replacing only the days written (K1).
-
-    A page holds at most the source's page size, so the per-document collect
-    is bounded; ordering inside a page is restored with ``array_sort`` on the
-    position.
+    """Write features ``(doc_day, page, pos, feature)`` as documents of at
+    most ``DOC_SIZE`` features, one group per (local day, page, pos / DOC_SIZE),
+    replacing only the days written (K1).
+
+    Every collect is bounded by ``DOC_SIZE`` whatever the input, and a hot day
+    spreads over many groups. Order inside a document is restored with
+    ``array_sort`` on the position; the reader rebuilds the position as
+    ``chunk * DOC_SIZE + index``, which keeps the order of the input.
     """
     items = F.struct(F.col("pos"), F.to_json("feature").alias("js"))
-    docs = (features.groupBy("doc_day", "page")
+    chunk = F.call_function("div", F.col("pos"), F.lit(DOC_SIZE)).cast("int")
+    docs = (features.groupBy("doc_day", "page", chunk.alias("chunk"))
             .agg(F.array_sort(F.collect_list(items)).alias("items")))
-    text = F.concat(F.lit('{"page":'), F.col("page").cast("string"), F.lit(',"features":['),
+    text = F.concat(F.lit('{"page":'), F.col("page").cast("string"),
+                    F.lit(',"chunk":'), F.col("chunk").cast("string"), F.lit(',"features":['),
                     F.array_join(F.transform("items", lambda x: x["js"]), ","), F.lit("]}"))
     (docs.select(text.alias("value"),
                  F.date_format("doc_day", "yyyy").alias("year"),
@@ -63,10 +68,15 @@ def read_incident_documents(spark: SparkSession, path: str, start_day: str | Non
 
 
 def documents_to_features(raw: DataFrame, day) -> DataFrame:
+    """Documents -> features in source order: ``pos`` is the position in the
+    page (``chunk * DOC_SIZE + index`` for documents split by the writer)."""
     doc = F.from_json("value", INCIDENT_DOCUMENT_DDL)
     parsed = raw.select(day.alias("doc_day"), doc.alias("doc")).filter(F.col("doc.features").isNotNull())
-    return parsed.select("doc_day", F.coalesce(F.col("doc.page"), F.lit(0)).alias("page"),
-                         F.posexplode("doc.features").alias("pos", "feature"))
+    exploded = parsed.select("doc_day", F.coalesce(F.col("doc.page"), F.lit(0)).alias("page"),
+                             F.coalesce(F.col("doc.chunk"), F.lit(0)).alias("chunk"),
+                             F.posexplode("doc.features").alias("idx", "feature"))
+    return exploded.select("doc_day", "page",
+                           (F.col("chunk") * DOC_SIZE + F.col("idx")).alias("pos"), "feature")
 
 
 # --- weather ---------------------------------------------------------------------

@@ -29,5 +29,5 @@ def test_ingest_backfill_models_export(spark, scratch):
     n = runs.export_mart(spark, paths["fct_incidents_flat"], os.path.join(scratch, "csv"), log)
     assert n == 3
     state = tables.read_run_log(spark, log).collect()
-    assert sorted(r.pipeline_name for r in state) == ["export_for_tableau", "tps_ingest", "weather_cache"]
+    assert sorted(r.pipeline_name for r in state) == ["mart_export", "tps_ingest", "weather_cache"]
     assert all(r.status == "success" for r in state)
