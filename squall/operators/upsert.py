@@ -104,34 +104,60 @@ def create_if_absent(spark: SparkSession, path: str, schema: T.StructType,
 
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, schema: T.StructType,
                  keys: list[str], order: list[str], partition_by: list[str],
-                 preserve: tuple[str, ...] = (), order_in_target: bool = False) -> DataFrame:
+                 preserve: tuple[str, ...] = (), order_in_target: bool = False,
+                 partition_follows_key: bool = True) -> DataFrame:
     """Upsert ``batch`` into the Parquet table at ``path``; returns the batch's counts.
 
-    ``partition_by`` must be a function of the key (a date of the key's hour,
-    or a key bucket), so that every version of a key lives in one partition.
+    Only touched partitions are read and rewritten:
+
+    - ``partition_follows_key=True``: the partition value is a function of the
+      key (the weather cache's ``date_utc`` of ``hour_utc``), so the batch's own
+      partition values are all that is touched.
+    - ``partition_follows_key=False``: the partition value comes from the row
+      (the incidents' occurrence month, which an update can change). The
+      partitions the batch's keys live in now are found with a narrow scan of
+      the key and partition columns only, semi-joined to the batch's keys; a
+      partition whose last rows moved out is removed.
     """
+    if len(partition_by) != 1:
+        raise ValueError("one partition column is supported")
+    p = partition_by[0]
     create_if_absent(spark, path, schema, partition_by)
     columns = [f.name for f in schema.fields]
-    # The touched partitions: a small set of values, checked before use.
-    touched = batch.select(*partition_by).distinct()
-    n_touched = touched.count()
-    if n_touched > MAX_TOUCHED_PARTITIONS:
-        raise ValueError(f"batch touches {n_touched} partitions (> {MAX_TOUCHED_PARTITIONS})")
-    target = spark.read.schema(schema).parquet(path)
-    if len(partition_by) == 1:
-        # A literal IN list on the partition column prunes at planning time.
-        p = partition_by[0]
-        values = [r[p] for r in touched.collect()]
-        keep = F.col(p).isin([v for v in values if v is not None])
-        if None in values:
-            keep = keep | F.col(p).isNull()
-        target = target.filter(keep)
-    else:
-        target = target.join(F.broadcast(touched), partition_by, "left_semi")
-    merged = merge_last_wins(target, batch, keys, order, preserve, columns, order_in_target)
+    stored = spark.read.schema(schema).parquet(path)
+    touched = batch.select(p)
+    if not partition_follows_key:
+        batch_keys = batch.select(*keys).distinct()
+        located = stored.select(*keys, p).join(batch_keys, keys, "left_semi").select(p)
+        touched = touched.unionByName(located)
+    # The touched partition values: a bounded set, checked before use.
+    values = [r[0] for r in touched.distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
+    if len(values) > MAX_TOUCHED_PARTITIONS:
+        raise ValueError(f"batch touches more than {MAX_TOUCHED_PARTITIONS} partitions")
+    # A literal IN list on the partition column prunes directories at planning time.
+    keep = F.col(p).isin([v for v in values if v is not None])
+    if None in values:
+        keep = keep | F.col(p).isNull()
+    merged = merge_last_wins(stored.filter(keep), batch, keys, order, preserve, columns,
+                             order_in_target)
     staging = f"{ensure_checkpoint_dir(spark).rstrip('/')}/upsert-staging-{uuid.uuid4().hex}"
-    merged.write.mode("overwrite").partitionBy(*partition_by).parquet(staging)
-    (spark.read.schema(schema).parquet(staging).write.mode("overwrite")
-     .option("partitionOverwriteMode", "dynamic").partitionBy(*partition_by).parquet(path))
+    merged.write.mode("overwrite").partitionBy(p).parquet(staging)
+    staged = spark.read.schema(schema).parquet(staging)
+    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy(p).parquet(path)
+    if not partition_follows_key:
+        written = {r[0] for r in staged.select(p).distinct().collect()}
+        for v in set(values) - written:
+            _delete_partition(spark, path, p, v)
     return batch.agg(F.count(F.lit(1)).alias("rows_upserted"),
                      F.count_distinct(*[F.col(k) for k in keys]).alias("distinct_keys"))
+
+
+def _delete_partition(spark: SparkSession, path: str, column: str, value) -> None:
+    """Remove one partition directory (all its rows moved to other partitions)."""
+    name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={name}")
+    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    if fs.exists(hpath):
+        fs.delete(hpath, True)

@@ -2,9 +2,10 @@
 
 Layout at scale:
 
-- ``raw_incidents``: Parquet partitioned by ``key_bucket`` (hash of
-  ``event_id``), so an upsert rewrites only the buckets its keys fall in; the
-  source order columns are kept for order-insensitive replays.
+- ``raw_incidents``: Parquet partitioned by occurrence month; an upsert
+  rewrites only the months its rows go to or its keys are found in (located
+  by a narrow scan of the key and partition columns); the source order columns
+  are kept for order-insensitive replays.
 - ``weather_cache``: Parquet partitioned by ``date_utc``; an upsert rewrites
   only the days it touches, and day filters prune directories.
 - ``run_log``: append-only records (see ``operators.runlog``).
@@ -20,12 +21,12 @@ from squall.schemas import RAW_INCIDENTS, WEATHER_CACHE
 from squall.session import ensure_utc
 from squall.streaming.ingest import STREAM_TABLE
 
-RAW_PARTITIONING = ["key_bucket"]
+RAW_PARTITIONING = ["occ_month"]
 WEATHER_PARTITIONING = ["date_utc"]
 
 
 def read_raw_incidents(spark: SparkSession, path: str) -> DataFrame:
-    """``raw_incidents`` as declared (order and bucket columns hidden)."""
+    """``raw_incidents`` as declared (order and partition columns hidden)."""
     ensure_utc(spark)
     return spark.read.schema(STREAM_TABLE).parquet(path).select(*[f.name for f in RAW_INCIDENTS.fields])
 

@@ -6,8 +6,9 @@ normalised with the batch code and upserted into the ``raw_incidents`` table
 The table stores each row's source order (landing day, page, position), and
 versions compete by that order, so replays after a failure and files that
 arrive out of order leave the same table as a single in-order batch load.
-The table is partitioned by a hash bucket of the key: a micro-batch rewrites
-only the buckets its keys fall in.
+The table is partitioned by occurrence month (``occ_month``, ``yyyy-MM``,
+NULL when undated): a micro-batch rewrites only the months its rows go to and
+the months its keys are found in now (a narrow key/partition scan).
 """
 
 from __future__ import annotations
@@ -18,18 +19,17 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from squall.operators.ingest import ORDER_COLUMNS, normalise_incidents
-from squall.operators.upsert import key_bucket, upsert_table
+from squall.operators.upsert import upsert_table
 from squall.schemas import RAW_INCIDENTS
 from squall.sources.landed import documents_to_features
 
-KEY_BUCKETS = 64
-
 STREAM_TABLE = T.StructType(list(RAW_INCIDENTS.fields) + [
     T.StructField("doc_day", T.DateType(), True),
     T.StructField("page", T.IntegerType(), True),
     T.StructField("pos", T.IntegerType(), True),
-    T.StructField("key_bucket", T.IntegerType(), True),
+    T.StructField("occ_month", T.StringType(), True),
 ])
+PARTITIONING = ["occ_month"]
 
 LANDED_TEXT = T.StructType([
     T.StructField("value", T.StringType(), True),
@@ -40,26 +40,26 @@ LANDED_TEXT = T.StructType([
 
 
 def upsert_batch(spark: SparkSession, table_path: str, features: DataFrame,
-                 n_buckets: int = KEY_BUCKETS, lenient: bool = False) -> DataFrame:
+                 lenient: bool = False) -> DataFrame:
     """Normalise one batch of features and upsert it into the table."""
-    rows = normalise_incidents(features, lenient=lenient).withColumn(
-        "key_bucket", key_bucket(["event_id"], n_buckets))
-    rows = rows.withColumn("pos", F.col("pos").cast("int"))
+    rows = normalise_incidents(features, lenient=lenient).withColumns({
+        "occ_month": F.date_format("occ_date_utc", "yyyy-MM"),
+        "pos": F.col("pos").cast("int")})
     return upsert_table(spark, table_path, rows, STREAM_TABLE, ["event_id"], list(ORDER_COLUMNS),
-                        ["key_bucket"], preserve=("inserted_at",), order_in_target=True)
+                        PARTITIONING, preserve=("inserted_at",), order_in_target=True,
+                        partition_follows_key=False)
 
 
 def start_incident_stream(spark: SparkSession, landed_path: str, table_path: str,
                           checkpoint_path: str, files_per_trigger: int = 1,
-                          available_now: bool = True, n_buckets: int = KEY_BUCKETS,
-                          lenient: bool = False) -> StreamingQuery:
+                          available_now: bool = True, lenient: bool = False) -> StreamingQuery:
     """Start the stream; with ``available_now`` it drains what has landed and stops."""
     lines = (spark.readStream.schema(LANDED_TEXT)
              .option("maxFilesPerTrigger", files_per_trigger).text(landed_path))
     features = documents_to_features(lines, F.make_date("year", "month", "day"))
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
-        upsert_batch(batch.sparkSession, table_path, batch, n_buckets, lenient)
+        upsert_batch(batch.sparkSession, table_path, batch, lenient)
 
     writer = (features.writeStream.foreachBatch(each_batch)
               .option("checkpointLocation", checkpoint_path))
@@ -68,6 +68,6 @@ def start_incident_stream(spark: SparkSession, landed_path: str, table_path: str
 
 
 def read_table(spark: SparkSession, table_path: str) -> DataFrame:
-    """The stream's target as ``raw_incidents`` (order and bucket columns dropped)."""
+    """The stream's target as ``raw_incidents`` (order and partition columns dropped)."""
     return spark.read.schema(STREAM_TABLE).parquet(table_path).select(
         *[f.name for f in RAW_INCIDENTS.fields])

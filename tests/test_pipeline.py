@@ -82,22 +82,31 @@ def test_upsert_table_idempotent_and_incremental(spark, scratch):
     land_json(root, "year=2024/month=01/day=01", incident_fixture())
     table = os.path.join(scratch, "raw")
     feats = landed.read_incident_documents(spark, root)
-    batch = ingest.normalise_incidents(feats).withColumn(
-        "key_bucket", upsert.key_bucket(["event_id"], 4)).withColumn("pos", F.col("pos").cast("int"))
-    schema = stream_ingest.STREAM_TABLE
     for _ in range(2):  # replaying the same batch changes nothing
-        upsert.upsert_table(spark, table, batch, schema, ["event_id"], list(ingest.ORDER_COLUMNS),
-                            ["key_bucket"], ("inserted_at",), order_in_target=True)
-    t = spark.read.schema(schema).parquet(table)
+        stream_ingest.upsert_batch(spark, table, feats)
+    t = spark.read.schema(stream_ingest.STREAM_TABLE).parquet(table)
     assert t.count() == 3
     first_inserted = {r.event_id: r.inserted_at for r in t.collect()}
-    later = batch.filter("event_id = 'GO-2'").withColumn("objectid", F.lit(42)) \
-        .withColumn("doc_day", F.lit("2024-01-05").cast("date"))
-    upsert.upsert_table(spark, table, later, schema, ["event_id"], list(ingest.ORDER_COLUMNS),
-                        ["key_bucket"], ("inserted_at",), order_in_target=True)
-    t = {r.event_id: r for r in spark.read.schema(schema).parquet(table).collect()}
-    assert len(t) == 3 and t["GO-2"].objectid == 42
+    assert os.path.isdir(os.path.join(table, "occ_month=2024-01"))
+    # GO-2 is re-delivered on a later landing day with a March date: it moves
+    # from the January partition to March; January keeps GO-1 and GO-3.
+    moved = {"features": [dict(incident_fixture()["features"][1])]}
+    moved["features"][0]["attributes"] = dict(moved["features"][0]["attributes"],
+                                              OCC_DATE=1709269200000, OBJECTID=42)
+    root2 = land_json(os.path.join(scratch, "landed2"), "year=2024/month=03/day=01", moved)
+    stream_ingest.upsert_batch(spark, table, landed.read_incident_documents(spark, root2))
+    t = {r.event_id: r for r in spark.read.schema(stream_ingest.STREAM_TABLE).parquet(table).collect()}
+    assert len(t) == 3 and t["GO-2"].objectid == 42 and t["GO-2"].occ_month == "2024-03"
     assert t["GO-2"].inserted_at == first_inserted["GO-2"]
+    assert {t["GO-1"].occ_month, t["GO-3"].occ_month} == {"2024-01"}
+    # all of January's rows move: the January partition is removed
+    all_moved = {"features": [dict(f, attributes=dict(f["attributes"], OCC_DATE=1709269200000))
+                              for f in incident_fixture()["features"]]}
+    root3 = land_json(os.path.join(scratch, "landed3"), "year=2024/month=03/day=02", all_moved)
+    stream_ingest.upsert_batch(spark, table, landed.read_incident_documents(spark, root3))
+    t = spark.read.schema(stream_ingest.STREAM_TABLE).parquet(table)
+    assert t.count() == 3 and {r.occ_month for r in t.collect()} == {"2024-03"}
+    assert not os.path.exists(os.path.join(table, "occ_month=2024-01"))
 
 
 def test_weather_document_rows_and_upsert(spark, scratch):
