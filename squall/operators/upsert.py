@@ -87,10 +87,21 @@ def key_bucket(keys: list[str], n_buckets: int) -> Column:
     return F.pmod(F.xxhash64(*[F.col(k) for k in keys]), F.lit(n_buckets)).cast("int")
 
 
-def table_exists(spark: SparkSession, path: str) -> bool:
+def _fs_path(spark: SparkSession, path: str):
     jvm = spark.sparkContext._jvm
     hpath = jvm.org.apache.hadoop.fs.Path(path)
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    try:
+        fs, hpath = _fs_path(spark, path)
+    except Exception:  # noqa: BLE001 - remote session: probe by reading the footer
+        try:
+            spark.read.parquet(path).schema
+            return True
+        except Exception:  # noqa: BLE001
+            return False
     return fs.exists(hpath)
 
 
@@ -156,8 +167,6 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, schema: T.Str
 def _delete_partition(spark: SparkSession, path: str, column: str, value) -> None:
     """Remove one partition directory (all its rows moved to other partitions)."""
     name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{column}={name}")
-    fs = hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    fs, hpath = _fs_path(spark, f"{path.rstrip('/')}/{column}={name}")
     if fs.exists(hpath):
         fs.delete(hpath, True)

@@ -32,8 +32,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     if columns:
         df = df.select(*columns)
     if spread:
-        cores = spark.sparkContext.defaultParallelism
-        if df.rdd.getNumPartitions() < cores:
+        try:
+            cores = spark.sparkContext.defaultParallelism
+            splits = df.rdd.getNumPartitions()
+        except Exception:  # noqa: BLE001 - no RDD view on a remote session: leave as is
+            return df
+        if splits < cores:
             df = df.repartition(cores)
     return df
 
