@@ -349,7 +349,7 @@ def src_weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "landed-weather")
     landed.land_weather_documents(w, path, bad_time=(m % 17 == 0))
     hours = landed.weather_hours_from_documents(landed.read_weather_documents(spark, path))
-    return to_portable(hours)
+    return to_portable(hours.drop("doc_path", "idx"))
 
 
 def stream_ingest_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -12,7 +12,6 @@ job. A failure is logged with its message and re-raised (D7).
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from squall.operators import export
 from squall.operators.runlog import DEFAULT_TRIGGER, run_logged
@@ -47,12 +46,13 @@ def plan_weather(spark: SparkSession, raw_path: str, weather_path: str, exact: b
 
 def backfill_weather(spark: SparkSession, landed_path: str, weather_path: str, run_log_path: str,
                      triggered_by: str = DEFAULT_TRIGGER) -> DataFrame:
-    """Upsert all landed weather documents into the cache (one order: path, then hour)."""
+    """Upsert all landed weather documents into the cache; where two documents
+    hold the same hour, the later path wins, then the later array entry."""
     ensure_utc(spark)
     with run_logged(spark, run_log_path, "weather_cache", triggered_by) as ctx:
         hours = landed.weather_hours_from_documents(landed.read_weather_documents(spark, landed_path))
-        counts = upsert_table(spark, weather_path, hours.withColumn("doc", F.lit(0)), WEATHER_CACHE,
-                              ["lat", "lon", "hour_utc"], ["doc"], tables.WEATHER_PARTITIONING).first()
+        counts = upsert_table(spark, weather_path, hours, WEATHER_CACHE, ["lat", "lon", "hour_utc"],
+                              ["doc_path", "idx"], tables.WEATHER_PARTITIONING).first()
         ctx["row_count"] = counts["rows_upserted"]
     return spark.createDataFrame([counts])
 

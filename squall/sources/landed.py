@@ -110,14 +110,17 @@ def read_weather_documents(spark: SparkSession, path: str) -> DataFrame:
     schema = T.StructType(list(WEATHER_DOCUMENT.fields) + [
         T.StructField("lat", T.StringType(), True), T.StructField("lon", T.StringType(), True)])
     docs = spark.read.schema(schema).json(path)
-    return docs.filter(F.col("hourly").isNotNull()).select("lat", "lon", "hourly")
+    return docs.filter(F.col("hourly").isNotNull()).select(
+        "lat", "lon", "hourly", F.col("_metadata.file_path").alias("doc_path"))
 
 
 def weather_hours_from_documents(docs: DataFrame) -> DataFrame:
     """Zip the parallel hourly arrays into cache rows.
 
     Arrays of unequal length fail the job (the reference's index lookup raises);
-    a malformed time drops only its row.
+    a malformed time drops only its row. When the documents carry their path,
+    ``doc_path`` and the array index ``idx`` are kept as the upsert order (a
+    later document, then a later entry, wins).
     """
     keys = list(WEATHER_VARIABLES)
     sizes = [F.size(F.col(f"hourly.{k}")) for k in keys]
@@ -128,11 +131,15 @@ def weather_hours_from_documents(docs: DataFrame) -> DataFrame:
     checked = docs.withColumn(
         "hourly", F.when(same, F.col("hourly")).otherwise(
             F.raise_error(F.lit("weather arrays differ in length")).cast(docs.schema["hourly"].dataType)))
+    order = [c for c in ("doc_path",) if c in docs.columns]
     rows = checked.select(
+        *order,
         geo.grid_round(F.col("lat")).cast(LAT_LON_CACHE).alias("lat"),
         geo.grid_round(F.col("lon")).cast(LAT_LON_CACHE).alias("lon"),
-        F.inline(F.arrays_zip(*[F.col(f"hourly.{k}").alias(k) for k in ["time"] + keys])))
-    rows = rows.withColumn("hour_utc", F.try_to_timestamp("time")).filter(F.col("hour_utc").isNotNull())
+        F.posexplode(F.arrays_zip(*[F.col(f"hourly.{k}").alias(k) for k in ["time"] + keys]))
+         .alias("idx", "z"))
+    rows = rows.withColumn("hour_utc", F.try_to_timestamp("z.time")).filter(F.col("hour_utc").isNotNull())
     return rows.select(
         "lat", "lon", "hour_utc", tu.utc_date("hour_utc").alias("date_utc"),
-        *[F.col(k).cast(t).alias(col) for k, (col, t) in WEATHER_VARIABLES.items()])
+        *[F.col(f"z.{k}").cast(t).alias(col) for k, (col, t) in WEATHER_VARIABLES.items()],
+        *order, *(["idx"] if order else []))
