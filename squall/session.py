@@ -30,6 +30,9 @@ DEFAULT_CONF = {
     # nothing from inferred constraints, so they are off.
     "spark.sql.constraintPropagation.enabled": "false",
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # Call-site capture on every Column operation (a debugging aid) roughly
+    # doubles the Python-side cost of building wide plans. Static: session start only.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
 # Runtime SQL settings every entry point enforces on whatever session it gets.
@@ -48,6 +51,9 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
     builder = SparkSession.builder.master(master).appName(app_name)
     conf = dict(DEFAULT_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
+    # Small local inputs: stop AQE from merging CPU-heavy (JSON payload) stages
+    # below the core count; cluster-sized partitions are far above this floor.
+    conf["spark.sql.adaptive.coalescePartitions.minPartitionSize"] = "256k"
     conf["spark.driver.memory"] = "8g"
     conf.update(extra or {})
     for k, v in conf.items():
