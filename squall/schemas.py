@@ -6,7 +6,6 @@ from pyspark.sql import types as T
 
 LAT_LON_RAW = T.DecimalType(9, 6)      # NUMERIC(9,6) of raw_incidents
 LAT_LON_CACHE = T.DecimalType(8, 5)    # NUMERIC(8,5) of weather_cache
-GEOMETRY = T.DecimalType(38, 12)       # unconstrained numeric of the staging model
 
 RAW_INCIDENTS = T.StructType([
     T.StructField("event_id", T.StringType(), False),

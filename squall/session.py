@@ -8,7 +8,6 @@ for the rest).
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -99,12 +98,3 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh directory under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/squall-{name}-{uuid.uuid4().hex[:12]}"
-
-
-def local_path(path: str) -> str:
-    """Strip a ``file:`` scheme for the few local-only helpers in tests."""
-    return path[5:] if path.startswith("file:") else path
-
-
-def is_local_fs(path: str) -> bool:
-    return path.startswith("/") or path.startswith("file:") or os.path.isabs(path)
