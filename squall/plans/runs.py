@@ -25,11 +25,19 @@ from squall.streaming.ingest import upsert_batch
 
 def ingest_incidents(spark: SparkSession, landed_path: str, raw_path: str, run_log_path: str,
                      start_day: str | None = None, end_day: str | None = None,
-                     triggered_by: str = DEFAULT_TRIGGER, lenient: bool = False) -> DataFrame:
+                     triggered_by: str = DEFAULT_TRIGGER, lenient: bool = False,
+                     incremental: bool = False) -> DataFrame:
     """Upsert every landed day in ``[start_day, end_day]`` (all days if unset).
+
+    ``incremental=True`` without ``start_day`` resumes at the local day after the
+    stored high-water mark (the project baseline when the table is empty), as
+    the reference's fetcher does; only that one date reaches the driver.
     Returns the batch counts (rows upserted incl. in-batch repeats, distinct keys)."""
     ensure_utc(spark)
     with run_logged(spark, run_log_path, "tps_ingest", triggered_by) as ctx:
+        if incremental and start_day is None:
+            stored = tables.read_raw_incidents(spark, raw_path) if table_exists(spark, raw_path) else None
+            start_day = requests.resolve_start(spark, None, stored).first()["start_day"].isoformat()
         feats = landed.read_incident_documents(spark, landed_path, start_day, end_day)
         counts = upsert_batch(spark, raw_path, feats, lenient=lenient).first()
         ctx["row_count"] = counts["rows_upserted"]

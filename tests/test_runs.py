@@ -31,3 +31,15 @@ def test_ingest_backfill_models_export(spark, scratch):
     state = tables.read_run_log(spark, log).collect()
     assert sorted(r.pipeline_name for r in state) == ["mart_export", "tps_ingest", "weather_cache"]
     assert all(r.status == "success" for r in state)
+
+
+def test_incremental_ingest_resumes_after_high_water_mark(spark, scratch):
+    root = os.path.join(scratch, "landed")
+    land_json(root, "year=2024/month=01/day=01", incident_fixture())
+    raw, log = os.path.join(scratch, "raw"), os.path.join(scratch, "run_log")
+    assert runs.ingest_incidents(spark, root, raw, log, incremental=True).first().rows_upserted == 3
+    # day 1 is at or before the high-water mark (2024-01-01 22:00 UTC = 17:00 local): skipped
+    land_json(root, "year=2024/month=01/day=02", incident_fixture(), "more.json")
+    again = runs.ingest_incidents(spark, root, raw, log, incremental=True).first()
+    assert again.rows_upserted == 3  # only the new day's three features
+    assert tables.read_raw_incidents(spark, raw).count() == 3
