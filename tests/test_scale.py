@@ -96,3 +96,28 @@ def test_normalise_reads_payload_once_per_field(spark, scratch):
     plan = b._jdf.queryExecution().optimizedPlan().toString()
     # OCC_DATE is read once into a column; the time rule works on that column
     assert plan.count("$.attributes.OCC_DATE") == 1
+
+
+def test_weather_join_prunes_cache_days_dynamically(spark, scratch):
+    rows = [(43.61, -79.56, datetime(2024, 1, d, h), datetime(2024, 1, d).date(), 1.0, 0.0, 0.0, 1, 1.0, 1.0, 1.0)
+            for d in range(1, 29) for h in range(24)]
+    w = spark.createDataFrame(rows, "lat double, lon double, hour_utc timestamp, date_utc date, "
+                              "temperature double, precipitation double, snowfall double, weathercode int, "
+                              "windspeed double, cloudcover double, humidity double")
+    w.select(*[F.col(f.name).cast(f.dataType) for f in WEATHER_CACHE.fields]) \
+        .write.partitionBy("date_utc").parquet(os.path.join(scratch, "wc"))
+    spark.range(1000).select(
+        F.concat(F.lit("GO-"), F.col("id").cast("string")).alias("event_id"),
+        F.lit("43.61").cast("decimal(6,2)").alias("lat_r"), F.lit("-79.56").cast("decimal(6,2)").alias("lon_r"),
+        (F.lit(datetime(2024, 1, 5, 3)).cast("timestamp")
+         + F.make_dt_interval(F.lit(0), (F.col("id") % 24).cast("int"))).alias("occ_date_utc")) \
+        .write.parquet(os.path.join(scratch, "inc"))
+    inc = spark.read.parquet(os.path.join(scratch, "inc")).filter(
+        F.col("occ_date_utc") < F.lit("2024-01-06").cast("timestamp"))
+    wc = spark.read.schema(WEATHER_CACHE).parquet(os.path.join(scratch, "wc"))
+    j = join_weather(inc, wc)
+    j.write.format("noop").mode("overwrite").save()
+    plan = j._jdf.queryExecution().executedPlan().toString()
+    scan = [ln for ln in plan.split("\n") if "FileScan" in ln and "hour_utc" in ln][0]
+    assert "dynamicpruningexpression(date_utc" in scan
+    assert j.filter(F.col("temperature").isNotNull()).count() == sum(1 for i in range(1000) if i % 24 <= 20)
