@@ -114,3 +114,14 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
     df.createOrReplaceTempView(name)
     return df
 
+
+# The model names SQL users query.
+VIEW_NAMES = ("stg_tps_incidents", "int_enriched_incidents", "fct_incidents_flat")
+
+
+def register_views(raw_incidents: DataFrame, weather_cache: DataFrame) -> None:
+    """Register the three models as temp views for ``spark.sql`` (one lazy plan each)."""
+    stg = as_view(staging(raw_incidents), VIEW_NAMES[0])
+    enriched = as_view(enrich(stg, weather_cache), VIEW_NAMES[1])
+    as_view(mart(enriched), VIEW_NAMES[2])
+

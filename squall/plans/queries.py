@@ -357,6 +357,6 @@ def stream_ingest_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = _landed_incidents(spark, sf_dir)
     table = scratch_path(spark, "stream-raw")
     q = stream_ingest.start_incident_stream(spark, path, table, scratch_path(spark, "stream-ckpt"),
-                                            files_per_trigger=8)
+                                            files_per_trigger=10)
     q.awaitTermination()
     return to_portable(stream_ingest.read_table(spark, table).drop("raw", "inserted_at"))

@@ -43,3 +43,19 @@ def test_incremental_ingest_resumes_after_high_water_mark(spark, scratch):
     again = runs.ingest_incidents(spark, root, raw, log, incremental=True).first()
     assert again.rows_upserted == 3  # only the new day's three features
     assert tables.read_raw_incidents(spark, raw).count() == 3
+
+
+def test_models_as_sql_views(spark, scratch):
+    from squall.operators import ingest, upsert
+    from squall.plans import models
+    from squall.schemas import RAW_INCIDENTS, WEATHER_CACHE
+    from squall.sources import landed
+    root = land_json(os.path.join(scratch, "landed"), "year=2024/month=01/day=01", incident_fixture())
+    raw = upsert.merge_last_wins(None, ingest.normalise_incidents(landed.read_incident_documents(spark, root)),
+                                 ["event_id"], list(ingest.ORDER_COLUMNS), ("inserted_at",),
+                                 [f.name for f in RAW_INCIDENTS.fields])
+    models.register_views(raw, spark.createDataFrame([], WEATHER_CACHE))
+    got = spark.sql("SELECT daypart, count(*) AS n FROM fct_incidents_flat GROUP BY daypart "
+                    "ORDER BY daypart").collect()
+    assert [(r.daypart, r.n) for r in got] == [("Afternoon", 2), ("Morning", 1)]
+    assert spark.sql("SELECT count(*) AS n FROM stg_tps_incidents WHERE pd_collisions").first().n == 3
