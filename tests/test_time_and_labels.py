@@ -133,3 +133,27 @@ def test_weather_url(spark):
     assert v.startswith(urls.WEATHER_BASE_URL + "?latitude=43.6&longitude=-79.56&start_date=2024-01-01"
                         "&end_date=2024-01-02&hourly=temperature_2m,")
     assert v.endswith("&timezone=UTC")
+
+
+def _standard_time_model(local):
+    """Local wall clock -> UTC: the unique offset, or standard time when the wall
+    clock is repeated or skipped (the rule the reference's localize applies)."""
+    from datetime import timezone
+    from zoneinfo import ZoneInfo
+    tz = ZoneInfo(tu.LOCAL_TZ)
+    a = local.replace(tzinfo=tz, fold=0)
+    b = local.replace(tzinfo=tz, fold=1)
+    if a.utcoffset() == b.utcoffset():
+        return a.astimezone(timezone.utc).replace(tzinfo=None)
+    standard = min(a.utcoffset(), b.utcoffset())  # west of UTC: standard is the smaller offset
+    return local - standard
+
+
+def test_every_local_hour_of_two_years_matches_standard_time_rule(spark):
+    days = spark.sql("SELECT explode(sequence(DATE'2023-01-01', DATE'2024-12-31')) AS d")
+    hours = days.select("d", F.explode(F.sequence(F.lit(0), F.lit(23))).alias("h"))
+    got = hours.select("d", "h", tu.local_date_hour_to_utc("d", "h").alias("u")).collect()
+    assert len(got) == 731 * 24
+    bad = [(r.d, r.h, r.u) for r in got
+           if r.u != _standard_time_model(datetime(r.d.year, r.d.month, r.d.day, r.h))]
+    assert not bad, bad[:5]
