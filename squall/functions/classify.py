@@ -10,6 +10,15 @@ def _c(x) -> Column:
     return F.col(x) if isinstance(x, str) else x
 
 
+def first_match(cases, otherwise) -> Column:
+    """``CASE WHEN c1 THEN v1 WHEN c2 THEN v2 ... ELSE otherwise END``; a NULL
+    condition is not true, so it falls through to the next case."""
+    expr = None
+    for cond, value in cases:
+        expr = F.when(cond, value) if expr is None else expr.when(cond, value)
+    return expr.otherwise(otherwise)
+
+
 def yes_no(x) -> Column:
     """Exact, case-sensitive 'YES' -> true, 'NO' -> false, else NULL."""
     x = _c(x)
@@ -33,18 +42,14 @@ def _severity_conditions(fatalities, injury, ftr, pd) -> list[Column]:
 
 def collision_severity(fatalities, injury, ftr, pd) -> Column:
     """Severity label, worst first."""
-    expr = F
-    for cond, (label, _) in zip(_severity_conditions(fatalities, injury, ftr, pd), SEVERITY_LEVELS):
-        expr = expr.when(cond, label)
-    return expr.otherwise(SEVERITY_ELSE[0])
+    conds = _severity_conditions(fatalities, injury, ftr, pd)
+    return first_match([(c, label) for c, (label, _) in zip(conds, SEVERITY_LEVELS)], SEVERITY_ELSE[0])
 
 
 def collision_severity_rank(fatalities, injury, ftr, pd) -> Column:
     """Rank 1 (worst) .. 5 (least) for sorting (O3)."""
-    expr = F
-    for cond, (_, rank) in zip(_severity_conditions(fatalities, injury, ftr, pd), SEVERITY_LEVELS):
-        expr = expr.when(cond, rank)
-    return expr.otherwise(SEVERITY_ELSE[1])
+    conds = _severity_conditions(fatalities, injury, ftr, pd)
+    return first_match([(c, rank) for c, (_, rank) in zip(conds, SEVERITY_LEVELS)], SEVERITY_ELSE[1])
 
 
 # Weather-code buckets (WMO codes) and the fallback label.
@@ -64,10 +69,7 @@ WEATHER_ELSE = "Other"
 def weather_condition(code) -> Column:
     """Bucket a weather code; unknown or NULL codes are 'Other' (X12, Q10)."""
     code = _c(code)
-    expr = F
-    for label, codes in WEATHER_BUCKETS:
-        expr = expr.when(code.isin(*codes), label)
-    return expr.otherwise(WEATHER_ELSE)
+    return first_match([(code.isin(*codes), label) for label, codes in WEATHER_BUCKETS], WEATHER_ELSE)
 
 
 # Daypart by hour, inclusive bounds; anything else is 'Evening'.
@@ -82,7 +84,4 @@ DAYPART_ELSE = "Evening"
 def daypart(hour) -> Column:
     """Time-of-day bucket; NULL or out-of-range hours are 'Evening' (X13, Q11)."""
     hour = _c(hour)
-    expr = F
-    for label, lo, hi in DAYPARTS:
-        expr = expr.when(hour.between(lo, hi), label)
-    return expr.otherwise(DAYPART_ELSE)
+    return first_match([(hour.between(lo, hi), label) for label, lo, hi in DAYPARTS], DAYPART_ELSE)

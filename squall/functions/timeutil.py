@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from squall.functions.classify import first_match
+
 # Fixed values (must equal the reference's): the local zone of the incident
 # source, and the first local day ingest falls back to when nothing is stored.
 LOCAL_TZ = "America/Toronto"
@@ -131,11 +133,7 @@ SEASON_ELSE = "Fall"
 def season(ts) -> Column:
     """Season from the calendar month (X11)."""
     m = F.month(_c(ts))
-    expr = None
-    for name, months in SEASON_MONTHS:
-        cond = m.isin(*months)
-        expr = F.when(cond, name) if expr is None else expr.when(cond, name)
-    return expr.otherwise(SEASON_ELSE)
+    return first_match([(m.isin(*months), name) for name, months in SEASON_MONTHS], SEASON_ELSE)
 
 
 def next_local_day(max_instant, tz: str = LOCAL_TZ) -> Column:
