@@ -104,12 +104,13 @@ def land_weather_documents(hours: DataFrame, path: str, bad_time=None) -> None:
      .write.mode("overwrite").partitionBy("lat", "lon").text(path))
 
 
-def read_weather_documents(spark: SparkSession, path: str) -> DataFrame:
+def read_weather_documents(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
     """Landed weather documents -> ``(lat, lon, hourly)`` with the requested grid
-    point from the path (S2, F5)."""
+    point from the path (S2, F5). One document per line by default (splittable);
+    ``multiline=True`` for pretty-printed files (one task per file)."""
     schema = T.StructType(list(WEATHER_DOCUMENT.fields) + [
         T.StructField("lat", T.StringType(), True), T.StructField("lon", T.StringType(), True)])
-    docs = spark.read.schema(schema).json(path)
+    docs = spark.read.schema(schema).option("multiLine", multiline).json(path)
     return docs.filter(F.col("hourly").isNotNull()).select(
         "lat", "lon", "hourly", F.col("_metadata.file_path").alias("doc_path"))
 

@@ -128,6 +128,22 @@ def test_weather_document_rows_and_upsert(spark, scratch):
     assert "weather_condition" in cond.columns
 
 
+def test_pretty_printed_documents(spark, scratch):
+    import json
+    d = os.path.join(scratch, "wx", "lat=43.61", "lon=-79.56")
+    os.makedirs(d)
+    with open(os.path.join(d, "w.json"), "w") as f:
+        json.dump(weather_fixture(), f, indent=2)
+    docs = landed.read_weather_documents(spark, os.path.join(scratch, "wx"), multiline=True)
+    assert landed.weather_hours_from_documents(docs).count() == 24
+    d = os.path.join(scratch, "inc", "year=2024", "month=01", "day=01")
+    os.makedirs(d)
+    with open(os.path.join(d, "incidents.json"), "w") as f:
+        json.dump(incident_fixture(), f, indent=2)
+    feats = landed.read_incident_documents(spark, os.path.join(scratch, "inc"), wholetext=True)
+    assert ingest.normalise_incidents(feats).count() == 3
+
+
 def test_weather_unequal_arrays_fail_malformed_time_dropped(spark, scratch):
     bad = weather_fixture()
     bad["hourly"]["temperature_2m"] = bad["hourly"]["temperature_2m"][:23]
