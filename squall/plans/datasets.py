@@ -28,13 +28,17 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     have many splits and are left as they are (no extra shuffle).
     """
     ensure_utc(spark)
-    df = spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
     if columns:
         df = df.select(*columns)
     if spread:
         try:
             cores = spark.sparkContext.defaultParallelism
-            splits = df.rdd.getNumPartitions()
+            key = (path, tuple(columns or ()), cores)
+            if key not in _SPLITS:  # a sizing hint only; a stale value cannot change results
+                _SPLITS[key] = df.rdd.getNumPartitions()
+            splits = _SPLITS[key]
         except Exception:  # noqa: BLE001 - no RDD view on a remote session: leave as is
             return df
         if splits < cores:
@@ -42,6 +46,9 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     return df
 
 
+_SPLITS: dict[tuple, int] = {}
+
+
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, sf_dir, "events", EVENT_COLUMNS)
 
