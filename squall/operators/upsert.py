@@ -29,6 +29,10 @@ _ORD = "__ord"
 # Upper bound on the number of partition values an upsert may touch before it
 # is refused: the touched set is a partition filter, not data.
 MAX_TOUCHED_PARTITIONS = 100_000
+# A batch with at most this many distinct keys locates them with an IN-list
+# pushed into the Parquet scan (row groups pruned by min/max, since partitions
+# are written sorted by key); larger batches use a semi join.
+MAX_PUSHED_KEYS = 10_000
 
 
 def merge_last_wins(target: DataFrame | None, batch: DataFrame, keys: list[str],
@@ -133,9 +137,7 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, schema: T.Str
     stored = spark.read.schema(schema).parquet(path)
     touched = batch.select(p)
     if not partition_follows_key:
-        batch_keys = batch.select(*keys).distinct()
-        located = stored.select(*keys, p).join(batch_keys, keys, "left_semi").select(p)
-        touched = touched.unionByName(located)
+        touched = touched.unionByName(_locate(stored, batch, keys, p))
     # The touched partition values: a bounded set, checked before use.
     values = [r[0] for r in touched.distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
     if len(values) > MAX_TOUCHED_PARTITIONS:
@@ -147,7 +149,8 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, schema: T.Str
     merged = merge_last_wins(stored.filter(keep), batch, keys, order, preserve, columns,
                              order_in_target)
     staging = f"{ensure_checkpoint_dir(spark).rstrip('/')}/upsert-staging-{uuid.uuid4().hex}"
-    merged.write.mode("overwrite").partitionBy(p).parquet(staging)
+    # Sorted by key inside each file: tight min/max statistics for key lookups.
+    merged.sortWithinPartitions(*keys).write.mode("overwrite").partitionBy(p).parquet(staging)
     staged = spark.read.schema(schema).parquet(staging)
     staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
         .partitionBy(p).parquet(path)
@@ -159,6 +162,17 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, schema: T.Str
                      F.count_distinct(*[F.col(k) for k in keys]).alias("distinct_keys"))
 
 
+def _locate(stored: DataFrame, batch: DataFrame, keys: list[str], p: str) -> DataFrame:
+    """Partition values where the batch's keys are stored now (a narrow scan)."""
+    batch_keys = batch.select(*keys).distinct()
+    if len(keys) == 1:
+        few = [r[0] for r in batch_keys.limit(MAX_PUSHED_KEYS + 1).collect()]
+        if len(few) <= MAX_PUSHED_KEYS:
+            present = [k for k in few if k is not None]
+            return stored.filter(F.col(keys[0]).isin(present)).select(p)
+    return stored.select(*keys, p).join(batch_keys, keys, "left_semi").select(p)
+
+
 def _delete_partition(spark: SparkSession, path: str, column: str, value) -> None:
     """Remove one partition directory (all its rows moved to other partitions)."""
     name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)

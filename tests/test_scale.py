@@ -121,3 +121,16 @@ def test_weather_join_prunes_cache_days_dynamically(spark, scratch):
     scan = [ln for ln in plan.split("\n") if "FileScan" in ln and "hour_utc" in ln][0]
     assert "dynamicpruningexpression(date_utc" in scan
     assert j.filter(F.col("temperature").isNotNull()).count() == sum(1 for i in range(1000) if i % 24 <= 20)
+
+
+def test_small_batch_key_lookup_is_pushed_to_the_scan(spark, scratch):
+    from squall.operators.upsert import _locate
+    from squall.streaming.ingest import STREAM_TABLE
+    stored = spark.createDataFrame([], STREAM_TABLE)
+    batch = spark.createDataFrame([("GO-1",), ("GO-2",)], "event_id string")
+    path = os.path.join(scratch, "t")
+    stored.write.partitionBy("occ_month").parquet(path)
+    q = _locate(spark.read.schema(STREAM_TABLE).parquet(path), batch, ["event_id"], "occ_month")
+    plan = q._jdf.queryExecution().executedPlan().toString()
+    pushed = plan.split("PushedFilters: [", 1)[1]
+    assert pushed.startswith("In(event_id, [GO-1,GO-2])")
