@@ -101,8 +101,12 @@ def build_mart(raw_incidents: DataFrame, weather_cache: DataFrame) -> DataFrame:
     return mart(enrich(staging(raw_incidents), weather_cache))
 
 
-def materialise(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Full-refresh table (``materialized=table``) (K7)."""
+def materialise(df: DataFrame, path: str, partition_by: list[str] | None = None,
+                sort_by: list[str] | None = None) -> None:
+    """Full-refresh table (``materialized=table``) (K7). ``sort_by`` orders rows
+    inside each file so min/max statistics prune range filters on those columns."""
+    if sort_by:
+        df = df.sortWithinPartitions(*sort_by)
     w = df.write.mode("overwrite")
     if partition_by:
         w = w.partitionBy(*partition_by)

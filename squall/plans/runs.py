@@ -74,9 +74,10 @@ def build_models(spark: SparkSession, raw_path: str, weather_path: str, out_dir:
     stg = models.as_view(models.staging(raw), "stg_tps_incidents")
     paths = {"int_enriched_incidents": f"{out_dir.rstrip('/')}/int_enriched_incidents",
              "fct_incidents_flat": f"{out_dir.rstrip('/')}/fct_incidents_flat"}
-    models.materialise(models.enrich(stg, weather), paths["int_enriched_incidents"])
+    models.materialise(models.enrich(stg, weather), paths["int_enriched_incidents"],
+                       sort_by=["occ_date_utc"])
     enriched = tables.read_model(spark, paths["int_enriched_incidents"])
-    models.materialise(models.mart(enriched), paths["fct_incidents_flat"])
+    models.materialise(models.mart(enriched), paths["fct_incidents_flat"], sort_by=["occ_date_utc"])
     return paths
 
 
