@@ -31,6 +31,26 @@ def unique(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
     return _row(dup, model, "unique", ",".join(columns), F.count(F.lit(1)))
 
 
+def key_checks(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
+    """``not_null`` and ``unique`` of a key from one grouped aggregate (two report rows).
+
+    Rows are counted per key (map-side partial counts, one shuffle); NULL keys
+    form their own groups, so both checks read the same small per-key table.
+    """
+    null_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
+    per_key = df.groupBy(*columns).count().select(null_key.alias("null_key"), "count")
+    totals = per_key.agg(
+        F.coalesce(F.sum(F.when(F.col("null_key"), F.col("count"))), F.lit(0)).cast("bigint").alias("n"),
+        F.count_if(~F.col("null_key") & (F.col("count") > 1)).cast("bigint").alias("d"))
+    col = ",".join(columns)
+    rows = F.array(
+        F.struct(F.lit("not_null").alias("check"), F.col("n").alias("failures")),
+        F.struct(F.lit("unique").alias("check"), F.col("d").alias("failures")))
+    return totals.select(F.inline(rows)).select(
+        F.lit(model).alias("model"), "check", F.lit(col).alias("column"), "failures",
+        (F.col("failures") == 0).alias("passed"))
+
+
 def accepted_values(df: DataFrame, model: str, column: str, values) -> DataFrame:
     """``CHECK col IN (...)``: rows with any other value, NULL included."""
     bad = ~F.coalesce(F.col(column).isin(*values), F.lit(False))

@@ -287,7 +287,7 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     checks = []
     for name, df in (("stg_tps_incidents", stg), ("int_enriched_incidents", enriched),
                      ("fct_incidents_flat", mart)):
-        checks += [quality.not_null(df, name, "event_id"), quality.unique(df, name, ["event_id"])]
+        checks.append(quality.key_checks(df, name, ["event_id"]))
     checks += [quality.non_empty(mart, "fct_incidents_flat"),
                quality.has_column(mart, "fct_incidents_flat", "event_id")]
     checks += [quality.not_null(weather, "weather_cache", c) for c in ("lat", "lon", "hour_utc")]

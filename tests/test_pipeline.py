@@ -245,3 +245,11 @@ def test_stream_equals_batch_with_overlapping_days(spark, scratch):
         list(ingest.ORDER_COLUMNS), ("inserted_at",), _raw_schema_cols()).collect()}
     assert streamed == batch
     assert len(streamed) == 4 and streamed["GO-2"] == datetime(2024, 1, 2, 1)
+
+
+def test_key_checks_count_nulls_and_duplicate_keys(spark):
+    df = spark.createDataFrame([("a",), ("a",), ("b",), (None,), (None,), ("c",), ("c",), ("c",)], "k string")
+    got = {r.check: (r.failures, r.passed) for r in quality.key_checks(df, "m", ["k"]).collect()}
+    assert got == {"not_null": (2, False), "unique": (2, False)}
+    ok = {r.check: r.passed for r in quality.key_checks(df.filter("k = 'b'"), "m", ["k"]).collect()}
+    assert ok == {"not_null": True, "unique": True}
