@@ -15,6 +15,7 @@ from squall.functions import timeutil as tu
 from squall.operators.weather_join import join_weather
 from squall.schemas import MART_COLUMNS, STAGING_COLUMNS
 
+# Staging column -> payload attribute holding YES/NO text.
 YES_NO_FIELDS = {
     "injury_collisions": "INJURY_COLLISIONS",
     "ftr_collisions": "FTR_COLLISIONS",

@@ -42,9 +42,10 @@ RUN_LOG = T.StructType([
     T.StructField("error_message", T.StringType(), True),
 ])
 
+# Allowed run states.
 RUN_STATUSES = ("running", "success", "failure")
 
-# Weather document: parallel hourly arrays, aligned by index.
+# Fixed values. Weather document: parallel hourly arrays, aligned by index.
 WEATHER_VARIABLES = {
     # payload key -> (cache column, cache type)
     "temperature_2m": ("temperature", T.FloatType()),
@@ -66,6 +67,7 @@ WEATHER_DOCUMENT = T.StructType([T.StructField("hourly", WEATHER_HOURLY, True)])
 # Landed incident page: ``features`` array of {attributes, geometry} objects.
 INCIDENT_DOCUMENT_DDL = "page INT, chunk INT, features ARRAY<VARIANT>"
 
+# Column names and order of the three models (the published data model).
 STAGING_COLUMNS = [
     "event_id", "objectid", "event_unique_id", "occ_date_epoch", "occ_date",
     "occ_month", "occ_dow", "occ_year", "occ_hour", "division", "hood_158",
@@ -87,7 +89,7 @@ WEATHER_ATTACHED = [
 
 ENRICHED_COLUMNS = STAGING_COLUMNS + ENRICH_DERIVED + WEATHER_ATTACHED
 
-# Mart: (source column in the enriched model, published name), in order.
+# Fixed values. Mart: (source column in the enriched model, published name), in order.
 MART_COLUMNS = [
     ("event_id", "event_id"),
     ("occ_date_utc", "occ_date_utc"),
