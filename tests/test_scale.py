@@ -150,3 +150,21 @@ def test_stored_payload_is_shredded_and_staging_reads_only_needed_fields(spark,
     schema = plan.split("ReadSchema: ", 1)[1].split("\n", 1)[0]
     # variant_get is pushed into the scan: three typed sub-fields, not the whole payload
     assert "raw:struct<0:string,1:string,2:int>" in schema, schema
+
+
+def test_hot_day_lands_in_bounded_documents_and_reads_back_in_order(spark, scratch):
+    n = 3000
+    feats = spark.range(n).select(
+        F.lit("2024-01-01").cast("date").alias("doc_day"), F.lit(0).alias("page"),
+        F.col("id").alias("pos"),
+        F.to_variant_object(F.struct(F.struct(
+            F.concat(F.lit("GO-"), F.col("id").cast("string")).alias("EVENT_UNIQUE_ID"),
+            F.col("id").cast("int").alias("OBJECTID")).alias("attributes"))).alias("feature"))
+    path = os.path.join(scratch, "hot")
+    landed.land_incident_documents(feats, path)
+    sizes = spark.read.text(path).select(
+        F.size(F.from_json("value", "features ARRAY<VARIANT>").getField("features")).alias("n")).collect()
+    assert max(r.n for r in sizes) <= 1000 and sum(r.n for r in sizes) == n
+    back = landed.read_incident_documents(spark, path).select(
+        "pos", F.variant_get("feature", "$.attributes.OBJECTID", "int").alias("oid")).collect()
+    assert sorted((r.pos, r.oid) for r in back) == [(i, i) for i in range(n)]
