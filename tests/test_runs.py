@@ -59,3 +59,11 @@ def test_models_as_sql_views(spark, scratch):
                     "ORDER BY daypart").collect()
     assert [(r.daypart, r.n) for r in got] == [("Afternoon", 2), ("Morning", 1)]
     assert spark.sql("SELECT count(*) AS n FROM stg_tps_incidents WHERE pd_collisions").first().n == 3
+
+
+def test_jobs_on_files_equal_the_in_memory_mart(spark):
+    from tools.end_to_end import run
+    out = run(spark, "/root/testdata/sf0.001")
+    assert out["mart_differences"] == 0
+    assert out["mart_rows"] == out["exported"] > 0
+    assert out["runs"] == {"success": 3}
