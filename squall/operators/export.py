@@ -13,6 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from squall.session import ensure_utc
 
 INSTANT_FORMAT = "yyyy-MM-dd HH:mm:ssxxx"
 INSTANT_FORMAT_MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSSxxx"
@@ -23,6 +24,7 @@ DAY_FORMAT = "yyyy-MM-dd"
 
 def csv_text(df: DataFrame, day_columns: tuple[str, ...] = ("occ_date_day",)) -> DataFrame:
     """Every column rendered as the text written to the file (NULL stays NULL)."""
+    ensure_utc(df.sparkSession)
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")

@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from squall.functions import geo
 from squall.functions import timeutil as tu
+from squall.session import ensure_utc
 
 
 def coordinate_days(raw_incidents: DataFrame) -> DataFrame:
@@ -22,6 +23,7 @@ def coordinate_days(raw_incidents: DataFrame) -> DataFrame:
     Incidents without a date are left out: they can never be covered and would
     make a NULL range (Q16).
     """
+    ensure_utc(raw_incidents.sparkSession)
     return (raw_incidents
             .filter(geo.usable_coordinate("lat", "lon") & F.col("occ_date_utc").isNotNull())
             .select(geo.grid_round("lat").alias("lat_r"),
@@ -32,6 +34,7 @@ def coordinate_days(raw_incidents: DataFrame) -> DataFrame:
 
 def covered_days(weather_cache: DataFrame) -> DataFrame:
     """Distinct (lat, lon, date_utc) present in the cache."""
+    ensure_utc(weather_cache.sparkSession)
     return weather_cache.select("lat", "lon", "date_utc").distinct()
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from squall.functions import geo, payload
 from squall.functions import timeutil as tu
 from squall.schemas import LAT_LON_RAW
+from squall.session import ensure_utc
 
 ORDER_COLUMNS = ("doc_day", "page", "pos")
 
@@ -28,6 +29,7 @@ def normalise_incidents(features: DataFrame, inserted_at=None, lenient: bool = F
     ``inserted_at`` defaults to the job's current time. The payload is read
     once into plain columns; later steps work on those.
     """
+    ensure_utc(features.sparkSession)
     f = F.col(feature_col)
     ins = F.current_timestamp() if inserted_at is None else (
         F.lit(inserted_at).cast("timestamp") if isinstance(inserted_at, str) else inserted_at)
@@ -57,6 +59,7 @@ def ingest_counts(features: DataFrame, feature_col: str = "feature") -> DataFram
     One partial+final hash aggregate; nothing is logged per row. A day with
     at least ``SOURCE_PAGE_LIMIT`` records may have been cut by the source.
     """
+    ensure_utc(features.sparkSession)
     f = F.col(feature_col)
     eid = payload.attribute(f, "EVENT_UNIQUE_ID", "string", lenient=True)
     has_id = F.coalesce(eid, F.lit("")) != ""
@@ -76,6 +79,7 @@ def ingest_counts(features: DataFrame, feature_col: str = "feature") -> DataFram
 
 def high_water_mark(raw_incidents: DataFrame, tz: str = tu.LOCAL_TZ) -> DataFrame:
     """``MAX(occ_date_utc)`` and the local day ingest would resume from."""
+    ensure_utc(raw_incidents.sparkSession)
     return (raw_incidents
             .agg(F.max("occ_date_utc").alias("max_occ_date_utc"),
                  F.count(F.lit(1)).alias("n_rows"))

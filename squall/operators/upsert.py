@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from squall.session import ensure_checkpoint_dir
+from squall.session import ensure_utc, ensure_checkpoint_dir
 
 _SRC = "__src"
 _ORD = "__ord"
@@ -129,6 +129,7 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, schema: T.Str
       the key and partition columns only, semi-joined to the batch's keys; a
       partition whose last rows moved out is removed.
     """
+    ensure_utc(batch.sparkSession)
     if len(partition_by) != 1:
         raise ValueError("one partition column is supported")
     p = partition_by[0]

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from squall.functions import classify
+from squall.session import ensure_utc
 
 WEATHER_VALUES = ["temperature", "precipitation", "snowfall", "weathercode",
                   "windspeed", "cloudcover", "humidity"]
@@ -36,6 +37,7 @@ def join_weather(prep: DataFrame, weather: DataFrame, lat: str = "lat_r", lon: s
                  null_salt: int = 1024) -> DataFrame:
     """``prep`` + 7 weather columns + ``weather_condition``; one output row per
     matching cache row (the cache key is unique), all ``prep`` rows kept."""
+    ensure_utc(prep.sparkSession)
     any_null = F.col(lat).isNull() | F.col(lon).isNull() | F.col(hour).isNull()
     salt = F.pmod(F.xxhash64(F.col(salt_by)), F.lit(null_salt))
     left = prep.select(

@@ -14,6 +14,7 @@ from squall.functions import classify, geo, payload
 from squall.functions import timeutil as tu
 from squall.operators.weather_join import join_weather
 from squall.schemas import MART_COLUMNS, STAGING_COLUMNS
+from squall.session import ensure_utc
 
 # Staging column -> payload attribute holding YES/NO text.
 YES_NO_FIELDS = {
@@ -30,6 +31,7 @@ YES_NO_FIELDS = {
 
 def staging(raw_incidents: DataFrame, lenient: bool = False) -> DataFrame:
     """``raw_incidents`` -> 29 typed columns read out of the payload."""
+    ensure_utc(raw_incidents.sparkSession)
     raw = F.col("raw")
 
     def a(key, type_="string"):
@@ -66,6 +68,7 @@ def staging(raw_incidents: DataFrame, lenient: bool = False) -> DataFrame:
 
 def prepare(stg: DataFrame) -> DataFrame:
     """Staging + rounded coordinates, validity, severity, calendar fields."""
+    ensure_utc(stg.sparkSession)
     sev_args = ("fatalities", "injury_collisions", "ftr_collisions", "pd_collisions")
     return stg.withColumns({
         "lat_r": geo.grid_round("lat"),

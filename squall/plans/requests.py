@@ -16,6 +16,7 @@ from squall.functions import timeutil as tu
 from squall.functions import urls
 from squall.operators import gaps
 from squall.operators.ingest import SOURCE_PAGE_LIMIT
+from squall.session import ensure_utc
 
 
 def resolve_start(spark: SparkSession, start: str | None = None,
@@ -35,6 +36,7 @@ def incident_days(start: DataFrame, end: str | None = None) -> DataFrame:
     """Local days ``start_day .. end`` inclusive, one row each, with the request
     URL (G3, X20, X21, X29). Without ``end`` the plan runs to the end of the
     start's quarter. ``end`` before start fails (F2)."""
+    ensure_utc(start.sparkSession)
     if end is not None:
         _dt.date.fromisoformat(end)
         end_col = F.lit(end).cast("date")

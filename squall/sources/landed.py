@@ -19,6 +19,7 @@ from pyspark.sql import types as T
 from squall.functions import geo
 from squall.functions import timeutil as tu
 from squall.schemas import INCIDENT_DOCUMENT_DDL, LAT_LON_CACHE, WEATHER_DOCUMENT, WEATHER_VARIABLES
+from squall.session import ensure_utc
 
 WEATHER_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm"
 DOC_SIZE = 1000
@@ -36,6 +37,7 @@ def land_incident_documents(features: DataFrame, path: str) -> None:
     ``array_sort`` on the position; the reader rebuilds the position as
     ``chunk * DOC_SIZE + index``, which keeps the order of the input.
     """
+    ensure_utc(features.sparkSession)
     items = F.struct(F.col("pos"), F.to_json("feature").alias("js"))
     chunk = F.call_function("div", F.col("pos"), F.lit(DOC_SIZE)).cast("int")
     docs = (features.groupBy("doc_day", "page", chunk.alias("chunk"))
@@ -58,6 +60,7 @@ def read_incident_documents(spark: SparkSession, path: str, start_day: str | Non
     ``start_day`` / ``end_day`` (inclusive local days) prune the
     ``year/month/day`` directories before any file is opened.
     """
+    ensure_utc(spark)
     raw = spark.read.text(path, wholetext=wholetext)
     day = F.make_date("year", "month", "day")
     if start_day is not None:
@@ -88,6 +91,7 @@ def land_weather_documents(hours: DataFrame, path: str, bad_time=None) -> None:
     ``bad_time`` (a boolean Column) replaces the time text of matching rows
     with a malformed value, to exercise the reader's row-dropping rule.
     """
+    ensure_utc(hours.sparkSession)
     t = F.date_format("hour_utc", WEATHER_TIME_FORMAT)
     if bad_time is not None:
         t = F.when(bad_time, F.lit("not-a-time")).otherwise(t)
@@ -108,6 +112,7 @@ def read_weather_documents(spark: SparkSession, path: str, multiline: bool = Fal
     """Landed weather documents -> ``(lat, lon, hourly)`` with the requested grid
     point from the path (S2, F5). One document per line by default (splittable);
     ``multiline=True`` for pretty-printed files (one task per file)."""
+    ensure_utc(spark)  # document times are UTC wall clocks
     schema = T.StructType(list(WEATHER_DOCUMENT.fields) + [
         T.StructField("lat", T.StringType(), True), T.StructField("lon", T.StringType(), True)])
     docs = spark.read.schema(schema).option("multiLine", multiline).json(path)

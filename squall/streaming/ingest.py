@@ -21,6 +21,7 @@ from pyspark.sql.streaming import StreamingQuery
 from squall.operators.ingest import ORDER_COLUMNS, normalise_incidents
 from squall.operators.upsert import upsert_table
 from squall.schemas import RAW_INCIDENTS
+from squall.session import ensure_utc
 from squall.sources.landed import documents_to_features
 
 STREAM_TABLE = T.StructType(list(RAW_INCIDENTS.fields) + [
@@ -42,6 +43,7 @@ LANDED_TEXT = T.StructType([
 def upsert_batch(spark: SparkSession, table_path: str, features: DataFrame,
                  lenient: bool = False) -> DataFrame:
     """Normalise one batch of features and upsert it into the table."""
+    ensure_utc(spark)
     rows = normalise_incidents(features, lenient=lenient).withColumns({
         "occ_month": F.date_format("occ_date_utc", "yyyy-MM"),
         "pos": F.col("pos").cast("int")})
@@ -54,6 +56,7 @@ def start_incident_stream(spark: SparkSession, landed_path: str, table_path: str
                           checkpoint_path: str, files_per_trigger: int = 1,
                           available_now: bool = True, lenient: bool = False) -> StreamingQuery:
     """Start the stream; with ``available_now`` it drains what has landed and stops."""
+    ensure_utc(spark)
     lines = (spark.readStream.schema(LANDED_TEXT)
              .option("maxFilesPerTrigger", files_per_trigger).text(landed_path))
     features = documents_to_features(lines, F.make_date("year", "month", "day"))
