@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from squall.operators.ingest import ORDER_COLUMNS, normalise_incidents
 from squall.operators.upsert import merge_last_wins
-from squall.schemas import RAW_INCIDENTS
+from squall.schemas import DRIVER_TABLES, RAW_INCIDENTS
 from squall.session import ensure_utc
 from squall.sources import adapters
 
@@ -29,7 +29,8 @@ def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] |
     """
     ensure_utc(spark)
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    df = spark.read.parquet(path)
+    schema = DRIVER_TABLES.get(name)
+    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
     if columns:
         df = df.select(*columns)
     if spread:

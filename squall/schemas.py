@@ -7,6 +7,27 @@ from pyspark.sql import types as T
 LAT_LON_RAW = T.DecimalType(9, 6)      # NUMERIC(9,6) of raw_incidents
 LAT_LON_CACHE = T.DecimalType(8, 5)    # NUMERIC(8,5) of weather_cache
 
+# Driver tables read by the registered queries (declared, never inferred).
+EVENTS = T.StructType([
+    T.StructField("event_id", T.LongType(), True),
+    T.StructField("ts", T.TimestampNTZType(), True),
+    T.StructField("user_id", T.LongType(), True),
+    T.StructField("event_type", T.StringType(), True),
+    T.StructField("value", T.DoubleType(), True),
+    T.StructField("props", T.StringType(), True),
+])
+
+ORDERS = T.StructType([
+    T.StructField("o_orderkey", T.LongType(), True),
+    T.StructField("o_custkey", T.LongType(), True),
+    T.StructField("o_orderstatus", T.StringType(), True),
+    T.StructField("o_totalprice", T.DoubleType(), True),
+    T.StructField("o_orderdate", T.TimestampNTZType(), True),
+    T.StructField("o_orderpriority", T.StringType(), True),
+])
+
+DRIVER_TABLES = {"events": EVENTS, "orders": ORDERS}
+
 RAW_INCIDENTS = T.StructType([
     T.StructField("event_id", T.StringType(), False),
     T.StructField("objectid", T.IntegerType(), True),
