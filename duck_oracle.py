@@ -46,9 +46,22 @@ def yes_no_case(c: str) -> str:
     return f"CASE {c} WHEN 'YES' THEN true WHEN 'NO' THEN false END"
 
 
+_SEASON_BY_MONTH = ("['Winter', 'Winter', 'Spring', 'Spring', 'Spring', 'Summer', 'Summer', "
+                    "'Summer', 'Fall', 'Fall', 'Fall', 'Winter']")
+
+
 def season_case(c: str) -> str:
-    return (f"CASE WHEN month({c}) IN (12, 1, 2) THEN 'Winter' WHEN month({c}) IN (3, 4, 5) "
-            f"THEN 'Spring' WHEN month({c}) IN (6, 7, 8) THEN 'Summer' ELSE 'Fall' END")
+    """Season by indexing a 12-entry list with the month (NULL month -> 'Fall')."""
+    return f"coalesce({_SEASON_BY_MONTH}[month({c})], 'Fall')"
+
+
+# Severity: the smallest rank whose flag holds (flags that are NULL do not hold),
+# then the label by rank.
+_RANK = ("least(CASE WHEN fatalities > 0 THEN 1 ELSE 5 END, CASE WHEN injury_collisions THEN 2 ELSE 5 END, "
+         "CASE WHEN ftr_collisions THEN 3 ELSE 5 END, CASE WHEN pd_collisions THEN 4 ELSE 5 END)")
+_SEVERITY_LABELS = "['Fatality', 'Injury', 'Fail to Remain', 'Property Damage', 'Unknown']"
+# Invalid coordinates: anything but both inside the box.
+_INVALID = "NOT coalesce(lat BETWEEN 40 AND 45 AND lon BETWEEN -80 AND -78, false)"
 
 
 def local_to_utc(local_ts: str) -> str:
@@ -157,23 +170,16 @@ CTES: list[tuple[str, str]] = [
       lon0 AS geometry_x, lat0 AS geometry_y,
       occ_utc AS occ_date_utc, lat, lon, inserted_at
     FROM raw"""),
-    ("prep", """
-    SELECT *,
+    ("prep", f"""
+    SELECT * EXCLUDE (rank),
       round(lat, 2) AS lat_r, round(lon, 2) AS lon_r,
-      CASE WHEN lat IS NULL OR lon IS NULL THEN true
-           WHEN lat < 40 OR lat > 45 THEN true
-           WHEN lon < -80 OR lon > -78 THEN true ELSE false END AS invalid_coord_flag,
-      CASE WHEN fatalities > 0 THEN 'Fatality' WHEN injury_collisions THEN 'Injury'
-           WHEN ftr_collisions THEN 'Fail to Remain' WHEN pd_collisions THEN 'Property Damage'
-           ELSE 'Unknown' END AS collision_severity,
-      CASE WHEN fatalities > 0 THEN 1 WHEN injury_collisions THEN 2 WHEN ftr_collisions THEN 3
-           WHEN pd_collisions THEN 4 ELSE 5 END AS collision_severity_rank,
+      {_INVALID} AS invalid_coord_flag,
+      {_SEVERITY_LABELS}[rank] AS collision_severity,
+      rank AS collision_severity_rank,
       date_trunc('day', occ_date) AS occ_date_day,
-      CASE WHEN isodow(occ_date) IN (6, 7) THEN true ELSE false END AS is_weekend,
-      CASE WHEN month(occ_date) IN (12, 1, 2) THEN 'Winter'
-           WHEN month(occ_date) IN (3, 4, 5) THEN 'Spring'
-           WHEN month(occ_date) IN (6, 7, 8) THEN 'Summer' ELSE 'Fall' END AS season
-    FROM stg"""),
+      coalesce(isodow(occ_date) >= 6, false) AS is_weekend,
+      {season_case('occ_date')} AS season
+    FROM (SELECT *, {_RANK} AS rank FROM stg)"""),
     ("enriched", f"""
     SELECT p.*, wc.temperature, wc.precipitation, wc.snowfall, wc.weathercode, wc.windspeed,
       wc.cloudcover, wc.humidity,
@@ -226,8 +232,6 @@ INT_DOUBLES = STG_DOUBLES + ["lat_r", "lon_r", "temperature", "precipitation", "
                              "windspeed", "cloudcover", "humidity"]
 _HAS_ID = "coalesce(event_unique_id, '') <> ''"
 _USABLE = "(lat0 IS NOT NULL AND lon0 IS NOT NULL AND NOT (lat0 = 0 AND lon0 = 0))"
-_INVALID = ("CASE WHEN lat IS NULL OR lon IS NULL THEN true WHEN lat < 40 OR lat > 45 THEN true "
-            "WHEN lon < -80 OR lon > -78 THEN true ELSE false END")
 
 
 def oracles() -> dict[str, str]:
@@ -293,7 +297,7 @@ def oracles() -> dict[str, str]:
         + " FROM incidents_src")
     q["calendar_fields"] = (
         f"SELECT o_orderkey, date_trunc('day', o_orderdate) AS occ_date_day, "
-        f"coalesce(isodow(o_orderdate) IN (6, 7), false) AS is_weekend, "
+        f"coalesce(isodow(o_orderdate) >= 6, false) AS is_weekend, "
         f"{season_case('o_orderdate')} AS season FROM orders")
     q["classify_severity"] = with_ctes(
         "SELECT event_id, fatalities, injury_collisions, ftr_collisions, pd_collisions, "
@@ -328,9 +332,8 @@ def oracles() -> dict[str, str]:
         ("cd", "SELECT DISTINCT round(lat, 2) AS lat_r, round(lon, 2) AS lon_r, "
                "CAST(occ_utc AS DATE) AS day_utc FROM raw WHERE lat IS NOT NULL AND lon IS NOT NULL "
                "AND NOT (lat = 0 AND lon = 0) AND occ_utc IS NOT NULL"),
-        ("missing", "SELECT DISTINCT cd.lat_r, cd.lon_r, cd.day_utc FROM cd LEFT JOIN weather_src wc "
-                    "ON wc.lat = cd.lat_r AND wc.lon = cd.lon_r AND CAST(wc.hour_utc AS DATE) = cd.day_utc "
-                    "WHERE wc.hour_utc IS NULL"),
+        ("missing", "SELECT lat_r, lon_r, day_utc FROM cd WHERE NOT EXISTS (SELECT 1 FROM weather_src wc "
+                    "WHERE wc.lat = cd.lat_r AND wc.lon = cd.lon_r AND CAST(wc.hour_utc AS DATE) = cd.day_utc)"),
         ("islands", "SELECT *, day_utc - CAST(row_number() OVER (PARTITION BY lat_r, lon_r "
                     "ORDER BY day_utc) AS INTEGER) AS run FROM missing"),
     ]
