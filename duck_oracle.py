@@ -25,21 +25,23 @@ def _yes_if(cond: str) -> str:
     return f"CASE WHEN {cond} THEN 'YES' ELSE 'NO' END"
 
 
+_WEATHER_BY_CODE = ("MAP {0: 'Clear', 1: 'Cloudy', 2: 'Cloudy', 3: 'Cloudy', 45: 'Fog', 48: 'Fog', "
+                    "51: 'Rain/Drizzle', 53: 'Rain/Drizzle', 55: 'Rain/Drizzle', 56: 'Rain/Drizzle', "
+                    "57: 'Rain/Drizzle', 61: 'Rain', 63: 'Rain', 65: 'Rain', 66: 'Rain', 67: 'Rain', "
+                    "71: 'Snow', 73: 'Snow', 75: 'Snow', 77: 'Snow', 85: 'Snow', 86: 'Snow', "
+                    "80: 'Rain showers', 81: 'Rain showers', 82: 'Rain showers', 95: 'Thunderstorm', "
+                    "96: 'Thunderstorm', 99: 'Thunderstorm'}")
+
+
 def weather_case(c: str) -> str:
-    return f"""CASE WHEN {c} = 0 THEN 'Clear'
-           WHEN {c} IN (1, 2, 3) THEN 'Cloudy'
-           WHEN {c} IN (45, 48) THEN 'Fog'
-           WHEN {c} IN (51, 53, 55, 56, 57) THEN 'Rain/Drizzle'
-           WHEN {c} IN (61, 63, 65, 66, 67) THEN 'Rain'
-           WHEN {c} IN (71, 73, 75, 77, 85, 86) THEN 'Snow'
-           WHEN {c} IN (80, 81, 82) THEN 'Rain showers'
-           WHEN {c} IN (95, 96, 99) THEN 'Thunderstorm'
-           ELSE 'Other' END"""
+    """Label by map lookup of the code; codes not in the map (and NULL) -> 'Other'."""
+    return f"coalesce({_WEATHER_BY_CODE}[{c}], 'Other')"
 
 
 def daypart_case(c: str) -> str:
-    return (f"CASE WHEN {c} BETWEEN 0 AND 5 THEN 'Night' WHEN {c} BETWEEN 6 AND 11 THEN 'Morning' "
-            f"WHEN {c} BETWEEN 12 AND 17 THEN 'Afternoon' ELSE 'Evening' END")
+    """Six-hour blocks 0-17 by list index, everything else 'Evening'."""
+    return (f"CASE WHEN {c} BETWEEN 0 AND 17 THEN ['Night', 'Morning', 'Afternoon'][{c} // 6 + 1] "
+            f"ELSE 'Evening' END")
 
 
 def yes_no_case(c: str) -> str:
