@@ -65,15 +65,16 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False,
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             day_columns: tuple[str, ...] = ("occ_date_day",)) -> DataFrame:
+             day_columns: tuple[str, ...] = ("occ_date_day",), multiline: bool = False) -> DataFrame:
     """Read an exported file back with the mart's declared schema.
 
     Text columns are read as strings and parsed with the same formats the
-    writer used, so the round trip is exact.
+    writer used, so the round trip is exact. ``multiline=True`` reads quoted
+    fields that contain line breaks (the file is then read whole per task).
     """
     text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
     raw = (spark.read.option("header", True).option("nullValue", "")
-           .option("quote", '"').option("escape", '"')
+           .option("quote", '"').option("escape", '"').option("multiLine", multiline)
            .schema(text_schema).csv(path))
     cols = []
     for f in schema.fields:

@@ -253,3 +253,27 @@ def test_key_checks_count_nulls_and_duplicate_keys(spark):
     assert got == {"not_null": (2, False), "unique": (2, False)}
     ok = {r.check: r.passed for r in quality.key_checks(df.filter("k = 'b'"), "m", ["k"]).collect()}
     assert ok == {"not_null": True, "unique": True}
+
+
+def test_csv_roundtrip_quotes_commas_and_newlines(spark, scratch):
+    from pyspark.sql import types as T
+    schema = T.StructType([T.StructField("event_id", T.StringType()), T.StructField("name", T.StringType()),
+                           T.StructField("flag", T.BooleanType()), T.StructField("n", T.IntegerType())])
+    df = spark.createDataFrame([("GO-1", 'Yonge, "St." Clair', True, None),
+                                ("GO-2", "line one\nline two", None, 3)], schema)
+    out = os.path.join(scratch, "csv")
+    export.write_csv(df, out)
+    back = export.read_csv(spark, out, schema)
+    # multi-line fields need the multiLine reader option
+    back_ml = export.read_csv(spark, out, schema, multiline=True)
+    assert sorted(map(tuple, back_ml.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
+    assert back.filter("event_id = 'GO-1'").first().name == 'Yonge, "St." Clair'
+
+
+def test_day_at_the_source_page_limit_is_flagged(spark):
+    from squall.plans import requests as rq
+    feats = spark.range(1000).select(F.lit("2024-01-01").cast("date").alias("doc_day"))
+    plan = rq.incident_days(rq.resolve_start(spark, "2024-01-01"), "2024-01-02")
+    got = {r.local_day.day: (r.n_landed, r.possibly_truncated)
+           for r in rq.incident_days_with_landed(plan, feats).collect()}
+    assert got == {1: (1000, True), 2: (0, False)}
