@@ -277,3 +277,12 @@ def test_day_at_the_source_page_limit_is_flagged(spark):
     got = {r.local_day.day: (r.n_landed, r.possibly_truncated)
            for r in rq.incident_days_with_landed(plan, feats).collect()}
     assert got == {1: (1000, True), 2: (0, False)}
+
+
+def test_force_mode_rounds_like_the_joiner(spark):
+    # one rounding rule on both sides (decimal, half away from zero): 43.605 -> 43.61,
+    # the grid value the incident side computes for the same coordinate
+    from squall.plans import requests as rq
+    r = rq.weather_force(spark, 43.605, -79.385, "2024-01-01").first()
+    assert (float(r.lat_r), float(r.lon_r)) == (43.61, -79.39)
+    assert "latitude=43.61&longitude=-79.39" in r.url
