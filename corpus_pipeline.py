@@ -5,9 +5,10 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from squall.llm import common, langid, minhash, shards
+from squall.llm import common, decontam, langid, minhash, mixing, shards
 
 MIN_SCORE = 0.25      # language scores below this fit no learned language
+MIX_BLOCK = 256       # words in a block of the mix
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,12 +28,23 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
 
 
+def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drop the documents that hold a benchmark item within its edit budget; rows without doc_id stay."""
+    hits = decontam.contaminated(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+    return docs.join(hits.where("doc_id is not null").select("doc_id").distinct(), "doc_id", "left_anti").select(*docs.columns)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The passages that the mix takes, one row for each; a document taken whole stays whole."""
+    return mixing.mixed_documents(docs, block_words=MIX_BLOCK)
+
+
 def shard(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All rows with their shard and slot."""
     return shards.shuffle(docs)
 
 
-STAGES = [("language ID", language), ("near-dedup", near_dedup), ("sharding", shard)]
+STAGES = [("language ID", language), ("near-dedup", near_dedup), ("decontamination", decontaminate), ("mixing", mix), ("sharding", shard)]
 
 ORACLE_SQL = None     # learned profiles and seeded draws are beyond SQL
 

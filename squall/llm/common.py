@@ -63,8 +63,9 @@ def components(edges: DataFrame, name: str) -> DataFrame:
     without an edge to another node are not listed.
     """
     def star(pairs: DataFrame, larger: bool) -> DataFrame:
+        # Stored, so that the join below reads two plain shuffles and a hot node's one can be split.
         least = pairs.groupBy("u").agg(F.min("v").alias("m"))
-        least = least.select("u", F.least("u", "m").alias("m"))
+        least = stored(least.select("u", F.least("u", "m").alias("m")), f"{name}-least")
         both = pairs.join(least, "u")
         if larger:
             return both.where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))

@@ -23,14 +23,18 @@ def sides(n: int) -> tuple[int, int]:
 
 
 def once(x: Column, a: Column, b: Column, seed: str) -> Column:
-    """One pass over the whole domain; an even number of rounds keeps the halves' sides."""
-    left, right = x % a, ((x - x % a) / a).cast("long")
-    for turn in range(ROUNDS):
-        bits = F.md5(F.concat(F.lit(f"{seed}:{turn}:"), right.cast("string")))
+    """One pass over the whole domain; an even number of rounds keeps the halves' sides.
+
+    The rounds fold over a pair of halves, so no expression repeats another's work.
+    """
+    def mixed(halves: Column, turn: Column) -> Column:
+        bits = F.md5(F.concat(F.lit(f"{seed}:"), turn.cast("string"), F.lit(":"), halves["right"].cast("string")))
         key = F.conv(F.substring(bits, 1, 12), 16, 10).cast("long")
-        side = a if turn % 2 == 0 else b
-        left, right = right, (left + key % side) % side
-    return a * right + left
+        side = F.when(turn % 2 == 0, a).otherwise(b)
+        return F.struct(halves["right"].alias("left"), ((halves["left"] + key % side) % side).alias("right"))
+
+    start = F.struct((x % a).cast("long").alias("left"), ((x - x % a) / a).cast("long").alias("right"))
+    return F.aggregate(F.array(*(F.lit(t) for t in range(ROUNDS))), start, mixed, lambda h: a * h["right"] + h["left"])
 
 
 def longest_walk(outside: DataFrame, seed: str) -> int:
@@ -42,12 +46,12 @@ def longest_walk(outside: DataFrame, seed: str) -> int:
     return depth
 
 
-def permuted(df: DataFrame, x: str, out: str, n: Column, a: Column, b: Column, seed: str, depth: int) -> DataFrame:
-    """Add ``out``: the permutation's value at ``x``; ``depth`` from ``longest_walk``."""
-    df = df.withColumn(out, once(F.col(x), a, b, seed))
-    for _ in range(depth):
-        df = df.withColumn(out, F.when(F.col(out) >= n, once(F.col(out), a, b, seed)).otherwise(F.col(out)))
-    return df
+def permuted(x: Column, n: Column, a: Column, b: Column, seed: str, depth: int) -> Column:
+    """The permutation's value at ``x``; ``depth`` from ``longest_walk``."""
+    y = once(x, a, b, seed)
+    if not depth:
+        return y
+    return F.aggregate(F.array(*(F.lit(t) for t in range(depth))), y, lambda y, _: F.when(y >= n, once(y, a, b, seed)).otherwise(y))
 
 
 def shuffled(df: DataFrame, x: str, out: str, n: int, seed: str) -> DataFrame:
@@ -55,7 +59,7 @@ def shuffled(df: DataFrame, x: str, out: str, n: int, seed: str) -> DataFrame:
     a, b = sides(n)
     outside = df.sparkSession.range(n, a * b).select(F.col("id").alias("x"), *(F.lit(v).cast("long").alias(c) for c, v in (("n", n), ("a", a), ("b", b))))
     n_, a_, b_ = (F.lit(v).cast("long") for v in (n, a, b))
-    return permuted(df, x, out, n_, a_, b_, seed, longest_walk(outside, seed))
+    return df.withColumn(out, permuted(F.col(x), n_, a_, b_, seed, longest_walk(outside, seed)))
 
 
 def once_sql(x: str, a: str, b: str, seed: str) -> str:

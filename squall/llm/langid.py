@@ -29,6 +29,7 @@ PROFILE = 400             # n-grams in a profile
 TRAIN_PER_LANG = 1000     # documents that train a language, at most
 MAX_LANGS = 1000          # more distinct labels than this are an error, not a language set
 UND = "und"
+GAP = 1                   # stands for the gap between words; no letter, and unlike 0 it counts in an n-gram's integer
 
 
 @lru_cache(1)
@@ -43,17 +44,17 @@ def ngram_counts(text: str | None) -> tuple[np.ndarray, np.ndarray]:
     letter = _letters()[codes]
     if not letter.any():
         return np.empty(0, np.uint64), np.empty(0, np.int64)
-    codes = np.where(letter, codes, 0).astype(np.uint64)
+    codes = np.where(letter, codes, GAP).astype(np.uint64)
     keep = letter | np.append(True, letter[:-1])      # one gap between words
-    c = np.concatenate([[0], codes[keep], [0]]).astype(np.uint64)
-    if c[1] == 0:
+    c = np.concatenate([[GAP], codes[keep], [GAP]]).astype(np.uint64)
+    if c[1] == GAP:
         c = c[1:]
-    if c[-2] == 0:
+    if c[-2] == GAP:
         c = c[:-1]
     two = (c[:-1] << np.uint64(21)) | c[1:]
     three = (two[:-1] << np.uint64(21)) | c[2:]
-    inside = c[1:-1] != 0                            # "x y" spans two words
-    return np.unique(np.concatenate([c[c != 0], two, three[inside]]), return_counts=True)
+    inside = c[1:-1] != GAP                            # "x y" spans two words
+    return np.unique(np.concatenate([c[c != GAP], two, three[inside]]), return_counts=True)
 
 
 def top(grams: np.ndarray, counts: np.ndarray, n: int = PROFILE) -> np.ndarray:

@@ -7,7 +7,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from squall.llm import common, langid, minhash, planes, shards
+from squall.llm import common, credentials, decontam, exthash, langid, minhash, mixing, perspectives, pii, planes, shards
 from squall.session import scratch_path
 
 
@@ -40,6 +40,30 @@ def op4_feistel_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shards.digest(common.documents(spark, sf_dir))
 
 
+def op5_credential_formats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.scan(common.documents(spark, sf_dir))
+
+
+def op6_extendible_hash_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exthash.duplicates(common.documents(spark, sf_dir))
+
+
+def op7_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(common.documents(spark, sf_dir))
+
+
+def op8_perspective_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return perspectives.rotate(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+def op9_block_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.Mix(common.documents(spark, sf_dir)).digest()
+
+
+def op10_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.contaminated(common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 OP1_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
@@ -71,5 +95,13 @@ WITH RECURSIVE {CRC_SQL}, numbered AS (
 SELECT doc_id, octet_length(encode(t)) + 1 AS size, crc AS text_crc32, 'rows' AS law, shard, slot, NULL::INTEGER AS grown_shard FROM placed JOIN crcs USING (t)
 """
 
-QUERIES = {f.__name__: f for f in (op1_minmax_near_dedup, op2_language_id, op3_plane_tokens, op4_feistel_shards)}
-SQL = {"op1_minmax_near_dedup": OP1_SQL, "op4_feistel_shards": OP4_SQL}
+QUERIES = {f.__name__: f for f in (op1_minmax_near_dedup, op2_language_id, op3_plane_tokens, op4_feistel_shards, op5_credential_formats,
+                                  op6_extendible_hash_dedup, op7_bootstrapped_pii, op8_perspective_chats, op9_block_mixing, op10_pigeonhole_decontamination)}
+OP6_SQL = """
+SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept,
+       sha256(coalesce(text, '')) AS text_sha256
+FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
+"""
+
+SQL = {"op1_minmax_near_dedup": OP1_SQL, "op4_feistel_shards": OP4_SQL, "op6_extendible_hash_dedup": OP6_SQL,
+       "op8_perspective_chats": perspectives.SQL}
