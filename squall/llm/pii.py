@@ -167,6 +167,10 @@ def scan(docs: DataFrame) -> DataFrame:
 
     rows = (found.select("row", "doc_id").join(listed, "row", "left")
             .select("doc_id", F.coalesce("list", F.array().cast("array<struct<start:int,kind:int,stop:int>>")).alias("list")))
-    counts = [F.size(F.filter("list", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)]
+
+    def number(kind: int) -> Column:
+        return F.size(F.filter("list", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{KINDS[kind]}")
+
+    counts = [number(i) for i in range(len(KINDS))]
     return rows.select("doc_id", *counts[:TOKENS], F.sha2(text_of(F.filter("list", lambda s: s["kind"] < TOKENS)), 256).alias("base_sha256"),
                        text_of(F.col("list")).alias("spans"), counts[TOKENS])
