@@ -25,36 +25,35 @@ def _yes_if(cond: str) -> str:
     return f"CASE WHEN {cond} THEN 'YES' ELSE 'NO' END"
 
 
-_WEATHER_BY_CODE = ("MAP {0: 'Clear', 1: 'Cloudy', 2: 'Cloudy', 3: 'Cloudy', 45: 'Fog', 48: 'Fog', "
-                    "51: 'Rain/Drizzle', 53: 'Rain/Drizzle', 55: 'Rain/Drizzle', 56: 'Rain/Drizzle', "
-                    "57: 'Rain/Drizzle', 61: 'Rain', 63: 'Rain', 65: 'Rain', 66: 'Rain', 67: 'Rain', "
-                    "71: 'Snow', 73: 'Snow', 75: 'Snow', 77: 'Snow', 85: 'Snow', 86: 'Snow', "
-                    "80: 'Rain showers', 81: 'Rain showers', 82: 'Rain showers', 95: 'Thunderstorm', "
-                    "96: 'Thunderstorm', 99: 'Thunderstorm'}")
+# Labels by code, in code order; other codes and NULL are 'Other'.
+WEATHER_LABELS = [
+    ("Clear", [0]), ("Cloudy", [1, 2, 3]), ("Fog", [45, 48]), ("Rain/Drizzle", [51, 53, 55, 56, 57]),
+    ("Rain", [61, 63, 65, 66, 67]), ("Snow", [71, 73, 75, 77]), ("Rain showers", [80, 81, 82]), ("Snow", [85, 86]),
+    ("Thunderstorm", [95, 96, 99]),
+]
+# Hours of the day; all others and NULL are 'Evening'.
+DAYPARTS = [("Night", 0, 5), ("Morning", 6, 11), ("Afternoon", 12, 17)]
+# Months of the seasons; NULL is 'Fall'.
+SEASONS = [("Winter", [12, 1, 2]), ("Spring", [3, 4, 5]), ("Summer", [6, 7, 8]), ("Fall", [9, 10, 11])]
 
 
 def weather_case(c: str) -> str:
-    """Label by map lookup of the code; codes not in the map (and NULL) -> 'Other'."""
-    return f"coalesce({_WEATHER_BY_CODE}[{c}], 'Other')"
+    whens = " ".join(f"WHEN {c} IN ({', '.join(map(str, codes))}) THEN '{label}'" for label, codes in WEATHER_LABELS)
+    return f"CASE {whens} ELSE 'Other' END"
 
 
 def daypart_case(c: str) -> str:
-    """Six-hour blocks 0-17 by list index, everything else 'Evening'."""
-    return (f"CASE WHEN {c} BETWEEN 0 AND 17 THEN ['Night', 'Morning', 'Afternoon'][{c} // 6 + 1] "
-            f"ELSE 'Evening' END")
+    whens = " ".join(f"WHEN {c} BETWEEN {lo} AND {hi} THEN '{label}'" for label, lo, hi in DAYPARTS)
+    return f"CASE {whens} ELSE 'Evening' END"
 
 
 def yes_no_case(c: str) -> str:
     return f"CASE {c} WHEN 'YES' THEN true WHEN 'NO' THEN false END"
 
 
-_SEASON_BY_MONTH = ("['Winter', 'Winter', 'Spring', 'Spring', 'Spring', 'Summer', 'Summer', "
-                    "'Summer', 'Fall', 'Fall', 'Fall', 'Winter']")
-
-
 def season_case(c: str) -> str:
-    """Season by indexing a 12-entry list with the month (NULL month -> 'Fall')."""
-    return f"coalesce({_SEASON_BY_MONTH}[month({c})], 'Fall')"
+    whens = " ".join(f"WHEN month({c}) IN ({', '.join(map(str, months))}) THEN '{label}'" for label, months in SEASONS)
+    return f"CASE {whens} ELSE 'Fall' END"
 
 
 # Severity: the smallest rank whose flag holds (flags that are NULL do not hold),
@@ -81,7 +80,7 @@ CTES: list[tuple[str, str]] = [
       event_id AS pos,
       CAST(ts AS DATE) AS doc_day,
       CAST(event_id // 1000 AS INTEGER) AS page,
-      CAST(event_id AS INTEGER) AS objectid,
+      CAST(event_id % 2147483647 AS INTEGER) AS objectid,
       CASE WHEN event_id % 97 = 0 THEN NULL
            WHEN event_id % 10 = 1 THEN 'GO-' || CAST(event_id - 1 AS VARCHAR)
            ELSE 'GO-' || CAST(event_id AS VARCHAR) END AS event_unique_id,
@@ -143,13 +142,13 @@ CTES: list[tuple[str, str]] = [
     ("weather_src", """
     SELECT CAST(lat AS DECIMAL(8,5)) AS lat, CAST(lon AS DECIMAL(8,5)) AS lon, hour_utc,
       CAST(hour_utc AS DATE) AS date_utc, m,
-      CAST(m % 40 - 15 AS REAL) AS temperature,
-      CAST((m % 7) * 0.5 AS REAL) AS precipitation,
-      CAST((m % 5) * 0.25 AS REAL) AS snowfall,
+      CAST((m % 400 - 150) / 10 AS REAL) AS temperature,
+      CAST((m % 7) / 10 AS REAL) AS precipitation,
+      CAST((m % 50) / 10000 AS REAL) AS snowfall,
       CASE WHEN m % 13 = 0 THEN NULL ELSE CAST(m % 100 AS INTEGER) END AS weathercode,
-      CAST((m % 30) + 0.5 AS REAL) AS windspeed,
+      CAST((m % 300) / 10 AS REAL) AS windspeed,
       CAST(m % 101 AS REAL) AS cloudcover,
-      CAST(30 + m % 70 AS REAL) AS humidity
+      CAST(30 + (m % 700) / 10 AS REAL) AS humidity
     FROM wx_hours WHERE k % 6 <> 0 AND m % 11 <> 0"""),
     ("stg", """
     SELECT
@@ -356,11 +355,12 @@ def oracles() -> dict[str, str]:
     url = (f"'{INCIDENT_BASE_URL}?where=OCC_DATE%20%3E%3D%20TIMESTAMP%20%27' || {d0} || "
            f"'%2000%3A00%3A00%27%20AND%20OCC_DATE%20%3C%20TIMESTAMP%20%27' || {d1} || "
            f"'%2000%3A00%3A00%27&outFields=%2A&f=json&resultRecordCount={INCIDENT_PAGE_SIZE}"
-           f"&resultOffset=0'")
+           f"&resultOffset=' || CAST(page * {INCIDENT_PAGE_SIZE} AS VARCHAR)")
     q["plan_incident_days"] = with_ctes(
-        f"SELECT days.local_day, {where} AS where_clause, {url} AS url, "
-        f"coalesce(landed.n, 0) AS n_landed, coalesce(landed.n, 0) >= {INCIDENT_PAGE_SIZE} "
-        f"AS possibly_truncated FROM days LEFT JOIN landed ON days.local_day = landed.doc_day",
+        f"SELECT local_day, {where} AS where_clause, {url} AS url, n_landed, n_landed >= {INCIDENT_PAGE_SIZE} "
+        f"AS possibly_truncated, page FROM (SELECT days.local_day, coalesce(landed.n, 0) AS n_landed, "
+        f"unnest(range(coalesce(landed.n, 0) // {INCIDENT_PAGE_SIZE} + 1)) AS page "
+        f"FROM days LEFT JOIN landed ON days.local_day = landed.doc_day)",
         [("landed", "SELECT doc_day, count(*) AS n FROM incidents_src GROUP BY doc_day"),
          ("bounds", "SELECT min(doc_day) AS s FROM incidents_src"),
          ("days", "SELECT CAST(unnest(generate_series(CAST(s AS TIMESTAMP), "
@@ -374,6 +374,11 @@ def oracles() -> dict[str, str]:
         f"SELECT CAST(lat_r AS DOUBLE) AS lat_r, CAST(lon_r AS DOUBLE) AS lon_r, "
         f"min(day_utc) AS start_date, max(day_utc) AS end_date, count(*) AS missing_days, "
         f"{wurl} AS url FROM missing GROUP BY lat_r, lon_r", gap_ctes)
+    point = wurl.replace("min(day_utc)", "day").replace("max(day_utc)", "day")
+    q["plan_weather_force"] = with_ctes(
+        f"SELECT CAST(lat_r AS DOUBLE) AS lat_r, CAST(lon_r AS DOUBLE) AS lon_r, day AS start_date, day AS end_date, "
+        f"{point} AS url FROM (SELECT DISTINCT round(lat0, 2) AS lat_r, round(lon0, 2) AS lon_r, doc_day AS day "
+        f"FROM incidents_src WHERE lat0 IS NOT NULL AND lon0 IS NOT NULL AND lat0 <> 0)")
     # run log (C4 in SQL)
     runs = ("SELECT 'run-' || CAST(event_id AS VARCHAR) AS run_id, event_type AS pipeline_name, "
             "timezone('UTC', ts) AS start_time_tz, ts AS start_time, "
@@ -442,15 +447,17 @@ def oracles() -> dict[str, str]:
             cols.append(f"strftime({c}, '%Y-%m-%d') AS {c}")
         elif c in ints:
             cols.append(f"CAST({c} AS VARCHAR) AS {c}")
-        elif c in MART_DOUBLES:
+        elif c in ("lat", "lon"):
             cols.append(f"CAST(CAST({c} AS DOUBLE) AS VARCHAR) AS {c}")
+        elif c in MART_DOUBLES:      # 32-bit numbers print as such
+            cols.append(f"CAST({c} AS VARCHAR) AS {c}")
         else:
             cols.append(c)
     q["export_mart_rows"] = with_ctes(f"SELECT {', '.join(cols)} FROM mart")
     q["export_csv_roundtrip"] = q["fct_flat"]
     # landed documents
     feat = ("SELECT doc_day, page, page * 1000 + CAST(row_number() OVER (PARTITION BY doc_day, page "
-            "ORDER BY pos) - 1 AS INTEGER) AS pos, event_unique_id, objectid, occ_ms, occ_hour_text AS occ_hour, "
+            "ORDER BY pos) - 1 AS BIGINT) AS pos, event_unique_id, objectid, occ_ms, occ_hour_text AS occ_hour, "
             "CAST(lat0 AS DOUBLE) AS lat0, CAST(lon0 AS DOUBLE) AS lon0 FROM incidents_src")
     q["src_incident_documents"] = with_ctes(feat)
     q["src_partition_pruned_scan"] = with_ctes(
@@ -461,4 +468,38 @@ def oracles() -> dict[str, str]:
         + _d(["windspeed", "cloudcover", "humidity"]) + " FROM weather_src WHERE m % 17 <> 0")
     q["stream_ingest_equals_batch"] = with_ctes(
         f"SELECT event_id, objectid, occ_utc AS occ_date_utc, {_d(['lat', 'lon'])} FROM raw")
+    # the stored path
+    q["ingest_rejects"] = with_ctes(
+        "SELECT doc_day, CASE WHEN day(doc_day) % 3 = 1 THEN 0 ELSE n END AS n_accepted, "
+        "CASE WHEN day(doc_day) % 3 = 1 THEN n ELSE 0 END AS n_unparsable, CAST(0 AS BIGINT) AS n_no_features "
+        "FROM (SELECT doc_day, count(DISTINCT page) AS n FROM incidents_src GROUP BY doc_day)")
+    q["upsert_stored_reland"] = with_ctes(
+        "SELECT event_id, objectid, fatalities FROM (SELECT *, row_number() OVER (PARTITION BY event_id "
+        "ORDER BY load DESC, doc_day DESC, page DESC, pos DESC) AS rn FROM loads) WHERE rn = 1",
+        [("loads", "SELECT 1 AS load, event_id, objectid, doc_day, page, pos, coalesce(fatalities_raw, 0) AS fatalities FROM batch "
+                   "UNION ALL SELECT 2, b.event_id, b.objectid, b.doc_day, b.page, b.pos, "
+                   "CASE WHEN e.event_type = 'error' AND e.value + 100 > 20 THEN 1 ELSE 0 END "
+                   "FROM batch b JOIN events e ON e.event_id = b.pos WHERE day(b.doc_day) % 2 = 0 AND b.pos % 4 <> 0")])
+    q["upsert_stored_weather"] = with_ctes(
+        "SELECT CAST(lat AS DOUBLE) AS lat, CAST(lon AS DOUBLE) AS lon, hour_utc, date_utc, "
+        "CAST(CASE WHEN day(hour_utc) % 2 = 0 THEN CAST(temperature + 1 AS REAL) ELSE temperature END AS DOUBLE) AS temperature, "
+        + _d(["precipitation", "snowfall"]) + ", weathercode, " + _d(["windspeed", "cloudcover", "humidity"]) + " FROM weather_src")
+    q["jobs_mart"] = with_ctes(f"SELECT * EXCLUDE (inserted_at) FROM ({_all_but('mart', MART_DOUBLES)})")
+    q["run_log_lifecycle"] = with_ctes(
+        "SELECT 'tps_ingest' AS pipeline_name, 'success' AS status, CAST(count(*) AS INTEGER) AS row_count, 'manual' AS triggered_by, "
+        "true AS ended, false AS has_message FROM batch "
+        "UNION ALL SELECT 'weather_cache', 'success', CAST(count(*) AS INTEGER), 'manual', true, false FROM weather_src "
+        "UNION ALL SELECT 'build_models', 'success', 0, 'manual', true, false "
+        "UNION ALL SELECT 'tps_ingest', 'failure', 0, 'check', true, true")
+    faults = [("faulty", "SELECT CASE WHEN pos % 13 <> 0 THEN event_id END AS event_id FROM batch"),
+              ("states", "SELECT CASE WHEN event_id % 17 = 0 THEN 'lost' WHEN event_id % 19 <> 0 THEN status END AS status "
+                         "FROM (SELECT event_id, CASE WHEN event_id % 29 = 0 THEN 'running' WHEN event_id % 13 = 0 "
+                         "THEN 'failure' ELSE 'success' END AS status FROM events)")]
+    q["dq_report_faults"] = with_ctes(" UNION ALL ".join([
+        chk("batch", "not_null", "event_id", "SELECT count(*) FILTER (WHERE event_id IS NULL) AS f FROM faulty"),
+        chk("batch", "unique", "event_id", "SELECT count(*) AS f FROM (SELECT event_id FROM faulty WHERE event_id IS NOT NULL "
+                                           "GROUP BY event_id HAVING count(*) > 1)"),
+        chk("run_log", "accepted_values", "status", "SELECT count(*) FILTER (WHERE NOT coalesce(status IN ('running', 'success', "
+                                                    "'failure'), false)) AS f FROM states"),
+        chk("empty", "non_empty", "*", "SELECT 1 AS f"), chk("batch", "has_column", "objectid", "SELECT 1 AS f")]), faults)
     return q

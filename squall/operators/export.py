@@ -38,7 +38,9 @@ def csv_text(df: DataFrame, day_columns: tuple[str, ...] = ("occ_date_day",)) ->
                  else _with_micros(c, WALLCLOCK_FORMAT, WALLCLOCK_FORMAT_MICROS))
         elif isinstance(t, T.DateType):
             c = F.date_format(c, DAY_FORMAT)
-        elif isinstance(t, (T.FloatType, T.DecimalType)):
+        elif isinstance(t, T.FloatType):
+            c = _plain_float(c)
+        elif isinstance(t, T.DecimalType):
             c = c.cast("double").cast("string")
         else:
             c = c.cast("string")
@@ -46,6 +48,14 @@ def csv_text(df: DataFrame, day_columns: tuple[str, ...] = ("occ_date_day",)) ->
     return df.select(*cols)
 
 
+def _plain_float(c):
+    """Shortest text of a 32-bit number, without an exponent (``0.1``, ``0.0004``, ``12.0``)."""
+    text = c.cast("string")
+    plain = F.regexp_replace(text.try_cast("decimal(38,20)").cast("string"), "0+$", "")
+    plain = F.when(F.endswith(plain, F.lit(".")), F.concat(plain, F.lit("0"))).otherwise(plain)
+    return F.when(F.contains(text, F.lit("E")), F.coalesce(plain, text)).otherwise(text)
+
+
 def _with_micros(c, plain: str, micros: str):
     """Whole seconds as ``plain``; a fraction, when present, as microseconds."""
     frac = F.unix_micros(c.cast("timestamp")) % 1_000_000
@@ -61,20 +71,22 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False,
     (out.write.mode("overwrite")
         .option("header", True).option("nullValue", "").option("emptyValue", "")
         .option("quote", '"').option("escape", '"')
+        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
         .csv(path))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,
-             day_columns: tuple[str, ...] = ("occ_date_day",), multiline: bool = False) -> DataFrame:
+             day_columns: tuple[str, ...] = ("occ_date_day",), multiline: bool = True) -> DataFrame:
     """Read an exported file back with the mart's declared schema.
 
     Text columns are read as strings and parsed with the same formats the
-    writer used, so the round trip is exact. ``multiline=True`` reads quoted
-    fields that contain line breaks (the file is then read whole per task).
+    writer used, so the round trip is exact. Quoted fields may hold line breaks (one task
+    a part file); ``multiline=False`` splits large files whose fields are known not to.
     """
     text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
     raw = (spark.read.option("header", True).option("nullValue", "")
            .option("quote", '"').option("escape", '"').option("multiLine", multiline)
+           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
            .schema(text_schema).csv(path))
     cols = []
     for f in schema.fields:

@@ -1,4 +1,4 @@
-"""Predicates of the pipeline (F1, F2, F4, F9) as Column expressions.
+"""Predicates of the pipeline (F1) as Column expressions.
 
 All are plain comparisons on stored columns, so Catalyst pushes them into the
 Parquet scan (row-group statistics) or turns them into partition filters.
@@ -9,7 +9,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from squall.functions import geo
 from squall.functions import timeutil as tu
 
 
@@ -26,13 +25,3 @@ def local_day_range(ts, start_day: str, end_day: str, tz: str = tu.LOCAL_TZ) ->
     lo = F.to_utc_timestamp(F.lit(start_day).cast("timestamp"), tz)
     hi = F.to_utc_timestamp(F.lit(end_day).cast("timestamp"), tz)
     return (_c(ts) >= lo) & (_c(ts) < hi)
-
-
-def has_event_id(event_id) -> Column:
-    """Skip features without an id: NULL or empty."""
-    return F.coalesce(_c(event_id), F.lit("")) != ""
-
-
-def usable_coordinates(lat, lon) -> Column:
-    """Both coordinates present and not (0, 0)."""
-    return geo.usable_coordinate(lat, lon)

@@ -15,7 +15,7 @@ from squall.functions import timeutil as tu
 from squall.schemas import LAT_LON_RAW
 from squall.session import ensure_utc
 
-ORDER_COLUMNS = ("doc_day", "page", "pos")
+ORDER_COLUMNS = ("landed_at", "doc_day", "page", "pos")
 
 # Fixed value: the source returns at most this many records per request.
 SOURCE_PAGE_LIMIT = 1000
@@ -23,7 +23,7 @@ SOURCE_PAGE_LIMIT = 1000
 
 def normalise_incidents(features: DataFrame, inserted_at=None, lenient: bool = False,
                         feature_col: str = "feature") -> DataFrame:
-    """Features -> ``raw_incidents`` rows (+ ``doc_day, page, pos`` order columns).
+    """Features -> ``raw_incidents`` rows (+ ``landed_at, doc_day, page, pos`` order columns).
 
     Features without ``EVENT_UNIQUE_ID`` (NULL or empty) are skipped (Q6).
     ``inserted_at`` defaults to the job's current time. The payload is read
@@ -33,6 +33,8 @@ def normalise_incidents(features: DataFrame, inserted_at=None, lenient: bool = F
     f = F.col(feature_col)
     ins = F.current_timestamp() if inserted_at is None else (
         F.lit(inserted_at).cast("timestamp") if isinstance(inserted_at, str) else inserted_at)
+    if "landed_at" not in features.columns:     # not from a landing zone: no landing number
+        features = features.withColumn("landed_at", F.lit(None).cast("bigint"))
     order = [c for c in ORDER_COLUMNS if c in features.columns]
     fields = features.select(
         *order,

@@ -72,15 +72,16 @@ def log_run_end(spark: SparkSession, path: str, run_id: str, status: str,
 def run_logged(spark: SparkSession, path: str, pipeline_name: str,
                triggered_by: str = DEFAULT_TRIGGER):
     """Run a block under the log: success with its row count, or failure with
-    the error (which is re-raised) (D7). The block sets ``ctx['row_count']``."""
+    the error (which is re-raised) (D7). The block sets ``ctx['row_count']`` and may set
+    ``ctx['message']`` (what a successful run has to tell)."""
     run_id = log_run_start(spark, path, pipeline_name, triggered_by)
-    ctx = {"run_id": run_id, "row_count": DEFAULT_ROW_COUNT}
+    ctx = {"run_id": run_id, "row_count": DEFAULT_ROW_COUNT, "message": None}
     try:
         yield ctx
     except Exception as e:
         log_run_end(spark, path, run_id, "failure", error_message=str(e))
         raise
-    log_run_end(spark, path, run_id, "success", row_count=int(ctx["row_count"]))
+    log_run_end(spark, path, run_id, "success", row_count=int(ctx["row_count"]), error_message=ctx["message"])
 
 
 def run_state(records: DataFrame) -> DataFrame:
@@ -130,8 +131,3 @@ def latest_runs(state: DataFrame) -> DataFrame:
     top = s.groupBy("pipeline_name").agg(
         F.max_by(F.struct(*rest), F.struct("start_time", "run_id")).alias("__r"))
     return top.select("pipeline_name", *[F.col(f"__r.{c}").alias(c) for c in rest])
-
-
-def invalid_status(state: DataFrame) -> DataFrame:
-    """Rows breaking ``CHECK status IN (...)``."""
-    return state.filter(~F.col("status").isin(*RUN_STATUSES) | F.col("status").isNull())

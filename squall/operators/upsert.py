@@ -6,10 +6,11 @@ one hash-partitioned aggregate with map-side partial aggregation, so a key that
 repeats many times in a batch (a hot key) is folded on the map side before the
 shuffle instead of landing in one task.
 
-``upsert_table`` persists it: only the partitions that the batch touches are
-read, merged, written to a staging table in the shared checkpoint folder, and
-swapped in with dynamic partition overwrite. Untouched partitions are never
-rewritten, and a lost executor just reruns its tasks (no state outside files).
+``upsert_table`` persists it: the batch is written once beside the table, only the
+partitions that it touches are read and merged, the merge is written once, and its
+partition folders are moved into place. Untouched partitions are never rewritten, and a
+lost executor just reruns its tasks (no state outside files). A driver that dies in the
+middle of the swap leaves a finished staging folder; the next upsert completes it first.
 """
 
 from __future__ import annotations
@@ -21,18 +22,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from squall.session import ensure_utc, ensure_checkpoint_dir
+from squall.session import ensure_utc
 
 _SRC = "__src"
 _ORD = "__ord"
 
-# Upper bound on the number of partition values an upsert may touch before it
-# is refused: the touched set is a partition filter, not data.
-MAX_TOUCHED_PARTITIONS = 100_000
-# A batch with at most this many distinct keys locates them with an IN-list
-# pushed into the Parquet scan (row groups pruned by min/max, since partitions
-# are written sorted by key); larger batches use a semi join.
-MAX_PUSHED_KEYS = 10_000
+READY = "_READY"      # marks a staging folder whose files are complete
 
 
 def merge_last_wins(target: DataFrame | None, batch: DataFrame, keys: list[str],
@@ -46,7 +41,8 @@ def merge_last_wins(target: DataFrame | None, batch: DataFrame, keys: list[str],
     - ``preserve`` columns keep the value of the first version of the key (the
       stored row's, else the first batch row's), like ``inserted_at`` which an
       ``ON CONFLICT DO UPDATE`` does not touch.
-    - Rows whose key is NULL are dropped (a primary key cannot be NULL).
+    - Rows whose key is NULL are dropped (a primary key cannot be NULL); ``upsert_table``
+      counts them.
     - ``target=None`` reduces a batch on its own (an upsert into an empty table).
     - ``order_in_target=True``: the stored rows keep their source order columns,
       and versions compete by that order (batch wins ties). Replays and batches
@@ -67,8 +63,7 @@ def merge_last_wins(target: DataFrame | None, batch: DataFrame, keys: list[str],
     b = batch.select(*columns, ord_of(1).alias(_ORD))
     if target is not None:
         b = target.select(*columns, t_ord.alias(_ORD)).unionByName(b)
-    key_present = reduce(lambda a, c: a & c, [F.col(k).isNotNull() for k in keys])
-    both = b.filter(key_present)
+    both = b.filter(_keys_present(keys))
     aggs = []
     if values:
         aggs.append(F.max_by(F.struct(*values), F.col(_ORD)).alias("__last"))
@@ -116,7 +111,8 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, schema: T.Str
                  keys: list[str], order: list[str], partition_by: list[str],
                  preserve: tuple[str, ...] = (), order_in_target: bool = False,
                  partition_follows_key: bool = True) -> DataFrame:
-    """Upsert ``batch`` into the Parquet table at ``path``; returns the batch's counts.
+    """Upsert ``batch`` into the Parquet table at ``path``; returns the batch's counts:
+    rows, distinct keys, and rows left out because their key is NULL.
 
     Only touched partitions are read and rewritten:
 
@@ -133,50 +129,93 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, schema: T.Str
     if len(partition_by) != 1:
         raise ValueError("one partition column is supported")
     p = partition_by[0]
+    finish_swaps(spark, path)
     create_if_absent(spark, path, schema, partition_by)
     columns = [f.name for f in schema.fields]
+    work = f"{staging_root(path)}/{uuid.uuid4().hex}"
+    batch.write.parquet(f"{work}/batch")       # parsed once, whatever reads it below
+    batch = spark.read.schema(batch.schema).parquet(f"{work}/batch")
     stored = spark.read.schema(schema).parquet(path)
     touched = batch.select(p)
     if not partition_follows_key:
-        touched = touched.unionByName(_locate(stored, batch, keys, p))
-    # The touched partition values: a bounded set, checked before use.
-    values = [r[0] for r in touched.distinct().limit(MAX_TOUCHED_PARTITIONS + 1).collect()]
-    if len(values) > MAX_TOUCHED_PARTITIONS:
-        raise ValueError(f"batch touches more than {MAX_TOUCHED_PARTITIONS} partitions")
-    # A literal IN list on the partition column prunes directories at planning time.
-    keep = F.col(p).isin([v for v in values if v is not None])
-    if None in values:
-        keep = keep | F.col(p).isNull()
-    merged = merge_last_wins(stored.filter(keep), batch, keys, order, preserve, columns,
+        located = stored.select(*keys, p).join(batch.select(*keys).distinct(), keys, "left_semi").select(p)
+        touched = touched.unionByName(located)
+    touched.distinct().write.parquet(f"{work}/touched")
+    touched = spark.read.schema(touched.schema).parquet(f"{work}/touched")
+    merged = merge_last_wins(_in_partitions(stored, touched, p), batch, keys, order, preserve, columns,
                              order_in_target)
-    staging = f"{ensure_checkpoint_dir(spark).rstrip('/')}/upsert-staging-{uuid.uuid4().hex}"
-    # Sorted by key inside each file: tight min/max statistics for key lookups.
-    merged.sortWithinPartitions(*keys).write.mode("overwrite").partitionBy(p).parquet(staging)
-    staged = spark.read.schema(schema).parquet(staging)
-    staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
-        .partitionBy(p).parquet(path)
+    # One task or a few for each partition (hot ones are split, small ones share), files sorted by key.
+    (merged.hint("rebalance", p).sortWithinPartitions(p, *keys)
+     .write.partitionBy(p).parquet(f"{work}/merged"))
     if not partition_follows_key:
-        written = {r[0] for r in staged.select(p).distinct().collect()}
-        for v in set(values) - written:
-            _delete_partition(spark, path, p, v)
-    return batch.agg(F.count(F.lit(1)).alias("rows_upserted"),
-                     F.count_distinct(*[F.col(k) for k in keys]).alias("distinct_keys"))
-
-
-def _locate(stored: DataFrame, batch: DataFrame, keys: list[str], p: str) -> DataFrame:
-    """Partition values where the batch's keys are stored now (a narrow scan)."""
-    batch_keys = batch.select(*keys).distinct()
-    if len(keys) == 1:
-        few = [r[0] for r in batch_keys.limit(MAX_PUSHED_KEYS + 1).collect()]
-        if len(few) <= MAX_PUSHED_KEYS:
-            present = [k for k in few if k is not None]
-            return stored.filter(F.col(keys[0]).isin(present)).select(p)
-    return stored.select(*keys, p).join(batch_keys, keys, "left_semi").select(p)
-
-
-def _delete_partition(spark: SparkSession, path: str, column: str, value) -> None:
-    """Remove one partition directory (all its rows moved to other partitions)."""
-    name = "__HIVE_DEFAULT_PARTITION__" if value is None else str(value)
-    fs, hpath = _fs_path(spark, f"{path.rstrip('/')}/{column}={name}")
+        written = spark.read.schema(schema).parquet(f"{work}/merged").select(p).distinct()
+        (touched.join(written.withColumnRenamed(p, "__p"), F.col(p).eqNullSafe(F.col("__p")), "left_anti")
+         .select(F.coalesce(F.col(p).cast("string"), F.lit(NO_VALUE)).alias("value")).write.parquet(f"{work}/emptied"))
+    counts = batch.agg(F.count(F.lit(1)).alias("rows_upserted"),
+                       F.count_distinct(*[F.col(k) for k in keys]).alias("distinct_keys"),
+                       F.count_if(~_keys_present(keys)).alias("null_keys")).first()
+    fs, ready = _fs_path(spark, f"{work}/{READY}")
+    fs.create(ready).close()
+    finish_swaps(spark, path)
+    return spark.createDataFrame([counts])
+
+
+NO_VALUE = "__HIVE_DEFAULT_PARTITION__"     # fixed value: the folder name of a NULL partition
+
+
+def staging_root(path: str) -> str:
+    return f"{path.rstrip('/')}.staging"
+
+
+def _keys_present(keys: list[str]):
+    return reduce(lambda a, c: a & c, [F.col(k).isNotNull() for k in keys])
+
+
+def _in_partitions(stored: DataFrame, touched: DataFrame, p: str) -> DataFrame:
+    """Stored rows of the touched partitions; an equality join, so the scan prunes at run time."""
+    rows = stored.join(touched.where(F.col(p).isNotNull()), p, "left_semi").select(*stored.columns)
+    if touched.where(F.col(p).isNull()).isEmpty():
+        return rows
+    return rows.unionByName(stored.where(F.col(p).isNull()))
+
+
+def finish_swaps(spark: SparkSession, path: str) -> None:
+    """Move finished merges into place (again, if a driver died doing so) and drop the staging folders.
+
+    Each step can be repeated: a partition folder is replaced as long as its new one is still
+    in staging. Only folder names are handled here, never rows.
+    """
+    fs, root = _fs_path(spark, staging_root(path))
+    if not fs.exists(root):
+        return
+    for folder in [f.getPath().toString() for f in fs.listStatus(root)]:
+        if fs.exists(_fs_path(spark, f"{folder}/{READY}")[1]):
+            if fs.exists(_fs_path(spark, f"{folder}/emptied")[1]):
+                for row in spark.read.schema("value string").parquet(f"{folder}/emptied").toLocalIterator():
+                    _delete_partition(spark, path, _partition_column(fs, spark, path, folder), row["value"])
+            merged = _fs_path(spark, f"{folder}/merged")[1]
+            for part in [f.getPath() for f in fs.listStatus(merged) if f.isDirectory()]:
+                target = _fs_path(spark, f"{path.rstrip('/')}/{part.getName()}")[1]
+                if fs.exists(target):
+                    fs.delete(target, True)
+                if not fs.rename(part, target):
+                    raise OSError(f"cannot move {part.toString()} to {target.toString()}")
+        fs.delete(_fs_path(spark, folder)[1], True)
+    fs.delete(root, True)
+    spark.catalog.refreshByPath(path)
+
+
+def _partition_column(fs, spark: SparkSession, path: str, folder: str) -> str:
+    """Name of the partition column, from the folders of the table or of the merge."""
+    for place in (path, f"{folder}/merged"):
+        for f in fs.listStatus(_fs_path(spark, place)[1]):
+            if f.isDirectory() and "=" in f.getPath().getName():
+                return f.getPath().getName().split("=", 1)[0]
+    raise ValueError(f"no partition folders under {path}")
+
+
+def _delete_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
+    """Remove one partition folder (all its rows moved to other partitions)."""
+    fs, hpath = _fs_path(spark, f"{path.rstrip('/')}/{column}={value}")
     if fs.exists(hpath):
         fs.delete(hpath, True)

@@ -12,42 +12,25 @@ from pyspark.sql import DataFrame, SparkSession
 from squall.operators.ingest import ORDER_COLUMNS, normalise_incidents
 from squall.operators.upsert import merge_last_wins
 from squall.schemas import DRIVER_TABLES, RAW_INCIDENTS
-from squall.session import ensure_utc
+from squall.session import ensure_utc, plan_settings
 from squall.sources import adapters
 
 EVENT_COLUMNS = ["event_id", "ts", "user_id", "event_type", "value"]
 
 
-def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None,
-               spread: bool = True) -> DataFrame:
-    """Read a driver table (only ``columns``).
+def read_table(spark: SparkSession, sf_dir: str, name: str, columns: list[str] | None = None) -> DataFrame:
+    """Read a driver table (only ``columns``), for the registered queries.
 
-    ``spread``: when the scan has fewer input splits than the cluster has
-    cores (a small file is one split), rows are dealt round-robin over the
-    cores so the per-row payload work runs in parallel. Large inputs already
-    have many splits and are left as they are (no extra shuffle).
+    ``squall.deal`` in the session (the benchmark sets it) deals the rows over so many
+    partitions: the benchmark's tables are single splits.
     """
     ensure_utc(spark)
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    plan_settings(spark)
     schema = DRIVER_TABLES.get(name)
-    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(path)
-    if columns:
-        df = df.select(*columns)
-    if spread:
-        try:
-            cores = spark.sparkContext.defaultParallelism
-            key = (path, tuple(columns or ()), cores)
-            if key not in _SPLITS:  # a sizing hint only; a stale value cannot change results
-                _SPLITS[key] = df.rdd.getNumPartitions()
-            splits = _SPLITS[key]
-        except Exception:  # noqa: BLE001 - no RDD view on a remote session: leave as is
-            return df
-        if splits < cores:
-            df = df.repartition(cores)
-    return df
-
-
-_SPLITS: dict[tuple, int] = {}
+    df = (spark.read.schema(schema) if schema is not None else spark.read).parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    df = df.select(*columns) if columns else df
+    deal = spark.conf.get("squall.deal", None)
+    return df.repartition(int(deal)) if deal else df
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -111,7 +111,8 @@ def materialise(df: DataFrame, path: str, partition_by: list[str] | None = None,
     inside each file so min/max statistics prune range filters on those columns."""
     if sort_by:
         df = df.sortWithinPartitions(*sort_by)
-    w = df.write.mode("overwrite")
+    # Static: a partition that the new rows do not have goes, whatever the session's mode.
+    w = df.write.mode("overwrite").option("partitionOverwriteMode", "static")
     if partition_by:
         w = w.partitionBy(*partition_by)
     w.parquet(path)

@@ -8,17 +8,19 @@ or more operators of the library, and projects the result onto portable types
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from squall.functions import classify, geo, payload
 from squall.functions import timeutil as tu
 from squall.operators import export, filters, gaps, ingest, quality, runlog, upsert
-from squall.plans import datasets, models, requests
+from squall.plans import datasets, models, requests, runs
 from squall.plans.portable import to_portable
 from squall.schemas import RAW_INCIDENTS, RUN_STATUSES, WEATHER_CACHE
 from squall.session import scratch_path
-from squall.sources import adapters, landed
+from squall.sources import adapters, landed, tables
 from squall.streaming import ingest as stream_ingest
 
 
@@ -54,7 +56,7 @@ def join_weather_left(spark: SparkSession, sf_dir: str) -> DataFrame:
 def ingest_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every feature with an id, normalised (before last-wins)."""
     b = datasets.incident_batch(spark, sf_dir)
-    return to_portable(b.drop("raw"))
+    return to_portable(b.drop("raw", "landed_at"))
 
 
 def ingest_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -240,6 +242,13 @@ def plan_incident_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return requests.incident_days_with_landed(plan, feats)
 
 
+def plan_weather_force(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Force-mode weather requests: one per distinct grid point and day of the events."""
+    ev = datasets.events(spark, sf_dir)
+    points = adapters.incident_columns(ev).select(F.col("lat0").alias("lat"), F.col("lon0").alias("lon"), F.col("doc_day").alias("day"))
+    return to_portable(requests.weather_force_requests(points.where("lat is not null and lon is not null and lat <> 0")))
+
+
 def plan_weather_ranges(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bulk weather requests: one per missing range, with its URL."""
     return to_portable(requests.weather_plan(datasets.raw_incidents(spark, sf_dir),
@@ -349,7 +358,7 @@ def src_weather_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark, "landed-weather")
     landed.land_weather_documents(w, path, bad_time=(m % 17 == 0))
     hours = landed.weather_hours_from_documents(landed.read_weather_documents(spark, path))
-    return to_portable(hours.drop("doc_path", "idx"))
+    return to_portable(hours.drop("landed_at", "doc_path", "idx"))
 
 
 def stream_ingest_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -360,3 +369,79 @@ def stream_ingest_equals_batch(spark: SparkSession, sf_dir: str) -> DataFrame:
                                             files_per_trigger=10)
     q.awaitTermination()
     return to_portable(stream_ingest.read_table(spark, table).drop("raw", "inserted_at"))
+
+
+def _cut_days(name: str = "doc_day"):
+    return F.dayofmonth(name) % 3 == 1
+
+
+def ingest_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Accepted and rejected documents per landing day; every third day's are cut short."""
+    path = scratch_path(spark, "landed-cut")
+    landed.land_incident_documents(adapters.incident_features(datasets.events(spark, sf_dir)), path, cut=_cut_days())
+    return landed.document_account(landed.parsed_documents(landed.read_landed_text(spark, path)))
+
+
+def upsert_stored_reland(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land, ingest, land every second day again (fewer features, other positions and values), ingest, read the stored table."""
+    ev = datasets.events(spark, sf_dir)
+    root = scratch_path(spark, "reland")
+    landed.land_incident_documents(adapters.incident_features(ev), f"{root}/landed", load=1)
+    runs.ingest_incidents(spark, f"{root}/landed", f"{root}/raw", f"{root}/log")
+    again = ev.where((F.dayofmonth("ts") % 2 == 0) & (F.col("event_id") % 4 != 0)).withColumn("value", F.col("value") + 100)
+    landed.land_incident_documents(adapters.incident_features(again), f"{root}/landed", load=2)
+    runs.ingest_incidents(spark, f"{root}/landed", f"{root}/raw", f"{root}/log")
+    return models.staging(tables.read_raw_incidents(spark, f"{root}/raw")).select("event_id", "objectid", "fatalities")
+
+
+def upsert_stored_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Backfill the cache, land every second day again with other temperatures, backfill what is new, read the cache."""
+    w = datasets.weather_cache(spark, sf_dir)
+    root = scratch_path(spark, "reland-weather")
+    landed.land_weather_documents(w, f"{root}/landed", load=1)
+    runs.backfill_weather(spark, f"{root}/landed", f"{root}/cache", f"{root}/log")
+    again = w.where(F.dayofmonth("hour_utc") % 2 == 0).withColumn("temperature", (F.col("temperature") + 1).cast("float"))
+    landed.land_weather_documents(again, f"{root}/landed", load=2)
+    runs.backfill_weather(spark, f"{root}/landed", f"{root}/cache", f"{root}/log", since=1)
+    return to_portable(tables.read_weather_cache(spark, f"{root}/cache"))
+
+
+def _jobs(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, str]]:
+    """Landing, ingest, backfill and models on files; the folder and the models' paths."""
+    ev = datasets.events(spark, sf_dir)
+    root = scratch_path(spark, "jobs")
+    landed.land_incident_documents(adapters.incident_features(ev), f"{root}/landed/incidents")
+    landed.land_weather_documents(adapters.weather_hours(ev), f"{root}/landed/weather")
+    runs.ingest_incidents(spark, f"{root}/landed/incidents", f"{root}/raw", f"{root}/log")
+    runs.backfill_weather(spark, f"{root}/landed/weather", f"{root}/cache", f"{root}/log")
+    return root, runs.build_models(spark, f"{root}/raw", f"{root}/cache", f"{root}/models", f"{root}/log")
+
+
+def jobs_mart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored mart after the jobs ran on landed files."""
+    _, paths = _jobs(spark, sf_dir)
+    return to_portable(tables.read_model(spark, paths["fct_incidents_flat"]).drop("inserted_at"))
+
+
+def run_log_lifecycle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """State of every run after the jobs, one of which fails on rejected documents (ids and clocks left out)."""
+    root, _ = _jobs(spark, sf_dir)
+    landed.land_incident_documents(adapters.incident_features(datasets.events(spark, sf_dir)), f"{root}/cut", cut=_cut_days())
+    with contextlib.suppress(runs.RejectedDocuments):
+        runs.ingest_incidents(spark, f"{root}/cut", f"{root}/raw", f"{root}/log", triggered_by="check", strict=True)
+    state = tables.read_run_log(spark, f"{root}/log")
+    ended = (F.col("end_time") >= F.col("start_time")) & F.col("duration").isNotNull()
+    return state.select("pipeline_name", "status", "row_count", "triggered_by", ended.alias("ended"),
+                        F.col("error_message").isNotNull().alias("has_message"))
+
+
+def dq_report_faults(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The checks on rows with planted faults: NULL and repeated keys, bad and missing status values."""
+    ev = datasets.events(spark, sf_dir)
+    batch = datasets.incident_batch(spark, sf_dir).select(F.when(F.col("pos") % 13 != 0, F.col("event_id")).alias("event_id"))
+    status = (adapters.run_log_rows(ev).select(F.when(F.expr("cast(substr(run_id, 5) as bigint) % 17 = 0"), F.lit("lost"))
+                                               .when(F.expr("cast(substr(run_id, 5) as bigint) % 19 <> 0"), F.col("status")).alias("status")))
+    none = batch.where("false")
+    return quality.report([quality.key_checks(batch, "batch", ["event_id"]),
+                           quality.accepted_values(status, "run_log", "status", RUN_STATUSES),
+                           quality.non_empty(none, "empty"), quality.has_column(batch, "batch", "objectid")])

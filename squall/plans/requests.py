@@ -12,8 +12,8 @@ import datetime as _dt
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from squall.functions import geo, urls
 from squall.functions import timeutil as tu
-from squall.functions import urls
 from squall.operators import gaps
 from squall.operators.ingest import SOURCE_PAGE_LIMIT
 from squall.session import ensure_utc
@@ -53,15 +53,20 @@ def incident_days(start: DataFrame, end: str | None = None) -> DataFrame:
 
 
 def incident_days_with_landed(plan: DataFrame, features: DataFrame) -> DataFrame:
-    """Plan + how many features already landed per day (A5), and whether the
-    source may have cut the day at its page limit."""
+    """Plan + how many features already landed per day (A5), one row for each page to ask for.
+
+    A day whose landed features fill a page may have been cut by the source there: the
+    next page is planned too, with its offset in the URL.
+    """
     landed = features.groupBy(F.col("doc_day").alias("local_day")).agg(
         F.count(F.lit(1)).alias("n_landed"))
-    return (plan.join(landed, "local_day", "left")
-                .select("local_day", "where_clause", "url",
-                        F.coalesce("n_landed", F.lit(0)).alias("n_landed"),
-                        (F.coalesce("n_landed", F.lit(0)) >= SOURCE_PAGE_LIMIT)
-                        .alias("possibly_truncated")))
+    n = F.coalesce("n_landed", F.lit(0))
+    full = F.call_function("div", n, F.lit(SOURCE_PAGE_LIMIT))
+    pages = plan.join(landed, "local_day", "left").select(
+        "local_day", "where_clause", n.alias("n_landed"), (n >= SOURCE_PAGE_LIMIT).alias("possibly_truncated"),
+        F.explode(F.sequence(F.lit(0).cast("bigint"), full)).alias("page"))
+    return pages.select("local_day", "where_clause", urls.incident_url("local_day", F.col("page") * SOURCE_PAGE_LIMIT).alias("url"),
+                        "n_landed", "possibly_truncated", "page")
 
 
 def weather_requests(ranges: DataFrame) -> DataFrame:
@@ -74,12 +79,14 @@ def weather_plan(raw_incidents: DataFrame, weather_cache: DataFrame, exact: bool
     return weather_requests(gaps.missing_ranges(raw_incidents, weather_cache, exact))
 
 
+def weather_force_requests(points: DataFrame) -> DataFrame:
+    """Force mode: one request for each distinct (lat, lon, day), rounded to the grid."""
+    return weather_requests(points.select(
+        geo.grid_round("lat").alias("lat_r"), geo.grid_round("lon").alias("lon_r"),
+        F.col("day").cast("date").alias("start_date"), F.col("day").cast("date").alias("end_date")).distinct())
+
+
 def weather_force(spark: SparkSession, lat: float, lon: float, day: str) -> DataFrame:
-    """Force mode: one request for one grid point and day."""
-    from squall.functions import geo
-    row = spark.range(1).select(
-        geo.grid_round(F.lit(str(lat))).alias("lat_r"),
-        geo.grid_round(F.lit(str(lon))).alias("lon_r"),
-        F.lit(day).cast("date").alias("start_date"),
-        F.lit(day).cast("date").alias("end_date"))
-    return weather_requests(row)
+    """Force mode for one grid point and day."""
+    return weather_force_requests(spark.range(1).select(
+        F.lit(str(lat)).alias("lat"), F.lit(str(lon)).alias("lon"), F.lit(day).alias("day")))

@@ -13,7 +13,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from squall.operators import export
+from squall.operators import export, quality
 from squall.operators.runlog import DEFAULT_TRIGGER, run_logged
 from squall.operators.upsert import table_exists, upsert_table
 from squall.plans import models, requests
@@ -23,27 +23,46 @@ from squall.sources import landed, tables
 from squall.streaming.ingest import upsert_batch
 
 
+class RejectedDocuments(ValueError):
+    """Landed documents that could not be read, in strict mode."""
+
+
 def ingest_incidents(spark: SparkSession, landed_path: str, raw_path: str, run_log_path: str,
                      start_day: str | None = None, end_day: str | None = None,
                      triggered_by: str = DEFAULT_TRIGGER, lenient: bool = False,
-                     incremental: bool = False) -> DataFrame:
+                     incremental: bool = False, wholetext: bool = False, strict: bool = False) -> DataFrame:
     """Upsert every landed day in ``[start_day, end_day]`` (all days if unset).
 
     ``incremental=True`` without ``start_day`` resumes at the local day after the
     stored high-water mark (the project baseline when the table is empty), as
     the reference's fetcher does; only that one date reaches the driver.
-    Returns the batch counts (rows upserted incl. in-batch repeats, distinct keys)."""
+    Rejected documents are counted in the run's message; ``strict`` fails before
+    anything is written. ``wholetext`` for files of one document over several lines.
+    Returns the batch counts (rows upserted incl. in-batch repeats, distinct keys,
+    rows without key)."""
     ensure_utc(spark)
     with run_logged(spark, run_log_path, "tps_ingest", triggered_by) as ctx:
         if incremental and start_day is None:
             stored = tables.read_raw_incidents(spark, raw_path) if table_exists(spark, raw_path) else None
             start_day = requests.resolve_start(spark, None, stored).first()["start_day"].isoformat()
-        feats = landed.read_incident_documents(spark, landed_path, start_day, end_day)
-        counts = upsert_batch(spark, raw_path, feats, lenient=lenient).first()
+        parsed = landed.parsed_documents(landed.read_landed_text(spark, landed_path, start_day, end_day, wholetext))
+        ctx["message"] = _rejects(parsed, strict)
+        counts = upsert_batch(spark, raw_path, landed.documents_to_features(parsed), lenient=lenient).first()
         ctx["row_count"] = counts["rows_upserted"]
     return spark.createDataFrame([counts])
 
 
+def _rejects(parsed: DataFrame, strict: bool) -> str | None:
+    """One line on rejected documents, or None; an error in strict mode."""
+    by_reason = sorted((r[0], r[1]) for r in parsed.where("reason is not null").groupBy("reason").count().collect())
+    if not by_reason:
+        return None
+    text = "rejected documents: " + ", ".join(f"{n} {reason}" for reason, n in by_reason)
+    if strict:
+        raise RejectedDocuments(text)
+    return text
+
+
 def plan_weather(spark: SparkSession, raw_path: str, weather_path: str, exact: bool = False) -> DataFrame:
     """Requests still needed to cover every incident's (grid point, day)."""
     raw = tables.read_raw_incidents(spark, raw_path)
@@ -53,21 +72,32 @@ def plan_weather(spark: SparkSession, raw_path: str, weather_path: str, exact: b
 
 
 def backfill_weather(spark: SparkSession, landed_path: str, weather_path: str, run_log_path: str,
-                     triggered_by: str = DEFAULT_TRIGGER) -> DataFrame:
-    """Upsert all landed weather documents into the cache; where two documents
-    hold the same hour, the later path wins, then the later array entry."""
+                     triggered_by: str = DEFAULT_TRIGGER, since: int | None = None, multiline: bool = False,
+                     strict: bool = False) -> DataFrame:
+    """Upsert landed weather documents into the cache: all, or those landed after ``since``. Where two
+    documents hold the same hour, the one landed later wins, then the later array entry."""
     ensure_utc(spark)
     with run_logged(spark, run_log_path, "weather_cache", triggered_by) as ctx:
-        hours = landed.weather_hours_from_documents(landed.read_weather_documents(spark, landed_path))
+        ctx["message"] = _rejects(landed.parsed_weather_documents(spark, landed_path, multiline, since), strict)
+        hours = landed.weather_hours_from_documents(landed.read_weather_documents(spark, landed_path, multiline, since))
         counts = upsert_table(spark, weather_path, hours, WEATHER_CACHE, ["lat", "lon", "hour_utc"],
-                              ["doc_path", "idx"], tables.WEATHER_PARTITIONING).first()
+                              ["landed_at", "doc_path", "idx"], tables.WEATHER_PARTITIONING).first()
         ctx["row_count"] = counts["rows_upserted"]
     return spark.createDataFrame([counts])
 
 
-def build_models(spark: SparkSession, raw_path: str, weather_path: str, out_dir: str) -> dict[str, str]:
+class FailedChecks(ValueError):
+    """Model checks that did not pass."""
+
+
+def build_models(spark: SparkSession, raw_path: str, weather_path: str, out_dir: str,
+                 run_log_path: str | None = None, triggered_by: str = DEFAULT_TRIGGER) -> dict[str, str]:
     """Materialise the enriched model and the mart as full-refresh tables (K7);
-    staging stays a view (K6)."""
+    staging stays a view (K6). The models' checks run on what was written (D1, D2, D5);
+    a failing one is an error, logged if there is a run log."""
+    if run_log_path is not None:
+        with run_logged(spark, run_log_path, "build_models", triggered_by):
+            return build_models(spark, raw_path, weather_path, out_dir)
     ensure_utc(spark)
     raw = tables.read_raw_incidents(spark, raw_path)
     weather = tables.read_weather_cache(spark, weather_path)
@@ -78,6 +108,14 @@ def build_models(spark: SparkSession, raw_path: str, weather_path: str, out_dir:
                        sort_by=["occ_date_utc"])
     enriched = tables.read_model(spark, paths["int_enriched_incidents"])
     models.materialise(models.mart(enriched), paths["fct_incidents_flat"], sort_by=["occ_date_utc"])
+    marts = tables.read_model(spark, paths["fct_incidents_flat"])
+    checks = quality.report([quality.key_checks(stg, "stg_tps_incidents", ["event_id"]),
+                             quality.key_checks(enriched, "int_enriched_incidents", ["event_id"]),
+                             quality.key_checks(marts, "fct_incidents_flat", ["event_id"]),
+                             quality.non_empty(marts, "fct_incidents_flat")])
+    failed = [f"{r['model']}.{r['check']}({r['column']}): {r['failures']}" for r in checks.where("not passed").collect()]
+    if failed:
+        raise FailedChecks("; ".join(failed))
     return paths
 
 
@@ -85,7 +123,7 @@ def export_mart(spark: SparkSession, mart_path: str, out_path: str, run_log_path
                 triggered_by: str = DEFAULT_TRIGGER, single_file: bool = False) -> int:
     """Export the mart to CSV under the run log; returns the row count."""
     ensure_utc(spark)
-    with run_logged(spark, run_log_path, "mart_export", triggered_by) as ctx:
+    with run_logged(spark, run_log_path, "export_for_tableau", triggered_by) as ctx:
         mart = tables.read_model(spark, mart_path)
         export.write_csv(mart, out_path, single_file=single_file)
         ctx["row_count"] = mart.count()

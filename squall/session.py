@@ -34,9 +34,9 @@ DEFAULT_CONF = {
     "spark.python.sql.dataFrameDebugging.enabled": "false",
 }
 
-# Runtime SQL settings every entry point enforces on whatever session it gets.
-RUNTIME_CONF = {
-    "spark.sql.session.timeZone": UTC,
+# Optimiser settings that the wide payload plans of the registered queries are built for. The library
+# never sets them on a caller's session: ``build_session`` and the registered queries do.
+PLAN_CONF = {
     "spark.sql.constraintPropagation.enabled": "false",
     # A generated method above the JVM's 8000-byte JIT limit runs interpreted;
     # past this size Spark falls back to per-operator code, which is compiled.
@@ -64,8 +64,14 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 
 
 def ensure_utc(spark: SparkSession) -> None:
-    """Make the session zone UTC (and apply ``RUNTIME_CONF``); every entry point calls this."""
-    for k, v in RUNTIME_CONF.items():
+    """Make the session zone UTC; every entry point calls this. Nothing else is changed."""
+    if spark.conf.get("spark.sql.session.timeZone", None) != UTC:
+        spark.conf.set("spark.sql.session.timeZone", UTC)
+
+
+def plan_settings(spark: SparkSession) -> None:
+    """Set ``PLAN_CONF`` on a session that runs the registered queries."""
+    for k, v in PLAN_CONF.items():
         if spark.conf.get(k, None) != v:
             spark.conf.set(k, v)
 
@@ -76,8 +82,9 @@ _LOCAL_DIRS: dict[str, str] = {}
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the cluster's checkpoint directory.
 
-    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as
-    is. Only when it is unset (local runs, tests) do we create one.
+    On a cluster ``spark.checkpoint.dir`` names a shared folder and is used as is. Only a
+    local master may go without it (tests); then one temporary folder is made a process. A
+    cluster without it is an error: executors do not share a machine's folders.
     """
     try:
         sc = spark.sparkContext
@@ -87,7 +94,12 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return sc.getCheckpointDir()
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
-        conf_dir = _LOCAL_DIRS.setdefault("ckpt", tempfile.mkdtemp(prefix="squall-ckpt-"))
+        master = sc.master if sc is not None else spark.conf.get("spark.master", "")
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+        if "ckpt" not in _LOCAL_DIRS:
+            _LOCAL_DIRS["ckpt"] = tempfile.mkdtemp(prefix="squall-ckpt-")
+        conf_dir = _LOCAL_DIRS["ckpt"]
     if sc is None:
         return conf_dir
     sc.setCheckpointDir(conf_dir)

@@ -43,7 +43,7 @@ def incident_columns(events: DataFrame) -> DataFrame:
     return events.select(
         eid.alias("pos"),
         F.to_date("ts").alias("doc_day"),
-        eid.cast("int").alias("objectid"),
+        (eid % 2147483647).cast("int").alias("objectid"),
         F.when(eid % 97 == 0, F.lit(None).cast("string"))
          .when(eid % 10 == 1, F.concat(F.lit("GO-"), (eid - 1).cast("string")))
          .otherwise(F.concat(F.lit("GO-"), eid.cast("string"))).alias("event_unique_id"),
@@ -156,14 +156,14 @@ def weather_hours(events: DataFrame) -> DataFrame:
                 F.col("lon").cast(LAT_LON_CACHE).alias("lon"),
                 "hour_utc",
                 tu.utc_date("hour_utc").alias("date_utc"),
-                (F.col("m") % 40 - 15).cast("float").alias("temperature"),
-                ((F.col("m") % 7) * 0.5).cast("float").alias("precipitation"),
-                ((F.col("m") % 5) * 0.25).cast("float").alias("snowfall"),
+                ((F.col("m") % 400 - 150) / 10).cast("float").alias("temperature"),
+                ((F.col("m") % 7) / 10).cast("float").alias("precipitation"),
+                ((F.col("m") % 50) / 10000).cast("float").alias("snowfall"),
                 F.when(F.col("m") % 13 == 0, F.lit(None).cast("int"))
                  .otherwise((F.col("m") % 100).cast("int")).alias("weathercode"),
-                ((F.col("m") % 30) + 0.5).cast("float").alias("windspeed"),
+                ((F.col("m") % 300) / 10).cast("float").alias("windspeed"),
                 (F.col("m") % 101).cast("float").alias("cloudcover"),
-                (30 + F.col("m") % 70).cast("float").alias("humidity"),
+                (30 + (F.col("m") % 700) / 10).cast("float").alias("humidity"),
             ))
 
 

@@ -12,6 +12,8 @@ Partition columns are plain filters, so a day range prunes directories.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -27,7 +29,12 @@ DOC_SIZE = 1000
 
 # --- incidents -------------------------------------------------------------------
 
-def land_incident_documents(features: DataFrame, path: str) -> None:
+def _load_number(load: int | None) -> int:
+    """Number of a landing: epoch milliseconds of its start, so a later landing is greater."""
+    return int(time.time() * 1000) if load is None else load
+
+
+def land_incident_documents(features: DataFrame, path: str, load: int | None = None, cut=None) -> None:
     """Write features ``(doc_day, page, pos, feature)`` as documents of at
     most ``DOC_SIZE`` features, one group per (local day, page, pos / DOC_SIZE),
     replacing only the days written (K1).
@@ -35,16 +42,22 @@ def land_incident_documents(features: DataFrame, path: str) -> None:
     Every collect is bounded by ``DOC_SIZE`` whatever the input, and a hot day
     spreads over many groups. Order inside a document is restored with
     ``array_sort`` on the position; the reader rebuilds the position as
-    ``chunk * DOC_SIZE + index``, which keeps the order of the input.
+    ``chunk * DOC_SIZE + index``, which keeps the order of the input. All documents of
+    one call carry its ``load`` number (default: now): versions of a key compete by it first.
+
+    ``cut`` (a boolean Column over doc_day, page, chunk) truncates matching documents, to
+    exercise the reader's account of rejected ones.
     """
     ensure_utc(features.sparkSession)
     items = F.struct(F.col("pos"), F.to_json("feature").alias("js"))
     chunk = F.call_function("div", F.col("pos"), F.lit(DOC_SIZE)).cast("int")
     docs = (features.groupBy("doc_day", "page", chunk.alias("chunk"))
             .agg(F.array_sort(F.collect_list(items)).alias("items")))
-    text = F.concat(F.lit('{"page":'), F.col("page").cast("string"),
+    text = F.concat(F.lit(f'{{"load":{_load_number(load)},"page":'), F.col("page").cast("string"),
                     F.lit(',"chunk":'), F.col("chunk").cast("string"), F.lit(',"features":['),
                     F.array_join(F.transform("items", lambda x: x["js"]), ","), F.lit("]}"))
+    if cut is not None:
+        text = F.when(cut, F.substring(text, 1, 40)).otherwise(text)
     (docs.select(text.alias("value"),
                  F.date_format("doc_day", "yyyy").alias("year"),
                  F.date_format("doc_day", "MM").alias("month"),
@@ -53,12 +66,12 @@ def land_incident_documents(features: DataFrame, path: str) -> None:
      .partitionBy("year", "month", "day").text(path))
 
 
-def read_incident_documents(spark: SparkSession, path: str, start_day: str | None = None,
-                            end_day: str | None = None, wholetext: bool = False) -> DataFrame:
-    """Landed incident documents -> ``(doc_day, page, pos, feature VARIANT)``.
+def read_landed_text(spark: SparkSession, path: str, start_day: str | None = None, end_day: str | None = None,
+                     wholetext: bool = False) -> DataFrame:
+    """Landed lines (or whole files) with ``doc_day``, ``doc_path`` and the file's ``modified`` time.
 
-    ``start_day`` / ``end_day`` (inclusive local days) prune the
-    ``year/month/day`` directories before any file is opened.
+    ``start_day`` / ``end_day`` (inclusive local days) prune the ``year/month/day`` directories
+    before any file is opened.
     """
     ensure_utc(spark)
     raw = spark.read.text(path, wholetext=wholetext)
@@ -67,26 +80,66 @@ def read_incident_documents(spark: SparkSession, path: str, start_day: str | Non
         raw = raw.filter(day >= F.lit(start_day).cast("date"))
     if end_day is not None:
         raw = raw.filter(day <= F.lit(end_day).cast("date"))
-    return documents_to_features(raw, day)
+    return with_source(raw, day)
+
+
+def with_source(raw: DataFrame, day) -> DataFrame:
+    return raw.select("value", day.alias("doc_day"), F.col("_metadata.file_path").alias("doc_path"),
+                      F.unix_millis("_metadata.file_modification_time").alias("modified"))
+
+
+def parsed_documents(raw: DataFrame) -> DataFrame:
+    """Documents with ``reason``: why one is not accepted (NULL if it is). Blank lines are no documents.
+
+    ``landed_at`` is the landing's number, or the file's modification time where a document has none.
+    """
+    schema = T.StructType([*T._parse_datatype_string(INCIDENT_DOCUMENT_DDL).fields, T.StructField("load", T.LongType()),
+                           T.StructField("_corrupt", T.StringType())])
+    doc = F.from_json("value", schema, {"columnNameOfCorruptRecord": "_corrupt"})
+    reason = (F.when(F.col("doc").isNull() | F.col("doc._corrupt").isNotNull(), "unparsable")
+              .when(F.col("doc.features").isNull(), "no features"))
+    return (raw.where(F.trim("value") != "").withColumn("doc", doc)
+            .select("doc_day", "doc_path", F.coalesce("doc.load", "modified").alias("landed_at"), reason.alias("reason"), "doc"))
+
 
+def read_incident_documents(spark: SparkSession, path: str, start_day: str | None = None,
+                            end_day: str | None = None, wholetext: bool = False) -> DataFrame:
+    """Features of the accepted documents: ``(landed_at, doc_day, page, pos, feature VARIANT)``.
+
+    ``document_account`` tells what was not accepted.
+    """
+    return documents_to_features(parsed_documents(read_landed_text(spark, path, start_day, end_day, wholetext)))
 
-def documents_to_features(raw: DataFrame, day) -> DataFrame:
+
+def documents_to_features(parsed: DataFrame) -> DataFrame:
     """Documents -> features in source order: ``pos`` is the position in the
     page (``chunk * DOC_SIZE + index`` for documents split by the writer)."""
-    doc = F.from_json("value", INCIDENT_DOCUMENT_DDL)
-    parsed = raw.select(day.alias("doc_day"), doc.alias("doc")).filter(F.col("doc.features").isNotNull())
-    exploded = parsed.select("doc_day", F.coalesce(F.col("doc.page"), F.lit(0)).alias("page"),
-                             F.coalesce(F.col("doc.chunk"), F.lit(0)).alias("chunk"),
-                             F.posexplode("doc.features").alias("idx", "feature"))
-    return exploded.select("doc_day", "page",
-                           (F.col("chunk") * DOC_SIZE + F.col("idx")).alias("pos"), "feature")
+    exploded = parsed.where(F.col("reason").isNull()).select(
+        "landed_at", "doc_day", F.coalesce(F.col("doc.page"), F.lit(0)).alias("page"),
+        F.coalesce(F.col("doc.chunk"), F.lit(0)).alias("chunk"), F.posexplode("doc.features").alias("idx", "feature"))
+    return exploded.select("landed_at", "doc_day", "page",
+                           (F.col("chunk").cast("bigint") * DOC_SIZE + F.col("idx")).alias("pos"), "feature")
+
+
+def document_account(parsed: DataFrame) -> DataFrame:
+    """Per landing day: accepted and rejected documents, by reason."""
+    return (parsed.groupBy("doc_day")
+            .agg(F.count_if(F.col("reason").isNull()).alias("n_accepted"),
+                 F.count_if(F.col("reason") == "unparsable").alias("n_unparsable"),
+                 F.count_if(F.col("reason") == "no features").alias("n_no_features")))
+
+
+def rejected_documents(parsed: DataFrame) -> DataFrame:
+    """The documents that were not accepted: day, file and reason."""
+    return parsed.where(F.col("reason").isNotNull()).select("doc_day", "doc_path", "reason")
 
 
 # --- weather ---------------------------------------------------------------------
 
-def land_weather_documents(hours: DataFrame, path: str, bad_time=None) -> None:
+def land_weather_documents(hours: DataFrame, path: str, bad_time=None, load: int | None = None) -> None:
     """Write cache-shaped hourly rows as weather documents, one per (grid point,
     UTC day): parallel arrays ordered by hour (at most 24 entries each).
+    Only the landed (grid point, day) folders are replaced; documents carry the ``load`` number.
 
     ``bad_time`` (a boolean Column) replaces the time text of matching rows
     with a malformed value, to exercise the reader's row-dropping rule.
@@ -102,47 +155,67 @@ def land_weather_documents(hours: DataFrame, path: str, bad_time=None) -> None:
     def field(name):
         return F.transform("h", lambda x: x[name]).alias(name)
     hourly = F.struct(field("time"), *[field(k) for k in WEATHER_VARIABLES])
-    (docs.select(F.to_json(F.struct(hourly.alias("hourly"))).alias("value"),
+    number = F.lit(_load_number(load)).cast("bigint").alias("load")
+    (docs.select(F.to_json(F.struct(number, hourly.alias("hourly"))).alias("value"),
                  F.col("lat").cast("double").cast("string").alias("lat"),
-                 F.col("lon").cast("double").cast("string").alias("lon"))
-     .write.mode("overwrite").partitionBy("lat", "lon").text(path))
+                 F.col("lon").cast("double").cast("string").alias("lon"),
+                 F.col("date_utc").cast("string").alias("day"))
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("lat", "lon", "day").text(path))
+
 
+def parsed_weather_documents(spark: SparkSession, path: str, multiline: bool = False, since: int | None = None) -> DataFrame:
+    """Landed weather documents with the requested grid point from the path, and ``reason`` as for incidents.
 
-def read_weather_documents(spark: SparkSession, path: str, multiline: bool = False) -> DataFrame:
-    """Landed weather documents -> ``(lat, lon, hourly)`` with the requested grid
-    point from the path (S2, F5). One document per line by default (splittable);
-    ``multiline=True`` for pretty-printed files (one task per file)."""
+    One document per line by default (splittable); ``multiline=True`` for pretty-printed files (one
+    task per file). ``since``: only documents landed after this number.
+    """
     ensure_utc(spark)  # document times are UTC wall clocks
-    schema = T.StructType(list(WEATHER_DOCUMENT.fields) + [
-        T.StructField("lat", T.StringType(), True), T.StructField("lon", T.StringType(), True)])
-    docs = spark.read.schema(schema).option("multiLine", multiline).json(path)
-    return docs.filter(F.col("hourly").isNotNull()).select(
-        "lat", "lon", "hourly", F.col("_metadata.file_path").alias("doc_path"))
+    fields = [T.StructField("load", T.LongType()), *WEATHER_DOCUMENT.fields, T.StructField("_corrupt", T.StringType())]
+    grid = T.StructType([T.StructField("value", T.StringType()), T.StructField("lat", T.StringType()), T.StructField("lon", T.StringType())])
+    raw = spark.read.schema(grid).option("wholetext", multiline).text(path)
+    doc = F.from_json("value", T.StructType(fields), {"columnNameOfCorruptRecord": "_corrupt"})
+    reason = (F.when(F.col("doc").isNull() | F.col("doc._corrupt").isNotNull(), "unparsable")
+              .when(F.col("doc.hourly").isNull(), "no hours"))
+    parsed = (raw.select("value", "lat", "lon", F.col("_metadata.file_path").alias("doc_path"),
+                         F.unix_millis("_metadata.file_modification_time").alias("modified"))
+              .where(F.trim("value") != "").withColumn("doc", doc)
+              .select("lat", "lon", "doc_path", F.coalesce("doc.load", "modified").alias("landed_at"), reason.alias("reason"), "doc"))
+    return parsed if since is None else parsed.where(F.col("landed_at") > since)
+
+
+def read_weather_documents(spark: SparkSession, path: str, multiline: bool = False, since: int | None = None) -> DataFrame:
+    """Accepted weather documents -> ``(lat, lon, hourly, doc_path, landed_at)``."""
+    parsed = parsed_weather_documents(spark, path, multiline, since)
+    return parsed.where(F.col("reason").isNull()).select("lat", "lon", F.col("doc.hourly").alias("hourly"), "doc_path", "landed_at")
 
 
 def weather_hours_from_documents(docs: DataFrame) -> DataFrame:
     """Zip the parallel hourly arrays into cache rows.
 
-    Arrays of unequal length fail the job (the reference's index lookup raises);
-    a malformed time drops only its row. When the documents carry their path,
-    ``doc_path`` and the array index ``idx`` are kept as the upsert order (a
-    later document, then a later entry, wins).
+    ``time`` gives the rows: a document without it has none, longer arrays are cut to it, and a
+    shorter or missing one fails the job (the reference's index lookup raises). A malformed time
+    drops only its row. When the documents carry where they come from, ``landed_at``,
+    ``doc_path`` and the array index ``idx`` are kept as the upsert order (a later landing wins).
     """
     keys = list(WEATHER_VARIABLES)
-    sizes = [F.size(F.col(f"hourly.{k}")) for k in keys]
-    n = F.size("hourly.time")
-    same = None
-    for s in sizes:
-        same = (s == n) if same is None else (same & (s == n))
+    n = F.coalesce(F.size("hourly.time"), F.lit(0))
+    n = F.when(n < 0, 0).otherwise(n)
+    enough = n == 0
+    for_all = None
+    for k in keys:
+        ok = F.coalesce(F.size(F.col(f"hourly.{k}")) >= n, F.lit(False))
+        for_all = ok if for_all is None else (for_all & ok)
     checked = docs.withColumn(
-        "hourly", F.when(same, F.col("hourly")).otherwise(
-            F.raise_error(F.lit("weather arrays differ in length")).cast(docs.schema["hourly"].dataType)))
-    order = [c for c in ("doc_path",) if c in docs.columns]
+        "hourly", F.when(enough | for_all, F.col("hourly")).otherwise(
+            F.raise_error(F.lit("weather array shorter than its times")).cast(docs.schema["hourly"].dataType)))
+    cut = [F.slice(F.col(f"hourly.{k}"), F.lit(1), n).alias(k) for k in ["time"] + keys]
+    checked = checked.where(F.size("hourly.time") > 0)
+    order = [c for c in ("landed_at", "doc_path") if c in docs.columns]
     rows = checked.select(
         *order,
         geo.grid_round(F.col("lat")).cast(LAT_LON_CACHE).alias("lat"),
         geo.grid_round(F.col("lon")).cast(LAT_LON_CACHE).alias("lon"),
-        F.posexplode(F.arrays_zip(*[F.col(f"hourly.{k}").alias(k) for k in ["time"] + keys]))
+        F.posexplode(F.arrays_zip(*cut))
          .alias("idx", "z"))
     rows = rows.withColumn("hour_utc", F.try_to_timestamp("z.time")).filter(F.col("hour_utc").isNotNull())
     return rows.select(

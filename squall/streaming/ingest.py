@@ -3,9 +3,9 @@
 New landed day files are read as a file stream, each micro-batch is
 normalised with the batch code and upserted into the ``raw_incidents`` table
 (``foreachBatch``), and progress is kept in a checkpoint in the shared folder.
-The table stores each row's source order (landing day, page, position), and
-versions compete by that order, so replays after a failure and files that
-arrive out of order leave the same table as a single in-order batch load.
+The table stores each row's order (landing number, landing day, page, position), and
+versions compete by that order: what was landed later wins, also for a day that is fetched
+again, and replays after a failure or files read out of order leave the same table.
 The table is partitioned by occurrence month (``occ_month``, ``yyyy-MM``,
 NULL when undated): a micro-batch rewrites only the months its rows go to and
 the months its keys are found in now (a narrow key/partition scan).
@@ -22,12 +22,13 @@ from squall.operators.ingest import ORDER_COLUMNS, normalise_incidents
 from squall.operators.upsert import upsert_table
 from squall.schemas import RAW_INCIDENTS
 from squall.session import ensure_utc
-from squall.sources.landed import documents_to_features
+from squall.sources.landed import documents_to_features, parsed_documents, rejected_documents, with_source
 
 STREAM_TABLE = T.StructType(list(RAW_INCIDENTS.fields) + [
     T.StructField("doc_day", T.DateType(), True),
     T.StructField("page", T.IntegerType(), True),
-    T.StructField("pos", T.IntegerType(), True),
+    T.StructField("pos", T.LongType(), True),
+    T.StructField("landed_at", T.LongType(), True),
     T.StructField("occ_month", T.StringType(), True),
 ])
 PARTITIONING = ["occ_month"]
@@ -46,7 +47,7 @@ def upsert_batch(spark: SparkSession, table_path: str, features: DataFrame,
     ensure_utc(spark)
     rows = normalise_incidents(features, lenient=lenient).withColumns({
         "occ_month": F.date_format("occ_date_utc", "yyyy-MM"),
-        "pos": F.col("pos").cast("int")})
+        "pos": F.col("pos").cast("bigint")})
     return upsert_table(spark, table_path, rows, STREAM_TABLE, ["event_id"], list(ORDER_COLUMNS),
                         PARTITIONING, preserve=("inserted_at",), order_in_target=True,
                         partition_follows_key=False)
@@ -54,17 +55,24 @@ def upsert_batch(spark: SparkSession, table_path: str, features: DataFrame,
 
 def start_incident_stream(spark: SparkSession, landed_path: str, table_path: str,
                           checkpoint_path: str, files_per_trigger: int = 1,
-                          available_now: bool = True, lenient: bool = False) -> StreamingQuery:
-    """Start the stream; with ``available_now`` it drains what has landed and stops."""
+                          available_now: bool = True, lenient: bool = False, strict: bool = False,
+                          wholetext: bool = False) -> StreamingQuery:
+    """Start the stream; with ``available_now`` it drains what has landed and stops.
+
+    ``strict`` stops it at a rejected document; else ``landed.document_account`` over the landing
+    zone tells them. ``wholetext`` for files that hold one document over several lines.
+    """
     ensure_utc(spark)
     lines = (spark.readStream.schema(LANDED_TEXT)
-             .option("maxFilesPerTrigger", files_per_trigger).text(landed_path))
-    features = documents_to_features(lines, F.make_date("year", "month", "day"))
+             .option("maxFilesPerTrigger", files_per_trigger).option("wholetext", wholetext).text(landed_path))
+    parsed = parsed_documents(with_source(lines, F.make_date("year", "month", "day")))
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
-        upsert_batch(batch.sparkSession, table_path, batch, lenient)
+        if strict and not rejected_documents(batch).isEmpty():
+            raise ValueError("a landed document was rejected")
+        upsert_batch(batch.sparkSession, table_path, documents_to_features(batch), lenient)
 
-    writer = (features.writeStream.foreachBatch(each_batch)
+    writer = (parsed.writeStream.foreachBatch(each_batch)
               .option("checkpointLocation", checkpoint_path))
     writer = writer.trigger(availableNow=True) if available_now else writer.trigger(processingTime="1 minute")
     return writer.start()
