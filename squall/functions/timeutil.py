@@ -54,13 +54,6 @@ def local_wallclock_to_utc(local_ts, tz: str = LOCAL_TZ) -> Column:
     return F.when(F.from_utc_timestamp(later, tz) == local_ts, later).otherwise(earlier)
 
 
-def local_day_hour_to_utc(instant, hour, tz: str = LOCAL_TZ) -> Column:
-    """Local date of ``instant`` at ``hour``:00 local, as a UTC instant."""
-    local_midnight = F.date_trunc("day", F.from_utc_timestamp(_c(instant), tz))
-    local_ts = local_midnight + F.make_dt_interval(F.lit(0), _c(hour).cast("int"))
-    return local_wallclock_to_utc(local_ts, tz)
-
-
 def local_date_hour_to_utc(date, hour, tz: str = LOCAL_TZ) -> Column:
     """A local calendar date and an hour of that day to the UTC instant."""
     local_ts = _c(date).cast("timestamp") + F.make_dt_interval(F.lit(0), _c(hour).cast("int"))

@@ -52,17 +52,6 @@ WEATHER_CACHE = T.StructType([
     T.StructField("humidity", T.FloatType(), True),
 ])
 
-RUN_LOG = T.StructType([
-    T.StructField("run_id", T.StringType(), False),
-    T.StructField("pipeline_name", T.StringType(), False),
-    T.StructField("start_time", T.TimestampType(), True),
-    T.StructField("end_time", T.TimestampType(), True),
-    T.StructField("status", T.StringType(), True),
-    T.StructField("row_count", T.IntegerType(), True),
-    T.StructField("triggered_by", T.StringType(), True),
-    T.StructField("error_message", T.StringType(), True),
-])
-
 # Allowed run states.
 RUN_STATUSES = ("running", "success", "failure")
 

@@ -172,7 +172,7 @@ def parsed_weather_documents(spark: SparkSession, path: str, multiline: bool = F
     ensure_utc(spark)  # document times are UTC wall clocks
     fields = [T.StructField("load", T.LongType()), *WEATHER_DOCUMENT.fields, T.StructField("_corrupt", T.StringType())]
     grid = T.StructType([T.StructField("value", T.StringType()), T.StructField("lat", T.StringType()), T.StructField("lon", T.StringType())])
-    raw = spark.read.schema(grid).option("wholetext", multiline).text(path)
+    raw = spark.read.schema(grid).text(path, wholetext=multiline)
     doc = F.from_json("value", T.StructType(fields), {"columnNameOfCorruptRecord": "_corrupt"})
     reason = (F.when(F.col("doc").isNull() | F.col("doc._corrupt").isNotNull(), "unparsable")
               .when(F.col("doc.hourly").isNull(), "no hours"))

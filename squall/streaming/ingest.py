@@ -64,7 +64,7 @@ def start_incident_stream(spark: SparkSession, landed_path: str, table_path: str
     """
     ensure_utc(spark)
     lines = (spark.readStream.schema(LANDED_TEXT)
-             .option("maxFilesPerTrigger", files_per_trigger).option("wholetext", wholetext).text(landed_path))
+             .option("maxFilesPerTrigger", files_per_trigger).text(landed_path, wholetext=wholetext))
     parsed = parsed_documents(with_source(lines, F.make_date("year", "month", "day")))
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:

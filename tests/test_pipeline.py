@@ -15,38 +15,39 @@ from squall.streaming import ingest as stream_ingest
 
 
 def _landed_fixture(scratch):
-    return land_json(scratch, "year=2024/month=01/day=01", incident_fixture())
+    return land_json(scratch, "year=2024/month=01/day=18", incident_fixture())
 
 
-def test_reference_incident_fixture_normalises(spark, scratch):
+def test_incident_fixture_normalises(spark, scratch):
     feats = landed.read_incident_documents(spark, _landed_fixture(scratch), wholetext=True)
     rows = ingest.normalise_incidents(feats).orderBy("pos").collect()
     assert len(rows) == 3
-    assert [r.event_id for r in rows] == ["GO-1", "GO-2", "GO-3"]
-    assert [r.occ_date_utc for r in rows] == [datetime(2024, 1, 1, 14), datetime(2024, 1, 1, 17),
-                                              datetime(2024, 1, 1, 22)]
+    assert [r.event_id for r in rows] == ["T-704", "T-91", "T-5522"]
+    assert [r.occ_date_utc for r in rows] == [datetime(2024, 1, 18, 8), datetime(2024, 1, 18, 16),
+                                              datetime(2024, 1, 19, 3)]
     assert all(r.lat is not None and r.lon is not None and r.objectid for r in rows)
-    assert rows[0].doc_day == date(2024, 1, 1)
+    assert rows[0].doc_day == date(2024, 1, 18)
 
 
-def test_zero_coordinates_stored_null_and_still_counted(spark, scratch):
-    doc = {"features": [{"attributes": {"OBJECTID": 99, "EVENT_UNIQUE_ID": "GO-20240000099",
-                                        "LAT_WGS84": 0, "LONG_WGS84": 0},
-                         "geometry": {"x": None, "y": None}}]}
-    feats = landed.read_incident_documents(spark, land_json(scratch, "year=2024/month=01/day=02", doc))
-    rows = ingest.normalise_incidents(feats).collect()
-    assert len(rows) == 1 and rows[0].lat is None and rows[0].lon is None
-    assert rows[0].occ_date_utc is None
+def test_unusable_coordinates_stored_null_and_still_counted(spark, scratch):
+    def feature(event_id, lat, lon):
+        return {"attributes": {"EVENT_UNIQUE_ID": event_id, "LAT_WGS84": lat, "LONG_WGS84": lon}}
+
+    doc = {"features": [feature("T-1", 0.0, 0), feature("T-2", 43.71, None), feature("T-3", 0, -79.44), feature("T-4", "43.5", "-79.5")]}
+    feats = landed.read_incident_documents(spark, land_json(scratch, "year=2024/month=01/day=19", doc))
+    rows = {r.event_id: (r.lat, r.lon) for r in ingest.normalise_incidents(feats).collect()}
+    assert [k for k, v in rows.items() if v == (None, None)] == ["T-1", "T-2"]
+    assert (float(rows["T-3"][0]), float(rows["T-4"][0])) == (0.0, 43.5)
     c = ingest.ingest_counts(feats).first()
-    assert (c.n_features, c.n_upserted, c.n_null_coords, c.n_no_date) == (1, 1, 1, 1)
+    assert (c.n_features, c.n_upserted, c.n_null_coords, c.n_no_date) == (4, 4, 2, 4)
 
 
 def test_missing_id_skipped_and_bad_hour_strict(spark, scratch):
     doc = {"features": [{"attributes": {"OBJECTID": 1, "EVENT_UNIQUE_ID": ""}},
                         {"geometry": {"x": 1, "y": 2}},
-                        {"attributes": {"OBJECTID": 3, "EVENT_UNIQUE_ID": "GO-3",
+                        {"attributes": {"OBJECTID": 3, "EVENT_UNIQUE_ID": "T-5522",
                                         "OCC_DATE": 1704085200000, "OCC_HOUR": "NSA"}}]}
-    feats = landed.read_incident_documents(spark, land_json(scratch, "year=2024/month=01/day=03", doc))
+    feats = landed.read_incident_documents(spark, land_json(scratch, "year=2024/month=01/day=20", doc))
     c = ingest.ingest_counts(feats).first()
     assert (c.n_features, c.n_upserted, c.n_skipped_no_id) == (3, 1, 2)
     with pytest.raises(Exception):
@@ -65,21 +66,21 @@ def test_last_wins_in_batch_keeps_first_inserted_at(spark, scratch):
     stored = upsert.merge_last_wins(None, b1, ["event_id"], list(ingest.ORDER_COLUMNS),
                                     ("inserted_at",), _raw_schema_cols())
     # a later batch: the same key twice, the second copy wins
-    b2 = (b1.filter("event_id = 'GO-1'").withColumn("objectid", F.lit(7))
-          .unionByName(b1.filter("event_id = 'GO-1'").withColumn("objectid", F.lit(8))
+    b2 = (b1.filter("event_id = 'T-704'").withColumn("objectid", F.lit(7))
+          .unionByName(b1.filter("event_id = 'T-704'").withColumn("objectid", F.lit(8))
                        .withColumn("pos", F.col("pos") + 1))
           .withColumn("inserted_at", F.lit("2024-03-01 00:00:00").cast("timestamp")))
     out = {r.event_id: r for r in upsert.merge_last_wins(
         stored, b2, ["event_id"], list(ingest.ORDER_COLUMNS), ("inserted_at",),
         _raw_schema_cols()).collect()}
     assert len(out) == 3
-    assert out["GO-1"].objectid == 8
-    assert out["GO-1"].inserted_at == datetime(2024, 2, 1)
+    assert out["T-704"].objectid == 8
+    assert out["T-704"].inserted_at == datetime(2024, 2, 1)
 
 
 def test_upsert_table_idempotent_and_incremental(spark, scratch):
     root = os.path.join(scratch, "landed")
-    land_json(root, "year=2024/month=01/day=01", incident_fixture())
+    land_json(root, "year=2024/month=01/day=18", incident_fixture())
     table = os.path.join(scratch, "raw")
     feats = landed.read_incident_documents(spark, root)
     for _ in range(2):  # replaying the same batch changes nothing
@@ -88,17 +89,17 @@ def test_upsert_table_idempotent_and_incremental(spark, scratch):
     assert t.count() == 3
     first_inserted = {r.event_id: r.inserted_at for r in t.collect()}
     assert os.path.isdir(os.path.join(table, "occ_month=2024-01"))
-    # GO-2 is re-delivered on a later landing day with a March date: it moves
-    # from the January partition to March; January keeps GO-1 and GO-3.
+    # T-91 is re-delivered on a later landing day with a March date: it moves
+    # from the January partition to March; January keeps T-704 and T-5522.
     moved = {"features": [dict(incident_fixture()["features"][1])]}
     moved["features"][0]["attributes"] = dict(moved["features"][0]["attributes"],
                                               OCC_DATE=1709269200000, OBJECTID=42)
     root2 = land_json(os.path.join(scratch, "landed2"), "year=2024/month=03/day=01", moved)
     stream_ingest.upsert_batch(spark, table, landed.read_incident_documents(spark, root2))
     t = {r.event_id: r for r in spark.read.schema(stream_ingest.STREAM_TABLE).parquet(table).collect()}
-    assert len(t) == 3 and t["GO-2"].objectid == 42 and t["GO-2"].occ_month == "2024-03"
-    assert t["GO-2"].inserted_at == first_inserted["GO-2"]
-    assert {t["GO-1"].occ_month, t["GO-3"].occ_month} == {"2024-01"}
+    assert len(t) == 3 and t["T-91"].objectid == 42 and t["T-91"].occ_month == "2024-03"
+    assert t["T-91"].inserted_at == first_inserted["T-91"]
+    assert {t["T-704"].occ_month, t["T-5522"].occ_month} == {"2024-01"}
     # all of January's rows move: the January partition is removed
     all_moved = {"features": [dict(f, attributes=dict(f["attributes"], OCC_DATE=1709269200000))
                               for f in incident_fixture()["features"]]}
@@ -116,7 +117,7 @@ def test_weather_document_rows_and_upsert(spark, scratch):
     rows = hours.collect()
     assert len(rows) == 24
     assert all(float(r.lat) == 43.61 and float(r.lon) == -79.56 for r in rows)
-    assert {r.date_utc for r in rows} == {date(2024, 1, 1)}
+    assert {r.date_utc for r in rows} == {date(2024, 1, 18)}
     table = os.path.join(scratch, "weather_cache")
     for _ in range(2):
         upsert.upsert_table(spark, table, hours.withColumn("doc", F.lit(0)), WEATHER_CACHE,
@@ -136,7 +137,7 @@ def test_pretty_printed_documents(spark, scratch):
         json.dump(weather_fixture(), f, indent=2)
     docs = landed.read_weather_documents(spark, os.path.join(scratch, "wx"), multiline=True)
     assert landed.weather_hours_from_documents(docs).count() == 24
-    d = os.path.join(scratch, "inc", "year=2024", "month=01", "day=01")
+    d = os.path.join(scratch, "inc", "year=2024", "month=01", "day=18")
     os.makedirs(d)
     with open(os.path.join(d, "incidents.json"), "w") as f:
         json.dump(incident_fixture(), f, indent=2)
@@ -167,7 +168,7 @@ def test_gap_target_and_force_plan(spark, scratch):
     raw = _raw_from_fixture(spark, scratch)
     empty = spark.createDataFrame([], WEATHER_CACHE)
     ranges = gaps.missing_ranges(raw, empty).collect()
-    assert len(ranges) == 3 and all(r.start_date == date(2024, 1, 1) for r in ranges)
+    assert sorted(r.start_date for r in ranges) == [date(2024, 1, 18), date(2024, 1, 18), date(2024, 1, 19)]
     forced = requests.weather_force(spark, 43.61, -79.56, "2024-01-01").first()
     assert (float(forced.lat_r), float(forced.lon_r)) == (43.61, -79.56)
     assert "latitude=43.61&longitude=-79.56&start_date=2024-01-01&end_date=2024-01-01" in forced.url
@@ -229,13 +230,13 @@ def test_run_log_lifecycle(spark, scratch):
 def test_stream_equals_batch_with_overlapping_days(spark, scratch):
     root = os.path.join(scratch, "landed")
     fx = incident_fixture()
-    land_json(root, "year=2024/month=01/day=01", fx)
-    # a later day re-delivers GO-2 with a new hour; a third day adds GO-4
+    land_json(root, "year=2024/month=01/day=18", fx)
+    # a later day re-delivers T-91 with a new hour; a third day adds T-8
     day2 = {"features": [dict(fx["features"][1], attributes=dict(fx["features"][1]["attributes"], OCC_HOUR="20"))]}
-    land_json(root, "year=2024/month=01/day=02", day2)
+    land_json(root, "year=2024/month=01/day=19", day2)
     day3 = {"features": [dict(fx["features"][0], attributes=dict(fx["features"][0]["attributes"],
-                                                                 EVENT_UNIQUE_ID="GO-4"))]}
-    land_json(root, "year=2024/month=01/day=03", day3)
+                                                                 EVENT_UNIQUE_ID="T-8"))]}
+    land_json(root, "year=2024/month=01/day=20", day3)
     table = os.path.join(scratch, "stream_table")
     q = stream_ingest.start_incident_stream(spark, root, table, os.path.join(scratch, "ckpt"))
     q.awaitTermination()
@@ -244,7 +245,7 @@ def test_stream_equals_batch_with_overlapping_days(spark, scratch):
         None, ingest.normalise_incidents(landed.read_incident_documents(spark, root)), ["event_id"],
         list(ingest.ORDER_COLUMNS), ("inserted_at",), _raw_schema_cols()).collect()}
     assert streamed == batch
-    assert len(streamed) == 4 and streamed["GO-2"] == datetime(2024, 1, 2, 1)
+    assert len(streamed) == 4 and streamed["T-91"] == datetime(2024, 1, 19, 1)
 
 
 def test_key_checks_count_nulls_and_duplicate_keys(spark):
@@ -259,15 +260,15 @@ def test_csv_roundtrip_quotes_commas_and_newlines(spark, scratch):
     from pyspark.sql import types as T
     schema = T.StructType([T.StructField("event_id", T.StringType()), T.StructField("name", T.StringType()),
                            T.StructField("flag", T.BooleanType()), T.StructField("n", T.IntegerType())])
-    df = spark.createDataFrame([("GO-1", 'Yonge, "St." Clair', True, None),
-                                ("GO-2", "line one\nline two", None, 3)], schema)
+    df = spark.createDataFrame([("T-704", 'Yonge, "St." Clair', True, None),
+                                ("T-91", "line one\nline two", None, 3)], schema)
     out = os.path.join(scratch, "csv")
     export.write_csv(df, out)
     back = export.read_csv(spark, out, schema)
     # multi-line fields need the multiLine reader option
     back_ml = export.read_csv(spark, out, schema, multiline=True)
     assert sorted(map(tuple, back_ml.collect()), key=str) == sorted(map(tuple, df.collect()), key=str)
-    assert back.filter("event_id = 'GO-1'").first().name == 'Yonge, "St." Clair'
+    assert back.filter("event_id = 'T-704'").first().name == 'Yonge, "St." Clair'
 
 
 def test_day_at_the_source_page_limit_is_flagged(spark):

@@ -123,17 +123,31 @@ def test_weather_join_prunes_cache_days_dynamically(spark, scratch):
     assert j.filter(F.col("temperature").isNotNull()).count() == sum(1 for i in range(1000) if i % 24 <= 20)
 
 
-def test_small_batch_key_lookup_is_pushed_to_the_scan(spark, scratch):
-    from squall.operators.upsert import _locate
-    from squall.streaming.ingest import STREAM_TABLE
-    stored = spark.createDataFrame([], STREAM_TABLE)
-    batch = spark.createDataFrame([("GO-1",), ("GO-2",)], "event_id string")
-    path = os.path.join(scratch, "t")
-    stored.write.partitionBy("occ_month").parquet(path)
-    q = _locate(spark.read.schema(STREAM_TABLE).parquet(path), batch, ["event_id"], "occ_month")
-    plan = q._jdf.queryExecution().executedPlan().toString()
-    pushed = plan.split("PushedFilters: [", 1)[1]
-    assert pushed.startswith("In(event_id, [GO-1,GO-2])")
+def test_stored_files_are_in_key_order_and_months_prune(spark, scratch):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    from squall.plans import datasets
+    from squall.sources import tables
+    from squall.streaming import ingest as stream_ingest
+    from squall.sources import adapters
+    path = os.path.join(scratch, "raw")
+    feats = adapters.incident_features(datasets.events(spark, "/root/testdata/sf0.001"))
+    stream_ingest.upsert_batch(spark, path, feats)
+    files = glob.glob(f"{path}/occ_month=*/*.parquet")
+    for f in files:
+        ids = pq.read_table(f, columns=["event_id"], partitioning=None)["event_id"].to_pylist()
+        assert ids == sorted(ids)
+    months = {os.path.dirname(f) for f in files}
+    assert len(months) > 1 and len(files) <= 2 * len(months)
+    assert not os.path.exists(f"{path}.staging")
+    some = tables.read_raw_incidents(spark, path, "2024-01-08", "2024-01-15")
+    scan = spark.sparkContext._jvm.PythonSQLUtils.explainString(some._jdf.queryExecution(), "formatted")
+    assert "PartitionFilters: [isnotnull(occ_month" in scan
+    whole = tables.read_raw_incidents(spark, path)
+    want = whole.where("occ_date_utc >= timestamp'2024-01-08 05:00:00' and occ_date_utc < timestamp'2024-01-15 05:00:00'").count()
+    assert some.count() == want > 0
 
 
 def test_stored_payload_is_shredded_and_staging_reads_only_needed_fields(spark, scratch):
