@@ -22,36 +22,58 @@ def sides(n: int) -> tuple[int, int]:
     return a, max(1, -(-n // a))
 
 
-def once(x: Column, a: Column, b: Column, seed: str) -> Column:
+def _md5_bits(seed: str, turn: Column, value: Column) -> Column:
+    """48 pseudorandom bits that any SQL engine computes alike."""
+    bits = F.md5(F.concat(F.lit(f"{seed}:"), turn.cast("string"), F.lit(":"), value.cast("string")))
+    return F.conv(F.substring(bits, 1, 12), 16, 10).cast("long")
+
+
+def _xx_bits(seed: str, turn: Column, value: Column) -> Column:
+    """48 pseudorandom bits from Spark's own hash, many times cheaper."""
+    return F.xxhash64(F.lit(seed), turn, value).bitwiseAND(F.lit((1 << 48) - 1))
+
+
+def once(x: Column, a: Column, b: Column, seed: str, portable: bool = True) -> Column:
     """One pass over the whole domain; an even number of rounds keeps the halves' sides.
 
-    The rounds fold over a pair of halves, so no expression repeats another's work.
+    ``portable`` rounds use md5, others Spark's xxhash64.
     """
+    bits = _md5_bits if portable else _xx_bits
+    left, right = (x % a).cast("long"), ((x - x % a) / a).cast("long")
+
+    # The rounds fold over a pair of halves, so no expression repeats another's work.
     def mixed(halves: Column, turn: Column) -> Column:
-        bits = F.md5(F.concat(F.lit(f"{seed}:"), turn.cast("string"), F.lit(":"), halves["right"].cast("string")))
-        key = F.conv(F.substring(bits, 1, 12), 16, 10).cast("long")
         side = F.when(turn % 2 == 0, a).otherwise(b)
-        return F.struct(halves["right"].alias("left"), ((halves["left"] + key % side) % side).alias("right"))
+        return F.struct(halves["right"].alias("left"), ((halves["left"] + bits(seed, turn, halves["right"]) % side) % side).alias("right"))
 
-    start = F.struct((x % a).cast("long").alias("left"), ((x - x % a) / a).cast("long").alias("right"))
+    start = F.struct(left.alias("left"), right.alias("right"))
     return F.aggregate(F.array(*(F.lit(t) for t in range(ROUNDS))), start, mixed, lambda h: a * h["right"] + h["left"])
 
 
-def longest_walk(outside: DataFrame, seed: str) -> int:
-    """How often a result can be out of range: follows the rows (x, n, a, b) with n <= x < a * b."""
-    depth, rows = 0, outside.select("x", "n", "a", "b")
-    while not rows.isEmpty():
-        depth += 1
-        rows = rows.withColumn("x", once(F.col("x"), F.col("a"), F.col("b"), seed)).where("x >= n")
-    return depth
+def longest_walk(outside: DataFrame, seed: str, portable: bool = True) -> int:
+    """How often a result can be out of range: follows the rows (x, n, a, b) with n <= x < a * b, in one job."""
+    n, a, b = F.col("n"), F.col("a"), F.col("b")
+
+    def step(s: Column, _: Column) -> Column:
+        on = F.struct(once(s["y"], a, b, seed, portable).alias("y"), (s["steps"] + 1).alias("steps"))
+        return F.when(s["y"] >= n, on).otherwise(s)
+
+    most = 64
+    while True:
+        start = F.struct(F.col("x").cast("long").alias("y"), F.lit(0).alias("steps"))
+        walked = F.aggregate(F.sequence(F.lit(1), F.lit(most)), start, step)
+        row = outside.select(walked.alias("w"), "n").agg(F.max("w.steps"), F.max(F.col("w.y") >= n)).first()
+        if not row[1]:
+            return row[0] or 0
+        most *= 4
 
 
-def permuted(x: Column, n: Column, a: Column, b: Column, seed: str, depth: int) -> Column:
+def permuted(x: Column, n: Column, a: Column, b: Column, seed: str, depth: int, portable: bool = True) -> Column:
     """The permutation's value at ``x``; ``depth`` from ``longest_walk``."""
-    y = once(x, a, b, seed)
+    y = once(x, a, b, seed, portable)
     if not depth:
         return y
-    return F.aggregate(F.array(*(F.lit(t) for t in range(depth))), y, lambda y, _: F.when(y >= n, once(y, a, b, seed)).otherwise(y))
+    return F.aggregate(F.array(*(F.lit(t) for t in range(depth))), y, lambda y, _: F.when(y >= n, once(y, a, b, seed, portable)).otherwise(y))
 
 
 def shuffled(df: DataFrame, x: str, out: str, n: int, seed: str) -> DataFrame:

@@ -39,6 +39,7 @@ SHARE = 1.5           # words of the mix / words of all sources
 MOST = 2.0            # words taken / words of a source, at most
 WEIGHTS = (5, 2, 1)
 BUCKET_ROWS = 200_000  # documents whose positions are summed by one task, about
+SLOT_ROWS = 200_000      # slots that one task fills, about
 MAX_DRAWS = 4_000_000
 SEED = "mix"
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
@@ -129,8 +130,11 @@ class Mix:
         return (docs.withColumn("block", block)
                 .select("src", "block", "row", "doc_id", "mark", (from_ - F.col("at")).alias("word"), (to - from_).alias("n")))
 
-    def slots(self) -> DataFrame:
-        """The mix: (shard, slot, src, block), one row for each slot."""
+    def slots(self, placed: bool = True) -> DataFrame:
+        """The mix: (shard, slot, src, block), one row for each slot.
+
+        Without ``placed`` a shard's slots stand in the order of its sources, which is enough to count blocks.
+        """
         spark = self.sources.sparkSession
         per = self.counts.sum(axis=1)
         k0 = np.cumsum(self.counts, axis=0) - self.counts
@@ -139,13 +143,16 @@ class Mix:
         drawn = spark.createDataFrame([(*r, *feistel.sides(r[2])) for r in rows],
                                       "shard int, base long, n long, upto array<long>, shift array<long>, sa long, sb long").coalesce(1)
         size = max(1, int(per.max()))
-        slots = spark.range(self.total).withColumn("shard", F.floor(F.col("id") / size).cast("int"))
+        slots = spark.range(0, self.total, 1, 1 + self.total // SLOT_ROWS).withColumn("shard", F.floor(F.col("id") / size).cast("int"))
         slots = slots.join(F.broadcast(drawn), "shard").withColumn("slot", F.col("id") - F.col("base"))
-        # A shard's slots take its draws in shuffled order.
-        outside = (drawn.select("n", F.col("sa").alias("a"), F.col("sb").alias("b")).distinct().where("n > 0 and a * b > n")
-                   .select("*", F.explode(F.expr("sequence(n, a * b - 1)")).alias("x")))
-        walk = feistel.longest_walk(outside, f"{self.seed}-slot")
-        slots = slots.withColumn("turn", feistel.permuted(F.col("slot"), F.col("n"), F.col("sa"), F.col("sb"), f"{self.seed}-slot", walk))
+        turn = F.col("slot")
+        if placed:
+            # A shard's slots take its draws in shuffled order.
+            outside = (drawn.select("n", F.col("sa").alias("a"), F.col("sb").alias("b")).distinct().where("n > 0 and a * b > n")
+                       .select("*", F.explode(F.expr("sequence(n, a * b - 1)")).alias("x")))
+            walk = feistel.longest_walk(outside, f"{self.seed}-slot", portable=False)
+            turn = feistel.permuted(turn, F.col("n"), F.col("sa"), F.col("sb"), f"{self.seed}-slot", walk, portable=False)
+        slots = slots.withColumn("turn", turn)
         src = F.size(F.filter("upto", lambda c: c <= F.col("turn")))
         slots = slots.withColumn("src", src.cast("long")).withColumn("k", F.col("turn") + F.expr("shift[cast(src as int)]"))
         slots = slots.join(F.broadcast(self.sources.select("src", "blocks", "a", "b")), "src")
@@ -155,8 +162,8 @@ class Mix:
         slots = slots.withColumn("x", (F.col("k") + turned) % F.col("blocks"))
         outside = (self.sources.where("blocks > 0 and a * b > blocks")
                    .select(F.col("blocks").alias("n"), "a", "b", F.explode(F.expr("sequence(blocks, a * b - 1)")).alias("x")))
-        depth = feistel.longest_walk(outside, self.seed)
-        return slots.select("shard", "slot", "src", feistel.permuted(F.col("x"), F.col("blocks"), F.col("a"), F.col("b"), self.seed, depth).alias("block"))
+        depth = feistel.longest_walk(outside, self.seed, portable=False)
+        return slots.select("shard", "slot", "src", feistel.permuted(F.col("x"), F.col("blocks"), F.col("a"), F.col("b"), self.seed, depth, portable=False).alias("block"))
 
     def mixed(self) -> DataFrame:
         """The mix's content: slots joined with their blocks' document parts."""
@@ -170,7 +177,7 @@ class Mix:
 
     def used(self) -> DataFrame:
         """The documents' parts with how often the mix takes them."""
-        uses = self.slots().groupBy("src", "block").agg(F.count("*").alias("uses"))
+        uses = self.slots(placed=False).groupBy("src", "block").agg(F.count("*").alias("uses"))
         return self.pieces().join(uses, ["src", "block"])
 
 
