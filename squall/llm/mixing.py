@@ -38,7 +38,7 @@ OUT_SHARDS = 64
 SHARE = 1.5           # words of the mix / words of all sources
 MOST = 2.0            # words taken / words of a source, at most
 WEIGHTS = (5, 2, 1)
-BUCKET_ROWS = 200_000  # documents whose positions are summed by one task, about
+BUCKET_ROWS = 2_000      # documents whose positions are summed together, about
 SLOT_ROWS = 200_000      # slots that one task fills, about
 MAX_DRAWS = 4_000_000
 SEED = "mix"
