@@ -1,12 +1,5 @@
 import pytest
 
-from squall.session import build_session
-
-
-@pytest.fixture(scope="session")
-def spark():
-    return build_session(master="local[4]", shuffle_partitions=4)
-
 
 @pytest.fixture
 def documents(spark):
