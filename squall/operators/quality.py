@@ -32,23 +32,23 @@ def unique(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
 
 
 def key_checks(df: DataFrame, model: str, columns: list[str]) -> DataFrame:
-    """``not_null`` and ``unique`` of a key from one grouped aggregate (two report rows).
+    """``not_null`` of each key column and ``unique`` of the key from one grouped aggregate.
 
-    Rows are counted per key (map-side partial counts, one shuffle); NULL keys
-    form their own groups, so both checks read the same small per-key table.
+    Rows are counted per key (map-side partial counts, one shuffle); keys with a NULL
+    form their own groups, so all checks read the same small per-key table.
     """
-    null_key = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in columns])
-    per_key = df.groupBy(*columns).count().select(null_key.alias("null_key"), "count")
-    totals = per_key.agg(
-        F.coalesce(F.sum(F.when(F.col("null_key"), F.col("count"))), F.lit(0)).cast("bigint").alias("n"),
-        F.count_if(~F.col("null_key") & (F.col("count") > 1)).cast("bigint").alias("d"))
-    col = ",".join(columns)
-    rows = F.array(
-        F.struct(F.lit("not_null").alias("check"), F.col("n").alias("failures")),
-        F.struct(F.lit("unique").alias("check"), F.col("d").alias("failures")))
+    whole = reduce(lambda a, b: a & b, [F.col(c).isNotNull() for c in columns])
+    per_key = df.groupBy(*columns).count()
+    nulls = [F.coalesce(F.sum(F.when(F.col(c).isNull(), F.col("count"))), F.lit(0)).cast("bigint").alias(f"n{i}")
+             for i, c in enumerate(columns)]
+    totals = per_key.agg(*nulls, F.count_if(whole & (F.col("count") > 1)).cast("bigint").alias("d"))
+
+    def row(check: str, column: str, failures: str):
+        return F.struct(F.lit(check).alias("check"), F.lit(column).alias("column"), F.col(failures).alias("failures"))
+
+    rows = F.array(*[row("not_null", c, f"n{i}") for i, c in enumerate(columns)], row("unique", ",".join(columns), "d"))
     return totals.select(F.inline(rows)).select(
-        F.lit(model).alias("model"), "check", F.lit(col).alias("column"), "failures",
-        (F.col("failures") == 0).alias("passed"))
+        F.lit(model).alias("model"), "check", "column", "failures", (F.col("failures") == 0).alias("passed"))
 
 
 def accepted_values(df: DataFrame, model: str, column: str, values) -> DataFrame:

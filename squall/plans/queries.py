@@ -299,8 +299,7 @@ def dq_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         checks.append(quality.key_checks(df, name, ["event_id"]))
     checks += [quality.non_empty(mart, "fct_incidents_flat"),
                quality.has_column(mart, "fct_incidents_flat", "event_id")]
-    checks += [quality.not_null(weather, "weather_cache", c) for c in ("lat", "lon", "hour_utc")]
-    checks += [quality.unique(weather, "weather_cache", ["lat", "lon", "hour_utc"]),
+    checks += [quality.key_checks(weather, "weather_cache", ["lat", "lon", "hour_utc"]),
                quality.accepted_values(state, "run_log", "status", RUN_STATUSES)]
     return quality.report(checks)
 
