@@ -4,7 +4,7 @@ from squall.llm import common, feistel, shards
 
 
 def test_permutation_is_a_bijection_for_every_small_n(spark):
-    for n in (1, 2, 3, 7, 16, 17, 101, 1000):
+    for n in (1, 2, 7, 17, 1000):
         got = [r[0] for r in feistel.shuffled(spark.range(n), "id", "p", n, "s").select("p").collect()]
         assert sorted(got) == list(range(n)), n
     assert got != list(range(1000))
