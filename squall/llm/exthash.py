@@ -90,7 +90,7 @@ def duplicates(docs: DataFrame, capacity: int = CAPACITY, key_bits: int = KEY_BI
     key = F.xxhash64(text).bitwiseAND(F.lit(-1 << (64 - key_bits)))
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
     rows = common.stored(docs.select("doc_id", key.alias("key"), F.sha2("text", 256).alias("sha")), "exact-rows")
-    left = rows.select("key", "doc_id")
+    left = rows.select("key", "sha", "doc_id")
     found = []
     for link in count():
         heads = common.stored(left.groupBy("key").agg(F.max("doc_id").alias("head"), F.count("*").alias("c")), "exact-heads")
@@ -101,7 +101,8 @@ def duplicates(docs: DataFrame, capacity: int = CAPACITY, key_bits: int = KEY_BI
         repeated = index.where("c > 1" if link == 0 else "true").select("key", "head")
         texts = docs.withColumn("key", key)
         if link:
-            texts = texts.join(left, ["key", "doc_id"], "left_semi")
+            texts = (texts.withColumn("sha", F.sha2("text", 256))
+                     .join(left.select("key", "sha").distinct(), ["key", "sha"], "left_semi").drop("sha"))
         members = texts.join(repeated, "key")
         chained = members.where(F.col("doc_id").eqNullSafe(F.col("head"))).groupBy("key").agg(F.min("text").alias("head_text"))
         compared = common.stored(members.join(chained, "key").select("key", "doc_id", "head", (F.col("text") == F.col("head_text")).alias("same"),
@@ -109,7 +110,7 @@ def duplicates(docs: DataFrame, capacity: int = CAPACITY, key_bits: int = KEY_BI
         same = compared.where("same")
         sizes = same.groupBy("key").agg(F.count("*").alias("group_size"))
         found.append(same.join(sizes, "key").select("doc_id", F.col("head").alias("keep_id"), "group_size", "sha"))
-        left = compared.where("not same").select("key", "doc_id").distinct()
+        left = compared.where("not same").select("key", "sha", "doc_id")
         if left.isEmpty():
             break
     out = found[0]
