@@ -33,6 +33,7 @@ import re
 import zlib
 from array import array
 from functools import partial
+from itertools import filterfalse, islice
 
 import numpy as np
 import pyarrow as pa
@@ -47,12 +48,14 @@ BLOCK = 1 << 16
 LEVEL = 3
 # The white space that ends a piece of the vocabulary's own splitting pattern (Unicode White_Space).
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
-_IRREGULAR = re.compile(f"[ \\n][ \\n]|[\\t\\x0b-\\r\\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000]")
+_OTHER_SPACE = "\t\x0b\x0c\r\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
+_PAIRS = ("  ", " \n", "\n ", "\n\n")
 # The vocabulary's splitting pattern inside words, and its letters for bytes (printable Latin-1
 # characters stand for themselves, the other bytes for the characters from 256 on, in order).
-_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+")
+_PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^ \p{L}\p{N}]+")
 _SELF = [*range(33, 127), *range(161, 173), *range(174, 256)]
 _ALPHABET = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _SELF)}
+_SPACE_LETTER = _ALPHABET[0x20]
 _PIECE = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
 
 CHUNK = ("shard int, chunk int, first long, n_ids int, kind string, plane_bytes array<int>, planes binary, "
@@ -65,12 +68,13 @@ class Encoder:
     The vocabulary's splitting pattern never joins characters across the start of a single
     space or around a single line feed between other characters, so the ids of a text are
     those of its words, each with the space before it, in order. Words not yet known are cut
-    by the pattern, and the library's model encodes the parts not yet known. Texts with other white space are cut by that pattern's
-    white-space rules; texts with an added token's string are encoded whole. The
-    memory is emptied when full.
+    by the pattern, and the library's model encodes the parts not yet known. Texts with other
+    white space are cut by that pattern's white-space rules; texts with an added token's
+    string are encoded whole. Words are remembered in two generations: when the younger
+    is full it becomes the older, and words used again move on.
     """
 
-    LIMIT = 900_000
+    LIMIT = 500_000       # words in a generation
 
     def __init__(self, path: str):
         import os
@@ -83,47 +87,69 @@ class Encoder:
         self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self._line, space = self._raw(["\n", " "])
         self._fixed = {True: {"": space}, False: {"": b""}}
-        self._forget()
-
-    def _forget(self) -> None:
-        self.known = {k: dict(v) for k, v in self._fixed.items()}     # words after a space, and others
-        self.parts: dict[str, bytes] = {}                             # letters, digits or signs in a row
+        self.known = self.older = {k: dict(v) for k, v in self._fixed.items()}     # after a space, and others
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         return [array("I", e.ids).tobytes() for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, words: list[str], spaced: bool) -> None:
-        lead, table, parts = " " * spaced, self.known[spaced], self.parts
-        cut = {w: _PARTS.findall(lead + w) for w in words}
-        new = list({p for ps in cut.values() for p in ps if p not in parts})
-        spelt = [p.encode().decode("latin-1").translate(_ALPHABET) for p in new]
-        for p, e in zip(new, self.model.encode_batch_fast(spelt, add_special_tokens=False)):
-            parts[p] = array("I", e.ids).tobytes()
-        for w, ps in cut.items():
-            table[w] = parts[ps[0]] if len(ps) == 1 else b"".join([parts[p] for p in ps])
+    def _learn(self, missing: dict[bool, set[str]]) -> None:
+        """Know the words of both kinds. A part of a word is known like a word of its own."""
+        new: list[tuple[bool, str]] = []
+        cut: list[tuple[bool, str, list[tuple[bool, str]]]] = []
+        for spaced, words in missing.items():
+            known, older = self.known[spaced], self.older[spaced]
+            for w in words:
+                if w in older:
+                    known[w] = older[w]
+                elif w.isalpha():                     # one part
+                    new.append((spaced, w))
+                else:
+                    parts = [(p[0] == " ", p.lstrip(" ")) for p in _PARTS.findall(" " * spaced + w)]
+                    if parts == [(spaced, w)]:
+                        new.append((spaced, w))
+                    else:
+                        cut.append((spaced, w, parts))
+        asked = set(new)
+        for part in {p for _, _, parts in cut for p in parts}:
+            spaced, w = part
+            if part not in asked and w not in self.known[spaced]:
+                if w in self.older[spaced]:
+                    self.known[spaced][w] = self.older[spaced][w]
+                else:
+                    new.append(part)
+        spelt = [_SPACE_LETTER * spaced + (w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(_ALPHABET)) for spaced, w in new]
+        for (spaced, w), e in zip(new, self.model.encode_batch_fast(spelt, add_special_tokens=False)):
+            self.known[spaced][w] = array("I", e.ids).tobytes()
+        for spaced, w, parts in cut:
+            self.known[spaced][w] = b"".join([self.known[s][p] for s, p in parts])
 
     def _pieces(self, text: str) -> bytes:
         return b"".join(self._raw(_PIECE.findall(text))) if text else b""
 
+    def _regular(self, text: str) -> bool:
+        """Only single spaces and single line feeds between other characters, and no added token."""
+        return not (any(pair in text for pair in _PAIRS) or any(c in text for c in _OTHER_SPACE) or any(t in text for t in self.added))
+
     def __call__(self, texts: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
         if sum(map(len, self.known.values())) > self.LIMIT:
-            self._forget()
-        lines = [None if any(a in t for a in self.added) or _IRREGULAR.search(t) else [x.split(" ") for x in t.split("\n")] for t in texts]
-        regular = [x for x in lines if x is not None]
-        first, rest = {x[0] for ls in regular for x in ls}, set()
-        for ls in regular:
-            for x in ls:
-                rest.update(x[1:])
-        self._learn([w for w in first if w not in self.known[False]], False)
-        self._learn([w for w in rest if w not in self.known[True]], True)
+            self.older, self.known = self.known, {k: dict(v) for k, v in self._fixed.items()}
+        lines = [[x.split(" ") for x in t.split("\n")] if self._regular(t) else None for t in texts]
+        missing: dict[bool, set[str]] = {True: set(), False: set()}
+        has, miss = self.known[True].__contains__, missing[True].update
+        for ls in lines:
+            for x in ls or ():
+                if x[0] not in self.known[False]:
+                    missing[False].add(x[0])
+                miss(filterfalse(has, islice(x, 1, None)))
+        self._learn(missing)
         bare, after = self.known[False].__getitem__, self.known[True].__getitem__
         out = []
         for text, ls in zip(texts, lines):
             if ls is None:
                 out.append(self._raw([text])[0] if any(a in text for a in self.added) else self._pieces(text))
             else:
-                out.append(self._line.join([bare(x[0]) + b"".join(map(after, x[1:])) for x in ls]))
+                out.append(self._line.join([bare(x[0]) + b"".join(map(after, islice(x, 1, None))) for x in ls]))
         return out
 
 
