@@ -14,8 +14,9 @@ def corpus(spark, documents):
     for i in range(60):
         lang = "en" if i % 2 else "es"
         rows.append((i, " ".join("".join(g.choice(parts[lang]) for _ in range(g.randint(1, 3))) for _ in range(g.randint(30, 120))), lang, f"s{i % 3}"))
+    own = " ".join("".join(g.choice(parts["en"]) for _ in range(3)) for _ in range(50))
     rows += [(100, rows[3][1], "en", "s0"), (101, rows[3][1] + " more", "en", "s1"), (102, "12345 678 ...", "en", "s1"), (103, None, None, None),
-             (104, rows[5][1] + " " + item, "en", "s2"), (105, "дом и сад " * 20, None, "s2")]
+             (104, own + " " + item, "en", "s2"), (105, "дом и сад " * 20, None, "s2")]
     return documents(rows), spark.createDataFrame([(1, item)], "item_id long, text string")
 
 
