@@ -53,7 +53,7 @@ def op7_bootstrapped_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_perspective_chats(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return perspectives.rotate(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+    return perspectives.rotate(spark.read.parquet(f"{sf_dir}/conversations.parquet"), everyone=True)
 
 
 def op9_block_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

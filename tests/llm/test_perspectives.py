@@ -2,6 +2,7 @@ import random
 from collections import defaultdict
 
 from squall.llm import perspectives
+from squall.llm import queries as Q
 
 
 def brute(rows, part_turns):
@@ -41,3 +42,16 @@ def test_mask_covers_the_speakers_words_only(spark):
     for r in perspectives.rotate(df).collect():
         a, b = map(int, r["mask"].split(":"))
         assert r["rendered"][a:b] == {"ann": "hello", "bob": "hey"}[r["speaker"]] + "<|im_end|>"
+
+
+def test_the_query_renders_the_whole_dialogue_for_every_participant(spark, tmp_path):
+    rows = [(1, 0, "ann", "hello"), (1, 1, "system", "note")] + [(1, i, "bob", f"turn {i}") for i in range(2, 200)] + [(None, i, "cy" if i else "dee", "x") for i in range(70)]
+    spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {(r["conv_id"], r["part"], r["speaker"]): r for r in Q.op8_perspective_chats(spark, str(tmp_path)).collect()}
+    assert set(got) == {(1, p, s) for p in range(4) for s in ("ann", "bob")} | {(None, p, s) for p in range(2) for s in ("cy", "dee")}
+    for conv, speaker in {(c, s) for c, _, s in got}:
+        whole = brute([r for r in rows if r[0] == conv], 1000)
+        parts = [got[k] for k in sorted(k for k in got if k[0] == conv and k[2] == speaker)]
+        assert "".join(r["rendered"] for r in parts) == next(w[5] for w in whole if w[2] == speaker)
+        assert sum(r["n_spoken"] for r in parts) == next(w[4] for w in whole if w[2] == speaker)
+    assert got[1, 3, "ann"]["mask"] == "" and got[1, 3, "ann"]["n_spoken"] == 0
