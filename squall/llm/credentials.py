@@ -9,9 +9,10 @@ learned from ordinary strings. Every candidate string (maximal run of credential
 best kind and the ordinary one; candidates at or above ``THRESHOLD`` that touch no base span are
 added as ``learned``.
 
-Automata are fitted on credentials and ordinary strings of a bounded sample of documents
-(``TRAIN_DOCS``, drawn by a hash of the text, at most ``TRAIN_STRINGS`` distinct strings a label);
-scoring covers all documents.
+Automata are fitted on at most ``TRAIN_STRINGS`` distinct strings a label, those of the smallest
+hash among the labelled and ordinary strings of all documents; each task keeps its smallest ones,
+so little is shuffled. A rare kind trains on all its strings, however large the table. Scoring
+covers all documents.
 
 Defined results: null text is empty and has no spans; without training strings of a label
 its automaton is left out (no automaton: nothing is learned); rows that repeat a doc_id are
@@ -30,6 +31,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from squall.llm import common
+
 KINDS = ("assign", "access", "hex", "learned")
 # The base patterns.
 ASSIGN = re.compile(r"(password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)", re.IGNORECASE | re.ASCII)
@@ -38,7 +41,6 @@ HEX = re.compile(r"[0-9a-f]{16,}")
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_.=-]{12,}")
 _WORDS = ("password", "passwd", "secret", "token", "api")
 
-TRAIN_DOCS = 20_000
 TRAIN_STRINGS = 2_000
 TRAIN_LENGTH = 200        # longer strings do not train
 ALPHA = 0.05              # confidence of the merge test
@@ -200,24 +202,48 @@ class Formats:
         return np.max([a.log_likelihood(flat, starts, lengths) for a in self.kinds], axis=0) - self.ordinary.log_likelihood(flat, starts, lengths)
 
 
-def _training(batches):
+class Smallest:
+    """The distinct strings of the smallest MD5, at most ``most``."""
+
+    def __init__(self, most: int):
+        self.most, self.held, self.limit = most, {}, "g"      # above every hex digest
+
+    def add(self, string: str) -> None:
+        mark = hashlib.md5(string.encode()).hexdigest()
+        if mark < self.limit:
+            self.held[mark] = string
+            if len(self.held) > 2 * self.most:
+                self._cut()
+
+    def _cut(self) -> None:
+        self.held = dict(sorted(self.held.items())[:self.most])
+        if len(self.held) == self.most:
+            self.limit = max(self.held, default=self.limit)
+
+    def strings(self) -> list[str]:
+        self._cut()
+        return list(self.held.values())
+
+
+def _training(batches, most: int):
+    kept = {k: Smallest(most) for k in (*KINDS[:3], "ordinary")}
     for batch in batches:
-        kinds, strings = [], []
         for text in batch.column(0):
             t = text.as_py() or ""
             spans, labelled, runs = base_spans(t)
-            own = labelled + [("ordinary", t[a:b]) for a, b in runs if not touches(spans, a, b)]
-            kinds += [k for k, s in own if len(s) <= TRAIN_LENGTH]
-            strings += [s for _, s in own if len(s) <= TRAIN_LENGTH]
-        yield pa.RecordBatch.from_arrays([pa.array(kinds, pa.string()), pa.array(strings, pa.string())], names=["kind", "string"])
-
-
-def learn(docs: DataFrame, train_docs: int = TRAIN_DOCS, train_strings: int = TRAIN_STRINGS) -> Formats:
-    """Fit the automata on a bounded sample of ``docs`` (text)."""
-    n = docs.count()
-    share = min(1.0, train_docs / max(1, n))
-    drawn = docs.select("text").where("text is not null").where(F.crc32(F.concat(F.lit("fit:"), "text")) < int(share * 2**32))
-    strings = drawn.mapInArrow(_training, "kind string, string string").distinct()
+            own = labelled + [("ordinary", t[a:b]) for a, b in runs if not (spans and touches(spans, a, b))]
+            for k, s in own:
+                if len(s) <= TRAIN_LENGTH:
+                    kept[k].add(s)
+    for k, best in kept.items():
+        strings = best.strings()
+        yield pa.RecordBatch.from_arrays([pa.array([k] * len(strings), pa.string()), pa.array(strings, pa.string())], names=["kind", "string"])
+
+
+def learn(docs: DataFrame, train_strings: int = TRAIN_STRINGS) -> Formats:
+    """Fit the automata on at most ``train_strings`` strings a label of all ``docs`` (text)."""
+    strings = common.stored(docs.select("text").where("text is not null").mapInArrow(partial(_training, most=train_strings), "kind string, string string")
+                            .distinct(), "credential-strings")
     labelled = {}
     for kind in (*KINDS[:3], "ordinary"):
         best = strings.where(F.col("kind") == kind).orderBy(F.md5("string")).limit(train_strings)

@@ -93,3 +93,22 @@ def test_scan_keeps_base_spans_and_adds_learned_ones(spark, documents):
 def test_no_training_data_learns_nothing(spark, documents):
     assert credentials.scan(documents([(1, "hello")])).first()["spans"] == ""
     assert credentials.scan(documents([(1, "hello")]).where("false")).count() == 0
+
+
+def test_a_rare_kind_trains_on_all_its_strings_however_many_documents(spark, monkeypatch):
+    g = random.Random(8)
+    seen = {}
+
+    class Spy:
+        def __init__(self, labelled, ordinary):
+            seen.update(labelled, ordinary=ordinary)
+
+    monkeypatch.setattr(credentials, "Formats", Spy)
+    rare = keys(g, 12)
+    n = 60_000
+    docs = spark.range(0, n, 1, 8).selectExpr("case when id % 5000 = 7 then concat('key ', element_at(array(" + ",".join(f"'{k}'" for k in rare) + "), cast(id div 5000 as int) + 1)) "
+                                              "else concat('see ordinarywords', id, ' here') end as text")
+    credentials.learn(docs)
+    assert sorted(seen["access"]) == sorted(rare)
+    words = sorted((f"ordinarywords{i}" for i in range(n) if i % 5000 != 7), key=lambda s: hashlib.md5(s.encode()).hexdigest())
+    assert seen["ordinary"] == words[:credentials.TRAIN_STRINGS]
