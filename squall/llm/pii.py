@@ -9,6 +9,10 @@ belief is the mean confidence of its patterns, at least the share of its occurre
 are seeds. Candidates in a pattern of at least ``CONFIDENCE`` with ``SUPPORT`` believed
 occurrences are added as spans of kind ``context``.
 
+The two words are those of the whole text before the entity, at any distance. Earlier matches
+of the entity's kind, whether they pass their check or not, count as one word each; every word with a
+digit or an at sign counts by its form, so lists of identifiers share their contexts.
+
 Instances are token forms (each digit 9, letters as one ``a``), so an identifier never seen
 before shares the belief in its form. Only the graph's edges are iterated on, with counts; hot
 patterns and forms are folded before each shuffle. Patterns with fewer than ``SUPPORT``
@@ -47,8 +51,7 @@ MAY = {
     "phone": lambda t: F.contains(t, F.lit("+")),
 }
 TOKEN = rf"(?<![^{SPACE}])[^{SPACE}0-9@]*+[0-9@][^{SPACE}]*+"
-LEFT = rf"([^{SPACE}]++)[{SPACE}]++([^{SPACE}]++)[{SPACE}]*+$"
-WINDOW = 80            # characters before an entity in which its two words are looked for
+LEFT = rf"(?<![^{SPACE}])[^{SPACE}]++[{SPACE}]++[^{SPACE}]++[{SPACE}]*+\z"
 CONFIDENCE = 0.7
 SUPPORT = 3
 ROUNDS = 4
@@ -78,22 +81,20 @@ CHECKS = {
 }
 
 
-def matches(text: Column, kind: int, pattern: str, may: Column, check) -> Column:
-    """All matches of a kind in a text: array of (kind, pos, gap, len, ok, ctx, form), empty if none passes.
+def matches(hits: str, gaps: str, kind: int, check) -> Column:
+    """All matches of a kind in a text: array of (kind, gap, len, ok, ctx, form, pos), empty if none passes.
 
-    ``gap`` is the length of the text since the match before; places are sums of lengths.
+    ``hits`` and ``gaps`` are columns: the matches, and the texts between them. ``gap`` is the length
+    of the text since the match before; places are sums of lengths.
     """
-    hits = F.when(may, F.regexp_extract_all(text, F.lit(pattern), F.lit(0))).otherwise(F.array().cast("array<string>"))
-    gaps = F.when(may, F.split(text, pattern, -1)).otherwise(F.array().cast("array<string>"))
-
-    def described(hit: Column, gap: Column) -> Column:
-        ok = check(hit)
+    def described(hit: Column, i: Column) -> Column:
+        ok, gap = check(hit), F.get(gaps, i)
+        before = context(F.get(hits, i - 2), F.get(gaps, i - 1), F.get(hits, i - 1), gap)
         return F.struct(F.lit(kind).alias("kind"), F.length(gap).alias("gap"), F.length(hit).alias("len"), ok.alias("ok"),
-                        F.when(ok, context(gap)).alias("ctx"), F.when(ok, shape(hit)).alias("form"))
+                        F.when(ok, before).alias("ctx"), F.when(ok, shape(hit)).alias("form"), i.alias("pos"))
 
-    found = F.zip_with(hits, F.slice(gaps, 1, F.size(hits)), described)
-    return F.when(F.exists(found, lambda m: m["ok"]), F.transform(found, lambda m, i: m.withField("pos", i))).otherwise(
-        F.array().cast("array<struct<kind:int,gap:int,len:int,ok:boolean,ctx:string,form:string,pos:int>>"))
+    found = F.when(F.exists(hits, check), F.transform(hits, described))
+    return F.coalesce(found, F.array().cast("array<struct<kind:int,gap:int,len:int,ok:boolean,ctx:string,form:string,pos:int>>"))
 
 
 def shape(token: Column) -> Column:
@@ -101,19 +102,33 @@ def shape(token: Column) -> Column:
     return F.regexp_replace(F.regexp_replace(token, "[0-9]", "9"), r"\p{L}++", "a")
 
 
-def context(before: Column) -> Column:
-    """The two words before an entity, lower-cased, digits as 9; null if there are not two."""
-    near = F.right(before, F.lit(WINDOW))
-    words = F.concat_ws(" ", F.regexp_extract(near, LEFT, 1), F.regexp_extract(near, LEFT, 2))
-    return F.when(F.length(words) > 1, F.regexp_replace(F.lower(words), "[0-9]++", "9"))
+def word(w: Column) -> Column:
+    """A context's word: lower-cased; with a digit or an at sign its form, runs of digits as one 9."""
+    return F.when(F.rlike(w, F.lit("[0-9@]")), F.regexp_replace(shape(w), "9++", "9")).otherwise(F.lower(w))
+
+
+def context(hit2: Column, gap1: Column, hit1: Column, gap: Column) -> Column:
+    """The two words before an entity; null if there are not two.
+
+    From the text since the match before (``gap``), that match and what stands before it: as each match is a
+    word, two matches back are enough. Null where there is no such match.
+    """
+    def one(hit: Column) -> Column:
+        return F.regexp_replace(hit, f"[{SPACE}]++", "")
+
+    found = F.regexp_extract(F.concat_ws(" ", one(hit2), gap1, one(hit1), gap), LEFT, 0)
+    words = F.transform(F.filter(F.split(found, f"[{SPACE}]++"), lambda w: w != ""), word)
+    return F.when(found != "", F.array_join(words, " "))
 
 
 def scanned(docs: DataFrame) -> DataFrame:
-    """(row, doc_id, kind, pos, start, stop, ok, ctx, form): matches of base kinds, and tokens as the last kind."""
-    text = common.text_or_empty()
-    kinds = [matches(text, i, PATTERNS[k], MAY[k](text), CHECKS[k]) for i, k in enumerate(KINDS[:TOKENS])]
-    kinds.append(matches(text, TOKENS, TOKEN, F.rlike(text, F.lit("[0-9@]")), lambda s: F.lit(True)))
-    return docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), F.concat(*kinds).alias("found"))
+    """(row, doc_id, found): matches of base kinds, and tokens as the last kind."""
+    text, none = common.text_or_empty(), F.array().cast("array<string>")
+    rules = [(PATTERNS[k], MAY[k](text), CHECKS[k]) for k in KINDS[:TOKENS]] + [(TOKEN, F.rlike(text, F.lit("[0-9@]")), lambda s: F.lit(True))]
+    cut = docs.select(F.monotonically_increasing_id().alias("row"), F.col("doc_id").cast("long").alias("doc_id"),
+                      *(F.when(may, F.regexp_extract_all(text, F.lit(p), F.lit(0))).otherwise(none).alias(f"hits{i}") for i, (p, may, _) in enumerate(rules)),
+                      *(F.when(may, F.split(text, p, -1)).otherwise(none).alias(f"gaps{i}") for i, (p, may, _) in enumerate(rules)))
+    return cut.select("row", "doc_id", F.concat(*(matches(f"hits{i}", f"gaps{i}", i, check) for i, (_, _, check) in enumerate(rules))).alias("found"))
 
 
 def occurrences(found: DataFrame) -> DataFrame:

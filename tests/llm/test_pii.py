@@ -80,3 +80,26 @@ def test_null_ids_repeated_rows_and_empty_table(spark, documents):
 def test_no_python_on_the_executors(spark, documents):
     plan = pii.scanned(documents([(1, "x")]))._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def contexts(spark, documents, text):
+    """(matched text, kind, ctx) of all spans and tokens of a text."""
+    rows = pii.occurrences(pii.scanned(documents([(1, text)]))).collect()
+    return sorted((text[r["start"]:r["stop"]], pii.KINDS[r["kind"]], r["ctx"]) for r in rows)
+
+
+def test_context_is_the_two_words_of_the_whole_text_before(spark, documents):
+    got = contexts(spark, documents, "case 12 contact me 99-ABC-1 or 98-ABC-2, 7-X 8-Y")
+    assert got == sorted([("12", "context", None), ("99-ABC-1", "context", "contact me"), ("98-ABC-2,", "context", "9-a-9 or"),
+                          ("7-X", "context", "or 9-a-9,"), ("8-Y", "context", "9-a-9, 9-a")])
+    assert ("4111 1111 1111 1111", "card", "9 card") in contexts(spark, documents, "order 5512 card 4111 1111 1111 1111")
+    assert ("k@l.mn", "email", "a@a.a or") in contexts(spark, documents, "xy@z.com or k@l.mn")
+    assert ("a@b.cd", "email", "write to") in contexts(spark, documents, "Write" + " " * 200 + "to" + "\n" * 100 + "a@b.cd")
+    long = "w" * 300
+    assert ("a@b.cd", "email", f"mail {long}") in contexts(spark, documents, f"mail {long} a@b.cd")
+
+
+def test_identifiers_in_a_run_are_found_by_their_shared_contexts(spark, documents):
+    rows = [(i, f"contact a{i}@x.org or b{i}@y.org") for i in range(40)] + [(100, "contact c7@z.org or user#4711")]
+    got = {r["doc_id"]: r for r in pii.scan(documents(rows)).collect()}
+    assert got[100]["spans"] == "email:8:16,context:20:29"
