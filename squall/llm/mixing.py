@@ -130,11 +130,8 @@ class Mix:
         return (docs.withColumn("block", block)
                 .select("src", "block", "row", "doc_id", "mark", (from_ - F.col("at")).alias("word"), (to - from_).alias("n")))
 
-    def slots(self, placed: bool = True) -> DataFrame:
-        """The mix: (shard, slot, src, block), one row for each slot.
-
-        Without ``placed`` a shard's slots stand in the order of its sources, which is enough to count blocks.
-        """
+    def slots(self) -> DataFrame:
+        """The mix: (shard, slot, src, block), one row for each slot."""
         spark = self.sources.sparkSession
         per = self.counts.sum(axis=1)
         k0 = np.cumsum(self.counts, axis=0) - self.counts
@@ -145,14 +142,11 @@ class Mix:
         size = max(1, int(per.max()))
         slots = spark.range(0, self.total, 1, 1 + self.total // SLOT_ROWS).withColumn("shard", F.floor(F.col("id") / size).cast("int"))
         slots = slots.join(F.broadcast(drawn), "shard").withColumn("slot", F.col("id") - F.col("base"))
-        turn = F.col("slot")
-        if placed:
-            # A shard's slots take its draws in shuffled order.
-            outside = (drawn.select("n", F.col("sa").alias("a"), F.col("sb").alias("b")).distinct().where("n > 0 and a * b > n")
-                       .select("*", F.explode(F.expr("sequence(n, a * b - 1)")).alias("x")))
-            walk = feistel.longest_walk(outside, f"{self.seed}-slot", portable=False)
-            turn = feistel.permuted(turn, F.col("n"), F.col("sa"), F.col("sb"), f"{self.seed}-slot", walk, portable=False)
-        slots = slots.withColumn("turn", turn)
+        # A shard's slots take its draws in shuffled order.
+        outside = (drawn.select("n", F.col("sa").alias("a"), F.col("sb").alias("b")).distinct().where("n > 0 and a * b > n")
+                   .select("*", F.explode(F.expr("sequence(n, a * b - 1)")).alias("x")))
+        walk = feistel.longest_walk(outside, f"{self.seed}-slot", portable=False)
+        slots = slots.withColumn("turn", feistel.permuted(F.col("slot"), F.col("n"), F.col("sa"), F.col("sb"), f"{self.seed}-slot", walk, portable=False))
         src = F.size(F.filter("upto", lambda c: c <= F.col("turn")))
         slots = slots.withColumn("src", src.cast("long")).withColumn("k", F.col("turn") + F.expr("shift[cast(src as int)]"))
         slots = slots.join(F.broadcast(self.sources.select("src", "blocks", "a", "b")), "src")
@@ -171,14 +165,13 @@ class Mix:
 
     def digest(self) -> DataFrame:
         """Per document: doc_id, size, source_size, target, taken."""
-        taken = self.used().groupBy("row").agg(F.sum(F.col("n") * F.col("uses")).alias("got"))
+        taken = self.mixed().groupBy("row").agg(F.sum("n").alias("got"))
         return (self.documents.join(taken, "row", "left")
                 .select("doc_id", "size", "source_size", "target", F.coalesce("got", F.lit(0)).cast("long").alias("taken")))
 
     def used(self) -> DataFrame:
         """The documents' parts with how often the mix takes them."""
-        uses = self.slots(placed=False).groupBy("src", "block").agg(F.count("*").alias("uses"))
-        return self.pieces().join(uses, ["src", "block"])
+        return self.mixed().groupBy("src", "block", "row", "doc_id", "mark", "word", "n").agg(F.count("*").alias("uses"))
 
 
 def passages(text: str | None, parts: list[tuple[int, int, int]]) -> list[str]:

@@ -66,6 +66,25 @@ def test_slots_fill_each_pass_before_the_next(spark, documents):
         assert sum(counts) == s["quota"] and (not counts or max(counts) - min(counts) <= 1)
 
 
+def test_the_words_taken_are_those_of_the_placed_slots(spark, documents, monkeypatch):
+    mix = mixing.Mix(documents(corpus()), block_words=16, out_shards=4)
+    content = mix.mixed().collect()
+    blocks = {(r["shard"], r["slot"]): (r["src"], r["block"]) for r in mix.slots().collect()}
+    assert {(r["shard"], r["slot"]): (r["src"], r["block"]) for r in content} == blocks
+    parts = {}
+    for r in mix.pieces().collect():
+        parts.setdefault((r["src"], r["block"]), []).append((r["row"], r["word"], r["n"]))
+    held = {}
+    for r in content:
+        held.setdefault((r["shard"], r["slot"]), []).append((r["row"], r["word"], r["n"]))
+    assert all(sorted(held[at]) == sorted(parts[b]) for at, b in blocks.items())
+    calls = []
+    mixed = mixing.Mix.mixed
+    monkeypatch.setattr(mixing.Mix, "mixed", lambda self: calls.append(1) or mixed(self))
+    assert sum(r["taken"] for r in mix.digest().collect()) == sum(r["n"] for r in content) and len(calls) == 1
+    assert sum(r["n"] * r["uses"] for r in mix.used().collect()) == sum(r["n"] for r in content) and len(calls) == 2
+
+
 def test_mixed_documents_hold_the_words_taken(spark, documents):
     docs = documents(corpus()).where("doc_id <> 7 or doc_id is null")
     out = mixing.mixed_documents(docs, block_words=16, out_shards=4).collect()
