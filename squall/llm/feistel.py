@@ -51,18 +51,24 @@ def once(x: Column, a: Column, b: Column, seed: str, portable: bool = True) -> C
 
 
 def longest_walk(outside: DataFrame, seed: str, portable: bool = True) -> int:
-    """How often a result can be out of range: follows the rows (x, n, a, b) with n <= x < a * b, in one job."""
-    n, a, b = F.col("n"), F.col("a"), F.col("b")
+    """How often a result can be out of range: follows the rows (x, n, a, b) with n <= x < a * b, in one job.
+
+    A walk that comes back to its start is a cycle that lies wholly out of range. No number below
+    n leads into it, so it does not count.
+    """
+    x, n, a, b = F.col("x").cast("long"), F.col("n"), F.col("a"), F.col("b")
 
     def step(s: Column, _: Column) -> Column:
-        on = F.struct(once(s["y"], a, b, seed, portable).alias("y"), (s["steps"] + 1).alias("steps"))
-        return F.when(s["y"] >= n, on).otherwise(s)
+        y = once(s["y"], a, b, seed, portable)
+        on = F.struct(y.alias("y"), (s["steps"] + 1).alias("steps"))
+        return F.when((s["y"] >= n) & ((s["steps"] == 0) | (s["y"] != x)), on).otherwise(s)
 
     most = 64
     while True:
-        start = F.struct(F.col("x").cast("long").alias("y"), F.lit(0).alias("steps"))
+        start = F.struct(x.alias("y"), F.lit(0).alias("steps"))
         walked = F.aggregate(F.sequence(F.lit(1), F.lit(most)), start, step)
-        row = outside.select(walked.alias("w"), "n").agg(F.max("w.steps"), F.max(F.col("w.y") >= n)).first()
+        ended, closed = F.col("w.y") < n, (F.col("w.y") == x) & (F.col("w.steps") > 0)
+        row = outside.select("x", "n", walked.alias("w")).agg(F.max(F.when(ended, F.col("w.steps"))), F.max(~ended & ~closed)).first()
         if not row[1]:
             return row[0] or 0
         most *= 4
