@@ -7,7 +7,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from squall.llm import common, credentials, decontam, exthash, langid, minhash, mixing, perspectives, pii, planes, shards
+from squall.llm import common, credentials, decontam, exthash, graytree, langid, minhash, mixing, perspectives, pii, planes, shards
 from squall.session import scratch_path
 
 
@@ -64,6 +64,10 @@ def op10_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFra
     return decontam.contaminated(common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op12_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return graytree.near_duplicates(common.documents(spark, sf_dir))
+
+
 OP1_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
@@ -96,7 +100,7 @@ SELECT doc_id, octet_length(encode(t)) + 1 AS size, crc AS text_crc32, 'rows' AS
 """
 
 QUERIES = {f.__name__: f for f in (op1_minmax_near_dedup, op2_language_id, op3_plane_tokens, op4_feistel_shards, op5_credential_formats,
-                                  op6_extendible_hash_dedup, op7_bootstrapped_pii, op8_perspective_chats, op9_block_mixing, op10_pigeonhole_decontamination)}
+                                  op6_extendible_hash_dedup, op7_bootstrapped_pii, op8_perspective_chats, op9_block_mixing, op10_pigeonhole_decontamination, op12_gray_simhash)}
 OP6_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept,
        sha256(coalesce(text, '')) AS text_sha256
