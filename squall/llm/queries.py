@@ -7,7 +7,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from squall.llm import common, credentials, decontam, exthash, graytree, langid, minhash, mixing, perspectives, pii, planes, shards
+from squall.llm import common, credentials, decontam, exthash, graytree, langid, minhash, mixing, perspectives, pii, planes, shards, turnrepair
 from squall.session import scratch_path
 
 
@@ -68,6 +68,11 @@ def op12_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graytree.near_duplicates(common.documents(spark, sf_dir))
 
 
+def op13_turn_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    turns = spark.read.parquet(f"{sf_dir}/conversations.parquet")
+    return turnrepair.digest(turnrepair.damaged(turns), turns)
+
+
 OP1_SQL = r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
@@ -100,7 +105,7 @@ SELECT doc_id, octet_length(encode(t)) + 1 AS size, crc AS text_crc32, 'rows' AS
 """
 
 QUERIES = {f.__name__: f for f in (op1_minmax_near_dedup, op2_language_id, op3_plane_tokens, op4_feistel_shards, op5_credential_formats,
-                                  op6_extendible_hash_dedup, op7_bootstrapped_pii, op8_perspective_chats, op9_block_mixing, op10_pigeonhole_decontamination, op12_gray_simhash)}
+                                  op6_extendible_hash_dedup, op7_bootstrapped_pii, op8_perspective_chats, op9_block_mixing, op10_pigeonhole_decontamination, op12_gray_simhash, op13_turn_repair)}
 OP6_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept,
        sha256(coalesce(text, '')) AS text_sha256
@@ -108,4 +113,4 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 SQL = {"op1_minmax_near_dedup": OP1_SQL, "op4_feistel_shards": OP4_SQL, "op6_extendible_hash_dedup": OP6_SQL,
-       "op8_perspective_chats": perspectives.SQL}
+       "op8_perspective_chats": perspectives.SQL, "op13_turn_repair": turnrepair.SQL}
