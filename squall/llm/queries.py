@@ -7,7 +7,7 @@ from functools import cache
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from squall.llm import common, credentials, decontam, exthash, graytree, langid, minhash, mixing, perspectives, pii, planes, shards, turnrepair
+from squall.llm import common, credentials, decontam, exthash, graytree, hardneg, langid, minhash, mixing, perspectives, pii, planes, shards, turnrepair
 from squall.session import scratch_path
 
 
@@ -64,6 +64,12 @@ def op10_pigeonhole_decontamination(spark: SparkSession, sf_dir: str) -> DataFra
     return decontam.contaminated(common.documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op11_shared_list_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hardneg.mine(hardneg.participants(rows.withColumn("label", moved)), F.col("id") % 100 == 0)
+
+
 def op12_gray_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return graytree.near_duplicates(common.documents(spark, sf_dir))
 
@@ -105,7 +111,8 @@ SELECT doc_id, octet_length(encode(t)) + 1 AS size, crc AS text_crc32, 'rows' AS
 """
 
 QUERIES = {f.__name__: f for f in (op1_minmax_near_dedup, op2_language_id, op3_plane_tokens, op4_feistel_shards, op5_credential_formats,
-                                  op6_extendible_hash_dedup, op7_bootstrapped_pii, op8_perspective_chats, op9_block_mixing, op10_pigeonhole_decontamination, op12_gray_simhash, op13_turn_repair)}
+                                  op6_extendible_hash_dedup, op7_bootstrapped_pii, op8_perspective_chats, op9_block_mixing, op10_pigeonhole_decontamination, op11_shared_list_negatives,
+                                  op12_gray_simhash, op13_turn_repair)}
 OP6_SQL = """
 SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size, doc_id = max(doc_id) OVER same AS kept,
        sha256(coalesce(text, '')) AS text_sha256
@@ -113,4 +120,5 @@ FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
 """
 
 SQL = {"op1_minmax_near_dedup": OP1_SQL, "op4_feistel_shards": OP4_SQL, "op6_extendible_hash_dedup": OP6_SQL,
-       "op8_perspective_chats": perspectives.SQL, "op13_turn_repair": turnrepair.SQL}
+       "op8_perspective_chats": perspectives.SQL, "op11_shared_list_negatives": hardneg.SQL,
+       "op13_turn_repair": turnrepair.SQL}
