@@ -491,6 +491,29 @@ def oracles() -> dict[str, str]:
         "UNION ALL SELECT 'weather_cache', 'success', CAST(count(*) AS INTEGER), 'manual', true, false FROM weather_src "
         "UNION ALL SELECT 'build_models', 'success', 0, 'manual', true, false "
         "UNION ALL SELECT 'tps_ingest', 'failure', 0, 'check', true, true")
+    bad = "day(doc_day) % 5 = 2 AND pos % 50 = 3 AND occ_ms IS NOT NULL AND occ_ms <> 0"
+    day_ctes = [("days", f"SELECT doc_day, count(*) AS n_rows, count(*) FILTER (WHERE {bad}) AS n_bad FROM batch GROUP BY doc_day"),
+                ("held", "SELECT doc_day, count(*) AS stored FROM (SELECT b.doc_day, row_number() OVER (PARTITION BY b.event_id "
+                         "ORDER BY b.doc_day DESC, b.page DESC, b.pos DESC) AS rn FROM batch b JOIN days USING (doc_day) WHERE n_bad = 0) "
+                         "WHERE rn = 1 GROUP BY doc_day")]
+    q["ingest_bad_day"] = with_ctes(
+        "SELECT doc_day, CASE WHEN n_bad > 0 THEN 'failed' ELSE 'stored' END AS status, n_rows, n_bad, "
+        "CASE WHEN n_bad > 0 THEN 'OCC_HOUR' END AS reason, coalesce(stored, 0) AS stored FROM days LEFT JOIN held USING (doc_day)", day_ctes)
+    q["ingest_bad_day_repaired"] = with_ctes(
+        "SELECT event_id, objectid, occ_utc AS occ_date_utc FROM (SELECT b.*, row_number() OVER (PARTITION BY event_id "
+        "ORDER BY n_bad > 0 DESC, b.doc_day DESC, page DESC, pos DESC) AS rn FROM batch b JOIN days USING (doc_day)) WHERE rn = 1", day_ctes)
+    kept = "hour(hour_utc) % 12 <> 5"
+    q["upsert_null_keys"] = with_ctes(
+        f"SELECT 'drop' AS way, 'success' AS status, false AS names_column, count(*) FILTER (WHERE {kept}) AS rows_upserted, "
+        f"count(*) FILTER (WHERE {kept}) AS distinct_keys, count(*) FILTER (WHERE NOT ({kept})) AS null_keys, "
+        f"count(*) FILTER (WHERE {kept}) AS stored FROM weather_src UNION ALL SELECT 'error', 'failure', true, 0, 0, 0, 0")
+    q["stream_rejects"] = with_ctes(
+        "SELECT doc_day, 'unparsable' AS reason, count(DISTINCT page) AS n FROM incidents_src WHERE day(doc_day) % 3 = 1 GROUP BY doc_day "
+        f"UNION ALL SELECT doc_day, 'OCC_HOUR', count(*) FROM batch WHERE day(doc_day) % 3 <> 1 AND {bad} GROUP BY doc_day")
+    q["backfill_incremental"] = with_ctes(
+        "SELECT 'success' AS status, CAST(count(*) AS INTEGER) AS row_count, false AS has_message, CAST(1 AS BIGINT) AS landing FROM weather_src "
+        "UNION ALL SELECT 'success', CAST(count(*) FILTER (WHERE day(hour_utc) % 2 = 0) AS INTEGER), false, 2 FROM weather_src "
+        "UNION ALL SELECT 'success', 0, false, NULL")
     faults = [("faulty", "SELECT CASE WHEN pos % 13 <> 0 THEN event_id END AS event_id FROM batch"),
               ("states", "SELECT CASE WHEN event_id % 17 = 0 THEN 'lost' WHEN event_id % 19 <> 0 THEN status END AS status "
                          "FROM (SELECT event_id, CASE WHEN event_id % 29 = 0 THEN 'running' WHEN event_id % 13 = 0 "

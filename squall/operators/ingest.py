@@ -7,7 +7,7 @@ X16-X18). Counting and the high-water mark are single aggregates.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from squall.functions import geo, payload
@@ -22,14 +22,16 @@ SOURCE_PAGE_LIMIT = 1000
 
 
 def normalise_incidents(features: DataFrame, inserted_at=None, lenient: bool = False,
-                        feature_col: str = "feature") -> DataFrame:
+                        feature_col: str = "feature", faults: bool = False) -> DataFrame:
     """Features -> ``raw_incidents`` rows (+ ``landed_at, doc_day, page, pos`` order columns).
 
     Features without ``EVENT_UNIQUE_ID`` (NULL or empty) are skipped (Q6).
     ``inserted_at`` defaults to the job's current time. The payload is read
-    once into plain columns; later steps work on those.
+    once into plain columns; later steps work on those. ``faults``: a value that fails the
+    job otherwise is named in the column ``fault`` (NULL for a good row) and read as NULL.
     """
     ensure_utc(features.sparkSession)
+    lenient = lenient or faults
     f = F.col(feature_col)
     ins = F.current_timestamp() if inserted_at is None else (
         F.lit(inserted_at).cast("timestamp") if isinstance(inserted_at, str) else inserted_at)
@@ -50,9 +52,19 @@ def normalise_incidents(features: DataFrame, inserted_at=None, lenient: bool = F
     fields = tu.with_incident_occurrence_utc(fields, "__ms", "__hour", "occ_date_utc",
                                              strict=not lenient, hour_text="__hour_text")
     lat, lon = geo.null_unusable_pair("__lat", "__lon")
+    fault = [_row_fault().alias("fault")] if faults else []
     return fields.select(*order, "event_id", "objectid", "raw", "occ_date_utc",
                          lat.cast(LAT_LON_RAW).alias("lat"), lon.cast(LAT_LON_RAW).alias("lon"),
-                         ins.alias("inserted_at"))
+                         ins.alias("inserted_at"), *fault)
+
+
+def _row_fault() -> Column:
+    """The first value of a normalised row that the strict reading raises on; text is read only where a cast gave NULL."""
+    dated = F.col("__ms").isNotNull() & (F.col("__ms") != 0)
+    cases = [(F.col(c).isNull() & payload.attribute("raw", key, "string", lenient=True).isNotNull(), key)
+             for c, key in (("objectid", "OBJECTID"), ("__ms", "OCC_DATE"), ("__lat", "LAT_WGS84"), ("__lon", "LONG_WGS84"))]
+    cases.append((dated & F.col("__hour_text").isNotNull() & ~F.coalesce(F.col("__hour").between(0, 23), F.lit(False)), "OCC_HOUR"))
+    return F.coalesce(*[F.when(bad, key) for bad, key in cases])
 
 
 def ingest_counts(features: DataFrame, feature_col: str = "feature") -> DataFrame:

@@ -72,14 +72,14 @@ def log_run_end(spark: SparkSession, path: str, run_id: str, status: str,
 def run_logged(spark: SparkSession, path: str, pipeline_name: str,
                triggered_by: str = DEFAULT_TRIGGER):
     """Run a block under the log: success with its row count, or failure with
-    the error (which is re-raised) (D7). The block sets ``ctx['row_count']`` and may set
-    ``ctx['message']`` (what a successful run has to tell)."""
+    the error (which is re-raised) (D7). The block sets ``ctx['row_count']`` (rows stored, also by a run
+    that then fails) and may set ``ctx['message']`` (what a successful run has to tell)."""
     run_id = log_run_start(spark, path, pipeline_name, triggered_by)
     ctx = {"run_id": run_id, "row_count": DEFAULT_ROW_COUNT, "message": None}
     try:
         yield ctx
     except Exception as e:
-        log_run_end(spark, path, run_id, "failure", error_message=str(e))
+        log_run_end(spark, path, run_id, "failure", row_count=int(ctx["row_count"]), error_message=str(e))
         raise
     log_run_end(spark, path, run_id, "success", row_count=int(ctx["row_count"]), error_message=ctx["message"])
 

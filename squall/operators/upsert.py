@@ -18,11 +18,11 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from squall.session import ensure_utc
+from squall.session import ensure_utc, fs_path
 
 _SRC = "__src"
 _ORD = "__ord"
@@ -33,7 +33,7 @@ READY = "_READY"      # marks a staging folder whose files are complete
 def merge_last_wins(target: DataFrame | None, batch: DataFrame, keys: list[str],
                     order: list[str], preserve: tuple[str, ...] = (),
                     columns: list[str] | None = None,
-                    order_in_target: bool = False) -> DataFrame:
+                    order_in_target: bool = False, null_keys: str = "drop") -> DataFrame:
     """Rows of ``target`` updated by ``batch``: one row per key, latest version wins.
 
     - ``order`` columns of ``batch`` give the sequence (last = wins); stored
@@ -41,8 +41,8 @@ def merge_last_wins(target: DataFrame | None, batch: DataFrame, keys: list[str],
     - ``preserve`` columns keep the value of the first version of the key (the
       stored row's, else the first batch row's), like ``inserted_at`` which an
       ``ON CONFLICT DO UPDATE`` does not touch.
-    - Rows whose key is NULL are dropped (a primary key cannot be NULL); ``upsert_table``
-      counts them.
+    - A primary key cannot be NULL: rows with a NULL in the key are dropped, or fail the query
+      (``null_keys="error"``, a check inside the merge's own plan).
     - ``target=None`` reduces a batch on its own (an upsert into an empty table).
     - ``order_in_target=True``: the stored rows keep their source order columns,
       and versions compete by that order (batch wins ties). Replays and batches
@@ -63,7 +63,10 @@ def merge_last_wins(target: DataFrame | None, batch: DataFrame, keys: list[str],
     b = batch.select(*columns, ord_of(1).alias(_ORD))
     if target is not None:
         b = target.select(*columns, t_ord.alias(_ORD)).unionByName(b)
-    both = b.filter(_keys_present(keys))
+    if null_keys == "error":
+        both = b.withColumns({k: F.coalesce(F.col(k), F.raise_error(F.lit(f"NULL in key column {k}")).cast(b.schema[k].dataType)) for k in keys})
+    else:
+        both = b.filter(_keys_present(keys))
     aggs = []
     if values:
         aggs.append(F.max_by(F.struct(*values), F.col(_ORD)).alias("__last"))
@@ -81,15 +84,9 @@ def merge_last_wins(target: DataFrame | None, batch: DataFrame, keys: list[str],
     return merged.select(*out)
 
 
-def _fs_path(spark: SparkSession, path: str):
-    jvm = spark.sparkContext._jvm
-    hpath = jvm.org.apache.hadoop.fs.Path(path)
-    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath
-
-
 def table_exists(spark: SparkSession, path: str) -> bool:
     try:
-        fs, hpath = _fs_path(spark, path)
+        fs, hpath = fs_path(spark, path)
     except Exception:  # noqa: BLE001 - remote session: probe by reading the footer
         try:
             spark.read.parquet(path).schema
@@ -99,6 +96,12 @@ def table_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(hpath)
 
 
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own staging."""
+    fs, hpath = fs_path(spark, path)
+    fs.delete(hpath, True)
+
+
 def create_if_absent(spark: SparkSession, path: str, schema: T.StructType,
                      partition_by: list[str]) -> None:
     """K9: an empty table with the fixed schema on first use."""
@@ -110,11 +113,14 @@ def create_if_absent(spark: SparkSession, path: str, schema: T.StructType,
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, schema: T.StructType,
                  keys: list[str], order: list[str], partition_by: list[str],
                  preserve: tuple[str, ...] = (), order_in_target: bool = False,
-                 partition_follows_key: bool = True) -> DataFrame:
+                 partition_follows_key: bool = True, null_keys: str = "error", staged: bool = False) -> DataFrame:
     """Upsert ``batch`` into the Parquet table at ``path``; returns the batch's counts:
-    rows, distinct keys, and rows left out because their key is NULL.
+    rows upserted, distinct keys, and rows left out because their key is NULL.
 
-    Only touched partitions are read and rewritten:
+    A NULL in a key fails the upsert (a NOT NULL constraint) before the table changes;
+    ``null_keys="drop"`` leaves such rows out and counts them. ``staged``: the batch is a plain
+    scan of files already, and is not written once more. Only touched partitions are read and
+    rewritten:
 
     - ``partition_follows_key=True``: the partition value is a function of the
       key (the weather cache's ``date_utc`` of ``hour_utc``), so the batch's own
@@ -124,17 +130,42 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, schema: T.Str
       partitions the batch's keys live in now are found with a narrow scan of
       the key and partition columns only, semi-joined to the batch's keys; a
       partition whose last rows moved out is removed.
+
+    Rows are counted where they are written: by metrics observed on the batch's own write, or by
+    one narrow aggregate of a staged batch.
     """
     ensure_utc(batch.sparkSession)
     if len(partition_by) != 1:
         raise ValueError("one partition column is supported")
-    p = partition_by[0]
+    if null_keys not in ("error", "drop"):
+        raise ValueError("null_keys is 'error' or 'drop'")
     finish_swaps(spark, path)
     create_if_absent(spark, path, schema, partition_by)
-    columns = [f.name for f in schema.fields]
     work = f"{staging_root(path)}/{uuid.uuid4().hex}"
-    batch.write.parquet(f"{work}/batch")       # parsed once, whatever reads it below
-    batch = spark.read.schema(batch.schema).parquet(f"{work}/batch")
+    try:
+        counts = _merge_into(spark, path, work, batch, schema, keys, order, partition_by[0], preserve, order_in_target,
+                             partition_follows_key, null_keys, staged)
+    except Exception:
+        remove(spark, work)
+        raise
+    fs, ready = fs_path(spark, f"{work}/{READY}")
+    fs.create(ready).close()
+    finish_swaps(spark, path)
+    return spark.createDataFrame([counts], "rows_upserted long, distinct_keys long, null_keys long")
+
+
+def _merge_into(spark: SparkSession, path: str, work: str, batch: DataFrame, schema: T.StructType, keys: list[str], order: list[str], p: str,
+                preserve: tuple[str, ...], order_in_target: bool, partition_follows_key: bool, null_keys: str, staged: bool) -> tuple[int, int, int]:
+    """Write the merge of the batch under ``work``; the batch's counts."""
+    columns = [f.name for f in schema.fields]
+    rows, nulls = F.count_if(_keys_present(keys)).alias("rows"), F.count_if(~_keys_present(keys)).alias("nulls")
+    if staged:
+        seen = batch.agg(rows, nulls).first().asDict()
+    else:
+        written = Observation()
+        batch.observe(written, rows, nulls).write.parquet(f"{work}/batch")       # parsed once, whatever reads it below
+        seen = written.get
+        batch = spark.read.schema(batch.schema).parquet(f"{work}/batch")
     stored = spark.read.schema(schema).parquet(path)
     touched = batch.select(p)
     if not partition_follows_key:
@@ -143,7 +174,7 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, schema: T.Str
     touched.distinct().write.parquet(f"{work}/touched")
     touched = spark.read.schema(touched.schema).parquet(f"{work}/touched")
     merged = merge_last_wins(_in_partitions(stored, touched, p), batch, keys, order, preserve, columns,
-                             order_in_target)
+                             order_in_target, null_keys)
     # One task or a few for each partition (hot ones are split, small ones share), files sorted by key.
     (merged.hint("rebalance", p).sortWithinPartitions(p, *keys)
      .write.partitionBy(p).parquet(f"{work}/merged"))
@@ -151,13 +182,8 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, schema: T.Str
         written = spark.read.schema(schema).parquet(f"{work}/merged").select(p).distinct()
         (touched.join(written.withColumnRenamed(p, "__p"), F.col(p).eqNullSafe(F.col("__p")), "left_anti")
          .select(F.coalesce(F.col(p).cast("string"), F.lit(NO_VALUE)).alias("value")).write.parquet(f"{work}/emptied"))
-    counts = batch.agg(F.count(F.lit(1)).alias("rows_upserted"),
-                       F.count_distinct(*[F.col(k) for k in keys]).alias("distinct_keys"),
-                       F.count_if(~_keys_present(keys)).alias("null_keys")).first()
-    fs, ready = _fs_path(spark, f"{work}/{READY}")
-    fs.create(ready).close()
-    finish_swaps(spark, path)
-    return spark.createDataFrame([counts])
+    distinct = batch.where(_keys_present(keys)).select(*keys).distinct().count()
+    return seen.get("rows") or 0, distinct, seen.get("nulls") or 0
 
 
 NO_VALUE = "__HIVE_DEFAULT_PARTITION__"     # fixed value: the folder name of a NULL partition
@@ -185,22 +211,22 @@ def finish_swaps(spark: SparkSession, path: str) -> None:
     Each step can be repeated: a partition folder is replaced as long as its new one is still
     in staging. Only folder names are handled here, never rows.
     """
-    fs, root = _fs_path(spark, staging_root(path))
+    fs, root = fs_path(spark, staging_root(path))
     if not fs.exists(root):
         return
     for folder in [f.getPath().toString() for f in fs.listStatus(root)]:
-        if fs.exists(_fs_path(spark, f"{folder}/{READY}")[1]):
-            if fs.exists(_fs_path(spark, f"{folder}/emptied")[1]):
+        if fs.exists(fs_path(spark, f"{folder}/{READY}")[1]):
+            if fs.exists(fs_path(spark, f"{folder}/emptied")[1]):
                 for row in spark.read.schema("value string").parquet(f"{folder}/emptied").toLocalIterator():
                     _delete_partition(spark, path, _partition_column(fs, spark, path, folder), row["value"])
-            merged = _fs_path(spark, f"{folder}/merged")[1]
+            merged = fs_path(spark, f"{folder}/merged")[1]
             for part in [f.getPath() for f in fs.listStatus(merged) if f.isDirectory()]:
-                target = _fs_path(spark, f"{path.rstrip('/')}/{part.getName()}")[1]
+                target = fs_path(spark, f"{path.rstrip('/')}/{part.getName()}")[1]
                 if fs.exists(target):
                     fs.delete(target, True)
                 if not fs.rename(part, target):
                     raise OSError(f"cannot move {part.toString()} to {target.toString()}")
-        fs.delete(_fs_path(spark, folder)[1], True)
+        fs.delete(fs_path(spark, folder)[1], True)
     fs.delete(root, True)
     spark.catalog.refreshByPath(path)
 
@@ -208,7 +234,7 @@ def finish_swaps(spark: SparkSession, path: str) -> None:
 def _partition_column(fs, spark: SparkSession, path: str, folder: str) -> str:
     """Name of the partition column, from the folders of the table or of the merge."""
     for place in (path, f"{folder}/merged"):
-        for f in fs.listStatus(_fs_path(spark, place)[1]):
+        for f in fs.listStatus(fs_path(spark, place)[1]):
             if f.isDirectory() and "=" in f.getPath().getName():
                 return f.getPath().getName().split("=", 1)[0]
     raise ValueError(f"no partition folders under {path}")
@@ -216,6 +242,6 @@ def _partition_column(fs, spark: SparkSession, path: str, folder: str) -> str:
 
 def _delete_partition(spark: SparkSession, path: str, column: str, value: str) -> None:
     """Remove one partition folder (all its rows moved to other partitions)."""
-    fs, hpath = _fs_path(spark, f"{path.rstrip('/')}/{column}={value}")
+    fs, hpath = fs_path(spark, f"{path.rstrip('/')}/{column}={value}")
     if fs.exists(hpath):
         fs.delete(hpath, True)

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from squall.functions import classify, geo, payload
 from squall.functions import timeutil as tu
-from squall.operators import export, filters, gaps, ingest, quality, runlog, upsert
+from squall.operators import commit, export, filters, gaps, ingest, quality, runlog, upsert
 from squall.plans import datasets, models, requests, runs
 from squall.plans.portable import to_portable
 from squall.schemas import RAW_INCIDENTS, RUN_STATUSES, WEATHER_CACHE
@@ -405,6 +405,79 @@ def upsert_stored_weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_portable(tables.read_weather_cache(spark, f"{root}/cache"))
 
 
+def _bad_rows():
+    """Rows with a planted bad hour: on some days, one feature in fifty."""
+    return (F.dayofmonth("doc_day") % 5 == 2) & (F.col("pos") % 50 == 3)
+
+
+def _ingest_with_bad_days(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    ev = datasets.events(spark, sf_dir)
+    landed.land_incident_documents(adapters.incident_features(ev, _bad_rows()), f"{root}/landed", load=1)
+    with contextlib.suppress(runs.FailedDays):
+        runs.ingest_incidents(spark, f"{root}/landed", f"{root}/raw", f"{root}/log")
+    return ev
+
+
+def ingest_bad_day(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Outcome of every landing day when some hold a row with a bad hour, and the stored rows of the day."""
+    root = scratch_path(spark, "bad-day")
+    _ingest_with_bad_days(spark, sf_dir, root)
+    stored = (spark.read.schema(stream_ingest.STREAM_TABLE).parquet(f"{root}/raw").groupBy(F.col("doc_day").alias("day"))
+              .agg(F.count("*").alias("stored")))
+    days = commit.read_days(spark, f"{root}/raw")
+    return (days.join(stored, F.col("doc_day") == F.col("day"), "left")
+            .select("doc_day", "status", "n_rows", "n_bad", "reason", F.coalesce("stored", F.lit(0)).cast("long").alias("stored")))
+
+
+def ingest_bad_day_repaired(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored table after the failed days were landed again without fault and an incremental run read them."""
+    root = scratch_path(spark, "bad-day-again")
+    ev = _ingest_with_bad_days(spark, sf_dir, root)
+    landed.land_incident_documents(adapters.incident_features(ev.where(F.dayofmonth("ts") % 5 == 2)), f"{root}/landed", load=2)
+    runs.ingest_incidents(spark, f"{root}/landed", f"{root}/raw", f"{root}/log", incremental=True)
+    return to_portable(tables.read_raw_incidents(spark, f"{root}/raw").select("event_id", "objectid", "occ_date_utc"))
+
+
+def upsert_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hours without latitude: left out and counted, or an error that leaves the table as it was (one row for each way)."""
+    root = scratch_path(spark, "null-keys")
+    lost = datasets.weather_cache(spark, sf_dir).withColumn("lat", F.when(F.hour("hour_utc") % 12 != 5, F.col("lat"))).withColumn("doc", F.lit(0))
+    out = []
+    for way in ("drop", "error"):
+        counts = (0, 0, 0)
+        with contextlib.suppress(Exception), runlog.run_logged(spark, f"{root}/log", way):
+            counts = tuple(upsert.upsert_table(spark, f"{root}/{way}", lost, WEATHER_CACHE, ["lat", "lon", "hour_utc"], ["doc"],
+                                               tables.WEATHER_PARTITIONING, null_keys=way).first())
+        out.append((way, *counts, tables.read_weather_cache(spark, f"{root}/{way}").count()))
+    out = spark.createDataFrame(out, "way string, rows_upserted long, distinct_keys long, null_keys long, stored long")
+    state = tables.read_run_log(spark, f"{root}/log")
+    names = F.coalesce(F.col("error_message").contains("key column lat"), F.lit(False)).alias("names_column")
+    return out.join(state.select(F.col("pipeline_name").alias("way"), "status", names), "way")
+
+
+def stream_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Dead letters of the stream by day and reason: documents cut short on every third day, rows with a bad hour on the others."""
+    root = scratch_path(spark, "stream-rejects")
+    landed.land_incident_documents(adapters.incident_features(datasets.events(spark, sf_dir), _bad_rows()), f"{root}/landed", cut=_cut_days())
+    stream_ingest.start_incident_stream(spark, f"{root}/landed", f"{root}/raw", f"{root}/checkpoint", files_per_trigger=20,
+                                        run_log_path=f"{root}/log").awaitTermination()
+    return commit.read_dead_letters(spark, f"{root}/raw").groupBy("doc_day", "reason").agg(F.count("*").alias("n"))
+
+
+def backfill_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Run log of three incremental backfills: all hours, every second day landed again, nothing new; and the landings loaded so far."""
+    w = datasets.weather_cache(spark, sf_dir)
+    root = scratch_path(spark, "backfill-incremental")
+    landed.land_weather_documents(w, f"{root}/landed", load=1)
+    for again in (w.where(F.dayofmonth("hour_utc") % 2 == 0), None, None):
+        runs.backfill_weather(spark, f"{root}/landed", f"{root}/cache", f"{root}/log", incremental=True)
+        if again is not None:
+            landed.land_weather_documents(again, f"{root}/landed", load=2)
+    loaded = spark.read.schema(runs.LOADED).parquet(f"{root}/cache.landings").groupBy("run_id").agg(F.max("load").alias("landing"))
+    return (tables.read_run_log(spark, f"{root}/log").join(loaded, "run_id", "left")
+            .select("status", "row_count", F.col("error_message").isNotNull().alias("has_message"), "landing"))
+
+
 def _jobs(spark: SparkSession, sf_dir: str) -> tuple[str, dict[str, str]]:
     """Landing, ingest, backfill and models on files; the folder and the models' paths."""
     ev = datasets.events(spark, sf_dir)

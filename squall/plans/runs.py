@@ -11,56 +11,57 @@ job. A failure is logged with its message and re-raised (D7).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import functions as F
 
-from squall.operators import export, quality
+from squall.operators import commit, export, quality
+from squall.operators.commit import RejectedDocuments  # noqa: F401
 from squall.operators.runlog import DEFAULT_TRIGGER, run_logged
-from squall.operators.upsert import table_exists, upsert_table
+from squall.operators.upsert import remove, table_exists, upsert_table
 from squall.plans import models, requests
 from squall.schemas import WEATHER_CACHE
-from squall.session import ensure_utc
+from squall.session import ensure_utc, scratch_path
 from squall.sources import landed, tables
-from squall.streaming.ingest import upsert_batch
 
 
-class RejectedDocuments(ValueError):
-    """Landed documents that could not be read, in strict mode."""
+class FailedDays(ValueError):
+    """Days that were not stored because a row of theirs is bad; the other days are."""
 
 
 def ingest_incidents(spark: SparkSession, landed_path: str, raw_path: str, run_log_path: str,
                      start_day: str | None = None, end_day: str | None = None,
                      triggered_by: str = DEFAULT_TRIGGER, lenient: bool = False,
-                     incremental: bool = False, wholetext: bool = False, strict: bool = False) -> DataFrame:
+                     incremental: bool = False, wholetext: bool = False, strict: bool = False,
+                     on_failed_day: str = "raise") -> DataFrame:
     """Upsert every landed day in ``[start_day, end_day]`` (all days if unset).
 
     ``incremental=True`` without ``start_day`` resumes at the local day after the
     stored high-water mark (the project baseline when the table is empty), as
-    the reference's fetcher does; only that one date reaches the driver.
+    the reference's fetcher does, and reads the days again whose latest outcome is a failure;
+    only those dates reach the driver.
+    The day is the unit of commit: a bad value (one that the strict reading raises on) keeps its day
+    out of the table and no other; the day log and the dead letters tell which (``commit``).
+    The run then is a failure that counts the rows it stored, raised as ``FailedDays``, or with
+    ``on_failed_day="log"`` a success whose message names the days. ``lenient`` reads bad values as NULL.
     Rejected documents are counted in the run's message; ``strict`` fails before
     anything is written. ``wholetext`` for files of one document over several lines.
     Returns the batch counts (rows upserted incl. in-batch repeats, distinct keys,
     rows without key)."""
     ensure_utc(spark)
+    if on_failed_day not in ("raise", "log"):
+        raise ValueError("on_failed_day is 'raise' or 'log'")
     with run_logged(spark, run_log_path, "tps_ingest", triggered_by) as ctx:
+        again = []
         if incremental and start_day is None:
             stored = tables.read_raw_incidents(spark, raw_path) if table_exists(spark, raw_path) else None
             start_day = requests.resolve_start(spark, None, stored).first()["start_day"].isoformat()
-        parsed = landed.parsed_documents(landed.read_landed_text(spark, landed_path, start_day, end_day, wholetext))
-        ctx["message"] = _rejects(parsed, strict)
-        counts = upsert_batch(spark, raw_path, landed.documents_to_features(parsed), lenient=lenient).first()
-        ctx["row_count"] = counts["rows_upserted"]
-    return spark.createDataFrame([counts])
-
-
-def _rejects(parsed: DataFrame, strict: bool) -> str | None:
-    """One line on rejected documents, or None; an error in strict mode."""
-    by_reason = sorted((r[0], r[1]) for r in parsed.where("reason is not null").groupBy("reason").count().collect())
-    if not by_reason:
-        return None
-    text = "rejected documents: " + ", ".join(f"{n} {reason}" for reason, n in by_reason)
-    if strict:
-        raise RejectedDocuments(text)
-    return text
+            again = commit.open_days(spark, raw_path)
+        parsed = landed.parsed_documents(landed.read_landed_text(spark, landed_path, start_day, end_day, wholetext, again))
+        done = commit.commit_landed(spark, parsed, raw_path, ctx["run_id"], lenient, strict)
+        ctx["row_count"], ctx["message"] = done.rows_upserted, done.message()
+        if done.failed and on_failed_day == "raise":
+            raise FailedDays(done.message())
+    return spark.createDataFrame([(done.rows_upserted, done.distinct_keys, done.null_keys)], "rows_upserted long, distinct_keys long, null_keys long")
 
 
 def plan_weather(spark: SparkSession, raw_path: str, weather_path: str, exact: bool = False) -> DataFrame:
@@ -73,17 +74,59 @@ def plan_weather(spark: SparkSession, raw_path: str, weather_path: str, exact: b
 
 def backfill_weather(spark: SparkSession, landed_path: str, weather_path: str, run_log_path: str,
                      triggered_by: str = DEFAULT_TRIGGER, since: int | None = None, multiline: bool = False,
-                     strict: bool = False) -> DataFrame:
+                     strict: bool = False, incremental: bool = False) -> DataFrame:
     """Upsert landed weather documents into the cache: all, or those landed after ``since``. Where two
-    documents hold the same hour, the one landed later wins, then the later array entry."""
+    documents hold the same hour, the one landed later wins, then the later array entry.
+
+    ``incremental``: the finished landings that no earlier incremental run has loaded (in whatever
+    order they were finished); only their folders are listed and read. Documents are read once:
+    rejected ones are counted on the way (``strict`` fails before anything is stored)."""
     ensure_utc(spark)
     with run_logged(spark, run_log_path, "weather_cache", triggered_by) as ctx:
-        ctx["message"] = _rejects(landed.parsed_weather_documents(spark, landed_path, multiline, since), strict)
-        hours = landed.weather_hours_from_documents(landed.read_weather_documents(spark, landed_path, multiline, since))
+        loads = None
+        if incremental:
+            loads = sorted(set(landed.landings(spark, landed_path)) - _loaded(spark, weather_path))
+        counts = {"rows_upserted": 0, "distinct_keys": 0, "null_keys": 0}
+        if loads is None or loads:
+            counts = _load_weather(spark, landed_path, weather_path, since, multiline, strict, loads, ctx)
+        if loads:
+            (spark.createDataFrame([(n, ctx["run_id"]) for n in loads], LOADED).coalesce(1)
+             .write.mode("append").parquet(f"{weather_path.rstrip('/')}.landings"))
+    return spark.createDataFrame([tuple(counts.values())], "rows_upserted long, distinct_keys long, null_keys long")
+
+
+LOADED = "load long, run_id string"
+
+
+def _loaded(spark: SparkSession, weather_path: str) -> set[int]:
+    """Numbers of the landings in the cache: one for each incremental load."""
+    path = f"{weather_path.rstrip('/')}.landings"
+    if not table_exists(spark, path):
+        return set()
+    return {r["load"] for r in spark.read.schema(LOADED).parquet(path).collect()}
+
+
+def _load_weather(spark: SparkSession, landed_path: str, weather_path: str, since: int | None, multiline: bool, strict: bool,
+                  loads: list[int] | None, ctx: dict) -> dict[str, int]:
+    documents = Observation()
+    parsed = landed.parsed_weather_documents(spark, landed_path, multiline, since, loads)
+    watched = parsed.observe(documents, *[F.count_if(F.col("reason") == r).alias(r) for r in landed.WEATHER_REASONS])
+    hours = landed.weather_hours_from_documents(landed.accepted_weather(watched))
+    staged = scratch_path(spark, "weather-hours")
+    try:
+        hours.write.parquet(staged)
+        hours = spark.read.schema(hours.schema).parquet(staged)
+        rejects = ", ".join(f"{n} {reason}" for reason, n in sorted(documents.get.items()) if n)
+        if rejects:
+            ctx["message"] = f"rejected documents: {rejects}"
+            if strict:
+                raise commit.RejectedDocuments(ctx["message"])
         counts = upsert_table(spark, weather_path, hours, WEATHER_CACHE, ["lat", "lon", "hour_utc"],
-                              ["landed_at", "doc_path", "idx"], tables.WEATHER_PARTITIONING).first()
-        ctx["row_count"] = counts["rows_upserted"]
-    return spark.createDataFrame([counts])
+                              ["landed_at", "doc_path", "idx"], tables.WEATHER_PARTITIONING, staged=True).first().asDict()
+    finally:
+        remove(spark, staged)
+    ctx["row_count"] = counts["rows_upserted"]
+    return counts
 
 
 class FailedChecks(ValueError):
@@ -109,7 +152,8 @@ def build_models(spark: SparkSession, raw_path: str, weather_path: str, out_dir:
     enriched = tables.read_model(spark, paths["int_enriched_incidents"])
     models.materialise(models.mart(enriched), paths["fct_incidents_flat"], sort_by=["occ_date_utc"])
     marts = tables.read_model(spark, paths["fct_incidents_flat"])
-    checks = quality.report([quality.key_checks(stg, "stg_tps_incidents", ["event_id"]),
+    checks = quality.report([quality.key_checks(weather, "weather_cache", ["lat", "lon", "hour_utc"]),
+                             quality.key_checks(stg, "stg_tps_incidents", ["event_id"]),
                              quality.key_checks(enriched, "int_enriched_incidents", ["event_id"]),
                              quality.key_checks(marts, "fct_incidents_flat", ["event_id"]),
                              quality.non_empty(marts, "fct_incidents_flat")])

@@ -110,3 +110,10 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh directory under the shared checkpoint folder for written tables."""
     base = ensure_checkpoint_dir(spark)
     return f"{base.rstrip('/')}/squall-{name}-{uuid.uuid4().hex[:12]}"
+
+
+def fs_path(spark: SparkSession, path: str):
+    """The file system and the path object of ``path`` (any store that Spark knows)."""
+    jvm = spark.sparkContext._jvm
+    hpath = jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()), hpath

@@ -78,14 +78,17 @@ def incident_columns(events: DataFrame) -> DataFrame:
     )
 
 
-def incident_pages(events: DataFrame) -> DataFrame:
+def incident_pages(events: DataFrame, bad_hour: Column | None = None) -> DataFrame:
     """Incident features grouped into the API's response pages:
     ``(doc_day, page, features ARRAY<STRUCT<pos, feature VARIANT>>)``.
 
     ``page`` is the 1000-record request page a feature arrives in, so a page
     (one group of the collect) never holds more than the source's page size.
+    ``bad_hour`` (a boolean Column over pos, doc_day) gives matching rows an hour that is no number.
     """
     src = incident_columns(events)
+    if bad_hour is not None:
+        src = src.withColumn("occ_hour", F.when(bad_hour, "xx").otherwise(F.col("occ_hour")))
     attributes = F.struct(
         F.col("objectid").alias("OBJECTID"),
         F.col("event_unique_id").alias("EVENT_UNIQUE_ID"),
@@ -121,9 +124,9 @@ def incident_pages(events: DataFrame) -> DataFrame:
         F.collect_list(F.struct("pos", "feature")).alias("features"))
 
 
-def incident_features(events: DataFrame) -> DataFrame:
+def incident_features(events: DataFrame, bad_hour: Column | None = None) -> DataFrame:
     """Features as read out of the pages: ``(doc_day, page, pos, feature VARIANT)``."""
-    pages = incident_pages(events)
+    pages = incident_pages(events, bad_hour)
     return (pages.select("doc_day", "page", F.explode("features").alias("f"))
                  .select("doc_day", "page", "f.pos", "f.feature"))
 

@@ -1,9 +1,11 @@
 """Landed API documents: writers (K1) and readers.
 
 Incident pages land as one JSON document per line under Hive-style
-``year=YYYY/month=MM/day=DD`` directories (the reference's raw landing zone);
-weather documents land under ``lat=<lat>/lon=<lon>`` directories with the
-requested grid point in the path, since the payload itself does not repeat it.
+``year=YYYY/month=MM/day=DD`` directories (the reference's raw landing zone).
+Weather documents carry the requested grid point and land in one folder for each landing,
+``load=<number>``, in files whose number follows the bytes, not the points and days; a folder
+is finished when its ``_SUCCESS`` mark is there. Documents of other origin under
+``lat=<lat>/lon=<lon>`` directories are read too, with the grid point of the path.
 
 Readers are line-oriented (splittable, one task per file split); a document
 that spans lines can be read with ``wholetext=True`` (one task per file).
@@ -21,10 +23,12 @@ from pyspark.sql import types as T
 from squall.functions import geo
 from squall.functions import timeutil as tu
 from squall.schemas import INCIDENT_DOCUMENT_DDL, LAT_LON_CACHE, WEATHER_DOCUMENT, WEATHER_VARIABLES
-from squall.session import ensure_utc
+from squall.session import ensure_utc, fs_path
 
 WEATHER_TIME_FORMAT = "yyyy-MM-dd'T'HH:mm"
 DOC_SIZE = 1000
+REASONS = ("unparsable", "no features")
+WEATHER_REASONS = ("unparsable", "no hours", "no grid point")
 
 
 # --- incidents -------------------------------------------------------------------
@@ -67,17 +71,18 @@ def land_incident_documents(features: DataFrame, path: str, load: int | None = N
 
 
 def read_landed_text(spark: SparkSession, path: str, start_day: str | None = None, end_day: str | None = None,
-                     wholetext: bool = False) -> DataFrame:
+                     wholetext: bool = False, also: list | None = None) -> DataFrame:
     """Landed lines (or whole files) with ``doc_day``, ``doc_path`` and the file's ``modified`` time.
 
     ``start_day`` / ``end_day`` (inclusive local days) prune the ``year/month/day`` directories
-    before any file is opened.
+    before any file is opened; the days in ``also`` are read although they lie before ``start_day``.
     """
     ensure_utc(spark)
     raw = spark.read.text(path, wholetext=wholetext)
     day = F.make_date("year", "month", "day")
     if start_day is not None:
-        raw = raw.filter(day >= F.lit(start_day).cast("date"))
+        late = day >= F.lit(start_day).cast("date")
+        raw = raw.filter(late | day.isin(*also) if also else late)
     if end_day is not None:
         raw = raw.filter(day <= F.lit(end_day).cast("date"))
     return with_source(raw, day)
@@ -137,9 +142,12 @@ def rejected_documents(parsed: DataFrame) -> DataFrame:
 # --- weather ---------------------------------------------------------------------
 
 def land_weather_documents(hours: DataFrame, path: str, bad_time=None, load: int | None = None) -> None:
-    """Write cache-shaped hourly rows as weather documents, one per (grid point,
-    UTC day): parallel arrays ordered by hour (at most 24 entries each).
-    Only the landed (grid point, day) folders are replaced; documents carry the ``load`` number.
+    """Write cache-shaped hourly rows as the weather documents of one landing, one per (grid point,
+    UTC day): parallel arrays ordered by hour (at most 24 entries each), with the grid point.
+
+    A landing is a folder of its own (landed again under the same ``load`` number it is replaced); later
+    landings win hour by hour, so nothing that was landed before is touched. Its files are as many as
+    the shuffle's byte target makes them.
 
     ``bad_time`` (a boolean Column) replaces the time text of matching rows
     with a malformed value, to exercise the reader's row-dropping rule.
@@ -155,40 +163,82 @@ def land_weather_documents(hours: DataFrame, path: str, bad_time=None, load: int
     def field(name):
         return F.transform("h", lambda x: x[name]).alias(name)
     hourly = F.struct(field("time"), *[field(k) for k in WEATHER_VARIABLES])
-    number = F.lit(_load_number(load)).cast("bigint").alias("load")
-    (docs.select(F.to_json(F.struct(number, hourly.alias("hourly"))).alias("value"),
-                 F.col("lat").cast("double").cast("string").alias("lat"),
-                 F.col("lon").cast("double").cast("string").alias("lon"),
-                 F.col("date_utc").cast("string").alias("day"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("lat", "lon", "day").text(path))
+    number = _load_number(load)
+    grid = [F.col(c).cast("double").cast("string").alias(c) for c in ("lat", "lon")]
+    (docs.select(F.to_json(F.struct(F.lit(number).cast("bigint").alias("load"), *grid, hourly.alias("hourly"))).alias("value"))
+     .write.mode("overwrite").text(f"{path.rstrip('/')}/{LANDING}{number}"))
+
+
+LANDING = "load="
+
+
+def _landing_folders(spark: SparkSession, path: str) -> tuple[list[int], list[str]]:
+    """Numbers of the finished landings under ``path``, and the other entries there (names only)."""
+    fs, root = fs_path(spark, path)
+    numbers, others = [], []
+    for f in fs.listStatus(root):
+        name = f.getPath().getName()
+        if f.isDirectory() and name.startswith(LANDING) and name[len(LANDING):].isdigit():
+            if fs.exists(fs_path(spark, f"{f.getPath().toString()}/_SUCCESS")[1]):
+                numbers.append(int(name[len(LANDING):]))
+        elif not name.startswith(("_", ".")):
+            others.append(f.getPath().toString())
+    return sorted(numbers), others
+
+
+def landings(spark: SparkSession, path: str) -> list[int]:
+    """Numbers of the finished landings."""
+    return _landing_folders(spark, path)[0]
 
 
-def parsed_weather_documents(spark: SparkSession, path: str, multiline: bool = False, since: int | None = None) -> DataFrame:
-    """Landed weather documents with the requested grid point from the path, and ``reason`` as for incidents.
+def parsed_weather_documents(spark: SparkSession, path: str, multiline: bool = False, since: int | None = None,
+                             loads: list[int] | None = None) -> DataFrame:
+    """Landed weather documents with their requested grid point, and ``reason`` as for incidents.
 
     One document per line by default (splittable); ``multiline=True`` for pretty-printed files (one
-    task per file). ``since``: only documents landed after this number.
+    task per file). ``since``: only documents landed after this number; ``loads``: only these landings. Of
+    finished landings that are not asked for, nothing is listed or read.
     """
     ensure_utc(spark)  # document times are UTC wall clocks
-    fields = [T.StructField("load", T.LongType()), *WEATHER_DOCUMENT.fields, T.StructField("_corrupt", T.StringType())]
-    grid = T.StructType([T.StructField("value", T.StringType()), T.StructField("lat", T.StringType()), T.StructField("lon", T.StringType())])
-    raw = spark.read.schema(grid).text(path, wholetext=multiline)
+    numbers, others = _landing_folders(spark, path)
+    if loads is not None:
+        numbers, others = [n for n in numbers if n in set(loads)], []
+    elif since is not None:
+        numbers = [n for n in numbers if n > since]
+    text = T.StructField("value", T.StringType())
+    fields = [T.StructField("load", T.LongType()), T.StructField("lat", T.StringType()), T.StructField("lon", T.StringType()),
+              *WEATHER_DOCUMENT.fields, T.StructField("_corrupt", T.StringType())]
+    paths = [f"{path.rstrip('/')}/{LANDING}{n}" for n in numbers] + others
+    if paths:
+        raw = (spark.read.schema(T.StructType([text])).option("recursiveFileLookup", "true").text(paths, wholetext=multiline)
+               .select("value", F.col("_metadata.file_path").alias("doc_path"), F.unix_millis("_metadata.file_modification_time").alias("modified")))
+    else:
+        raw = spark.createDataFrame([], "value string, doc_path string, modified long")
     doc = F.from_json("value", T.StructType(fields), {"columnNameOfCorruptRecord": "_corrupt"})
+
+    def point(axis: str):
+        of_path = F.regexp_extract("doc_path", f"/{axis}=([^/]+)/", 1)
+        return F.coalesce(F.col(f"doc.{axis}"), F.when(of_path != "", of_path)).alias(axis)
+
     reason = (F.when(F.col("doc").isNull() | F.col("doc._corrupt").isNotNull(), "unparsable")
-              .when(F.col("doc.hourly").isNull(), "no hours"))
-    parsed = (raw.select("value", "lat", "lon", F.col("_metadata.file_path").alias("doc_path"),
-                         F.unix_millis("_metadata.file_modification_time").alias("modified"))
-              .where(F.trim("value") != "").withColumn("doc", doc)
-              .select("lat", "lon", "doc_path", F.coalesce("doc.load", "modified").alias("landed_at"), reason.alias("reason"), "doc"))
+              .when(F.col("doc.hourly").isNull(), "no hours")
+              .when(F.expr("try_cast(lat as double) is null or try_cast(lon as double) is null"), "no grid point"))
+    parsed = (raw.where(F.trim("value") != "").withColumn("doc", doc)
+              .select(point("lat"), point("lon"), "doc_path", F.coalesce("doc.load", "modified").alias("landed_at"), "doc")
+              .withColumn("reason", reason))
     return parsed if since is None else parsed.where(F.col("landed_at") > since)
 
 
-def read_weather_documents(spark: SparkSession, path: str, multiline: bool = False, since: int | None = None) -> DataFrame:
-    """Accepted weather documents -> ``(lat, lon, hourly, doc_path, landed_at)``."""
-    parsed = parsed_weather_documents(spark, path, multiline, since)
+def accepted_weather(parsed: DataFrame) -> DataFrame:
     return parsed.where(F.col("reason").isNull()).select("lat", "lon", F.col("doc.hourly").alias("hourly"), "doc_path", "landed_at")
 
 
+def read_weather_documents(spark: SparkSession, path: str, multiline: bool = False, since: int | None = None,
+                           loads: list[int] | None = None) -> DataFrame:
+    """Accepted weather documents -> ``(lat, lon, hourly, doc_path, landed_at)``."""
+    return accepted_weather(parsed_weather_documents(spark, path, multiline, since, loads))
+
+
 def weather_hours_from_documents(docs: DataFrame) -> DataFrame:
     """Zip the parallel hourly arrays into cache rows.
 

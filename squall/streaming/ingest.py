@@ -18,20 +18,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
-from squall.operators.ingest import ORDER_COLUMNS, normalise_incidents
-from squall.operators.upsert import upsert_table
+from squall.operators import runlog
+from squall.operators.commit import PARTITIONING, STREAM_TABLE, commit_landed, upsert_batch  # noqa: F401
 from squall.schemas import RAW_INCIDENTS
 from squall.session import ensure_utc
-from squall.sources.landed import documents_to_features, parsed_documents, rejected_documents, with_source
-
-STREAM_TABLE = T.StructType(list(RAW_INCIDENTS.fields) + [
-    T.StructField("doc_day", T.DateType(), True),
-    T.StructField("page", T.IntegerType(), True),
-    T.StructField("pos", T.LongType(), True),
-    T.StructField("landed_at", T.LongType(), True),
-    T.StructField("occ_month", T.StringType(), True),
-])
-PARTITIONING = ["occ_month"]
+from squall.sources.landed import parsed_documents, with_source
 
 LANDED_TEXT = T.StructType([
     T.StructField("value", T.StringType(), True),
@@ -41,26 +32,18 @@ LANDED_TEXT = T.StructType([
 ])
 
 
-def upsert_batch(spark: SparkSession, table_path: str, features: DataFrame,
-                 lenient: bool = False) -> DataFrame:
-    """Normalise one batch of features and upsert it into the table."""
-    ensure_utc(spark)
-    rows = normalise_incidents(features, lenient=lenient).withColumns({
-        "occ_month": F.date_format("occ_date_utc", "yyyy-MM"),
-        "pos": F.col("pos").cast("bigint")})
-    return upsert_table(spark, table_path, rows, STREAM_TABLE, ["event_id"], list(ORDER_COLUMNS),
-                        PARTITIONING, preserve=("inserted_at",), order_in_target=True,
-                        partition_follows_key=False)
-
-
 def start_incident_stream(spark: SparkSession, landed_path: str, table_path: str,
                           checkpoint_path: str, files_per_trigger: int = 1,
                           available_now: bool = True, lenient: bool = False, strict: bool = False,
-                          wholetext: bool = False) -> StreamingQuery:
+                          wholetext: bool = False, run_log_path: str | None = None) -> StreamingQuery:
     """Start the stream; with ``available_now`` it drains what has landed and stops.
 
-    ``strict`` stops it at a rejected document; else ``landed.document_account`` over the landing
-    zone tells them. ``wholetext`` for files that hold one document over several lines.
+    Each micro-batch is committed as the batch job does it: its good days are stored, a day with a
+    bad row is not, and bad rows and rejected documents go to the table's dead letters under the
+    batch's number, so a replay replaces them (``commit.read_dead_letters``). ``strict`` stops the
+    stream at a rejected document instead. With ``run_log_path`` every micro-batch is a run of the
+    log, triggered by the batch. ``wholetext`` for files that hold one document
+    over several lines.
     """
     ensure_utc(spark)
     lines = (spark.readStream.schema(LANDED_TEXT)
@@ -68,9 +51,13 @@ def start_incident_stream(spark: SparkSession, landed_path: str, table_path: str
     parsed = parsed_documents(with_source(lines, F.make_date("year", "month", "day")))
 
     def each_batch(batch: DataFrame, epoch_id: int) -> None:
-        if strict and not rejected_documents(batch).isEmpty():
-            raise ValueError("a landed document was rejected")
-        upsert_batch(batch.sparkSession, table_path, documents_to_features(batch), lenient)
+        session, name = batch.sparkSession, f"stream-{epoch_id:09d}"
+        if run_log_path is None:
+            commit_landed(session, batch, table_path, name, lenient, strict)
+            return
+        with runlog.run_logged(session, run_log_path, "tps_stream", name) as ctx:
+            done = commit_landed(session, batch, table_path, name, lenient, strict)
+            ctx["row_count"], ctx["message"] = done.rows_upserted, done.message()
 
     writer = (parsed.writeStream.foreachBatch(each_batch)
               .option("checkpointLocation", checkpoint_path))
