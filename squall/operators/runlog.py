@@ -4,7 +4,8 @@ The log is an append-only Parquet table of *records*: a start record when a
 run begins and an end record when it finishes. The current state of a run is
 the merge of its records (``run_state``): fields of the start record, then
 status / end / counts of the latest record. Appending is idempotent under task
-retries (one small file per call) and needs no in-place UPDATE.
+retries (one small file per call) and needs no in-place UPDATE. Every so many files are
+folded into a snapshot (``compact``).
 """
 
 from __future__ import annotations
@@ -18,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from squall.schemas import RUN_STATUSES
+from squall.session import fs_path
 
 RECORDS = T.StructType([
     T.StructField("run_id", T.StringType(), False),
@@ -42,6 +44,9 @@ def _now() -> _dt.datetime:
     return _dt.datetime.now(_dt.timezone.utc)
 
 
+SNAPSHOT_AFTER = 64      # record files that a reader opens, about
+
+
 def _append(spark: SparkSession, path: str, row: tuple) -> None:
     spark.createDataFrame([row], RECORDS).coalesce(1).write.mode("append").parquet(path)
 
@@ -50,6 +55,7 @@ def log_run_start(spark: SparkSession, path: str, pipeline_name: str,
                   triggered_by: str = DEFAULT_TRIGGER) -> str:
     """Append a start record; returns the new run id."""
     run_id = str(uuid.uuid4())
+    compact(spark, path)
     now = _now()
     _append(spark, path, (run_id, pipeline_name, now, None, DEFAULT_STATUS, None,
                           triggered_by, None, now, 0))
@@ -68,6 +74,31 @@ def log_run_end(spark: SparkSession, path: str, run_id: str, status: str,
     return row["duration"] if row else None
 
 
+def compact(spark: SparkSession, path: str, after: int = SNAPSHOT_AFTER) -> bool:
+    """Fold the log's files into one snapshot once there are more than ``after``; whether it did.
+
+    A run's records become at most two, its first and its latest. The snapshot is added, then the
+    files it was made from are deleted; what is appended meanwhile stays, and a driver that dies
+    between leaves records twice, which a run's state does not see. So a reader opens the snapshot
+    and a tail of at most ``after`` files.
+    """
+    fs, root = fs_path(spark, path)
+    if not fs.exists(root):
+        return False
+    files = [f.getPath().toString() for f in fs.listStatus(root) if f.getPath().getName().startswith("part-")]
+    if len(files) <= after:
+        return False
+    records = spark.read.schema(RECORDS).parquet(*files)
+    order, whole = F.struct("seq", "recorded_at"), F.struct(*RECORDS.fieldNames())
+    ends = records.groupBy("run_id").agg(F.min_by(whole, order).alias("first"), F.max_by(whole, order).alias("last"))
+    folded = ends.select(F.explode(F.array_distinct(F.array("first", "last"))).alias("r")).select("r.*")
+    folded.write.mode("append").parquet(path)
+    for f in files:
+        fs.delete(fs_path(spark, f)[1], False)
+    spark.catalog.refreshByPath(path)
+    return True
+
+
 @contextlib.contextmanager
 def run_logged(spark: SparkSession, path: str, pipeline_name: str,
                triggered_by: str = DEFAULT_TRIGGER):

@@ -7,8 +7,8 @@ repeats many times in a batch (a hot key) is folded on the map side before the
 shuffle instead of landing in one task.
 
 ``upsert_table`` persists it: the batch is written once beside the table, only the
-partitions that it touches are read and merged, the merge is written once, and its
-partition folders are moved into place. Untouched partitions are never rewritten, and a
+partitions that it touches are read and merged (an index beside the table tells where its keys
+are), the merge is written once, and its partition folders are moved into place. Untouched partitions are never rewritten, and a
 lost executor just reruns its tasks (no state outside files). A driver that dies in the
 middle of the swap leaves a finished staging folder; the next upsert completes it first.
 """
@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from squall.operators.locator import KeyIndex
 from squall.session import ensure_utc, fs_path
 
 _SRC = "__src"
@@ -127,8 +128,8 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, schema: T.Str
       partition values are all that is touched.
     - ``partition_follows_key=False``: the partition value comes from the row
       (the incidents' occurrence month, which an update can change). The
-      partitions the batch's keys live in now are found with a narrow scan of
-      the key and partition columns only, semi-joined to the batch's keys; a
+      partitions the batch's keys live in now come from an index beside the table
+      (``locator``), of which only the batch's buckets are read; a
       partition whose last rows moved out is removed.
 
     Rows are counted where they are written: by metrics observed on the batch's own write, or by
@@ -169,8 +170,11 @@ def _merge_into(spark: SparkSession, path: str, work: str, batch: DataFrame, sch
     stored = spark.read.schema(schema).parquet(path)
     touched = batch.select(p)
     if not partition_follows_key:
-        located = stored.select(*keys, p).join(batch.select(*keys).distinct(), keys, "left_semi").select(p)
-        touched = touched.unionByName(located)
+        asked = batch.where(_keys_present(keys)).select(*keys).distinct()
+        index = KeyIndex(spark, path, stored, keys, p)
+        index.known(asked).write.parquet(f"{work}/known")
+        known = spark.read.schema(T.StructType([schema[c] for c in (*keys, p)])).parquet(f"{work}/known")
+        touched = touched.unionByName(known.select(p))
     touched.distinct().write.parquet(f"{work}/touched")
     touched = spark.read.schema(touched.schema).parquet(f"{work}/touched")
     merged = merge_last_wins(_in_partitions(stored, touched, p), batch, keys, order, preserve, columns,
@@ -179,7 +183,10 @@ def _merge_into(spark: SparkSession, path: str, work: str, batch: DataFrame, sch
     (merged.hint("rebalance", p).sortWithinPartitions(p, *keys)
      .write.partitionBy(p).parquet(f"{work}/merged"))
     if not partition_follows_key:
-        written = spark.read.schema(schema).parquet(f"{work}/merged").select(p).distinct()
+        written = spark.read.schema(schema).parquet(f"{work}/merged")
+        new = written.select(*keys, p).join(asked, keys, "left_semi").exceptAll(known)      # nulls compare equal
+        index.add(new, work.rsplit("/", 1)[1])
+        written = written.select(p).distinct()
         (touched.join(written.withColumnRenamed(p, "__p"), F.col(p).eqNullSafe(F.col("__p")), "left_anti")
          .select(F.coalesce(F.col(p).cast("string"), F.lit(NO_VALUE)).alias("value")).write.parquet(f"{work}/emptied"))
     distinct = batch.where(_keys_present(keys)).select(*keys).distinct().count()
@@ -198,11 +205,11 @@ def _keys_present(keys: list[str]):
 
 
 def _in_partitions(stored: DataFrame, touched: DataFrame, p: str) -> DataFrame:
-    """Stored rows of the touched partitions; an equality join, so the scan prunes at run time."""
-    rows = stored.join(touched.where(F.col(p).isNotNull()), p, "left_semi").select(*stored.columns)
-    if touched.where(F.col(p).isNull()).isEmpty():
-        return rows
-    return rows.unionByName(stored.where(F.col(p).isNull()))
+    """Stored rows of the touched partitions. Their names (as many as folders will be moved) are literals
+    of the partition filter, so the folders of the others are not opened, whatever the optimiser makes of a join."""
+    values = [r[0] for r in touched.distinct().collect()]
+    named = F.col(p).isin([v for v in values if v is not None])
+    return stored.where(named | F.col(p).isNull() if None in values else named)
 
 
 def finish_swaps(spark: SparkSession, path: str) -> None:
