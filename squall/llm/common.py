@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from squall.session import scratch_path
+from squall.session import fs_path, scratch_path
 
 LOW = "abcdefghijklmnopqrstuvwxyz"
+BATCH_BYTES = 8 << 20
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -15,12 +18,42 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def bounded_batches(spark: SparkSession) -> None:
+    """Let Arrow batches hold at most ``BATCH_BYTES``: a Python task holds a few of them, whatever its rows are."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(name, None) != f"{BATCH_BYTES}b":
+        spark.conf.set(name, f"{BATCH_BYTES}b")
+
+
+def marked(docs: DataFrame, name: str) -> DataFrame:
+    """The rows as (row, doc): a stored number that tells rows apart, equal ones too, and all columns in one struct."""
+    columns = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    return stored(docs.select(F.monotonically_increasing_id().alias("row"), columns.alias("doc")), name)
+
+
+_PASSING: list[list[str]] = []
+
+
+@contextlib.contextmanager
+def passing(spark: SparkSession):
+    """Delete at the end of the block what ``stored`` wrote in it, but for what it was told to keep."""
+    _PASSING.append([])
+    try:
+        yield
+    finally:
+        for path in _PASSING.pop():
+            fs, place = fs_path(spark, path)
+            fs.delete(place, True)
+
+
+def stored(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """Write ``df`` to the shared scratch folder and read it back.
 
     Cuts lineage: a lost executor costs the tasks it ran, not the steps before.
     """
     path = scratch_path(df.sparkSession, name)
+    if _PASSING and not keep:
+        _PASSING[-1].append(path)
     df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
@@ -34,10 +67,12 @@ def numbered(df: DataFrame, order: list[Column], name: str, out: str = "row_numb
 
     Rows are range-partitioned and sorted by many tasks; a partition's first number is
     the count of the rows before it. Only one count for each partition reaches the
-    driver. Rows that tie in ``order`` follow each other in either order.
+    driver. Rows that tie in ``order`` follow each other in either order, and are dealt over
+    several tasks if they are many.
     """
     spark = df.sparkSession
-    placed = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    placed = df.withColumn("__tie", F.monotonically_increasing_id())
+    placed = placed.repartitionByRange(*order, "__tie").sortWithinPartitions(*order).drop("__tie")
     placed = stored(placed.withColumn("__at", F.monotonically_increasing_id()), name)
     part = F.shiftright("__at", 33)
     counts = sorted((r[0], r[1]) for r in placed.groupBy(part).count().collect())

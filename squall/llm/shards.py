@@ -26,11 +26,13 @@ SEED = "shard"
 def shuffle(docs: DataFrame, n_shards: int = SHARDS, seed: str = SEED) -> DataFrame:
     """All rows and columns of ``docs`` with ``shard`` (int) and ``slot`` (long)."""
     docs = docs.drop("shard", "slot")
-    order = [F.col("doc_id"), F.xxhash64(*(F.col(f"`{c}`") for c in docs.columns if c != "doc_id"))]
-    rows, n = common.numbered(docs, order, "shards", "__row")
-    placed = feistel.shuffled(rows, "__row", "__place", n, seed)
-    return placed.select(*docs.columns, (F.col("__place") % n_shards).cast("int").alias("shard"),
-                         F.floor((F.col("__place") - F.col("__place") % n_shards) / n_shards).cast("long").alias("slot"))
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    order = [F.col("doc.doc_id"), F.col("mark")]
+    rows = docs.select(F.struct(*names).alias("doc"), F.xxhash64(*(c for c, n in zip(names, docs.columns) if n != "doc_id")).alias("mark"))
+    rows, n = common.numbered(rows, order, "shards", "row")
+    placed = feistel.shuffled(rows, "row", "place", n, seed)
+    return placed.select(*(F.col("doc").getField(c).alias(c) for c in docs.columns), (F.col("place") % n_shards).cast("int").alias("shard"),
+                         F.floor((F.col("place") - F.col("place") % n_shards) / n_shards).cast("long").alias("slot"))
 
 
 def digest(docs: DataFrame, n_shards: int = SHARDS, seed: str = SEED) -> DataFrame:
