@@ -8,9 +8,8 @@ content cannot forge a mark.
 
 Conversations of any length: turns are numbered by one distributed sort, and every
 ``PART_TURNS`` turns of a conversation make one rendered part, so no task ever holds more
-than a part. With ``everyone`` (as the query does) every part is rendered for every participant of
-the conversation, with an empty mask where the participant is silent, so a participant's parts
-join in order to the whole dialogue; without it only for the participants who speak in the part.
+than a part. Every part is rendered for every participant of the conversation, with an empty mask
+where the participant is silent, so a participant's parts join in order to the whole dialogue.
 Participants are dealt to the parts by (conversation, part), so a hot conversation is split.
 
 Defined results: turns are ordered by turn, role, text (nulls first); fully equal turns stay
@@ -34,11 +33,10 @@ def _plain(c: Column) -> Column:
     return F.replace(c, F.lit("<|"), F.lit("< |"))
 
 
-def rotate(turns: DataFrame, part_turns: int = PART_TURNS, everyone: bool = False) -> DataFrame:
+def rotate(turns: DataFrame, part_turns: int = PART_TURNS) -> DataFrame:
     """Rows (conv_id, part, speaker, n_turns, n_spoken, rendered, mask) from (conv_id, turn, role, text).
 
     ``mask``: comma-joined start:end offsets in code points of what the loss covers.
-    ``everyone``: also the parts in which a participant of the conversation is silent.
     """
     rows = turns.select("conv_id", "turn", F.coalesce("role", F.lit("unknown")).alias("who"), common.text_or_empty().alias("said"),
                         F.col("role").alias("role_"), F.col("text").alias("text_"))
@@ -50,16 +48,12 @@ def rotate(turns: DataFrame, part_turns: int = PART_TURNS, everyone: bool = Fals
     parts = (rows.join(first, F.col("conv_id").eqNullSafe(F.col("conv")))
              .withColumn("part", ((rank - rank % part_turns) / part_turns).cast("long"))
              .groupBy("conv_id", "part").agg(F.sort_array(F.collect_list(F.struct("at", "who", "said"))).alias("turns")))
-    if everyone:
-        length = F.col("last") - F.col("first")
-        pairs = rows.where("who <> 'system'").select(F.col("conv_id").alias("of"), F.col("who").alias("speaker")).distinct()
-        pairs = (pairs.join(first, F.col("of").eqNullSafe(F.col("conv")))
-                 .select("of", "speaker", F.explode(F.sequence(F.lit(0).cast("long"), ((length - length % part_turns) / part_turns).cast("long"))).alias("of_part")))
-        one = (parts.join(pairs, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("part") == F.col("of_part")))
-               .select("conv_id", "part", "turns", "speaker"))
-    else:
-        speakers = F.array_sort(F.array_distinct(F.filter(F.transform("turns", lambda t: t["who"]), lambda w: w != "system")))
-        one = parts.select("conv_id", "part", "turns", F.explode(speakers).alias("speaker"))
+    length = F.col("last") - F.col("first")
+    pairs = rows.where("who <> 'system'").select(F.col("conv_id").alias("of"), F.col("who").alias("speaker")).distinct()
+    pairs = (pairs.join(first, F.col("of").eqNullSafe(F.col("conv")))
+             .select("of", "speaker", F.explode(F.sequence(F.lit(0).cast("long"), ((length - length % part_turns) / part_turns).cast("long"))).alias("of_part")))
+    one = (parts.join(pairs, F.col("conv_id").eqNullSafe(F.col("of")) & (F.col("part") == F.col("of_part")))
+           .select("conv_id", "part", "turns", "speaker"))
 
     def opening(t: Column) -> Column:
         return (F.when(t["who"] == F.col("speaker"), F.lit(f"{OPEN}assistant\n"))
@@ -87,7 +81,8 @@ SQL = f"""
 WITH ranked AS (
   SELECT conv_id, coalesce(role, 'unknown') AS who, replace(coalesce(text, ''), '<|', '< |') AS said,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role NULLS FIRST, text NULLS FIRST) - 1 AS rk FROM conversations),
-speakers AS (SELECT DISTINCT conv_id, rk // {PART_TURNS} AS part, who AS speaker FROM ranked WHERE who <> 'system'),
+speakers AS (SELECT DISTINCT p.conv_id, part, speaker FROM (SELECT DISTINCT conv_id, rk // {PART_TURNS} AS part FROM ranked) p
+             JOIN (SELECT DISTINCT conv_id, who AS speaker FROM ranked WHERE who <> 'system') s ON p.conv_id IS NOT DISTINCT FROM s.conv_id),
 pieces AS (
   SELECT s.conv_id, part, speaker, rk, who = speaker AS own,
          CASE WHEN who = speaker THEN '{OPEN}assistant' || chr(10) WHEN who = 'system' THEN '{OPEN}system' || chr(10)

@@ -15,7 +15,7 @@ def brute(rows, part_turns):
         said = [((t[3] if t[2] else "unknown"), t[5].replace("<|", "< |")) for t in turns]
         for part in range(0, len(said), part_turns):
             some = said[part:part + part_turns]
-            for who in sorted({w for w, _ in some} - {"system"}):
+            for who in sorted({w for w, _ in said} - {"system"}):
                 text, mask = "", []
                 for w, s in some:
                     text += "<|im_start|>" + ("assistant" if w == who else "system" if w == "system" else "user name=" + w.replace("<|", "< |")) + "\n"
@@ -55,3 +55,16 @@ def test_the_query_renders_the_whole_dialogue_for_every_participant(spark, tmp_p
         assert "".join(r["rendered"] for r in parts) == next(w[5] for w in whole if w[2] == speaker)
         assert sum(r["n_spoken"] for r in parts) == next(w[4] for w in whole if w[2] == speaker)
     assert got[1, 3, "ann"]["mask"] == "" and got[1, 3, "ann"]["n_spoken"] == 0
+
+
+def test_sql_has_the_parts_of_silent_participants(spark, tmp_path):
+    import duckdb
+
+    rows = [(1, 0, "ann", "hello"), (None, 0, "dee", "x")] + [(1, i, "bob", f"turn {i}") for i in range(1, 200)] + [(None, i, "cy", "y") for i in range(1, 70)]
+    df = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    con = duckdb.connect()
+    con.register("conversations", df.toArrow())
+    got = perspectives.rotate(df)
+    cols = got.columns
+    want = con.execute(f"SELECT {', '.join(cols)} FROM ({perspectives.SQL})").fetchall()
+    assert sorted(map(repr, want)) == sorted(map(repr, map(tuple, got.collect()))) and len(want) == 12
