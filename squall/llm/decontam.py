@@ -4,14 +4,17 @@ Texts and test items are normalised (lower case, white space runs as one space).
 characters may differ from a passage in k = m * ``ERROR_RATE`` edits at most. Cut into
 k + 1 pieces, at least one piece of a matching passage is untouched: an Aho-Corasick automaton
 over all items' pieces finds exact piece hits in each whole text, and the passage around
-each hit is verified with Myers' bit-parallel edit distance. Every item within its budget
+each hit is verified with Myers' bit-parallel edit distance; windows of an item that overlap are
+one passage, so a text of repeated hits is verified in linear time. Every item within its budget
 is found; nothing else is reported.
 
-Items are taken in blocks of bounded size (``BLOCK_PIECES`` pieces, each block one pass), so
-a benchmark of any size can be used; a block's automaton is built once for a Python worker.
+Items are taken in blocks of bounded size (``BLOCK_PIECES`` pieces, each block one pass whose hits
+are stored before the next is taken), so a benchmark of any size can be used; the driver holds a
+block, and its automaton is built once for a Python worker.
 
 Defined results: null or empty texts and items match nothing; items of fewer than ``WHOLE``
-characters match only a document that is nothing else. Rows that repeat an item_id or
+characters, whose budget is zero, match where they stand between word edges (no letter or digit
+next to them). Rows that repeat an item_id or
 doc_id are separate items or documents, reported once for each pair of ids with
 the smallest distance. Empty tables give an empty result; extra columns are ignored.
 """
@@ -25,9 +28,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from squall.llm import common
+
 ERROR_RATE = 0.05         # edits an item's passage may have, as a share of its characters
 BLOCK_PIECES = 200_000    # pieces in an automaton
-WHOLE = 20                # shorter normalised items are no evidence as a passage: they match whole texts only
+WHOLE = 20                # shorter normalised items must stand between word edges
 
 HITS = "doc_id long, item_id long, distance int, start int, end int"
 
@@ -74,11 +79,7 @@ class Matcher:
     """Finds the items in texts."""
 
     def __init__(self, items: list[tuple[int, str]], rate: float):
-        self.items = [(i, t, budget(len(t), rate)) for i, t in items if len(t) >= WHOLE]
-        self.short: dict[str, list[int]] = {}
-        for i, t in items:
-            if len(t) < WHOLE:
-                self.short.setdefault(t, []).append(i)
+        self.items = [(i, t, budget(len(t), rate) if len(t) >= WHOLE else 0) for i, t in items]
         self.automaton = ahocorasick.Automaton()
         owners: dict[str, list[tuple[int, int]]] = {}
         for n, (_, t, k) in enumerate(self.items):
@@ -91,8 +92,8 @@ class Matcher:
 
     def find(self, text: str) -> dict[int, tuple[int, int, int]]:
         """item_id: (distance, start, end) of its best passage in a normalised text (start is exact for distance 0)."""
-        found = {i: (0, 0, len(text)) for i in self.short.get(text, ())}
-        tried: dict[int, list[tuple[int, int]]] = {}
+        found: dict[int, tuple[int, int, int]] = {}
+        windows: dict[int, list[list[int]]] = {}
         if not self.items:
             return found
         for last, (length, own) in self.automaton.iter(text):
@@ -101,28 +102,52 @@ class Matcher:
                 if found.get(item_id, (1,))[0] == 0:
                     continue
                 begin = last + 1 - length - place
-                if begin >= 0 and text.startswith(item, begin):
+                if begin >= 0 and text.startswith(item, begin) and (len(item) >= WHOLE or _at_edges(text, begin, begin + len(item))):
                     found[item_id] = (0, begin, begin + len(item))
                     continue
-                lo, hi = max(0, begin - k), min(len(text), begin + len(item) + k)
-                if k == 0 or any(a <= lo and hi <= b for a, b in tried.get(n, ())):
+                if k == 0:
                     continue
-                tried.setdefault(n, []).append((lo, hi))
+                lo, hi = max(0, begin - k), min(len(text), begin + len(item) + k)
+                own_windows = windows.setdefault(n, [])
+                if own_windows and lo <= own_windows[-1][1] and hi >= own_windows[-1][0]:
+                    own_windows[-1] = [min(lo, own_windows[-1][0]), max(hi, own_windows[-1][1])]
+                else:
+                    own_windows.append([lo, hi])
+        for n, held in windows.items():
+            item_id, item, k = self.items[n]
+            merged: list[list[int]] = []
+            for lo, hi in sorted(held):
+                if merged and lo <= merged[-1][1]:
+                    merged[-1][1] = max(hi, merged[-1][1])
+                else:
+                    merged.append([lo, hi])
+            for lo, hi in merged:
+                if found.get(item_id, (1,))[0] == 0:
+                    break
                 best = myers(item, text[lo:hi], k)
                 if best and best[0] < found.get(item_id, (k + 1,))[0]:
                     found[item_id] = (best[0], lo, lo + best[1])
         return found
 
 
+def _at_edges(text: str, begin: int, end: int) -> bool:
+    return not (begin and text[begin - 1].isalnum()) and not text[end:end + 1].isalnum()
+
+
 _MATCHERS: dict[int, Matcher] = {}
 
 
-def _search(batches, items: list[tuple[int, str]], rate: float):
+def _matcher(items: list[tuple[int, str]], rate: float) -> Matcher:
+    """A worker's matcher of the block; it keeps one."""
     key = hash((rate, tuple(items)))
     if key not in _MATCHERS:
         _MATCHERS.clear()
         _MATCHERS[key] = Matcher(items, rate)
-    matcher = _MATCHERS[key]
+    return _MATCHERS[key]
+
+
+def _search(batches, items: list[tuple[int, str]], rate: float):
+    matcher = _matcher(items, rate)
     for batch in batches:
         rows = []
         for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
@@ -149,6 +174,23 @@ def blocks(benchmark: DataFrame, rate: float = ERROR_RATE, size: int = BLOCK_PIE
         yield block
 
 
+def without(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, size: int = BLOCK_PIECES) -> DataFrame:
+    """The rows of ``docs`` that hold no item within its budget: each text is searched where it lies, nothing is joined."""
+    for block in blocks(benchmark, rate, size):
+        docs = docs.where(~_holds(block, rate)("text"))
+    return docs
+
+
+def _holds(items: list[tuple[int, str]], rate: float):
+    @F.pandas_udf("boolean")
+    def holds(texts):
+        import pandas as pd
+        matcher = _matcher(items, rate)
+        return pd.Series([bool(matcher.find(normal(t))) for t in texts], dtype=bool)
+
+    return holds
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE, size: int = BLOCK_PIECES) -> DataFrame:
     """Pairs (doc_id, item_id, distance, start, end) of documents that hold an item within its edit budget.
 
@@ -158,7 +200,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, rate: float = ERROR_RATE
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     out = None
     for block in blocks(benchmark, rate, size):
-        hits = texts.mapInArrow(partial(_search, items=block, rate=rate), HITS)
+        hits = common.stored(texts.mapInArrow(partial(_search, items=block, rate=rate), HITS), "benchmark-hits")
         out = hits if out is None else out.unionByName(hits)
     if out is None:
         out = docs.sparkSession.createDataFrame([], HITS)

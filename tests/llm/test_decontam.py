@@ -1,5 +1,7 @@
 import random
 
+from pyspark.sql import functions as F
+
 from squall.llm import decontam
 
 
@@ -70,12 +72,32 @@ def test_all_passages_within_budget_are_found(spark, documents):
     for size in (200_000, 30):
         got = {(r["doc_id"], r["item_id"]): r["distance"] for r in decontam.contaminated(documents(rows), bench, size=size).collect()}
         assert got == want
+    clean = decontam.without(documents(rows).withColumn("n", F.monotonically_increasing_id()), bench, size=30).collect()
+    assert sorted(map(str, {r["doc_id"] for r in clean})) == sorted(map(str, {d for d, _ in rows} - {d for d, _ in want}))
     assert len([v for v in want.values() if v]) > 5
 
 
-def test_short_items_match_whole_texts_only_and_empty_tables(spark, documents):
-    bench = spark.createDataFrame([(1, "Yes.")], "item_id long, text string")
-    docs = documents([(1, "yes."), (2, "oh yes. indeed"), (3, " YES. ")])
-    assert sorted(r["doc_id"] for r in decontam.contaminated(docs, bench).collect()) == [1, 3]
+def test_short_items_match_between_word_edges_and_empty_tables(spark, documents):
+    bench = spark.createDataFrame([(1, "Yes."), (2, "short question?")], "item_id long, text string")
+    docs = documents([(1, "yes."), (2, "oh yes. indeed"), (3, " YES. "), (4, "eyes. wide"), (5, "a Short\nquestion? inside"), (6, "short questions"), (7, "yes.no (yes.) eyes.")])
+    assert sorted((r["doc_id"], r["item_id"]) for r in decontam.contaminated(docs, bench).collect()) == [(1, 1), (2, 1), (3, 1), (5, 2), (7, 1)]
     assert decontam.contaminated(docs, bench.where("false")).count() == 0
     assert decontam.contaminated(docs.where("false"), bench).count() == 0
+
+
+def test_repeated_hits_take_linear_time():
+    import time
+
+    item = "what is the capital city of the northern province today"
+    m = decontam.Matcher([(1, item)], decontam.ERROR_RATE)
+    near = "what is the capital town of the southern province today "       # shares pieces, beyond the budget
+
+    def took(n):
+        text, at = near * n, time.perf_counter()
+        assert m.find(text) == {}
+        return time.perf_counter() - at
+
+    took(100)
+    small, large = took(2_000), took(20_000)
+    assert large < 40 * small + 1
+    assert m.find(near * 500 + item.replace("city", "cyty") + " " + near * 500)[1][0] == 1
