@@ -43,6 +43,7 @@ _WORDS = ("password", "passwd", "secret", "token", "api")
 
 TRAIN_STRINGS = 2_000
 TRAIN_LENGTH = 200        # longer strings do not train
+FEW = 8                  # strings that are followed one by one
 ALPHA = 0.05              # confidence of the merge test
 THRESHOLD = 7.0           # log-likelihood ratio, about 1000 to 1
 
@@ -77,8 +78,16 @@ def base_spans(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[str, s
     return sorted(spans), labelled, runs
 
 
-def touches(spans: list[tuple[int, int, int]], start: int, end: int) -> bool:
-    return any(s < end and start < e for s, _, e in spans)
+def untouched(spans: list[tuple[int, int, int]], runs: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    """The runs that no span overlaps; both lists are in order of start, so one pass does."""
+    out, at, reach = [], 0, -1
+    for start, end in runs:
+        while at < len(spans) and spans[at][0] < end:      # reach: the furthest end of the spans that begin before this run's end
+            reach = max(reach, spans[at][2])
+            at += 1
+        if reach <= start:
+            out.append((start, end))
+    return out
 
 
 def symbols(strings: list[str]) -> list[np.ndarray]:
@@ -170,6 +179,13 @@ class Automaton:
                     self.step[i, c] = number[self.next[s][c]]
             self.score[i, SYMBOLS] = math.log((self.ends[s] + 0.5) / n)
 
+    def _walk(self, symbols_: np.ndarray, at: int, total: float) -> tuple[int, float]:
+        step, score = self.step.tolist(), self.score.tolist()
+        for c in symbols_.tolist():
+            total += score[at][c]
+            at = step[at][c]
+        return at, total
+
     def log_likelihood(self, flat: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
         """Of many strings at once: ``flat`` holds their symbols one after the other."""
         order = np.argsort(-lengths, kind="stable")
@@ -178,6 +194,10 @@ class Automaton:
         for i in range(int(longest_first[0]) if live else 0):
             live = np.searchsorted(-longest_first, -i, side="left")
             now = order[:live]
+            if live <= FEW:                      # the last long strings one by one: a step over an array costs as much as many of these
+                for n in now.tolist():
+                    at[n], total[n] = self._walk(flat[starts[n] + i:starts[n] + lengths[n]], int(at[n]), float(total[n]))
+                break
             c = flat[starts[now] + i]
             total[now] += self.score[at[now], c]
             at[now] = self.step[at[now], c]
@@ -231,7 +251,7 @@ def _training(batches, most: int):
         for text in batch.column(0):
             t = text.as_py() or ""
             spans, labelled, runs = base_spans(t)
-            own = labelled + [("ordinary", t[a:b]) for a, b in runs if not (spans and touches(spans, a, b))]
+            own = labelled + [("ordinary", t[a:b]) for a, b in untouched(spans, runs)]
             for k, s in own:
                 if len(s) <= TRAIN_LENGTH:
                     kept[k].add(s)
@@ -267,7 +287,7 @@ def _scan(batches, formats: Formats, threshold: float):
             t = text.as_py() or ""
             spans, _, runs = base_spans(t)
             found.append(spans)
-            open_ += [(i, a, b, t[a:b]) for a, b in runs if not (spans and touches(spans, a, b))]
+            open_ += [(i, a, b, t[a:b]) for a, b in untouched(spans, runs)]
         learned: dict[int, list] = {}
         for hit in np.flatnonzero(formats.scores([o[3] for o in open_]) >= threshold):
             i, a, b, _ = open_[hit]
