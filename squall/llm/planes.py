@@ -71,10 +71,12 @@ class Encoder:
     by the pattern, and the library's model encodes the parts not yet known. Texts with other
     white space are cut by that pattern's white-space rules; texts with an added token's
     string are encoded whole. Words are remembered in two generations: when the younger
-    is full it becomes the older, and words used again move on.
+    is full it becomes the older, and words used again move on. Words above ``LONG`` characters are
+    forgotten after the call, so a generation holds a bounded number of bytes.
     """
 
     LIMIT = 500_000       # words in a generation
+    LONG = 64             # characters of a word that is remembered, at most
 
     def __init__(self, path: str):
         import os
@@ -87,6 +89,7 @@ class Encoder:
         self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
         self._line, space = self._raw(["\n", " "])
         self._fixed = {True: {"": space}, False: {"": b""}}
+        self.long: list[tuple[bool, str]] = []
         self.known = self.older = {k: dict(v) for k, v in self._fixed.items()}     # after a space, and others
 
     def _raw(self, texts: list[str]) -> list[bytes]:
@@ -122,6 +125,7 @@ class Encoder:
             self.known[spaced][w] = array("I", e.ids).tobytes()
         for spaced, w, parts in cut:
             self.known[spaced][w] = b"".join([self.known[s][p] for s, p in parts])
+        self.long += [(s, w) for s, w in new if len(w) > self.LONG] + [(s, w) for s, w, _ in cut if len(w) > self.LONG]
 
     def _pieces(self, text: str) -> bytes:
         return b"".join(self._raw(_PIECE.findall(text))) if text else b""
@@ -150,6 +154,9 @@ class Encoder:
                 out.append(self._raw([text])[0] if any(a in text for a in self.added) else self._pieces(text))
             else:
                 out.append(self._line.join([bare(x[0]) + b"".join(map(after, islice(x, 1, None))) for x in ls]))
+        for spaced, w in self.long:
+            self.known[spaced].pop(w, None)
+        self.long = []
         return out
 
 
@@ -232,7 +239,8 @@ def write(docs: DataFrame, path: str, vocabulary: str, end_id: int = 0, block: i
     """Encode the whole texts of ``docs`` (doc_id, text) in ascending doc_id order into files under ``path``."""
     tie = F.xxhash64(common.text_or_empty())
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    rows = rows.repartitionByRange("doc_id", tie).sortWithinPartitions("doc_id", tie)
+    rows = rows.withColumn("__tie", F.monotonically_increasing_id())     # equal rows are dealt over several tasks
+    rows = rows.repartitionByRange("doc_id", tie, "__tie").sortWithinPartitions("doc_id", tie).drop("__tie")
     coded = rows.mapInArrow(partial(_encode, path=vocabulary, end_id=end_id, block=block, kind=kind, level=level), CHUNK)
     coded.write.option("compression", "none").parquet(f"{path}/chunks")
 
@@ -245,7 +253,8 @@ def _pieces(batches):
     """Per document and block: where the document begins in its shard, the part's place, ids and crc32."""
     for batch in batches:
         out = []
-        for shard, first, n, kind, lengths, planes, docs, sizes, doc_from in zip(*(c.to_pylist() for c in batch.columns)):
+        for row in zip(*batch.columns):
+            shard, first, n, kind, lengths, planes, docs, sizes, doc_from = (x.as_py() for x in row)
             raw, at = unpack(lengths, planes, n, kind).tobytes(), 0
             for k, (doc, size) in enumerate(zip(docs, sizes)):
                 out.append((shard, doc, first + at if k else doc_from, first + at, size, zlib.crc32(raw[4 * at:4 * (at + size)])))
@@ -257,8 +266,8 @@ def _joined(batches):
     """Documents from their parts in order."""
     for batch in batches:
         out = []
-        for start, doc, parts in zip(*(c.to_pylist() for c in batch.columns)):
-            crc, n = 0, 0
+        for start, doc, parts in zip(*batch.columns):
+            start, doc, parts, crc, n = start.as_py(), doc.as_py(), parts.as_py(), 0, 0
             for part in parts:
                 crc, n = crc_join(crc, part["crc"], 4 * part["n"]), n + part["n"]
             out.append((doc, start, n, crc))
