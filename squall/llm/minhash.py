@@ -93,17 +93,22 @@ def _sets(batches, k: int):
                               names=["rep", "set_key", "hashes"])
 
 
+def _hashes(value: pa.BinaryScalar) -> np.ndarray:
+    """A stored set; no copy of it is made."""
+    return np.frombuffer(value.as_buffer(), np.uint64)
+
+
 def _confirm(batches, percent: int):
     """The pairs (u, v, set of u, set of v) that are links."""
     for batch in batches:
         u, v = [], []
-        for a, b, x, y in zip(*(c.to_pylist() for c in batch.columns)):
-            p, q = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+        for a, b, x, y in zip(*batch.columns):
+            p, q = _hashes(x), _hashes(y)
             if 100 * min(len(p), len(q)) >= percent * max(len(p), len(q)):
                 both = len(np.intersect1d(p, q, assume_unique=True))
                 if 100 * both >= percent * (len(p) + len(q) - both):
-                    u.append(a)
-                    v.append(b)
+                    u.append(a.as_py())
+                    v.append(b.as_py())
         yield pa.record_batch([pa.array(u, pa.int64()), pa.array(v, pa.int64())], names=["u", "v"])
 
 
@@ -135,7 +140,7 @@ def _blocks(batches, percent: int):
         left, right = [r for r in rows if r[3]], [r for r in rows if not r[3]]
         if not left or not right:
             return
-        p, q = ([np.frombuffer(r[6], np.uint64) for r in side] for side in (left, right))
+        p, q = ([r[6] for r in side] for side in (left, right))
         sizes = np.array([len(x) for x in p])[:, None] + np.array([len(x) for x in q])[None, :]
         other = np.array([r[5] for r in left])[:, None] != np.array([r[5] for r in right])[None, :]
         both = overlaps(p, q)
@@ -148,12 +153,13 @@ def _blocks(batches, percent: int):
 
     rows, at = [], None
     for batch in batches:
-        for row in zip(*(c.to_pylist() for c in batch.columns)):
+        for *row, held in zip(*batch.columns):
+            row = [x.as_py() for x in row]
             if row[:3] != at:
                 if found := list(links(rows)):
                     yield table(found)
                 rows, at = [], row[:3]
-            rows.append(row)
+            rows.append((*row, _hashes(held).copy()))       # a block pair outlives its batch
     yield table(list(links(rows)))
 
 
