@@ -29,6 +29,7 @@ from squall.session import scratch_path
 CAPACITY = 100_000       # keys in a bucket
 MAX_DIRECTORY = 1 << 20  # directory slots that are broadcast; 100 billion keys need them
 KEY_BITS = 64
+HOT = 1000               # members of a key that are compared with its head by one task, about
 
 
 def prefix(key: Column, bits: int) -> Column:
@@ -81,6 +82,17 @@ def build_index(entries: DataFrame, capacity: int = CAPACITY) -> tuple[DataFrame
     return spark.read.schema(placed.schema).parquet(f"{folder}/buckets"), spark.read.schema(table.schema).parquet(f"{folder}/directory")
 
 
+class Probe:
+    """Looks keys up as the index stores them: a key's first bits are a slot of the directory, the slot names the bucket."""
+
+    def __init__(self, table: DataFrame):
+        self.depth = table.agg(F.max("global_depth")).first()[0]
+        self.slots = table.select("slot", "bucket")
+
+    def buckets(self, rows: DataFrame) -> DataFrame:
+        return rows.withColumn("slot", prefix(F.col("key"), self.depth)).join(F.broadcast(self.slots), "slot").drop("slot")
+
+
 def duplicates(docs: DataFrame, capacity: int = CAPACITY, key_bits: int = KEY_BITS) -> DataFrame:
     """Per row of ``docs`` (doc_id, text): doc_id, keep_id, group_size, kept, text_sha256.
 
@@ -88,24 +100,28 @@ def duplicates(docs: DataFrame, capacity: int = CAPACITY, key_bits: int = KEY_BI
     """
     text = common.text_or_empty()
     key = F.xxhash64(text).bitwiseAND(F.lit(-1 << (64 - key_bits)))
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"))
+    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("text"), F.monotonically_increasing_id().alias("n"))
     rows = common.stored(docs.select("doc_id", key.alias("key"), F.sha2("text", 256).alias("sha")), "exact-rows")
     left = rows.select("key", "sha", "doc_id")
     found = []
     for link in count():
         heads = common.stored(left.groupBy("key").agg(F.max("doc_id").alias("head"), F.count("*").alias("c")), "exact-heads")
-        index, _ = build_index(heads, capacity)
+        index, table = build_index(heads, capacity)
+        probe = Probe(table)
         if link == 0:
-            alone = rows.join(index.where("c = 1").select("key"), "key")
+            alone = probe.buckets(rows).join(index.where("c = 1").select("bucket", "key"), ["bucket", "key"])
             found.append(alone.select("doc_id", F.col("doc_id").alias("keep_id"), F.lit(1).cast("long").alias("group_size"), "sha"))
-        repeated = index.where("c > 1" if link == 0 else "true").select("key", "head")
+        # Of a key with many members each part, with its own copy of the head's text, is a task's share.
+        part = F.ceil(F.col("c") / HOT).cast("long").alias("parts")
+        repeated = index.where("c > 1" if link == 0 else "true").select("bucket", "key", "head", part)
         texts = docs.withColumn("key", key)
         if link:
             texts = (texts.withColumn("sha", F.sha2("text", 256))
                      .join(left.select("key", "sha").distinct(), ["key", "sha"], "left_semi").drop("sha"))
-        members = texts.join(repeated, "key")
-        chained = members.where(F.col("doc_id").eqNullSafe(F.col("head"))).groupBy("key").agg(F.min("text").alias("head_text"))
-        compared = common.stored(members.join(chained, "key").select("key", "doc_id", "head", (F.col("text") == F.col("head_text")).alias("same"),
+        members = probe.buckets(texts).join(repeated.hint("merge"), ["bucket", "key"]).withColumn("part", F.pmod("n", "parts"))
+        chained = (members.where(F.col("doc_id").eqNullSafe(F.col("head"))).groupBy("bucket", "key", "parts").agg(F.min("text").alias("head_text"))
+                   .select("bucket", "key", "head_text", F.explode(F.sequence(F.lit(0).cast("long"), F.col("parts") - 1)).alias("part")))
+        compared = common.stored(members.join(chained.hint("merge"), ["bucket", "key", "part"]).select("key", "doc_id", "head", (F.col("text") == F.col("head_text")).alias("same"),
                                                                      F.sha2("text", 256).alias("sha")), "exact-compared")
         same = compared.where("same")
         sizes = same.groupBy("key").agg(F.count("*").alias("group_size"))
