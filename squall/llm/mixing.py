@@ -1,7 +1,8 @@
 """Mixing sources to target weights by blocks.
 
 Every source's documents, one after the other in a hashed order, are one stream of words cut
-into blocks of ``BLOCK_WORDS``. The mix is a number of output shards; how many of a shard's
+into blocks of ``BLOCK_WORDS`` (a small source into at least ``LEAST_BLOCKS`` smaller ones, so that
+its share is met as closely). The mix is a number of output shards; how many of a shard's
 slots each source fills is a multinomial draw from the source's remaining quota, so the
 totals over all shards meet the quotas. The k-th slot that a source fills takes block
 pi(k mod blocks) of pass k div blocks, where pi is the source's and the pass's keyed
@@ -12,12 +13,15 @@ Targets: sources in code-point order of their name (null last) weigh 5, 2, 1, re
 share 150% of all words by weight; a target stops at twice its source's size and the excess
 is shared by weight among the others, until none is above.
 
+Sources may be as many as documents: they are a table, like the drawn counts. A multinomial draw over
+all sources is drawn in two steps, which together have the same distribution: over ``CELLS`` ranges of
+sources on the driver, then in a task for each range over its sources. The level at which targets
+are shared is found by sums over the table.
+
 Defined results: null text has no words; a document without words takes nothing; null is
 a source of its own; an empty table gives an empty result; rows that share a doc_id are
-separate documents (fully equal rows are interchangeable). Extra columns are ignored.
-
-Driver-sized are only the sources' sizes and targets and the drawn counts (output shards x
-sources, checked against ``MAX_DRAWS``).
+separate documents (fully equal rows are interchangeable). Extra columns are ignored by the digest and
+pass through ``mixed_documents`` whatever their names.
 """
 
 from __future__ import annotations
@@ -28,7 +32,6 @@ import re
 import numpy as np
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.window import Window
 
 from squall.llm import common, feistel
@@ -38,32 +41,20 @@ OUT_SHARDS = 64
 SHARE = 1.5           # words of the mix / words of all sources
 MOST = 2.0            # words taken / words of a source, at most
 WEIGHTS = (5, 2, 1)
+LEAST_BLOCKS = 64        # blocks of a source, if it has as many words
 BUCKET_ROWS = 2_000      # documents whose positions are summed together, about
-SLOT_ROWS = 200_000      # slots that one task fills, about
-MAX_DRAWS = 4_000_000
+CELLS = 1024             # ranges of sources that the driver draws for, at most
+RUN_SLOTS = 50_000       # slots that are made from one row
 SEED = "mix"
 _WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
 
-def targets(sizes: list[int], weights: list[float], total: float, most: float = MOST) -> list[float]:
-    """Share ``total`` by weight, none above ``most`` times its size: min(cap, level * weight)."""
-    caps = [most * s for s in sizes]
-    order = sorted(range(len(sizes)), key=lambda i: caps[i] / weights[i])
-    left, weight, out = total, float(sum(weights)), [0.0] * len(sizes)
-    for i in order:
-        out[i] = min(caps[i], left * weights[i] / weight)
-        left, weight = left - out[i], weight - weights[i]
-    return out
-
-
-def draws(quotas: list[int], n_shards: int, seed: str = SEED) -> np.ndarray:
-    """Counts (shard, source): each shard's multinomial draw from what is left of the quotas."""
-    g = np.random.Generator(np.random.PCG64([ord(c) for c in seed]))
+def draws(quotas: list[int], totals: list[int], seed: list[int]) -> np.ndarray:
+    """Counts (shard, quota): each shard's multinomial draw of its total from what is left of the quotas."""
+    g = np.random.Generator(np.random.PCG64(seed))
     left = np.array(quotas, np.int64)
-    per = -(-int(left.sum()) // n_shards) if len(left) else 0
-    out = np.zeros((n_shards, len(quotas)), np.int64)
-    for shard in range(n_shards):
-        n = min(per, int(left.sum()))
+    out = np.zeros((len(totals), len(quotas)), np.int64)
+    for shard, n in enumerate(totals):
         while n > 0:                     # what a quota cannot give is drawn again from the others
             got = np.minimum(g.multinomial(n, left / left.sum()), left)
             out[shard] += got
@@ -72,39 +63,90 @@ def draws(quotas: list[int], n_shards: int, seed: str = SEED) -> np.ndarray:
     return out
 
 
+def even_totals(total: int, n_shards: int) -> list[int]:
+    """Slots of each shard: all but the last alike."""
+    per = -(-total // n_shards)
+    return [max(0, min(per, total - per * i)) for i in range(n_shards)]
+
+
+def seed_of(seed: str, *more: int) -> list[int]:
+    return [*(ord(c) for c in seed), *more]
+
+
 def words_of(text: Column) -> Column:
     """Number of runs without ASCII white space (null: 0)."""
     return F.coalesce(F.regexp_count(text, F.lit(common.WORD)), F.lit(0)).cast("long")
 
 
+def water_level(sources: DataFrame, total: float) -> float:
+    """The level l at which min(cap, l * weight) of all ``sources`` sum to ``total`` (infinite if all caps do not reach it).
+
+    Sources that are full at a level stay full at a higher one, so the level rises with each sum until
+    no further source fills.
+    """
+    level, full = 0.0, -1
+    while True:
+        over = F.col("cap") <= F.lit(level) * F.col("weight")
+        held, weight, n = sources.agg(F.sum(F.when(over, F.col("cap"))), F.sum(F.when(~over, F.col("weight"))), F.count_if(over)).first()
+        if weight is None:
+            return math.inf
+        if n == full:
+            return level
+        level, full = (total - (held or 0.0)) / weight, n
+
+
 class Mix:
-    """The mix of ``docs`` (doc_id, text, source): sizes, targets, streams, slots and pieces."""
+    """The mix of ``docs`` (doc_id, text, source): sizes, targets, streams, slots and pieces.
+
+    ``row`` names a column that numbers the rows (stored), if there is one.
+    """
 
     def __init__(self, docs: DataFrame, block_words: int = BLOCK_WORDS, out_shards: int = OUT_SHARDS, share: float = SHARE,
-                 weights: tuple = WEIGHTS, seed: str = SEED):
-        spark = docs.sparkSession
-        self.block = block_words
+                 weights: tuple = WEIGHTS, seed: str = SEED, cells: int = CELLS, row: str | None = None):
+        number = F.monotonically_increasing_id() if row is None else F.col(row)
         rows = common.stored(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", words_of(F.col("text")).alias("size"),
-                                         F.xxhash64("doc_id", "text").alias("mark"), F.monotonically_increasing_id().alias("row")), "mix-rows")
-        sources = sorted(((r[0], r[1], r[2]) for r in rows.groupBy("source").agg(F.sum("size"), F.count("*")).collect()),
-                         key=lambda r: (r[0] is None, r[0] or ""))
-        self.names = [s[0] for s in sources]
-        sizes = [s[1] for s in sources]
-        by_weight = [float(weights[i % len(weights)]) for i in range(len(sizes))]
-        goal = targets(sizes, by_weight, share * sum(sizes))
-        blocks = [math.ceil(s / block_words) for s in sizes]
-        quotas = [min(int(MOST * b), round(t * b / s)) if s else 0 for s, b, t in zip(sizes, blocks, goal)]
-        if out_shards * len(sizes) > MAX_DRAWS:
-            raise ValueError("too many output shards for so many sources")
-        self.counts = draws(quotas, out_shards, seed)
-        a_b = [feistel.sides(b) for b in blocks]
-        schema = T.StructType([T.StructField("name", rows.schema["source"].dataType), *(T.StructField(n, T.LongType()) for n in ("src", "source_size")),
-                               T.StructField("target", T.DoubleType()), *(T.StructField(n, T.LongType()) for n in ("blocks", "a", "b", "quota"))])
-        self.sources = spark.createDataFrame([(n, i, s, t, k, ab[0], ab[1], q) for i, (n, s, t, k, ab, q) in
-                                              enumerate(zip(self.names, sizes, goal, blocks, a_b, quotas))], schema)
-        self.documents = rows.join(F.broadcast(self.sources), F.col("source").eqNullSafe(F.col("name")))
-        self.seed, self.out_shards, self.n_rows = seed, out_shards, sum(s[2] for s in sources)
-        self.total = sum(quotas)
+                                         F.xxhash64(F.col("doc_id").cast("long"), "text").alias("mark"), number.alias("row")), "mix-rows")
+        held = rows.groupBy("source").agg(F.sum("size").alias("source_size"), F.count("*").alias("n_docs"))
+        held, n = common.numbered(held, [F.col("source").isNull(), F.col("source")], "mix-sources", "src")
+        weight = F.get(F.array(*(F.lit(float(w)) for w in weights)), (F.col("src") % len(weights)).cast("int"))
+        held = common.stored(held.withColumn("weight", weight).withColumn("cap", MOST * F.col("source_size")), "mix-weights")
+        total = held.agg(F.coalesce(F.sum("source_size"), F.lit(0))).first()[0]
+        level = water_level(held, share * total)
+        target = F.least("cap", F.when(F.col("weight") > 0, F.lit(level) * F.col("weight")))
+
+        def up(a: Column, b: Column) -> Column:
+            return F.call_function("div", a + b - 1, b)
+
+        width = F.greatest(F.lit(1), F.least(F.lit(block_words), F.call_function("div", F.col("source_size"), F.lit(LEAST_BLOCKS)))).cast("long")
+        a = F.floor(F.sqrt(F.greatest(F.col("blocks") - 1, F.lit(0)))) + 1
+        quota = F.when(F.col("source_size") > 0, F.least(F.floor(MOST * F.col("blocks")), F.bround(F.col("target") * F.col("blocks") / F.col("source_size")))).otherwise(0)
+        per_cell = max(1, -(-n // cells))
+        self.sources = common.stored(
+            held.withColumn("target", target).withColumn("width", width).withColumn("blocks", up(F.col("source_size"), F.col("width")))
+            .withColumn("a", a).withColumn("b", F.greatest(F.lit(1), up(F.col("blocks"), F.col("a")))).withColumn("quota", quota.cast("long"))
+            .withColumn("cell", F.call_function("div", F.col("src"), F.lit(per_cell)).cast("int"))
+            .select(F.col("source").alias("name"), "src", "source_size", "target", "width", "blocks", "a", "b", "quota", "cell"), "mix-targets")
+        self.documents = rows.join(self.sources.select("name", "src", "source_size", "target"), F.col("source").eqNullSafe(F.col("name")))
+        self.seed, self.out_shards, self.n_rows = seed, out_shards, rows.count()
+        self.total = self.sources.agg(F.coalesce(F.sum("quota"), F.lit(0))).first()[0]
+
+    def counts(self) -> DataFrame:
+        """Rows (shard, src, count > 0) of the multinomial draws."""
+        spark, seed = self.sources.sparkSession, self.seed
+        cells = sorted((r[0], r[1]) for r in self.sources.groupBy("cell").agg(F.sum("quota")).collect())     # CELLS rows at most
+        drawn = draws([q for _, q in cells], even_totals(self.total, self.out_shards), seed_of(seed))
+        totals = [(c, drawn[:, i].tolist()) for i, (c, _) in enumerate(cells)]
+        totals = spark.createDataFrame(totals, "cell int, totals array<long>")
+
+        def inside(rows):
+            import pandas as pd
+
+            rows = rows.sort_values("src")
+            got = draws(rows["quota"].tolist(), list(rows["totals"].iloc[0]), seed_of(seed, int(rows["cell"].iloc[0])))
+            shard, i = np.nonzero(got)
+            return pd.DataFrame({"shard": shard.astype("int32"), "src": rows["src"].to_numpy()[i], "count": got[shard, i]})
+
+        return common.stored(self.sources.select("cell", "src", "quota").join(totals, "cell").groupBy("cell").applyInPandas(inside, "shard int, src long, count long"), "mix-counts")
 
     def streams(self) -> DataFrame:
         """Documents (row, doc_id, mark, src, size) with the place ``at`` of their first word in their source's stream.
@@ -122,9 +164,10 @@ class Mix:
 
     def pieces(self) -> DataFrame:
         """Parts of documents in blocks: (src, block, row, doc_id, mark, word, n); ``word`` is the first word's place in its document."""
-        size = self.block
-        docs = self.streams().where("size > 0")
-        block = F.explode(F.sequence(F.floor(F.col("at") / size), F.floor((F.col("at") + F.col("size") - 1) / size)))
+        docs = self.streams().where("size > 0").join(self.sources.select("src", "width"), "src")
+        size = F.col("width")
+        first = F.call_function("div", F.col("at"), size)
+        block = F.explode(F.sequence(first, F.call_function("div", F.col("at") + F.col("size") - 1, size)))
         from_ = F.greatest(F.col("at"), F.col("block") * size)
         to = F.least(F.col("at") + F.col("size"), (F.col("block") + 1) * size)
         return (docs.withColumn("block", block)
@@ -133,35 +176,33 @@ class Mix:
     def slots(self) -> DataFrame:
         """The mix: (shard, slot, src, block), one row for each slot."""
         spark = self.sources.sparkSession
-        per = self.counts.sum(axis=1)
-        k0 = np.cumsum(self.counts, axis=0) - self.counts
-        rows = [(j, int(sum(per[:j])), int(per[j]), np.cumsum(self.counts[j]).tolist(), (k0[j] - np.cumsum(self.counts[j]) + self.counts[j]).tolist())
-                for j in range(self.out_shards)]
-        drawn = spark.createDataFrame([(*r, *feistel.sides(r[2])) for r in rows],
-                                      "shard int, base long, n long, upto array<long>, shift array<long>, sa long, sb long").coalesce(1)
-        size = max(1, int(per.max()))
-        slots = spark.range(0, self.total, 1, 1 + self.total // SLOT_ROWS).withColumn("shard", F.floor(F.col("id") / size).cast("int"))
-        slots = slots.join(F.broadcast(drawn), "shard").withColumn("slot", F.col("id") - F.col("base"))
-        # A shard's slots take its draws in shuffled order.
-        outside = (drawn.select("n", F.col("sa").alias("a"), F.col("sb").alias("b")).distinct().where("n > 0 and a * b > n")
+        per = even_totals(self.total, self.out_shards)
+        shards = spark.createDataFrame([(j, n, *feistel.sides(n)) for j, n in enumerate(per)], "shard int, n long, sa long, sb long").coalesce(1)
+        # A shard's draws lie one source after the other; a source's uses go on from shard to shard.
+        counts = self.counts()
+        in_shard, in_source = (Window.partitionBy(p).orderBy(o).rowsBetween(Window.unboundedPreceding, Window.currentRow) for p, o in (("shard", "src"), ("src", "shard")))
+        runs = (counts.withColumn("turn", F.sum("count").over(in_shard) - F.col("count")).withColumn("k", F.sum("count").over(in_source) - F.col("count"))
+                .withColumn("part", F.explode(F.sequence(F.lit(0).cast("long"), F.call_function("div", F.col("count") - 1, F.lit(RUN_SLOTS))))))
+        runs = common.stored(runs.join(self.sources.select("src", "blocks", "a", "b"), "src").join(F.broadcast(shards), "shard")
+                             .repartition(1 + self.total // (4 * RUN_SLOTS), "shard", "src", "part"), "mix-runs")
+        i = F.explode(F.sequence(F.col("part") * RUN_SLOTS, F.least(F.col("count"), (F.col("part") + 1) * RUN_SLOTS) - 1))
+        slots = (runs.withColumn("i", i).withColumn("turn", F.col("turn") + F.col("i")).withColumn("k", F.col("k") + F.col("i")))
+        outside = (shards.select("n", F.col("sa").alias("a"), F.col("sb").alias("b")).distinct().where("n > 0 and a * b > n")
                    .select("*", F.explode(F.expr("sequence(n, a * b - 1)")).alias("x")))
         walk = feistel.longest_walk(outside, f"{self.seed}-slot", portable=False)
-        slots = slots.withColumn("turn", feistel.permuted(F.col("slot"), F.col("n"), F.col("sa"), F.col("sb"), f"{self.seed}-slot", walk, portable=False))
-        src = F.size(F.filter("upto", lambda c: c <= F.col("turn")))
-        slots = slots.withColumn("src", src.cast("long")).withColumn("k", F.col("turn") + F.expr("shift[cast(src as int)]"))
-        slots = slots.join(F.broadcast(self.sources.select("src", "blocks", "a", "b")), "src")
+        slots = slots.withColumn("slot", feistel.permuted(F.col("turn"), F.col("n"), F.col("sa"), F.col("sb"), f"{self.seed}-slot", walk, portable=False))
         slots = slots.withColumn("pass", ((F.col("k") - F.col("k") % F.col("blocks")) / F.col("blocks")).cast("long"))
         # Sources and passes rotate the index before the permutation, so each has an order of its own.
         turned = F.xxhash64("src", "pass").bitwiseAND(F.lit((1 << 31) - 1))
         slots = slots.withColumn("x", (F.col("k") + turned) % F.col("blocks"))
-        outside = (self.sources.where("blocks > 0 and a * b > blocks")
-                   .select(F.col("blocks").alias("n"), "a", "b", F.explode(F.expr("sequence(blocks, a * b - 1)")).alias("x")))
+        outside = (self.sources.where("blocks > 0 and a * b > blocks").select(F.col("blocks").alias("n"), "a", "b").distinct()
+                   .select("*", F.explode(F.expr("sequence(n, a * b - 1)")).alias("x")))
         depth = feistel.longest_walk(outside, self.seed, portable=False)
         return slots.select("shard", "slot", "src", feistel.permuted(F.col("x"), F.col("blocks"), F.col("a"), F.col("b"), self.seed, depth, portable=False).alias("block"))
 
     def mixed(self) -> DataFrame:
         """The mix's content: slots joined with their blocks' document parts."""
-        return self.slots().join(self.pieces(), ["src", "block"])
+        return self.slots().hint("merge").join(self.pieces(), ["src", "block"])      # slots are many more than the runs they are made from
 
     def digest(self) -> DataFrame:
         """Per document: doc_id, size, source_size, target, taken."""
@@ -196,16 +237,16 @@ def passages(text: str | None, parts: list[tuple[int, int, int]]) -> list[str]:
 
 def mixed_documents(docs: DataFrame, **how) -> DataFrame:
     """The mix as documents: every column of ``docs``, one row for each passage taken, n_chars renewed if there is one."""
-    mix = Mix(docs, **how)
-    parts = (mix.used().groupBy("row", "doc_id", "mark").agg(F.collect_list(F.struct("word", "n", "uses")).alias("parts"))
-             .groupBy("mark", F.col("doc_id").alias("__doc")).agg(F.first("parts").alias("__parts"), F.count("*").alias("__rows")))
+    rows = common.marked(docs, "mix-documents")
+    with common.passing(docs.sparkSession):
+        mix = Mix(rows.select("row", "doc.doc_id", "doc.text", "doc.source"), row="row", **how)
+        parts = common.stored(mix.used().groupBy("row").agg(F.collect_list(F.struct("word", "n", "uses")).alias("parts")), "mix-parts", keep=True)
 
     @F.pandas_udf("array<string>")
     def cut(texts, lists):
         import pandas as pd
         return pd.Series([passages(t, [(p["word"], p["n"], p["uses"]) for p in ps]) for t, ps in zip(texts, lists)])
 
-    joined = docs.join(parts, F.col("doc_id").cast("long").eqNullSafe(F.col("__doc")) & (F.xxhash64(F.col("doc_id").cast("long"), "text") == F.col("mark")))
-    taken = joined.withColumn("__text", F.explode(cut("text", "__parts")))
-    new = {"text": F.col("__text"), "n_chars": F.length("__text").cast("long")}
-    return taken.select(*(new[c].alias(c) if c in new else F.col(f"`{c}`") for c in docs.columns))
+    taken = rows.join(parts, "row").select("doc", F.explode(cut("doc.text", "parts")).alias("passage"))
+    new = {"text": F.col("passage"), "n_chars": F.length("passage").cast("long")}
+    return taken.select(*((new[c] if c in new else F.col("doc").getField(c)).alias(c) for c in docs.columns))

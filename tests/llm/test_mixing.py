@@ -1,31 +1,41 @@
+import math
 import random
+import re
 
 import numpy as np
-import pytest
+import xxhash
+from pyspark.sql import functions as F
 
 from squall.llm import mixing
 
 
-def test_targets_share_by_weight_up_to_the_cap():
-    got = mixing.targets([100, 100, 100], [5, 2, 1], 450)
-    assert got == [200.0, 500 / 3, 250 / 3] or np.allclose(got, [200, 250 * 2 / 3, 250 / 3])
-    assert mixing.targets([], [], 0) == []
+def plain_targets(sizes, weights, total, most=2.0):
+    """Share by weight, one source after the other in the order in which they fill."""
+    caps = [most * s for s in sizes]
+    left, weight, out = total, float(sum(weights)), [0.0] * len(sizes)
+    for i in sorted(range(len(sizes)), key=lambda i: caps[i] / weights[i]):
+        out[i] = min(caps[i], left * weights[i] / weight)
+        left, weight = left - out[i], weight - weights[i]
+    return out
+
+
+def test_targets_share_by_weight_up_to_the_cap(spark, documents):
     g = random.Random(1)
-    for _ in range(50):
-        sizes = [g.randint(0, 1000) for _ in range(9)]
-        w = [[5, 2, 1][i % 3] for i in range(9)]
-        t = mixing.targets(sizes, w, 1.5 * sum(sizes))
-        assert abs(sum(t) - 1.5 * sum(sizes)) < 1e-6 and all(x <= 2 * s + 1e-9 for x, s in zip(t, sizes))
-        level = [x / v for x, v, s in zip(t, w, sizes) if x < 2 * s - 1e-9]
-        assert not level or max(level) - min(level) < 1e-6
+    for n in (1, 2, 9, 40):
+        sizes = [g.choice([0, 1, g.randint(0, 60), g.randint(0, 500)]) for _ in range(n)]
+        docs = documents([(i, "w " * s, "en", f"s{i:03d}") for i, s in enumerate(sizes)])
+        got = {r["name"]: r["target"] for r in mixing.Mix(docs, cells=4).sources.collect()}
+        want = plain_targets(sizes, [[5, 2, 1][i % 3] for i in range(n)], 1.5 * sum(sizes))
+        assert np.allclose([got[f"s{i:03d}"] for i in range(n)], want)
 
 
 def test_draws_meet_the_quotas():
-    quotas = [5000, 1, 0, 300]
-    got = mixing.draws(quotas, 16)
-    assert got.sum(axis=0).tolist() == quotas and len(set(got.sum(axis=1)[:-1].tolist())) == 1
-    assert (got == mixing.draws(quotas, 16)).all()
-    assert mixing.draws([], 4).shape == (4, 0)
+    quotas, totals = [5000, 1, 0, 300], mixing.even_totals(5301, 16)
+    assert sum(totals) == 5301 and len(set(totals[:-1])) == 1
+    got = mixing.draws(quotas, totals, [1])
+    assert got.sum(axis=0).tolist() == quotas and got.sum(axis=1).tolist() == totals
+    assert (got == mixing.draws(quotas, totals, [1])).all()
+    assert mixing.draws([], [0, 0], [1]).shape == (2, 0)
 
 
 def corpus():
@@ -106,5 +116,122 @@ def test_empty_table_and_limits(spark, documents):
     docs = documents(corpus())
     assert mixing.Mix(docs.where("false")).digest().count() == 0
     assert mixing.mixed_documents(docs.where("false")).count() == 0
-    with pytest.raises(ValueError):
-        mixing.Mix(docs, out_shards=mixing.MAX_DRAWS)
+
+
+def test_small_sources_come_near_their_targets(spark, documents):
+    """Down to a few words: no source is a whole block off."""
+    g = random.Random(5)
+    sizes = [1, 2, 3, 5, 8, 13, 17, 40, 63, 64, 100, 832, 2000]
+    rows, n = [], 0
+    for i, size in enumerate(sizes):
+        while size:
+            part = g.randint(1, min(size, 60))
+            rows.append((n, " ".join(f"w{n}.{j}" for j in range(part)), "en", f"s{i:02d}"))
+            size, n = size - part, n + 1
+    got = mixing.Mix(documents(rows)).digest().collect()
+    taken, target = {}, {}
+    for r in got:
+        source = rows[r["doc_id"]][3]
+        taken[source], target[source] = taken.get(source, 0) + r["taken"], r["target"]
+        assert 0 <= r["taken"] <= 2 * r["size"]
+    assert all(abs(taken[s] - target[s]) <= 1 + 0.02 * target[s] for s in taken)
+
+
+def test_many_sources_are_drawn_in_cells(spark, documents):
+    rows = [(i, "a b c", "en", f"host{i % 300:03d}") for i in range(900)]
+    mix = mixing.Mix(documents(rows), out_shards=4, cells=7)
+    counts = mix.counts().collect()
+    by_source, by_shard = {}, {}
+    for r in counts:
+        by_source[r["src"]] = by_source.get(r["src"], 0) + r["count"]
+        by_shard[r["shard"]] = by_shard.get(r["shard"], 0) + r["count"]
+    assert by_source == {r["src"]: r["quota"] for r in mix.sources.collect() if r["quota"]}
+    assert [by_shard.get(i, 0) for i in range(4)] == mixing.even_totals(mix.total, 4)
+    slots = mix.slots().collect()
+    assert sorted((r["shard"], r["slot"]) for r in slots) == [(i, j) for i in range(4) for j in range(by_shard.get(i, 0))]
+
+
+def plain_mix(rows, block_words, out_shards, seed="mix", weights=(5, 2, 1)):
+    """Words taken of each row, in plain Python from the rows alone: streams, quotas, draws, permutations and blocks."""
+    def xx(*values):
+        h = 42
+        for v in values:
+            if v is not None:
+                raw = v.encode() if isinstance(v, str) else v.to_bytes(8, "little", signed=True)
+                h = xxhash.xxh64_intdigest(raw, h)
+        return h - (1 << 64) if h >> 63 else h
+
+    def once(x, a, b, key):
+        left, right = x % a, x // a
+        for turn in range(4):
+            bits = xxhash.xxh64_intdigest(key.encode(), 42)
+            for value, width in ((turn, 4), (right, 8)):
+                bits = xxhash.xxh64_intdigest(value.to_bytes(width, "little"), bits)
+            side = a if turn % 2 == 0 else b
+            left, right = right, (left + (bits & ((1 << 48) - 1)) % side) % side
+        return a * right + left
+
+    def permuted(x, n, key):
+        a = math.isqrt(n - 1) + 1 if n else 1
+        b = max(1, -(-n // a))
+        x = once(x, a, b, key)
+        while x >= n:
+            x = once(x, a, b, key)
+        return x
+
+    sizes = [len([w for w in re.split("[ \t-\r]+", t or "") if w]) for _, t, _ in rows]
+    names = sorted({s for *_, s in rows}, key=lambda s: (s is None, s or ""))
+    held = [sum(n for n, r in zip(sizes, rows) if r[2] == s) for s in names]
+    goal = plain_targets(held, [weights[i % 3] for i in range(len(names))], 1.5 * sum(held))
+    widths = [max(1, min(block_words, n // 64)) for n in held]
+    blocks = [-(-n // w) for n, w in zip(held, widths)]
+    quotas = [min(2 * b, round(t * b / n)) if n else 0 for n, b, t in zip(held, blocks, goal)]
+    per = -(-sum(quotas) // out_shards)
+    totals = [max(0, min(per, sum(quotas) - per * i)) for i in range(out_shards)]
+    g, left, uses = np.random.Generator(np.random.PCG64([ord(c) for c in seed])), np.array(quotas), [0] * len(names)
+    taken = [0] * len(rows)
+    where = []
+    for s, name in enumerate(names):          # block -> (row, words) by the stream's order
+        n_buckets = max(1, len(rows) // 2000)
+        order = sorted((i for i in range(len(rows)) if rows[i][2] == name),
+                       key=lambda i: (xx(xx(rows[i][0], rows[i][1]), 1) % n_buckets, xx(rows[i][0], rows[i][1]), i))
+        parts, at = {}, 0
+        for i in order:
+            for w in range(at, at + sizes[i]):
+                parts.setdefault(w // widths[s], []).append(i)
+            at += sizes[i]
+        where.append(parts)
+    for total in totals:
+        while total:
+            got = np.minimum(g.multinomial(total, left / left.sum()), left)
+            for s, n in enumerate(got.tolist()):
+                for k in range(uses[s], uses[s] + n):
+                    turn = xx(s, k // blocks[s]) & ((1 << 31) - 1)
+                    for i in where[s][permuted((k + turn) % blocks[s], blocks[s], seed)]:
+                        taken[i] += 1
+                uses[s] += n
+            left, total = left - got, total - int(got.sum())
+    return taken
+
+
+def test_words_taken_equal_a_plain_mix(spark, documents):
+    rows = [(d, t, s) for d, t, _, s in corpus()]
+    rows = [r for n, r in enumerate(rows) if r not in rows[:n]]
+    got = mixing.Mix(documents([(d, t, "en", s) for d, t, s in rows]), block_words=16, out_shards=4).digest().collect()
+    want = plain_mix(rows, 16, 4)
+    sizes = [len((t or "").split()) for _, t, _ in rows]
+    assert sorted((str(r["doc_id"]), r["size"], r["taken"]) for r in got) == sorted((str(d), n, w) for (d, _, _), n, w in zip(rows, sizes, want))
+
+
+def test_clashing_names_and_equal_rows_keep_their_own_parts(spark, documents):
+    words = [f"w{j}" for j in range(600)]
+    rows = [(1, " ".join(words), "en", "x"), (1, " ".join(words), "en", "y"), (None, " ".join(words[:300]), "en", "x"), (None, " ".join(words[:300]), "en", "x")]
+    docs = documents(rows).withColumn("mark", F.lit("m")).withColumn("__doc", F.lit(4)).withColumn("doc", F.lit("d")).withColumn("parts", F.lit(1))
+    out = mixing.mixed_documents(docs, block_words=8)
+    assert out.columns == docs.columns
+    taken = {r["name"]: r["target"] for r in mixing.Mix(docs, block_words=8).sources.collect()}
+    got = {}
+    for r in out.collect():
+        got[r["source"]] = got.get(r["source"], 0) + len(r["text"].split())
+        assert (r["mark"], r["__doc"], r["doc"], r["parts"]) == ("m", 4, "d", 1)
+    assert all(abs(got[s] - t) <= 0.03 * t for s, t in taken.items())
