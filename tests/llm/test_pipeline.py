@@ -2,6 +2,8 @@
 
 import random
 
+from pyspark.sql import functions as F
+
 import corpus_pipeline as P
 from squall.llm import decontam, minhash
 
@@ -51,3 +53,22 @@ def test_empty_documents(spark, documents, tmp_path):
     bench.write.parquet(f"{tmp_path}/benchmark.parquet")
     docs.where("false").write.parquet(f"{tmp_path}/documents.parquet")
     assert P.run(spark, str(tmp_path)).count() == 0
+
+
+def test_rows_are_told_apart_without_their_ids(spark, documents, tmp_path):
+    docs, bench = corpus(spark, documents)
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    item, clean = bench.first()["text"], [r["text"] for r in docs.where("doc_id in (3, 5, 7)").orderBy("doc_id").collect()]
+    extra = documents([(None, clean[0] + " " + item, "en", "s0"), (9, clean[1] + " " + item, "en", "s1"), (9, clean[2], "en", "s1"), (None, clean[1], "en", "s2"), (None, clean[1], "en", "s2")])
+    clash = {c: F.lit(c) for c in ("mark", "row", "__doc", "doc", "guess", "rank")}
+    rows = extra.withColumns(clash)
+    stages = dict(P.STAGES)
+    texts = lambda df: sorted((str(r["doc_id"]), r["text"]) for r in df.collect())
+    cleaned = stages["decontamination"](spark, rows, str(tmp_path))
+    assert texts(cleaned) == sorted([("9", clean[2]), ("None", clean[1]), ("None", clean[1])]) and cleaned.columns == rows.columns
+    one = stages["near-dedup"](spark, rows.where(f"not contains(text, '{item}')"), str(tmp_path))
+    assert texts(one) == sorted([("9", clean[2]), ("None", clean[1])]) and one.columns == rows.columns
+    labelled = docs.withColumns(clash)
+    for name in ("language ID", "mixing", "sharding"):
+        out = stages[name](spark, labelled, str(tmp_path))
+        assert out.columns[:len(rows.columns)] == rows.columns and {r["__doc"] for r in out.collect()} == {"__doc"}
