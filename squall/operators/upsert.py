@@ -6,6 +6,10 @@ one hash-partitioned aggregate with map-side partial aggregation, so a key that
 repeats many times in a batch (a hot key) is folded on the map side before the
 shuffle instead of landing in one task.
 
+``merge_files`` is the same merge over Parquet files with a wide payload, in two phases: narrow
+rows (key, order, row address) are reduced to the address of each key's winner, then the winners'
+rows are fetched by address. The payload is shuffled once and not sorted for the merge.
+
 ``upsert_table`` persists it: the batch is written once beside the table, only the
 partitions that it touches are read and merged (an index beside the table tells where its keys
 are), the merge is written once, and its partition folders are moved into place. Untouched partitions are never rewritten, and a
@@ -18,7 +22,7 @@ from __future__ import annotations
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -28,6 +32,8 @@ from squall.session import ensure_utc, fs_path
 _SRC = "__src"
 _ORD = "__ord"
 
+_ADDRESS = ["__from", "__file", "__row"]      # stored or batch, file, row in the file
+
 READY = "_READY"      # marks a staging folder whose files are complete
 
 
@@ -52,22 +58,11 @@ def merge_last_wins(target: DataFrame | None, batch: DataFrame, keys: list[str],
     columns = list(columns or (target.columns if target is not None
                                else [c for c in batch.columns if c not in order]))
     values = [c for c in columns if c not in keys and c not in preserve]
-    if order_in_target:
-        def ord_of(src):
-            return F.struct(*[F.col(c) for c in order], F.lit(src).alias(_SRC))
-        t_ord = ord_of(0)
-    else:
-        def ord_of(src):
-            return F.struct(F.lit(src).alias(_SRC), *[F.col(c) for c in order])
-        t_ord = F.struct(F.lit(0).alias(_SRC),
-                         *[F.lit(None).cast(batch.schema[c].dataType).alias(c) for c in order])
-    b = batch.select(*columns, ord_of(1).alias(_ORD))
+    t_ord, b_ord = _orders(batch, order, order_in_target)
+    b = batch.select(*columns, b_ord.alias(_ORD))
     if target is not None:
         b = target.select(*columns, t_ord.alias(_ORD)).unionByName(b)
-    if null_keys == "error":
-        both = b.withColumns({k: F.coalesce(F.col(k), F.raise_error(F.lit(f"NULL in key column {k}")).cast(b.schema[k].dataType)) for k in keys})
-    else:
-        both = b.filter(_keys_present(keys))
+    both = _with_keys(b, keys, null_keys)
     aggs = []
     if values:
         aggs.append(F.max_by(F.struct(*values), F.col(_ORD)).alias("__last"))
@@ -85,6 +80,49 @@ def merge_last_wins(target: DataFrame | None, batch: DataFrame, keys: list[str],
     return merged.select(*out)
 
 
+def _orders(batch: DataFrame, order: list[str], order_in_target: bool) -> tuple[Column, Column]:
+    """Order structs of a stored row and of a batch row."""
+    own = [F.col(c) for c in order]
+    if order_in_target:
+        return F.struct(*own, F.lit(0).alias(_SRC)), F.struct(*own, F.lit(1).alias(_SRC))
+    none = [F.lit(None).cast(batch.schema[c].dataType).alias(c) for c in order]
+    return F.struct(F.lit(0).alias(_SRC), *none), F.struct(F.lit(1).alias(_SRC), *own)
+
+
+def _with_keys(rows: DataFrame, keys: list[str], null_keys: str) -> DataFrame:
+    """Rows whose key is present; with ``null_keys="error"`` another row fails the query."""
+    if null_keys != "error":
+        return rows.filter(_keys_present(keys))
+    return rows.withColumns({k: F.coalesce(F.col(k), F.raise_error(F.lit(f"NULL in key column {k}")).cast(rows.schema[k].dataType)) for k in keys})
+
+
+def merge_files(stored: DataFrame, batch: DataFrame, keys: list[str], order: list[str], preserve: tuple[str, ...],
+                columns: list[str], order_in_target: bool = False, null_keys: str = "drop") -> DataFrame:
+    """``merge_last_wins`` of two scans of Parquet files (filters on them are fine), winners first.
+
+    The first phase reads keys, order and ``preserve`` columns, and folds a hot key's rows before the
+    shuffle like any other's. The second joins on the row address, which is unique, so a hot key's rows
+    spread over all tasks; the winners are the hashed side (an address and the ``preserve`` columns a
+    row) and the payload streams past them. Versions with the same order compete by address.
+    """
+    t_ord, b_ord = _orders(batch, order, order_in_target)
+    old, new = _addressed(stored, 0), _addressed(batch, 1)
+    narrow = [*keys, *preserve, *_ADDRESS]
+    rows = old.select(*narrow, t_ord.alias(_ORD)).unionByName(new.select(*narrow, b_ord.alias(_ORD)))
+    seq = F.struct(_ORD, *_ADDRESS)
+    kept = [F.min_by(F.struct(*preserve), seq).alias("__first")] if preserve else []
+    winners = (_with_keys(rows, keys, null_keys).groupBy(*keys).agg(F.max_by(F.struct(*_ADDRESS), seq).alias("__last"), *kept)
+               .select("__last.*", *(["__first.*"] if preserve else [])))
+    wide = [*[c for c in columns if c not in preserve], *_ADDRESS]
+    return old.select(*wide).unionByName(new.select(*wide)).join(winners.hint("shuffle_hash"), _ADDRESS).select(*columns)
+
+
+def _addressed(rows: DataFrame, side: int) -> DataFrame:
+    """Rows with their address: the last folder and the file name tell the files of a scan apart."""
+    return rows.select("*", F.lit(side).alias("__from"), F.substring_index("_metadata.file_path", "/", -2).alias("__file"),
+                       F.col("_metadata.row_index").alias("__row"))
+
+
 def table_exists(spark: SparkSession, path: str) -> bool:
     try:
         fs, hpath = fs_path(spark, path)
@@ -114,13 +152,14 @@ def create_if_absent(spark: SparkSession, path: str, schema: T.StructType,
 def upsert_table(spark: SparkSession, path: str, batch: DataFrame, schema: T.StructType,
                  keys: list[str], order: list[str], partition_by: list[str],
                  preserve: tuple[str, ...] = (), order_in_target: bool = False,
-                 partition_follows_key: bool = True, null_keys: str = "error", staged: bool = False) -> DataFrame:
+                 partition_follows_key: bool = True, null_keys: str = "error", staged: bool = False,
+                 winners_first: bool = False) -> DataFrame:
     """Upsert ``batch`` into the Parquet table at ``path``; returns the batch's counts:
     rows upserted, distinct keys, and rows left out because their key is NULL.
 
     A NULL in a key fails the upsert (a NOT NULL constraint) before the table changes;
-    ``null_keys="drop"`` leaves such rows out and counts them. ``staged``: the batch is a plain
-    scan of files already, and is not written once more. Only touched partitions are read and
+    ``null_keys="drop"`` leaves such rows out and counts them. ``staged``: the batch is a
+    scan of Parquet files already (with filters at most), and is not written once more. ``winners_first`` merges by ``merge_files``. Only touched partitions are read and
     rewritten:
 
     - ``partition_follows_key=True``: the partition value is a function of the
@@ -145,7 +184,7 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, schema: T.Str
     work = f"{staging_root(path)}/{uuid.uuid4().hex}"
     try:
         counts = _merge_into(spark, path, work, batch, schema, keys, order, partition_by[0], preserve, order_in_target,
-                             partition_follows_key, null_keys, staged)
+                             partition_follows_key, null_keys, staged, winners_first)
     except Exception:
         remove(spark, work)
         raise
@@ -156,7 +195,8 @@ def upsert_table(spark: SparkSession, path: str, batch: DataFrame, schema: T.Str
 
 
 def _merge_into(spark: SparkSession, path: str, work: str, batch: DataFrame, schema: T.StructType, keys: list[str], order: list[str], p: str,
-                preserve: tuple[str, ...], order_in_target: bool, partition_follows_key: bool, null_keys: str, staged: bool) -> tuple[int, int, int]:
+                preserve: tuple[str, ...], order_in_target: bool, partition_follows_key: bool, null_keys: str, staged: bool,
+                winners_first: bool) -> tuple[int, int, int]:
     """Write the merge of the batch under ``work``; the batch's counts."""
     columns = [f.name for f in schema.fields]
     rows, nulls = F.count_if(_keys_present(keys)).alias("rows"), F.count_if(~_keys_present(keys)).alias("nulls")
@@ -177,8 +217,8 @@ def _merge_into(spark: SparkSession, path: str, work: str, batch: DataFrame, sch
         touched = touched.unionByName(known.select(p))
     touched.distinct().write.parquet(f"{work}/touched")
     touched = spark.read.schema(touched.schema).parquet(f"{work}/touched")
-    merged = merge_last_wins(_in_partitions(stored, touched, p), batch, keys, order, preserve, columns,
-                             order_in_target, null_keys)
+    merge = merge_files if winners_first else merge_last_wins
+    merged = merge(_in_partitions(stored, touched, p), batch, keys, order, preserve, columns, order_in_target, null_keys)
     # One task or a few for each partition (hot ones are split, small ones share), files sorted by key.
     (merged.hint("rebalance", p).sortWithinPartitions(p, *keys)
      .write.partitionBy(p).parquet(f"{work}/merged"))
