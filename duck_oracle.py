@@ -455,6 +455,7 @@ def oracles() -> dict[str, str]:
             cols.append(c)
     q["export_mart_rows"] = with_ctes(f"SELECT {', '.join(cols)} FROM mart")
     q["export_csv_roundtrip"] = q["fct_flat"]
+    q["export_one_file"] = q["fct_flat"]
     # landed documents
     feat = ("SELECT doc_day, page, page * 1000 + CAST(row_number() OVER (PARTITION BY doc_day, page "
             "ORDER BY pos) - 1 AS BIGINT) AS pos, event_unique_id, objectid, occ_ms, occ_hour_text AS occ_hour, "

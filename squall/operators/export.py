@@ -2,15 +2,15 @@
 
 The reference pulls the whole mart into one pandas frame in one process and
 writes one file. Here every task writes its own part file; one file is only
-produced when asked (``single_file=True``), since it funnels all rows through
-one task. Values are formatted as the reference's files show them: booleans
+produced when asked: ``single_file=True`` funnels all rows through one task,
+``onefile.write_csv_file`` sorts and writes with all tasks. Values are formatted as the reference's files show them: booleans
 ``True``/``False``, NULL as an empty field, instants as
 ``YYYY-MM-DD HH:MM:SS+00:00`` (UTC session), zone-less day starts as ``YYYY-MM-DD``.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, DataFrameWriter, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from squall.session import ensure_utc
@@ -25,6 +25,11 @@ DAY_FORMAT = "yyyy-MM-dd"
 def csv_text(df: DataFrame, day_columns: tuple[str, ...] = ("occ_date_day",)) -> DataFrame:
     """Every column rendered as the text written to the file (NULL stays NULL)."""
     ensure_utc(df.sparkSession)
+    return df.select(*text_columns(df, day_columns))
+
+
+def text_columns(df: DataFrame, day_columns: tuple[str, ...] = ("occ_date_day",)) -> list[Column]:
+    """The columns of ``csv_text``."""
     cols = []
     for f in df.schema.fields:
         c = F.col(f"`{f.name}`")
@@ -45,7 +50,7 @@ def csv_text(df: DataFrame, day_columns: tuple[str, ...] = ("occ_date_day",)) ->
         else:
             c = c.cast("string")
         cols.append(c.alias(f.name))
-    return df.select(*cols)
+    return cols
 
 
 def _plain_float(c):
@@ -68,11 +73,14 @@ def write_csv(df: DataFrame, path: str, single_file: bool = False,
     out = csv_text(df, day_columns)
     if single_file:
         out = out.coalesce(1)
-    (out.write.mode("overwrite")
-        .option("header", True).option("nullValue", "").option("emptyValue", "")
-        .option("quote", '"').option("escape", '"')
-        .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
-        .csv(path))
+    csv_writer(out).mode("overwrite").option("header", True).csv(path)
+
+
+def csv_writer(text: DataFrame) -> DataFrameWriter:
+    """The writer of all exports: blank for NULL, quotes doubled, white space kept."""
+    return (text.write.option("nullValue", "").option("emptyValue", "")
+            .option("quote", '"').option("escape", '"')
+            .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False))
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType,

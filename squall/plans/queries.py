@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from squall.functions import classify, geo, payload
 from squall.functions import timeutil as tu
-from squall.operators import commit, export, filters, gaps, ingest, quality, runlog, upsert
+from squall.operators import commit, export, filters, gaps, ingest, onefile, quality, runlog, upsert
 from squall.plans import datasets, models, requests, runs
 from squall.plans.portable import to_portable
 from squall.schemas import RAW_INCIDENTS, RUN_STATUSES, WEATHER_CACHE
@@ -318,6 +318,14 @@ def export_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return to_portable(export.read_csv(spark, path, mart.schema))
 
 
+def export_one_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Write the mart as one CSV file ordered by event, with all tasks, and read it back."""
+    mart = models.build_mart(datasets.raw_incidents(spark, sf_dir), datasets.weather_cache(spark, sf_dir))
+    path = f"{scratch_path(spark, 'export')}/incidents.csv"
+    onefile.write_csv_file(mart, path, ["event_id"])
+    return to_portable(export.read_csv(spark, path, mart.schema))
+
+
 # --- landed documents and streaming (write to the shared scratch folder first) ---
 
 def _landed_incidents(spark: SparkSession, sf_dir: str) -> str:

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from squall.operators import commit, export, quality
+from squall.operators import commit, export, onefile, quality
 from squall.operators.commit import RejectedDocuments  # noqa: F401
 from squall.operators.runlog import DEFAULT_TRIGGER, run_logged
 from squall.operators.upsert import remove, table_exists, upsert_table
@@ -164,11 +164,16 @@ def build_models(spark: SparkSession, raw_path: str, weather_path: str, out_dir:
 
 
 def export_mart(spark: SparkSession, mart_path: str, out_path: str, run_log_path: str,
-                triggered_by: str = DEFAULT_TRIGGER, single_file: bool = False) -> int:
-    """Export the mart to CSV under the run log; returns the row count."""
+                triggered_by: str = DEFAULT_TRIGGER, single_file: bool = False, order: list[str] | None = None) -> int:
+    """Export the mart to CSV under the run log; returns the row count.
+
+    ``out_path`` is a folder of parts; with ``order`` it is one file in that order, written by all tasks."""
     ensure_utc(spark)
     with run_logged(spark, run_log_path, "export_for_tableau", triggered_by) as ctx:
         mart = tables.read_model(spark, mart_path)
-        export.write_csv(mart, out_path, single_file=single_file)
+        if order is not None:
+            onefile.write_csv_file(mart, out_path, order)
+        else:
+            export.write_csv(mart, out_path, single_file=single_file)
         ctx["row_count"] = mart.count()
     return ctx["row_count"]

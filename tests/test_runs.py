@@ -28,8 +28,12 @@ def test_ingest_backfill_models_export(spark, scratch):
     assert rows["T-91"].weather_condition == "Other"
     n = runs.export_mart(spark, paths["fct_incidents_flat"], os.path.join(scratch, "csv"), log)
     assert n == 3
+    one = os.path.join(scratch, "one", "incidents.csv")
+    assert runs.export_mart(spark, paths["fct_incidents_flat"], one, log, order=["event_id"]) == 3
+    with open(one) as f:
+        assert sorted(rows) == [line.split(",")[0] for line in f.read().splitlines()[1:]]
     state = tables.read_run_log(spark, log).collect()
-    assert sorted(r.pipeline_name for r in state) == ["export_for_tableau", "tps_ingest", "weather_cache"]
+    assert sorted(r.pipeline_name for r in state) == ["export_for_tableau", "export_for_tableau", "tps_ingest", "weather_cache"]
     assert all(r.status == "success" for r in state)
 
 
