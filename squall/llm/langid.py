@@ -9,6 +9,11 @@ first. ``score`` is 1 - distance / largest possible distance, between 0 and 1.
 
 Letters are Unicode letters, lower-cased; everything else separates words.
 
+Profiles of up to ``BLOCK_LANGS`` languages are one block. More languages are dealt into blocks
+by a hash of their names; every block names its best language and the smallest distance
+of all wins, so the answer is that of one block with all languages. The driver holds one
+block's profiles at a time.
+
 Defined results: text that is null or has no letter gives ``und`` with score 0. Rows
 without text or lang never train. No labelled rows: everything is ``und``. Repeated rows
 are rows like others; other columns are never looked at.
@@ -25,9 +30,12 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from squall.llm import common
+from squall.session import scratch_path
+
 PROFILE = 400             # n-grams in a profile
 TRAIN_PER_LANG = 1000     # documents that train a language, at most
-MAX_LANGS = 1000          # more distinct labels than this are an error, not a language set
+BLOCK_LANGS = 200         # languages whose profiles a task holds at once; more are compared block by block
 UND = "und"
 GAP = 1                   # stands for the gap between words; no letter, and unlike 0 it counts in an n-gram's integer
 
@@ -73,17 +81,22 @@ class Profiles:
         for k, name in enumerate(self.names):
             self.ranks[np.searchsorted(self.grams, np.array(ranked[name], np.uint64)), k] = np.arange(len(ranked[name]))
 
-    def guess(self, text: str | None) -> tuple[str, float]:
+    def nearest(self, text: str | None) -> tuple[str | None, int, int]:
+        """The nearest language, its distance, and the number of the text's own n-grams compared."""
         own = top(*ngram_counts(text), self.size)
         if not len(own) or not self.names:
-            return UND, 0.0
+            return None, 0, 0
         at = np.searchsorted(self.grams, own)
         at[at == len(self.grams)] = 0
         rows = np.where(self.grams[at] == own, at, len(self.grams))
         ranks = self.ranks[rows]
         apart = np.where(ranks < 0, self.size, np.abs(ranks - np.arange(len(own))[:, None])).sum(axis=0)
         best = int(apart.argmin())
-        return self.names[best], float(1 - apart[best] / (len(own) * self.size))
+        return self.names[best], int(apart[best]), len(own)
+
+    def guess(self, text: str | None) -> tuple[str, float]:
+        name, apart, n = self.nearest(text)
+        return (UND, 0.0) if name is None else (name, float(1 - apart / (n * self.size)))
 
 
 def _counts(batches):
@@ -98,36 +111,56 @@ def _counts(batches):
                                pa.array(np.concatenate([np.empty(0, np.int64), *counts]))], names=["lang", "gram", "n"])
 
 
-def train(labelled: DataFrame, size: int = PROFILE, per_lang: int = TRAIN_PER_LANG) -> Profiles:
-    """Profiles from rows (doc_id, text, lang): about ``per_lang`` documents of each language at most.
+def train(labelled: DataFrame, size: int = PROFILE, per_lang: int = TRAIN_PER_LANG, block: int = BLOCK_LANGS) -> list[Profiles]:
+    """Blocks of profiles from rows (doc_id, text, lang): about ``per_lang`` documents of each language at most.
 
     Documents are drawn by a hash of their doc_id, so the sample does not depend on the
-    partitioning. What reaches the driver is one count and one profile a language.
+    partitioning. Up to ``block`` languages are one block, whose sizes and profiles reach the driver; beyond, the sizes
+    stay a table and the blocks hold ``block / 2`` languages on average.
     """
     rows = labelled.where("text is not null and lang is not null").select("doc_id", "lang", "text")
-    sizes = {r[0]: r[1] for r in rows.groupBy("lang").count().limit(MAX_LANGS + 1).collect()}
-    if len(sizes) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} distinct values of lang")
-    if not sizes:
-        return Profiles({}, size)
-    share = rows.sparkSession.createDataFrame([(k, int(min(1.0, per_lang / n) * 2**32)) for k, n in sizes.items()], "lang string, below long")
-    drawn = (rows.join(F.broadcast(share), "lang")
+    spark = rows.sparkSession
+    sizes = common.stored(rows.groupBy("lang").agg(F.count("*").alias("n")), "lang-sizes")
+    langs = sizes.count()
+    if not langs:
+        return [Profiles({}, size)]
+    blocks = 1 if langs <= block else -(-2 * langs // block)
+    share = sizes.select("lang", (F.least(F.lit(1.0), F.lit(float(per_lang)) / F.col("n")) * 2**32).cast("long").alias("below"))
+    drawn = (rows.join(F.broadcast(share) if blocks == 1 else share, "lang")
              .where(F.crc32(F.concat(F.lit("train:"), F.coalesce(F.col("doc_id").cast("string"), F.lit("")))) < F.col("below")))
     counts = (drawn.select("lang", "text").mapInArrow(_counts, "lang string, gram long, n long")
               .groupBy("lang", "gram").agg(F.sum("n").alias("n")))
     first = Window.partitionBy("lang").orderBy(F.desc("n"), "gram")
-    rows = counts.withColumn("at", F.row_number().over(first)).where(F.col("at") <= size).collect()
-    ranked: dict[str, list[int]] = {}
-    for row in sorted(rows, key=lambda r: (r["lang"], r["at"])):
-        ranked.setdefault(row["lang"], []).append(row["gram"])
-    return Profiles(ranked, size)
-
-
-def predictor(profiles: Profiles, text: Column | str = "text") -> Column:
+    kept = (counts.withColumn("at", F.row_number().over(first)).where(F.col("at") <= size)
+            .withColumn("block", F.pmod(F.xxhash64("lang"), F.lit(blocks)).cast("int")))
+    if blocks > 1:
+        path = scratch_path(spark, "lang-profiles")
+        kept.repartition("block").write.partitionBy("block").parquet(path)
+        kept = spark.read.schema(kept.schema).parquet(path)
+    out = []
+    for b in range(blocks):
+        ranked: dict[str, list[int]] = {}
+        for row in sorted(kept.where(F.col("block") == b).collect(), key=lambda r: (r["lang"], r["at"])):
+            ranked.setdefault(row["lang"], []).append(row["gram"])
+        if ranked:
+            out.append(Profiles(ranked, size))
+    return out or [Profiles({}, size)]
+
+
+def predictor(blocks: list[Profiles], text: Column | str = "text") -> Column:
     """Column struct(lang_pred, score) for a text column."""
-    @F.pandas_udf("lang_pred string, score double")
-    def guess(texts):
-        import pandas as pd
-        return pd.DataFrame([profiles.guess(t) for t in texts], columns=["lang_pred", "score"])
-
-    return guess(text)
+    def nearest(profiles: Profiles) -> Column:
+        @F.pandas_udf("apart long, lang string, n long")
+        def of(texts):
+            import pandas as pd
+            found = [profiles.nearest(t) for t in texts]
+            return pd.DataFrame({"apart": [f[1] for f in found], "lang": [f[0] for f in found], "n": [f[2] for f in found]})
+
+        return of(text)
+
+    # Distance first, then the name; a text without letters has no language in any block.
+    best = nearest(blocks[0]) if len(blocks) == 1 else F.array_min(F.array(*[nearest(p) for p in blocks]))
+    size = F.lit(float(blocks[0].size))
+    return F.transform(F.array(best), lambda b: F.struct(
+        F.coalesce(b["lang"], F.lit(UND)).alias("lang_pred"),
+        F.when(b["lang"].isNull(), F.lit(0.0)).otherwise(F.lit(1.0) - b["apart"] / (b["n"] * size)).alias("score")))[0]

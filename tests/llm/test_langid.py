@@ -1,3 +1,4 @@
+import random
 from collections import Counter
 
 from pyspark.sql import functions as F
@@ -55,3 +56,25 @@ def test_defined_cases(spark, documents):
     none = langid.train(docs.where("false"))
     assert {r["g"]["lang_pred"] for r in docs.select(langid.predictor(none).alias("g")).collect()} == {"und"}
     assert docs.where("false").select(langid.predictor(profiles)).count() == 0
+
+
+def test_languages_in_blocks_give_the_answer_of_one_block(spark, documents):
+    g = random.Random(11)
+    alphabet = "abcdefghijklmnopqrstuvwxyzäöüßéèñçåø"
+    own = {f"l{k:02d}": g.sample(alphabet, 9) for k in range(23)}
+
+    def text(lang, n):
+        return " ".join("".join(g.choice(own[lang]) for _ in range(g.randint(2, 7))) for _ in range(n))
+
+    rows = [(100 * k + i, text(lang, g.randint(1, 30)), lang) for k, lang in enumerate(own) for i in range(12)]
+    rows += [(9001, None, "l03"), (9002, "", "l04"), (9003, "12 !", None), (9004, "zz", None), (9005, "q", None)]
+    docs = documents(rows)
+    one, many = langid.train(docs), langid.train(docs, block=4)
+    assert len(one) == 1 and len(many) > 5 and sorted(n for p in many for n in p.names) == sorted(own)
+
+    def guesses(blocks):
+        return {r["doc_id"]: tuple(r["g"]) for r in docs.select("doc_id", langid.predictor(blocks).alias("g")).collect()}
+
+    first = guesses(one)
+    assert guesses(many) == first == {d: one[0].guess(t) for d, t, _ in rows}
+    assert first[9001] == first[9002] == first[9003] == ("und", 0.0)
