@@ -4,6 +4,8 @@ import hashlib
 import random
 import re
 
+import pytest
+
 from squall.llm import pii
 
 
@@ -103,3 +105,40 @@ def test_identifiers_in_a_run_are_found_by_their_shared_contexts(spark, document
     rows = [(i, f"contact a{i}@x.org or b{i}@y.org") for i in range(40)] + [(100, "contact c7@z.org or user#4711")]
     got = {r["doc_id"]: r for r in pii.scan(documents(rows)).collect()}
     assert got[100]["spans"] == "email:8:16,context:20:29"
+
+
+def planted(unseen_share, n=1200, seed=17):
+    """Documents with base identifiers and unseen forms behind shared contexts, and figures elsewhere: (rows, places of the unseen)."""
+    g = random.Random(seed)
+    filler = "the report says that our team will meet again next week and then go home over a new road".split()
+    contexts = ["contact me at", "please write to", "my account is", "reach her under", "registered as user", "signed in from", "paid with card", "home address of"]
+    figures = ["in the year", "see also page", "we sold about", "bus number", "it took nearly", "chapter", "room"]
+    base = [lambda: f"a{g.randrange(10**6)}@mail{g.randrange(9)}.org", lambda: ".".join(str(g.randrange(256)) for _ in range(4)), lambda: "+1 (415) 555-" + f"{g.randrange(10**4):04d}"]
+    unseen = [lambda: f"user#{g.randrange(10**5)}", lambda: f"{g.randrange(90)+10}-XK-{g.randrange(10)}", lambda: f"DE{g.randrange(10**9)}", lambda: f"@nick_{g.randrange(100)}"]
+    rows, places = [], set()
+    for i in range(n):
+        text = ""
+        for _ in range(g.randint(1, 6)):
+            text += " ".join(g.choices(filler, k=g.randint(3, 12))) + " "
+            kind = g.random()
+            if kind < 0.45 and g.random() >= unseen_share:
+                text += f"{g.choice(contexts)} {g.choice(base)()} , "
+            elif kind < 0.45:
+                text += g.choice(contexts) + " "
+                word = g.choice(unseen)()
+                places.add((i, len(text), len(text) + len(word)))
+                text += word + " , "
+            elif kind < 0.75:
+                text += f"{g.choice(figures)} {g.randrange(2000)} , "
+        rows.append((i, text))
+    return rows, places
+
+
+@pytest.mark.parametrize("unseen_share, least", [(0.2, 0.95), (0.5, 0.95), (0.8, 0.0)])
+def test_recall_of_planted_identifiers_of_unseen_forms(spark, documents, unseen_share, least):
+    """Contexts whose entities are mostly of unseen forms are not trusted: no false spans, and little found."""
+    rows, places = planted(unseen_share)
+    found = {(r["doc_id"], int(a), int(b)) for r in pii.scan(documents(rows)).collect()
+             for kind, a, b in (s.split(":") for s in r["spans"].split(",") if s) if kind == "context"}
+    print(f"unseen {unseen_share}: recall {len(found & places) / len(places):.3f} of {len(places)}, {len(found - places)} of {len(found)} wrong")
+    assert len(found & places) >= least * len(places) and len(found - places) <= 0.05 * len(found)
