@@ -62,10 +62,12 @@ def land_incident_documents(features: DataFrame, path: str, load: int | None = N
                     F.array_join(F.transform("items", lambda x: x["js"]), ","), F.lit("]}"))
     if cut is not None:
         text = F.when(cut, F.substring(text, 1, 40)).otherwise(text)
+    # A file for each day, more only where a day is large: as many as the bytes ask for, not tasks times days.
     (docs.select(text.alias("value"),
                  F.date_format("doc_day", "yyyy").alias("year"),
                  F.date_format("doc_day", "MM").alias("month"),
                  F.date_format("doc_day", "dd").alias("day"))
+     .hint("rebalance", "year", "month", "day")
      .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy("year", "month", "day").text(path))
 

@@ -10,7 +10,7 @@ from conftest import incident_fixture, land_json, weather_fixture
 from squall.operators import commit, runlog, upsert
 from squall.plans import datasets, runs
 from squall.schemas import WEATHER_CACHE
-from squall.sources import landed, tables
+from squall.sources import adapters, landed, tables
 from squall.streaming import ingest as stream_ingest
 
 
@@ -173,3 +173,13 @@ def test_a_failed_run_keeps_its_row_count(spark, scratch):
         ctx["row_count"] = 4
         raise RuntimeError("late")
     assert tables.read_run_log(spark, f"{scratch}/log").first().row_count == 4
+
+
+def test_a_landed_day_is_one_file_whatever_the_tasks(spark, scratch):
+    """Files follow the bytes, so a stream of so many files a batch needs no batch for each writing task."""
+    events = (spark.range(24000).withColumn("ts", F.timestamp_seconds(1704067200 + F.pmod(F.xxhash64("id"), F.lit(5 * 86400))).cast("timestamp_ntz"))
+              .select(F.col("id").alias("event_id"), "ts", (F.col("id") % 50).alias("user_id"), F.lit("click").alias("event_type"), F.lit(1.0).alias("value")))
+    landed.land_incident_documents(adapters.incident_features(events.repartition(8)), scratch, load=1)
+    files = [f for _, _, names in os.walk(scratch) for f in names if f.startswith("part-")]
+    assert len(files) == 5
+    assert landed.read_incident_documents(spark, scratch).count() == 24000
