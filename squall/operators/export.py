@@ -20,6 +20,8 @@ INSTANT_FORMAT_MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSSxxx"
 WALLCLOCK_FORMAT = "yyyy-MM-dd HH:mm:ss"
 WALLCLOCK_FORMAT_MICROS = "yyyy-MM-dd HH:mm:ss.SSSSSS"
 DAY_FORMAT = "yyyy-MM-dd"
+# How files are read back: blank is NULL, quotes are doubled, white space is kept.
+CSV_FORMAT = {"nullValue": "", "quote": '"', "escape": '"', "ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
 
 
 def csv_text(df: DataFrame, day_columns: tuple[str, ...] = ("occ_date_day",)) -> DataFrame:
@@ -92,10 +94,13 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
     a part file); ``multiline=False`` splits large files whose fields are known not to.
     """
     text_schema = T.StructType([T.StructField(f.name, T.StringType(), True) for f in schema.fields])
-    raw = (spark.read.option("header", True).option("nullValue", "")
-           .option("quote", '"').option("escape", '"').option("multiLine", multiline)
-           .option("ignoreLeadingWhiteSpace", False).option("ignoreTrailingWhiteSpace", False)
+    raw = (spark.read.option("header", True).option("multiLine", multiline).options(**CSV_FORMAT)
            .schema(text_schema).csv(path))
+    return raw.select(*parsed_columns(schema, day_columns))
+
+
+def parsed_columns(schema: T.StructType, day_columns: tuple[str, ...]) -> list[Column]:
+    """Typed columns of the text columns that ``csv_text`` gives."""
     cols = []
     for f in schema.fields:
         c = F.col(f"`{f.name}`")
@@ -113,4 +118,4 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType,
         else:
             c = c.cast(t)
         cols.append(c.alias(f.name))
-    return raw.select(*cols)
+    return cols

@@ -323,7 +323,7 @@ def export_one_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     mart = models.build_mart(datasets.raw_incidents(spark, sf_dir), datasets.weather_cache(spark, sf_dir))
     path = f"{scratch_path(spark, 'export')}/incidents.csv"
     onefile.write_csv_file(mart, path, ["event_id"])
-    return to_portable(export.read_csv(spark, path, mart.schema))
+    return to_portable(onefile.read_csv_file(spark, path, mart.schema))
 
 
 # --- landed documents and streaming (write to the shared scratch folder first) ---

@@ -72,3 +72,37 @@ def test_a_failed_write_leaves_the_old_file(spark, scratch):
 def test_a_store_without_offsets_is_refused(spark):
     with pytest.raises(Exception):
         onefile.write_csv_file(spark.range(1), "memory://nowhere/x.csv", ["id"])
+
+
+def test_one_file_is_read_by_many_tasks(spark, scratch):
+    """Every record once, whatever the pieces cut: quoted line breaks, doubled quotes, records longer than a piece."""
+    df = rows(spark, 700).withColumn("long", F.when(F.col("id") % 50 == 0, F.repeat(F.lit('a "b"\n, c\n'), 300)))
+    path = f"{scratch}/many.csv"
+    size = onefile.write_csv_file(df, path, ["event_id"])
+    want = sorted(export.read_csv(spark, path, df.schema).collect(), key=lambda r: r["id"])
+    assert len(want) == 700
+    for piece in (97, 5000, size, 64 << 20):
+        back = onefile.read_csv_file(spark, path, df.schema, piece=piece)
+        assert sorted(back.collect(), key=lambda r: r["id"]) == want
+    parts = [r[0] for r in onefile.read_csv_file(spark, path, df.schema, piece=5000).select(F.spark_partition_id()).distinct().collect()]
+    assert len(parts) > 8
+
+
+def test_pieces_are_copied_by_many_tasks(spark, scratch, monkeypatch):
+    copier = onefile._copier
+
+    def seen(target):
+        inner = copier(target)
+        return lambda frames: inner(tasks_of(frames, f"{scratch}/tasks"))
+
+    def tasks_of(frames, folder):
+        os.makedirs(folder, exist_ok=True)
+        for frame in frames:
+            if len(frame):
+                from pyspark import TaskContext
+                open(f"{folder}/{TaskContext.get().partitionId()}", "w").close()
+            yield frame
+
+    monkeypatch.setattr(onefile, "_copier", seen)
+    size = onefile.write_csv_file(rows(spark, 3000), f"{scratch}/x.csv", ["event_id"], piece=8000)
+    assert os.path.getsize(f"{scratch}/x.csv") == size and len(os.listdir(f"{scratch}/tasks")) > 8
