@@ -31,12 +31,13 @@ from __future__ import annotations
 
 import re
 import zlib
-from array import array
+from codecs import charmap_decode
 from functools import partial
-from itertools import filterfalse, islice
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark.sql import DataFrame, SparkSession
@@ -49,13 +50,16 @@ LEVEL = 3
 # The white space that ends a piece of the vocabulary's own splitting pattern (Unicode White_Space).
 _WS = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
 _OTHER_SPACE = "\t\x0b\x0c\r\x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
-_PAIRS = ("  ", " \n", "\n ", "\n\n")
+_BLANK = frozenset(["", " ", "\n", *_OTHER_SPACE])
+_ODD = f"  | \n|\n |\n\n|[{_OTHER_SPACE}]"
 # The vocabulary's splitting pattern inside words, and its letters for bytes (printable Latin-1
 # characters stand for themselves, the other bytes for the characters from 256 on, in order).
 _PARTS = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^ \p{L}\p{N}]+")
+_LINED = regex.compile(r"\n|" + _PARTS.pattern.replace("[^ ", r"[^ \n"))
 _SELF = [*range(33, 127), *range(161, 173), *range(174, 256)]
-_ALPHABET = {b: chr(256 + i) for i, b in enumerate(b for b in range(256) if b not in _SELF)}
-_SPACE_LETTER = _ALPHABET[0x20]
+_OTHERS = [b for b in range(256) if b not in _SELF]
+_LETTERS = "".join(chr(b) if b in _SELF else chr(256 + _OTHERS.index(b)) for b in range(256))
+_MARK = b"\xff"          # begins each part given to the library: no byte of UTF-8, so in no merge
 _PIECE = re.compile(f" ?[^{_WS}]+|[{_WS}]+(?![^{_WS}])|[{_WS}]+")
 
 CHUNK = ("shard int, chunk int, first long, n_ids int, kind string, plane_bytes array<int>, planes binary, "
@@ -67,99 +71,139 @@ class Encoder:
 
     The vocabulary's splitting pattern never joins characters across the start of a single
     space or around a single line feed between other characters, so the ids of a text are
-    those of its words, each with the space before it, in order. Words not yet known are cut
-    by the pattern, and the library's model encodes the parts not yet known. Texts with other
+    those of its words, each with the space or line feed before it, in order. Texts with other
     white space are cut by that pattern's white-space rules; texts with an added token's
-    string are encoded whole. Words are remembered in two generations: when the younger
-    is full it becomes the older, and words used again move on. Words above ``LONG`` characters are
-    forgotten after the call, so a generation holds a bounded number of bytes.
+    string are encoded whole. All words of a call are made distinct in Arrow; those not
+    remembered are cut by the pattern, and the library's model encodes each different part once.
+    A word's key tells what is before it:
+
+        word            a space
+        line feed, word a line feed (or the start of the text, where its id is dropped)
+        space, piece    nothing: a piece of a text with other white space
+
+    The ``LIMIT`` words used last are remembered, those above ``LONG`` characters never, so a
+    bounded number of bytes is held.
     """
 
-    LIMIT = 500_000       # words in a generation
+    LIMIT = 500_000       # words remembered
     LONG = 64             # characters of a word that is remembered, at most
+    KEYS = 50_000         # new words cut at once
+    LIST = 200            # parts in a string given to the library
 
     def __init__(self, path: str):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
+        from tokenizers import Tokenizer, pre_tokenizers
 
         self.whole = Tokenizer.from_file(path)
         self.model = Tokenizer(self.whole.model)
-        self.added = [t.content for t in self.whole.get_added_tokens_decoder().values()]
-        self._line, space = self._raw(["\n", " "])
-        self._fixed = {True: {"": space}, False: {"": b""}}
-        self.long: list[tuple[bool, str]] = []
-        self.known = self.older = {k: dict(v) for k, v in self._fixed.items()}     # after a space, and others
-
-    def _raw(self, texts: list[str]) -> list[bytes]:
-        return [array("I", e.ids).tobytes() for e in self.whole.encode_batch_fast(texts, add_special_tokens=False)]
-
-    def _learn(self, missing: dict[bool, set[str]]) -> None:
-        """Know the words of both kinds. A part of a word is known like a word of its own."""
-        new: list[tuple[bool, str]] = []
-        cut: list[tuple[bool, str, list[tuple[bool, str]]]] = []
-        for spaced, words in missing.items():
-            known, older = self.known[spaced], self.older[spaced]
-            for w in words:
-                if w in older:
-                    known[w] = older[w]
-                elif w.isalpha():                     # one part
-                    new.append((spaced, w))
-                else:
-                    parts = [(p[0] == " ", p.lstrip(" ")) for p in _PARTS.findall(" " * spaced + w)]
-                    if parts == [(spaced, w)]:
-                        new.append((spaced, w))
-                    else:
-                        cut.append((spaced, w, parts))
-        asked = set(new)
-        for part in {p for _, _, parts in cut for p in parts}:
-            spaced, w = part
-            if part not in asked and w not in self.known[spaced]:
-                if w in self.older[spaced]:
-                    self.known[spaced][w] = self.older[spaced][w]
-                else:
-                    new.append(part)
-        spelt = [_SPACE_LETTER * spaced + (w if w.isascii() and w.isprintable() else w.encode().decode("latin-1").translate(_ALPHABET)) for spaced, w in new]
-        for (spaced, w), e in zip(new, self.model.encode_batch_fast(spelt, add_special_tokens=False)):
-            self.known[spaced][w] = array("I", e.ids).tobytes()
-        for spaced, w, parts in cut:
-            self.known[spaced][w] = b"".join([self.known[s][p] for s, p in parts])
-        self.long += [(s, w) for s, w in new if len(w) > self.LONG] + [(s, w) for s, w, _ in cut if len(w) > self.LONG]
-
-    def _pieces(self, text: str) -> bytes:
-        return b"".join(self._raw(_PIECE.findall(text))) if text else b""
-
-    def _regular(self, text: str) -> bool:
-        """Only single spaces and single line feeds between other characters, and no added token."""
-        return not (any(pair in text for pair in _PAIRS) or any(c in text for c in _OTHER_SPACE) or any(t in text for t in self.added))
-
-    def __call__(self, texts: list[str]) -> list[bytes]:
+        mark = _LETTERS[_MARK[0]]
+        self._mark = self.whole.token_to_id(mark)
+        if any(mark in t and len(t) > 1 for t in self.whole.get_vocab(with_added_tokens=False)):
+            raise ValueError("the vocabulary merges a byte that UTF-8 does not have")
+        self.model.pre_tokenizer = pre_tokenizers.Split(mark, "merged_with_next")
+        self._added = "|".join(re.escape(t.content) for t in self.whole.get_added_tokens_decoder().values())
+        self.words = pa.array([], pa.large_string())
+        self.ids = pa.array([], pa.large_list(pa.uint32()))
+
+    def _part_ids(self, parts: pa.LargeStringArray) -> pa.LargeListArray:
+        """Ids of parts that the splitting pattern leaves whole."""
+        lists = pa.LargeListArray.from_arrays([*range(0, len(parts), self.LIST), len(parts)], parts.cast(pa.large_binary()))
+        ids = [np.zeros(0, "<u4")]
+        for raw in pc.binary_join(lists, pa.scalar(_MARK, pa.large_binary())):
+            spelt = charmap_decode(_MARK + raw.as_py(), "strict", _LETTERS)[0]
+            ids.append(np.array(self.model.encode_batch_fast([spelt], add_special_tokens=False)[0].ids, "<u4"))
+        marked = np.concatenate(ids)
+        marks = marked == self._mark
+        begins = np.flatnonzero(marks) - np.arange(len(parts))
+        return pa.LargeListArray.from_arrays(np.append(begins, len(marked) - len(parts)), marked[~marks])
+
+    def _key_ids(self, keys: pa.LargeStringArray) -> pa.LargeListArray:
+        """Ids of words by their keys."""
+        kind = pc.utf8_slice_codeunits(keys, 0, 1)
+        fed = pc.equal(kind, "\n")
+        bare = pc.or_(pc.equal(kind, " "), pc.equal(kind, ""))
+        spaced = keys.filter(pc.invert(pc.or_(fed, bare)))
+        # The parts of many keys at once: a line feed goes before each key, and is a part of its own.
+        of_spaced = _array(_LINED.findall("".join(["\n " + k for k in _strings(spaced)])))
+        of_fed = _array(_LINED.findall("".join(_strings(keys.filter(fed)))))
+        of_bare = [_parts(k) for k in _strings(keys.filter(bare))]
+        lines = pc.equal(of_spaced, "\n")
+        at_spaced, at_fed = (np.flatnonzero(x) for x in (lines, pc.equal(of_fed, "\n")))
+        parts = pa.concat_arrays([of_spaced.filter(pc.invert(lines)), of_fed, _array(chain.from_iterable(of_bare))])
+        n = len(of_spaced) - len(at_spaced)
+        begins = np.concatenate([at_spaced - np.arange(len(at_spaced)), n + at_fed, n + len(of_fed) + _ends([len(p) for p in of_bare])])
+        coded = parts.dictionary_encode()
+        ids = self._part_ids(coded.dictionary).take(coded.indices)
+        ids = pa.LargeListArray.from_arrays(ids.offsets.take(pa.array(begins)), ids.values)
+        order = np.concatenate([np.flatnonzero(x) for x in (pc.invert(pc.or_(fed, bare)), fed, bare)])
+        return ids.take(pa.array(np.argsort(order)))
+
+    def _word_ids(self, coded: pa.DictionaryArray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all words in order, and where each word's begin and the last one's end."""
+        distinct = coded.dictionary
+        place = pc.index_in(distinct, value_set=self.words)
+        new = place.is_null()
+        keys = distinct.filter(new)
+        ids = pa.concat_arrays([self.ids, *(self._key_ids(keys[i:i + self.KEYS]) for i in range(0, len(keys), self.KEYS))])
+        unused, at = np.ones(len(self.words), bool), np.empty(len(distinct), np.int64)
+        is_new = new.to_numpy(zero_copy_only=False)
+        at[~is_new] = place.drop_null()
+        unused[at[~is_new]] = False
+        at[is_new] = np.arange(len(self.words), len(ids))
+        out = ids.take(pa.array(at[coded.indices]))
+        short = pc.less_equal(pc.utf8_length(distinct), self.LONG).to_numpy(zero_copy_only=False)
+        self.ids = ids.take(pa.array(np.concatenate([at[short], np.flatnonzero(unused)])[:self.LIMIT]))
+        self.words = pa.concat_arrays([distinct.filter(short), self.words.filter(unused)])[:self.LIMIT]
+        return out.values.to_numpy(), out.offsets.to_numpy()
+
+    def __call__(self, texts: list[str] | pa.Array) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        if sum(map(len, self.known.values())) > self.LIMIT:
-            self.older, self.known = self.known, {k: dict(v) for k, v in self._fixed.items()}
-        lines = [[x.split(" ") for x in t.split("\n")] if self._regular(t) else None for t in texts]
-        missing: dict[bool, set[str]] = {True: set(), False: set()}
-        has, miss = self.known[True].__contains__, missing[True].update
-        for ls in lines:
-            for x in ls or ():
-                if x[0] not in self.known[False]:
-                    missing[False].add(x[0])
-                miss(filterfalse(has, islice(x, 1, None)))
-        self._learn(missing)
-        bare, after = self.known[False].__getitem__, self.known[True].__getitem__
-        out = []
-        for text, ls in zip(texts, lines):
-            if ls is None:
-                out.append(self._raw([text])[0] if any(a in text for a in self.added) else self._pieces(text))
-            else:
-                out.append(self._line.join([bare(x[0]) + b"".join(map(after, islice(x, 1, None))) for x in ls]))
-        for spaced, w in self.long:
-            self.known[spaced].pop(w, None)
-        self.long = []
+        texts = pa.array(texts, pa.large_string()) if isinstance(texts, list) else texts.cast(pa.large_string())
+        added = pc.match_substring_regex(texts, self._added) if self._added else pa.repeat(pa.scalar(False), len(texts))
+        odd = pc.and_not(pc.match_substring_regex(texts, _ODD), added)
+        regular = pc.invert(pc.or_(added, odd))
+        coded, ends = _coded(texts.filter(regular), texts.filter(odd))
+        ids, begins = self._word_ids(coded)
+        ends = begins[ends]
+        n = pc.sum(regular).as_py() or 0
+        out: list[bytes] = [b""] * len(texts)
+        order = np.concatenate([np.flatnonzero(regular), np.flatnonzero(odd)])
+        for k, (i, a, b) in enumerate(zip(order.tolist(), ends[:-1].tolist(), ends[1:].tolist())):
+            out[i] = ids[a + (k < n):b].tobytes()
+        for i in np.flatnonzero(added).tolist():
+            out[i] = np.array(self.whole.encode(texts[i].as_py(), add_special_tokens=False).ids, "<u4").tobytes()
         return out
 
 
+def _coded(regular: pa.LargeStringArray, odd: pa.LargeStringArray) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """Keys of all words, and where each text's begin and the last one's end: regular texts, then those with other white space."""
+    empty, first = (pa.scalar(x, pa.large_string()) for x in ("", "\n"))
+    cut = pc.split_pattern(pc.binary_join_element_wise(first, pc.replace_substring(regular, "\n", " \n"), empty), " ")
+    pieces = [_array([p[1:] if p[0] == " " and p[1:2] not in _BLANK else " " + p for p in _PIECE.findall(t.as_py())]) for t in odd]
+    words = pa.concat_arrays([cut.values, *pieces]) if pieces else cut.values
+    return words.dictionary_encode(), np.concatenate([cut.offsets, len(cut.values) + _ends([len(p) for p in pieces])[1:]])
+
+
+def _ends(sizes: np.ndarray | list[int]) -> np.ndarray:
+    return np.concatenate([[0], np.cumsum(sizes, dtype=np.int64)])
+
+
+def _array(strings) -> pa.LargeStringArray:
+    return pa.array(strings, pa.large_string())
+
+
+def _strings(column: pa.LargeStringArray) -> list[str]:
+    return column.to_numpy(zero_copy_only=False).tolist()
+
+
+def _parts(key: str) -> list[str]:
+    """Parts of a key that is empty (the text ends with a space) or has nothing before its piece."""
+    piece = key[1:] or " "
+    return [piece] if piece[0] in _BLANK else _PARTS.findall(piece)
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -199,7 +243,31 @@ def unpack(lengths: list[int], planes: bytes, n: int, kind: str = "byte") -> np.
 _CHUNK_TYPE = pa.schema([("shard", pa.int32()), ("chunk", pa.int32()), ("first", pa.int64()), ("n_ids", pa.int32()), ("kind", pa.string()),
                          ("plane_bytes", pa.list_(pa.int32())), ("planes", pa.binary()), ("doc_ids", pa.list_(pa.int64())),
                          ("doc_ids_in", pa.list_(pa.int32())), ("doc_from", pa.int64())])
-_TEXTS = 256
+GROUP = 8 << 20           # bytes of text encoded at once, but for one text above it
+
+
+def _groups(batches, limit: int = GROUP):
+    """doc_ids and texts of following rows together, whatever the batches are: ``limit`` bytes, and one row above it at most."""
+    held, total, now = [], 0, 0
+    for batch in batches:
+        sizes = 16 + pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy().astype(np.int64)
+        group = (total + np.cumsum(sizes) - sizes) // limit
+        total += int(sizes.sum())
+        starts = np.flatnonzero(np.diff(group, prepend=now)).tolist()
+        for a, b in zip([0, *starts], [*starts, batch.num_rows]):
+            if a in starts and held:
+                yield _rows(held)
+                held = []
+            if a < b:
+                held.append(batch.slice(a, b - a))
+                now = group[b - 1]
+    if held:
+        yield _rows(held)
+
+
+def _rows(held: list[pa.RecordBatch]) -> tuple[list[int], pa.Array]:
+    docs, texts = (pa.concat_arrays([b.column(i) for b in held]) for i in (0, 1))
+    return docs.to_pylist(), pc.fill_null(texts.cast(pa.large_string()), "")
 
 
 def _encode(batches, path: str, end_id: int, block: int, kind: str, level: int):
@@ -214,23 +282,20 @@ def _encode(batches, path: str, end_id: int, block: int, kind: str, level: int):
         lengths, planes = pack(np.frombuffer(b"".join(held), "<u4"), kind, level)
         return pa.RecordBatch.from_pylist([dict(zip(_CHUNK_TYPE.names, (shard, chunk, first, n, kind, lengths, planes, docs, sizes, doc_from)))], schema=_CHUNK_TYPE)
 
-    for batch in batches:
-        for i in range(0, batch.num_rows, _TEXTS):
-            some = batch.slice(i, _TEXTS)
-            coded = encoder(path)([t or "" for t in some.column(1).to_pylist()])
-            for doc, raw in zip(some.column(0).to_pylist(), coded):
-                raw, at, begin = raw + end, 0, first + n
-                while at < len(raw):
-                    part = raw[at:at + 4 * (block - n)]
-                    held.append(part)
-                    docs.append(doc)
-                    sizes.append(len(part) // 4)
-                    at += len(part)
-                    n += len(part) // 4
-                    if n == block:
-                        yield cut()
-                        chunk, first = chunk + 1, first + n
-                        held, docs, sizes, n, doc_from = [], [], [], 0, begin if at < len(raw) else first
+    for some, texts in _groups(batches):
+        for doc, raw in zip(some, encoder(path)(texts)):
+            raw, at, begin = raw + end, 0, first + n
+            while at < len(raw):
+                part = raw[at:at + 4 * (block - n)]
+                held.append(part)
+                docs.append(doc)
+                sizes.append(len(part) // 4)
+                at += len(part)
+                n += len(part) // 4
+                if n == block:
+                    yield cut()
+                    chunk, first = chunk + 1, first + n
+                    held, docs, sizes, n, doc_from = [], [], [], 0, begin if at < len(raw) else first
     if n:
         yield cut()
 

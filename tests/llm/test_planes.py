@@ -24,6 +24,66 @@ def test_ids_equal_those_of_the_library():
     assert [np.frombuffer(x, "<u4").tolist() for x in got] == [t.encode(x, add_special_tokens=False).ids for x in texts]
 
 
+class Counted:
+    """The library's model, and how many strings it was given."""
+
+    def __init__(self, model):
+        self.model, self.given = model, 0
+
+    def encode_batch_fast(self, texts, **options):
+        self.given += len(texts)
+        return self.model.encode_batch_fast(texts, **options)
+
+
+def ids_of(texts):
+    from tokenizers import Tokenizer
+
+    return [e.ids for e in Tokenizer.from_file(vocab).encode_batch(texts, add_special_tokens=False)]
+
+
+def test_new_words_are_given_to_the_library_many_at_once_and_known_ones_never():
+    texts = [" ".join(f"w{chr(97 + i % 26)}x{i}, q{i}.\nNext{i}" for i in range(k, k + 100)) for k in range(0, 3000, 100)]
+    code = planes.Encoder(vocab)
+    code.model = counted = Counted(code.model)
+    want = ids_of(texts)
+    for texts_again in (texts, texts[::-1]):
+        got = code(texts_again)
+        assert [np.frombuffer(x, "<u4").tolist() for x in got] == (want if texts_again is texts else want[::-1])
+        assert 0 < counted.given < 100
+
+
+def test_texts_with_other_white_space_share_the_known_words():
+    texts = ["one two\n\nthree  four\tfive ", "\n\n", "\r\n one\u3000two\n three\n", "   ", "one two\nthree four"]
+    code, want = planes.Encoder(vocab), ids_of(texts)
+    code.whole = None                                 # encodes texts with an added token's string only
+    assert [np.frombuffer(x, "<u4").tolist() for x in code(texts)] == want
+
+
+def test_few_words_are_remembered_and_ids_stay_right():
+    import pyarrow as pa
+
+    g, code = random.Random(4), planes.Encoder(vocab)
+    code.LIMIT, code.KEYS, code.LIST = 40, 7, 3
+    for _ in range(20):
+        texts = [" ".join(g.choice(["a,b", "x" * 80, "é1", "it's"]) + str(g.randrange(30)) for _ in range(12)) for _ in range(5)] + ODD
+        assert [np.frombuffer(x, "<u4").tolist() for x in code(pa.array(texts))] == ids_of(texts)
+        assert 0 < len(code.words) == len(code.ids) <= 40
+        assert all(len(w.as_py()) <= code.LONG for w in code.words)
+
+
+def test_small_batches_are_encoded_together_and_large_ones_in_parts():
+    import pyarrow as pa
+
+    g = random.Random(6)
+    texts = [None if i % 7 == 0 else "x" * g.randrange(200) for i in range(400)] + ["y" * 5000, "z"]
+    for rows in (1, 3, 1000):
+        batches = [pa.record_batch({"doc_id": range(i, min(i + rows, 402)), "text": pa.array(texts[i:i + rows], pa.string())}) for i in range(0, 402, rows)]
+        groups = list(planes._groups([*batches, batches[0].slice(0, 0)], 1000))
+        assert [d for docs, _ in groups for d in docs] == list(range(402))
+        assert [t for _, some in groups for t in some.to_pylist()] == [t or "" for t in texts]
+        assert 40 < len(groups) < 60 and all(sum(map(len, some.to_pylist()[:-1])) <= 1000 for _, some in groups)
+
+
 @pytest.mark.parametrize("kind", ["byte", "bit"])
 def test_planes_round_trip(kind):
     g = np.random.default_rng(3)
